@@ -231,3 +231,184 @@ def flagship(spark, sf):
     pages = _pages(spark, sf).select("page_id", "html", F.col("url").alias("page_url"))
     return new.join(pages, "page_id").select(
         "url_hash", "page_id", "url", H.title_chain(F.lit(""), "html", "page_url").alias("title"))
+
+
+# ---- sources (S1..S6 S8 U1 J2 J3 W2 W3 P2 P3 P7 P8 R1 R2 F9 F10 F19 F20 F21 O1 O5) ----
+
+AS_OF = "2026-05-10"
+WHITELIST = ("src1.example.com", "News@src2.example.com", "SRC5", "c7.example.com")
+MAX_EMAILS = 100
+MAX_REPOS = 500
+RUN_LIMIT = 50
+
+from notesmith.functions import dates as DT  # noqa: E402
+from notesmith.sources import articles as A  # noqa: E402
+
+
+def _flat(df: DataFrame) -> DataFrame:
+    """Article rows in a hash-comparable shape (epoch seconds, comma-joined tags)."""
+    return df.select("ord", "url", "title", "source", "content_raw", "author",
+                     DT.epoch_seconds("published_at").alias("published_epoch"), "source_name",
+                     F.array_join("tags", ",").alias("tags"), "content_hash")
+
+
+def _duck_flat(builder_sql: str) -> str:
+    return (f"SELECT ord, url, title, source, content_raw, author, published_epoch, source_name, "
+            f"array_to_string(tags, ',') AS tags, content_hash FROM ({builder_sql})")
+
+
+def build_sources(spark, sf, as_of: str = AS_OF) -> dict:
+    return {
+        "rss": lambda: A.feed_articles(derived(spark, sf, "feed_entries"), derived(spark, sf, "feeds")),
+        "url": lambda: A.page_articles(_pages(spark, sf)),
+        "feishu": lambda: A.doc_articles(derived(spark, sf, "docs_export")),
+        "github": lambda: A.repo_articles(derived(spark, sf, "repos"), as_of, MAX_REPOS),
+        "email": lambda: A.message_articles(A.messages_from_flat(derived(spark, sf, "messages_flat")),
+                                            WHITELIST, MAX_EMAILS),
+    }
+
+
+_ALL_SOURCES = ("rss", "url", "feishu", "github", "email")
+
+
+def _duck_all_sources() -> str:
+    return " UNION ALL ".join(f"({q})" for q in (
+        D.feed_articles(), D.page_articles(), D.doc_articles(), D.repo_articles(AS_OF, MAX_REPOS),
+        D.message_articles(WHITELIST, MAX_EMAILS)))
+
+
+_SRC_CTES = D.with_ctes("feeds", "feed_entries", "docs_export", "repos", "messages_flat")
+
+
+@register("feed_enabled", D.with_ctes("feeds", "feed_entries") + """
+SELECT f.name AS feed, CAST(count(*) AS BIGINT) AS n_entries
+FROM feed_entries e JOIN feeds f ON f.name = e.feed WHERE coalesce(f.enabled, true) GROUP BY f.name
+""")
+def q_feed_enabled(spark, sf):
+    reg = A.enabled_feeds(derived(spark, sf, "feeds")).select(F.col("name").alias("feed"))
+    e = derived(spark, sf, "feed_entries").join(reg, "feed")
+    return e.groupBy("feed").agg(F.count(F.lit(1)).cast("bigint").alias("n_entries"))
+
+
+@register("feed_cap", D.with_ctes("feeds", "feed_entries") + f"""
+SELECT feed, ord, link FROM ({D.feed_cap_sql()}) WHERE length(link) > 0
+""")
+def q_feed_cap(spark, sf):
+    capped = A.cap_per_feed(derived(spark, sf, "feed_entries"), derived(spark, sf, "feeds"))
+    return capped.where(F.length("link") > 0).select("feed", "ord", "link")
+
+
+@register("feed_cascade", D.with_ctes("feed_entries") + f"""
+SELECT ord, {D.feed_cascade('page_text', 'content', 'description', 'summary')} AS content_raw FROM feed_entries
+""")
+def q_feed_cascade(spark, sf):
+    return derived(spark, sf, "feed_entries").select(
+        "ord", T.feed_cascade("page_text", "content", "description", "summary").alias("content_raw"))
+
+
+@register("feed_articles", D.with_ctes("feeds", "feed_entries") + _duck_flat(D.feed_articles()))
+def q_feed_articles(spark, sf):
+    return _flat(build_sources(spark, sf)["rss"]())
+
+
+@register("newsletter_articles", D.with_ctes("messages_flat") + _duck_flat(D.message_articles(WHITELIST, MAX_EMAILS)))
+def q_newsletter_articles(spark, sf):
+    return _flat(build_sources(spark, sf)["email"]())
+
+
+@register("newsletter_footer", D.with_ctes("messages_flat") + f"""
+SELECT ord, {D.remove_footer('plain')} AS cleaned, {D.remove_footer('plain', greedy=True)} AS cleaned_greedy
+FROM messages_flat
+""")
+def q_newsletter_footer(spark, sf):
+    return derived(spark, sf, "messages_flat").select(
+        "ord", T.remove_footer("plain").alias("cleaned"), T.remove_footer("plain", greedy=True).alias("cleaned_greedy"))
+
+
+@register("sender_allowed", D.with_ctes("messages_flat") + f"""
+SELECT ord, {D.sender_name('from_header')} AS sender_name, {D.sender_address('from_header')} AS sender_addr,
+       {D.sender_allowed(D.sender_address('from_header'), WHITELIST)} AS allowed,
+       {D.sender_allowed(D.sender_address('from_header'), WHITELIST, exact=True)} AS allowed_exact,
+       {D.message_id_hash('message_id', 'subject', 'date_header', 'from_header')} AS msg_id
+FROM messages_flat
+""")
+def q_sender_allowed(spark, sf):
+    m = derived(spark, sf, "messages_flat")
+    addr = T.sender_address("from_header")
+    return m.select("ord", T.sender_name("from_header").alias("sender_name"), addr.alias("sender_addr"),
+                    A.sender_allowed(addr, WHITELIST).alias("allowed"),
+                    A.sender_allowed(addr, WHITELIST, exact=True).alias("allowed_exact"),
+                    T.message_id_hash("message_id", "subject", "date_header", "from_header").alias("msg_id"))
+
+
+@register("newest_messages", D.with_ctes("messages_flat") + f"""
+SELECT ord, subject FROM messages_flat ORDER BY ord DESC LIMIT {MAX_EMAILS}
+""")
+def q_newest_messages(spark, sf):
+    return A.newest(derived(spark, sf, "messages_flat"), MAX_EMAILS).select("ord", "subject")
+
+
+@register("repo_articles", D.with_ctes("repos") + _duck_flat(D.repo_articles(AS_OF, MAX_REPOS)))
+def q_repo_articles(spark, sf):
+    return _flat(build_sources(spark, sf)["github"]())
+
+
+@register("repo_tags", D.with_ctes("repos") + f"""
+SELECT ord, array_to_string({D.repo_tags("CASE WHEN length(topics_csv) > 0 THEN string_split(topics_csv, ',') "
+                                         "ELSE CAST([] AS VARCHAR[]) END", 'language')}, ',') AS tags FROM repos
+""")
+def q_repo_tags(spark, sf):
+    r = derived(spark, sf, "repos")
+    topics = F.when(F.length("topics_csv") > 0, F.split("topics_csv", ",")).otherwise(F.array().cast("array<string>"))
+    return r.select("ord", F.array_join(A.repo_tags(topics, "language"), ",").alias("tags"))
+
+
+@register("doc_articles", D.with_ctes("docs_export") + _duck_flat(D.doc_articles()))
+def q_doc_articles(spark, sf):
+    return _flat(build_sources(spark, sf)["feishu"]())
+
+
+@register("page_articles", _duck_flat(D.page_articles()))
+def q_page_articles(spark, sf):
+    return _flat(build_sources(spark, sf)["url"]())
+
+
+@register("source_union", _SRC_CTES + f"""
+SELECT source, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT content_hash) AS BIGINT) AS n_hash
+FROM ({_duck_all_sources()}) GROUP BY source
+""")
+def q_source_union(spark, sf):
+    u = A.route(build_sources(spark, sf), _ALL_SOURCES)
+    return u.groupBy("source").agg(F.count(F.lit(1)).cast("bigint").alias("n"),
+                                   F.countDistinct("content_hash").cast("bigint").alias("n_hash"))
+
+
+@register("run_limit", _SRC_CTES + f"""
+SELECT ord, source, url FROM ({_duck_all_sources()}) ORDER BY ord LIMIT {RUN_LIMIT}
+""")
+def q_run_limit(spark, sf):
+    """O-O1: the first N articles of the run (source rank, then natural order), before dedup."""
+    u = A.route(build_sources(spark, sf), _ALL_SOURCES)
+    return u.orderBy("ord").limit(RUN_LIMIT).select("ord", "source", "url")
+
+
+# ---- dates (D1 D2 D3 D4) ----------------------------------------------------
+
+@register("date_parse", D.with_ctes("date_strings") + f"""
+SELECT event_id, {D.rfc_epoch('rfc_date')} AS rfc_epoch, {D.iso_epoch('iso_date')} AS iso_epoch FROM date_strings
+""")
+def q_date_parse(spark, sf):
+    d = derived(spark, sf, "date_strings")
+    return d.select("event_id", DT.epoch_seconds(DT.rfc2822_to_timestamp("rfc_date")).alias("rfc_epoch"),
+                    DT.epoch_seconds(DT.iso_to_timestamp("iso_date")).alias("iso_epoch"))
+
+
+@register("date_labels", D.with_ctes("date_strings") + f"""
+SELECT event_id, {D.epoch_date_label(D.rfc_epoch('rfc_date'))} AS published_label,
+       {D.epoch_date_label('CAST(epoch(ts) AS BIGINT)')} AS event_label, '{AS_OF}' AS processed_label
+FROM date_strings
+""")
+def q_date_labels(spark, sf):
+    d = derived(spark, sf, "date_strings")
+    return d.select("event_id", DT.utc_date_label(DT.rfc2822_to_timestamp("rfc_date")).alias("published_label"),
+                    DT.utc_date_label("ts").alias("event_label"), DT.as_of_label(AS_OF).alias("processed_label"))

@@ -211,3 +211,117 @@ def feed_cascade(pt: str, c: str, d: str, s: str) -> str:
     p = f"coalesce({pt}, '')"
     fc = feed_content(c, d, s)
     return f"CASE WHEN length({p}) < 100 AND length({fc}) > length({p}) THEN {fc} ELSE {p} END"
+
+
+# ---- dates ----------------------------------------------------------------
+
+def rfc_epoch(x: str) -> str:
+    s = rx_replace(strip(x), f"^[A-Za-z]{{3}},{WS}*", "")
+    return f"CAST(epoch(try_strptime({s}, '%d %b %Y %H:%M:%S %z')) AS BIGINT)"
+
+
+def iso_epoch(x: str) -> str:
+    return f"CAST(epoch(TRY_CAST({x} AS TIMESTAMPTZ)) AS BIGINT)"
+
+
+def epoch_date_label(e: str) -> str:
+    return f"strftime(DATE '1970-01-01' + CAST(floor({e} / 86400) AS INTEGER), '%Y-%m-%d')"
+
+
+# ---- source builders (same column set as notesmith.sources.articles) -------
+
+STRIDE = 1 << 40
+ART_COLS = "ord, url, title, source, content_raw, author, published_epoch, source_name, tags, content_hash"
+
+
+def _art(select_sql: str, source: str, rank: int) -> str:
+    """Wrap a select that yields ord,url,title,content_raw,author,published_epoch,source_name,tags."""
+    return (f"SELECT {rank} * {STRIDE} + ord AS ord, url, title, '{source}' AS source, content_raw, author, "
+            f"published_epoch, source_name, tags, {content_hash('url', 'title', 'content_raw')} AS content_hash "
+            f"FROM ({select_sql})")
+
+
+def feed_cap_sql() -> str:
+    return ("SELECT * FROM (SELECT e.*, f.max_articles, row_number() OVER (PARTITION BY e.feed ORDER BY e.ord) AS rn "
+            "FROM feed_entries e JOIN feeds f ON f.name = e.feed WHERE coalesce(f.enabled, true)) "
+            "WHERE rn <= max_articles")
+
+
+def feed_articles() -> str:
+    sel = (f"SELECT ord, link AS url, coalesce(title, 'Untitled') AS title, "
+           f"{feed_cascade('page_text', 'content', 'description', 'summary')} AS content_raw, "
+           f"coalesce(author, '') AS author, {rfc_epoch('published')} AS published_epoch, feed AS source_name, "
+           f"CAST([] AS VARCHAR[]) AS tags FROM ({feed_cap_sql()}) WHERE length(link) > 0")
+    return _art(sel, "rss", 0)
+
+
+def page_articles() -> str:
+    txt = html_to_text("html")
+    sel = (f"SELECT ord, url, {title_chain(lit(''), 'html', 'url')} AS title, content_raw, '' AS author, "
+           f"CAST(NULL AS BIGINT) AS published_epoch, 'web' AS source_name, CAST([] AS VARCHAR[]) AS tags "
+           f"FROM (SELECT page_id AS ord, url, html, {txt} AS content_raw FROM pages) WHERE length(content_raw) > 0")
+    return _art(sel, "web_url", 1)
+
+
+def doc_articles() -> str:
+    head = heading_title("content")
+    sel = (f"SELECT ord, url, CASE WHEN length(api_title) > 0 THEN api_title WHEN length({head}) > 0 THEN {head} "
+           f"ELSE doc_id END AS title, content AS content_raw, '' AS author, CAST(NULL AS BIGINT) AS published_epoch, "
+           f"'feishu' AS source_name, CAST([] AS VARCHAR[]) AS tags FROM (SELECT *, {doc_id_from_url('url')} AS doc_id "
+           f"FROM docs_export) WHERE doc_id IS NOT NULL AND length(content) > 0")
+    return _art(sel, "feishu", 2)
+
+
+def repo_tags(topics: str, language: str) -> str:
+    lang = f"lower(coalesce({language}, ''))"
+    t1 = (f"CASE WHEN length({lang}) > 0 AND len(list_filter({topics}, lambda x: lower(x) = {lang})) = 0 "
+          f"THEN list_concat({topics}, [{lang}]) ELSE {topics} END")
+    t2 = f"CASE WHEN NOT list_contains({t1}, 'github') THEN list_concat({t1}, ['github']) ELSE {t1} END"
+    return f"list_slice({t2}, 1, 8)"
+
+
+def repo_articles(as_of: str, max_repos: int | None = None) -> str:
+    src = "repos" if not max_repos else f"(SELECT * FROM repos ORDER BY ord LIMIT {max_repos})"
+    short = "list_extract(string_split(repo, '/'), -1)"
+    topics = "CASE WHEN length(topics_csv) > 0 THEN string_split(topics_csv, ',') ELSE CAST([] AS VARCHAR[]) END"
+    sel = (f"SELECT ord, 'https://github.com/' || repo AS url, "
+           f"CASE WHEN length(d) > 0 THEN {short} || ': ' || d ELSE {short} END AS title, "
+           f"CASE WHEN length(r) > 0 THEN r WHEN length(d) > 0 THEN d ELSE '*No README available for ' || repo || '.*' END "
+           f"AS content_raw, list_extract(string_split(repo, '/'), 1) AS author, "
+           f"CAST(epoch(TIMESTAMP '{as_of} 00:00:00') AS BIGINT) AS published_epoch, repo AS source_name, "
+           f"{repo_tags(topics, 'language')} AS tags "
+           f"FROM (SELECT *, coalesce(description, '') AS d, coalesce(readme, '') AS r FROM {src}) "
+           f"WHERE NOT coalesce(fork, false) AND (length(r) > 0 OR length(d) > 0)")
+    return _art(sel, "github", 3)
+
+
+def sender_allowed(addr: str, whitelist, exact: bool = False) -> str:
+    if not whitelist:
+        return "TRUE"
+    conds = []
+    for e in whitelist:
+        e = e.lower()
+        if "@" in e:
+            conds.append(f"lower({addr}) = {lit(e)}")
+        conds.append(f"ends_with(lower({addr}), {lit('@' + e)})")
+        if not exact:
+            conds.append(f"contains(lower({addr}), {lit(e)})")
+    return "(" + " OR ".join(conds) + ")"
+
+
+def message_body() -> str:
+    """Flat restatement of the part choice: a plain part (non-attachment) exists iff has_plain."""
+    return (f"CASE WHEN has_plain THEN (CASE WHEN length({strip('plain')}) > 0 THEN plain ELSE '' END) "
+            f"ELSE (CASE WHEN length({strip(html_to_markdown('html'))}) > 0 THEN {html_to_markdown('html')} ELSE '' END) END")
+
+
+def message_articles(whitelist=(), max_emails: int | None = None, exact: bool = False) -> str:
+    src = "messages_flat" if not max_emails else f"(SELECT * FROM messages_flat ORDER BY ord DESC LIMIT {max_emails})"
+    name, addr = sender_name("from_header"), sender_address("from_header")
+    mid = message_id_hash("message_id", "subject", "date_header", "from_header")
+    sel = (f"SELECT ord, 'email://' || {mid} AS url, coalesce(subject, 'Untitled Newsletter') AS title, "
+           f"{remove_footer('body')} AS content_raw, who AS author, {rfc_epoch('date_header')} AS published_epoch, "
+           f"who AS source_name, ['newsletter'] AS tags FROM (SELECT *, {message_body()} AS body, "
+           f"CASE WHEN length({name}) > 0 THEN {name} ELSE {addr} END AS who FROM {src} "
+           f"WHERE {sender_allowed(addr, whitelist, exact)}) WHERE length({strip('body')}) > 0")
+    return _art(sel, "email", 4)
