@@ -412,3 +412,93 @@ def q_date_labels(spark, sf):
     d = derived(spark, sf, "date_strings")
     return d.select("event_id", DT.utc_date_label(DT.rfc2822_to_timestamp("rfc_date")).alias("published_label"),
                     DT.utc_date_label("ts").alias("event_label"), DT.as_of_label(AS_OF).alias("processed_label"))
+
+
+# ---- model levels over stored replies (N1..N6 P4 P5 P6 J4 J7 C8) -------------
+
+from notesmith.operators import levels as L  # noqa: E402
+
+
+def _level_base(spark, sf) -> DataFrame:
+    return _docs(spark, sf).select(
+        "doc_id", _doc_url().alias("url"), _doc_title().alias("title"), F.col("text").alias("content_raw"),
+        F.col("source").alias("source_name"), F.array().cast("array<string>").alias("tags"), F.lit("").alias("language"))
+
+
+def _l1(spark, sf) -> DataFrame:
+    return L.assign_tiers(L.apply_l1(_level_base(spark, sf), derived(spark, sf, "responses_l1"), key="doc_id"))
+
+
+def _l2(spark, sf) -> DataFrame:
+    return L.apply_l2(L.tier_filter(_l1(spark, sf)), derived(spark, sf, "responses_l2"), key="doc_id")
+
+
+def _l3(spark, sf) -> DataFrame:
+    return L.overlay_l3(_l2(spark, sf), derived(spark, sf, "responses_l3"), key="doc_id")
+
+
+_D_L1 = D.l1_select("SELECT d.doc_id, r.raw, r.error FROM documents d LEFT JOIN responses_l1 r USING (doc_id)")
+_D_TIERED = f"SELECT *, {D.assign_tier('relevance_score')} AS content_tier FROM ({_D_L1})"
+_D_KEPT = f"SELECT doc_id, relevance_score, content_tier FROM ({_D_TIERED}) WHERE relevance_score > 0 AND content_tier <> 'discard'"
+_D_L2 = D.l2_select(f"SELECT k.*, r.raw, r.error FROM ({_D_KEPT}) k LEFT JOIN responses_l2 r USING (doc_id)")
+_D_GATE = f"SELECT doc_id FROM ({_D_L2}) WHERE relevance_score >= 7 AND content_tier = 'detailed'"
+_D_L3 = D.l3_select(f"SELECT g.doc_id, r.raw, r.error FROM ({_D_GATE}) g LEFT JOIN responses_l3 r USING (doc_id)")
+
+
+@register("relevance_parse", D.with_ctes("responses_l1") + f"""
+SELECT doc_id, relevance_score, array_to_string(CASE WHEN parsed_ok THEN reply_tags ELSE CAST([] AS VARCHAR[]) END, ',') AS tags,
+       CASE WHEN parsed_ok THEN reply_language ELSE '' END AS language, 'l1' AS processing_level FROM ({_D_L1})
+""")
+def q_relevance_parse(spark, sf):
+    return L.apply_l1(_level_base(spark, sf), derived(spark, sf, "responses_l1"), key="doc_id").select(
+        "doc_id", "relevance_score", F.array_join("tags", ",").alias("tags"), "language", "processing_level")
+
+
+@register("tier_assign", D.with_ctes("responses_l1") + f"""
+SELECT doc_id, relevance_score, content_tier FROM ({_D_TIERED})
+""")
+def q_tier_assign(spark, sf):
+    return _l1(spark, sf).select("doc_id", "relevance_score", "content_tier")
+
+
+@register("tier_filter", D.with_ctes("responses_l1") + _D_KEPT)
+def q_tier_filter(spark, sf):
+    return L.tier_filter(_l1(spark, sf)).select("doc_id", "relevance_score", "content_tier")
+
+
+@register("summary_parse", D.with_ctes("responses_l1", "responses_l2") + f"""
+SELECT doc_id, content_summary, array_to_string(key_points, '|') AS key_points,
+       array_to_string(related_topics, '|') AS related_topics, 'l2' AS processing_level FROM ({_D_L2})
+""")
+def q_summary_parse(spark, sf):
+    return _l2(spark, sf).select("doc_id", "content_summary", F.array_join("key_points", "|").alias("key_points"),
+                                 F.array_join("related_topics", "|").alias("related_topics"), "processing_level")
+
+
+@register("analysis_parse", D.with_ctes("responses_l1", "responses_l2", "responses_l3") + f"""
+SELECT doc_id, ok, st AS structure_type, ki AS key_insight, content_deep,
+       CAST(coalesce(len(concepts), 0) AS INTEGER) AS n_concepts FROM ({_D_L3})
+""")
+def q_analysis_parse(spark, sf):
+    a = L.analyze_l3(L.deep_gate(_l2(spark, sf)), derived(spark, sf, "responses_l3"), key="doc_id")
+    return a.select("doc_id", F.col("_a.ok").alias("ok"), F.col("_a.structure_type").alias("structure_type"),
+                    F.col("_a.key_insight").alias("key_insight"), F.col("_a.content_deep").alias("content_deep"),
+                    F.coalesce(F.size("_a.concepts"), F.lit(0)).cast("int").alias("n_concepts"))
+
+
+@register("concepts", D.with_ctes("responses_l1", "responses_l2", "responses_l3") + f"""
+SELECT doc_id, CAST(pos - 1 AS INTEGER) AS pos, c.name AS name, coalesce(c.definition, '') AS definition FROM (
+  SELECT doc_id, unnest(concepts) AS c, generate_subscripts(concepts, 1) AS pos FROM ({_D_L3}) WHERE ok)
+""")
+def q_concepts(spark, sf):
+    return L.concept_rows(_l3(spark, sf), key="doc_id")
+
+
+@register("deep_gate", D.with_ctes("responses_l1", "responses_l2", "responses_l3") + f"""
+SELECT l2.doc_id, CASE WHEN l3.ok THEN 'l3' ELSE 'l2' END AS processing_level,
+       CASE WHEN l3.ok THEN l3.st ELSE '' END AS l3_structure_type,
+       CASE WHEN l3.ok THEN l3.content_deep ELSE '' END AS content_deep
+FROM ({_D_L2}) l2 LEFT JOIN ({_D_L3}) l3 ON l3.doc_id = l2.doc_id
+""")
+def q_deep_gate(spark, sf):
+    return _l3(spark, sf).select("doc_id", "processing_level", "l3_structure_type", "content_deep")

@@ -325,3 +325,98 @@ def message_articles(whitelist=(), max_emails: int | None = None, exact: bool =
            f"CASE WHEN length({name}) > 0 THEN {name} ELSE {addr} END AS who FROM {src} "
            f"WHERE {sender_allowed(addr, whitelist, exact)}) WHERE length({strip('body')}) > 0")
     return _art(sel, "email", 4)
+
+
+# ---- model replies ----------------------------------------------------------
+
+def _whole_object(s: str) -> str:
+    return f"(starts_with({s}, '{{') AND ends_with({s}, '}}') AND coalesce(json_valid({s}), false))"
+
+
+def extract_flat_json(raw: str) -> str:
+    s = strip(raw)
+    found = rx_extract(s, r"(?s)\{[^{}]*\}", 0)
+    return f"CASE WHEN {_whole_object(s)} THEN {s} WHEN length({found}) > 0 THEN {found} END"
+
+
+def extract_greedy_json(raw: str) -> str:
+    s = strip(rx_replace(raw, f"(?s)<think\\b[^>]*>.*?</think{WS}*>", ""))
+    found = rx_extract(s, r"(?s)\{.*\}", 0)
+    return f"CASE WHEN {_whole_object(s)} THEN {s} WHEN length({found}) > 0 THEN {found} END"
+
+
+def l1_num(js: str) -> str:
+    t = f"json_type({js}, '$.relevance_score')"
+    st = f"json_extract_string({js}, '$.relevance_score')"
+    return (f"CASE {t} WHEN 'VARCHAR' THEN (CASE WHEN regexp_matches({st}, {lit('^' + WS + '*[+-]?[0-9]+' + WS + '*$')}) "
+            f"THEN TRY_CAST({strip(st)} AS BIGINT) END) WHEN 'NULL' THEN NULL WHEN 'ARRAY' THEN NULL WHEN 'OBJECT' THEN NULL "
+            f"WHEN 'BOOLEAN' THEN (CASE WHEN {st} = 'true' THEN 1 ELSE 0 END) "
+            f"ELSE TRY_CAST(trunc(TRY_CAST({st} AS DOUBLE)) AS BIGINT) END")
+
+
+def l1_select(src: str, key: str = "doc_id") -> str:
+    """Rows of src (with raw, error) -> key, score, tags (array), language, parsed_ok."""
+    js = "js"
+    vld = "jv IS NOT NULL"
+    present = "json_type(jv, '$.relevance_score') IS NOT NULL"
+    num = l1_num("jv")
+    score = (f"CAST(CASE WHEN error IS NOT NULL THEN 5 WHEN coalesce(length(raw), 0) = 0 THEN 0 "
+             f"WHEN {js} IS NULL THEN 0 WHEN NOT {vld} THEN 5 WHEN NOT {present} THEN 0 ELSE coalesce({num}, 5) END AS INTEGER)")
+    ok = (f"(error IS NULL AND coalesce(length(raw), 0) > 0 AND {js} IS NOT NULL AND {vld} AND "
+          f"(NOT {present} OR ({num}) IS NOT NULL))")
+    tags = "coalesce(TRY_CAST(json_extract(jv, '$.tags') AS VARCHAR[]), CAST([] AS VARCHAR[]))"
+    lang = "coalesce(json_extract_string(jv, '$.language'), '')"
+    return (f"SELECT *, {score} AS relevance_score, {ok} AS parsed_ok, {tags} AS reply_tags, {lang} AS reply_language "
+            f"FROM ({_with_js(src, extract_flat_json('raw'))})")
+
+
+def _with_js(src: str, js_expr: str) -> str:
+    return (f"SELECT *, CASE WHEN coalesce(json_valid(js), false) THEN js END AS jv "
+            f"FROM (SELECT *, {js_expr} AS js FROM ({src}))")
+
+
+def assign_tier(score: str, discard_max: int = 3, compressed_max: int = 6) -> str:
+    return (f"CASE WHEN {score} <= 0 THEN '' WHEN {score} <= {discard_max} THEN 'discard' "
+            f"WHEN {score} <= {compressed_max} THEN 'compressed' ELSE 'detailed' END")
+
+
+def l2_select(src: str) -> str:
+    """Rows of src (with raw, error) -> + summary, key_points, related_topics."""
+    js, vld = "js", "jv IS NOT NULL"
+    summ = "coalesce(json_extract_string(jv, '$.summary'), '')"
+    tldr = "coalesce(json_extract_string(jv, '$.tldr'), '')"
+    full = f"CASE WHEN length({tldr}) > 0 THEN '**TL;DR:** ' || {tldr} || chr(10) || chr(10) || {summ} ELSE {summ} END"
+    kp = "coalesce(TRY_CAST(json_extract(jv, '$.key_points') AS VARCHAR[]), CAST([] AS VARCHAR[]))"
+    rt = "coalesce(TRY_CAST(json_extract(jv, '$.related_topics') AS VARCHAR[]), CAST([] AS VARCHAR[]))"
+    fail = "error IS NOT NULL OR coalesce(length(raw), 0) = 0 OR js IS NULL OR NOT " + vld
+    summary = (f"CASE WHEN error IS NOT NULL THEN '[Summary generation failed: ' || substr(error, 1, 100) || ']' "
+               f"WHEN coalesce(length(raw), 0) = 0 THEN '[Summary generation returned empty]' "
+               f"WHEN {js} IS NULL OR NOT {vld} THEN substr(raw, 1, 500) ELSE {full} END")
+    return (f"SELECT *, {summary} AS content_summary, CASE WHEN {fail} THEN CAST([] AS VARCHAR[]) ELSE {kp} END AS key_points, "
+            f"CASE WHEN {fail} THEN CAST([] AS VARCHAR[]) ELSE {rt} END AS related_topics "
+            f"FROM ({_with_js(src, extract_greedy_json('raw'))})")
+
+
+def l3_select(src: str) -> str:
+    """Rows of src (with raw, error) -> + ok, concepts, structure_type, key_insight, content_deep."""
+    js, vld = "jv", "jv IS NOT NULL"
+    ctype = f"json_type({js}, '$.concepts')"
+    absent = f"({ctype} IS NULL OR {ctype} = 'NULL')"
+    cast = f"TRY_CAST(json_extract({js}, '$.concepts') AS STRUCT(name VARCHAR, definition VARCHAR)[])"
+    concepts = f"CASE WHEN {absent} THEN [] ELSE {cast} END"
+    c_ok = f"({absent} OR ({cast} IS NOT NULL AND len(list_filter({cast}, lambda c: c.name IS NULL)) = 0))"
+    st = f"coalesce(json_extract_string({js}, '$.structure_type'), '')"
+    ki = f"coalesce(json_extract_string({js}, '$.key_insight'), '')"
+    asm = f"coalesce(TRY_CAST(json_extract({js}, '$.assumptions') AS VARCHAR[]), CAST([] AS VARCHAR[]))"
+    pos = f"coalesce(json_extract_string({js}, '$.position'), '')"
+    nl = "chr(10)"
+    deep = (f"concat_ws({nl} || {nl}, CASE WHEN length(ki) > 0 THEN '**核心洞见:** ' || ki END, "
+            f"CASE WHEN length(st) > 0 THEN '**文章类型:** ' || st END, "
+            f"CASE WHEN len(asm) > 0 THEN '**前提假设:**' || {nl} || array_to_string(list_transform(asm, lambda a: '- ' || a), {nl}) END, "
+            f"CASE WHEN length(pos) > 0 THEN '**作者立场:** ' || pos END, "
+            f"CASE WHEN len(concepts) > 0 THEN '**核心概念:**' || {nl} || array_to_string(list_transform(concepts, "
+            f"lambda c: '- **' || c.name || '**: ' || coalesce(c.definition, '')), {nl}) END)")
+    ok = f"(error IS NULL AND coalesce(length(raw), 0) > 0 AND js IS NOT NULL AND {vld} AND c_ok)"
+    inner = (f"SELECT *, {concepts} AS concepts, {c_ok} AS c_ok, {st} AS st, {ki} AS ki, {asm} AS asm, {pos} AS pos "
+             f"FROM ({_with_js(src, extract_greedy_json('raw'))})")
+    return f"SELECT *, {ok} AS ok, {deep} AS content_deep FROM ({inner})"
