@@ -502,3 +502,136 @@ FROM ({_D_L2}) l2 LEFT JOIN ({_D_L3}) l3 ON l3.doc_id = l2.doc_id
 """)
 def q_deep_gate(spark, sf):
     return _l3(spark, sf).select("doc_id", "processing_level", "l3_structure_type", "content_deep")
+
+
+# ---- note rendering, routing, collisions, funnel (G1 G2 P12 F15 W4 K1 A2 A7) ----
+
+from notesmith.operators import notes as NT  # noqa: E402
+
+_LANG_SOURCE = "CASE lang WHEN 'en' THEN 'rss' WHEN 'fr' THEN 'email' WHEN 'de' THEN 'web_url' ELSE 'github' END"
+_AUTHOR = "CASE WHEN lang = 'en' THEN '' ELSE 'Writer \"' || lang || '\"' END"
+
+
+def _render_base(spark, sf) -> DataFrame:
+    d = _docs(spark, sf)
+    return d.select(
+        "doc_id", _doc_url().alias("url"), _doc_title().alias("title"), F.col("text").alias("content_raw"),
+        F.expr(_LANG_SOURCE).alias("source"), F.col("source").alias("source_name"), F.expr(_AUTHOR).alias("author"),
+        F.lit(None).cast("timestamp").alias("published_at"),
+        T.content_hash(_doc_url(), _doc_title(), "text").alias("content_hash"),
+        F.array().cast("array<string>").alias("tags"), F.lit("").alias("language"))
+
+
+def _final_articles(spark, sf) -> DataFrame:
+    """Documents through L1, tier filter, L2 and the L3 overlay."""
+    l1 = L.assign_tiers(L.apply_l1(_render_base(spark, sf), derived(spark, sf, "responses_l1"), key="doc_id"))
+    l2 = L.apply_l2(L.tier_filter(l1), derived(spark, sf, "responses_l2"), key="doc_id")
+    return L.overlay_l3(l2, derived(spark, sf, "responses_l3"), key="doc_id")
+
+
+def _existing_notes(spark, sf) -> DataFrame:
+    """Notes an earlier run wrote: every English document of the render base, unnumbered names."""
+    b = _render_base(spark, sf).where("source = 'rss'")
+    return b.select(NT.target_dir(AS_OF).alias("dir"),
+                    T.note_filename(F.lit(5), "title").alias("filename")).distinct()
+
+
+_D_RBASE = (f"SELECT doc_id, {_DOC_URL} AS url, {_DOC_TITLE} AS title, text AS content_raw, {_LANG_SOURCE} AS source, "
+            f"source AS source_name, {_AUTHOR} AS author, CAST(NULL AS BIGINT) AS published_epoch, "
+            f"{D.content_hash(_DOC_URL, _DOC_TITLE, 'text')} AS content_hash FROM documents")
+_D_RL1 = D.l1_select(f"SELECT b.*, r.raw, r.error FROM ({_D_RBASE}) b LEFT JOIN responses_l1 r USING (doc_id)")
+_D_RKEPT = (f"SELECT * EXCLUDE (raw, error, js, jv, parsed_ok, reply_tags, reply_language), "
+            f"CASE WHEN parsed_ok THEN reply_tags ELSE CAST([] AS VARCHAR[]) END AS tags, "
+            f"{D.assign_tier('relevance_score')} AS content_tier FROM ({_D_RL1}) WHERE relevance_score > 3")
+_D_RL2 = D.l2_select(f"SELECT k.*, r.raw, r.error FROM ({_D_RKEPT}) k LEFT JOIN responses_l2 r USING (doc_id)")
+_D_RL3 = D.l3_select(f"SELECT g.doc_id, r.raw, r.error FROM ({_D_RKEPT}) g LEFT JOIN responses_l3 r USING (doc_id) "
+                     f"WHERE g.relevance_score >= 7")
+_D_FINAL = (f"SELECT l2.* EXCLUDE (raw, error, js, jv), CASE WHEN l3.ok THEN 'l3' ELSE 'l2' END AS processing_level, "
+            f"CASE WHEN l3.ok THEN l3.content_deep ELSE '' END AS content_deep "
+            f"FROM ({_D_RL2}) l2 LEFT JOIN (SELECT * FROM ({_D_RL3}) WHERE ok) l3 ON l3.doc_id = l2.doc_id")
+_D_EXISTING = (f"SELECT DISTINCT {D.target_dir(AS_OF)} AS dir, {D.note_filename('5', 'title')} AS filename "
+               f"FROM ({_D_RBASE}) WHERE source = 'rss'")
+_D_NAMED = (f"SELECT *, {D.target_dir(AS_OF)} AS dir, {D.note_filename('relevance_score', 'title')} AS filename "
+            f"FROM ({_D_FINAL})")
+_D_RENDERED = (f"SELECT *, dir || '/' || filename AS note_path, {D.note_content(AS_OF)} AS content "
+               f"FROM ({D.resolve_collisions(_D_NAMED, _D_EXISTING, 'doc_id')})")
+_RENDER_CTES = D.with_ctes("responses_l1", "responses_l2", "responses_l3")
+
+
+def _rendered(spark, sf) -> DataFrame:
+    return NT.render_notes(_final_articles(spark, sf), AS_OF, _existing_notes(spark, sf), key="doc_id")
+
+
+@register("note_routing", _SRC_CTES + f"""
+SELECT ord, {D.target_dir(AS_OF)} AS dir, {D.note_filename('0', 'title')} AS filename FROM ({_duck_all_sources()})
+""")
+def q_note_routing(spark, sf):
+    u = A.route(build_sources(spark, sf), _ALL_SOURCES)
+    return u.select("ord", NT.target_dir(AS_OF).alias("dir"), T.note_filename(F.lit(0), "title").alias("filename"))
+
+
+@register("note_collisions", _RENDER_CTES + f"""
+SELECT doc_id, dir, filename FROM ({D.resolve_collisions(_D_NAMED, _D_EXISTING, 'doc_id')})
+""")
+def q_note_collisions(spark, sf):
+    named = _final_articles(spark, sf).withColumn("dir", NT.target_dir(AS_OF)).withColumn(
+        "filename", T.note_filename("relevance_score", "title"))
+    return NT.resolve_collisions(named, _existing_notes(spark, sf), key="doc_id").select("doc_id", "dir", "filename")
+
+
+@register("note_render", _RENDER_CTES + f"""
+SELECT doc_id, note_path, content FROM ({_D_RENDERED})
+""")
+def q_note_render(spark, sf):
+    return _rendered(spark, sf).select("doc_id", "note_path", "content")
+
+
+@register("note_filename", _RENDER_CTES + f"""
+SELECT doc_id, {D.note_filename('relevance_score', 'title')} AS filename,
+       {D.note_filename('0', 'title')} AS unscored_filename FROM ({_D_FINAL})
+""")
+def q_note_filename(spark, sf):
+    return _final_articles(spark, sf).select("doc_id", T.note_filename("relevance_score", "title").alias("filename"),
+                                             T.note_filename(F.lit(0), "title").alias("unscored_filename"))
+
+
+@register("note_summary", _RENDER_CTES + f"""
+SELECT doc_id, {D.note_summary('content')} AS summary FROM ({_D_RENDERED})
+""")
+def q_note_summary(spark, sf):
+    return _rendered(spark, sf).select("doc_id", T.note_summary("content").alias("summary"))
+
+
+@register("wikilink", _RENDER_CTES + f"""
+SELECT doc_id, {D.wikilink('note_path', 'title')} AS link, {D.wikilink("''", 'title')} AS bare_link FROM ({_D_RENDERED})
+""")
+def q_wikilink(spark, sf):
+    return _rendered(spark, sf).select("doc_id", T.wikilink("note_path", "title").alias("link"),
+                                       T.wikilink(F.lit(""), "title").alias("bare_link"))
+
+
+def _ingest_stages(spark, sf, dry_run: bool = False, limit: int | None = None):
+    from notesmith.plans import ingest as IG
+    base = _render_base(spark, sf)
+    seen = base.where("source = 'rss'").select(U.url_hash("url").alias("url_hash"))  # an earlier run took 'en'
+    replies = {lv: derived(spark, sf, f"responses_{lv}") for lv in ("l1", "l2", "l3")}
+    return IG.plan_ingest(base, replies, AS_OF, seen=seen, key="doc_id", dry_run=dry_run, limit=limit,
+                          existing_notes=_existing_notes(spark, sf))
+
+
+_D_NEW = (f"SELECT * FROM ({_D_RBASE}) WHERE {D.url_hash('url')} NOT IN "
+          f"(SELECT {D.url_hash('url')} FROM ({_D_RBASE}) WHERE source = 'rss')")
+_D_NEW_L1 = D.l1_select(f"SELECT b.*, r.raw, r.error FROM ({_D_NEW}) b LEFT JOIN responses_l1 r USING (doc_id)")
+
+
+@register("ingest_funnel", D.with_ctes("responses_l1") + f"""
+SELECT 'fetched' AS stage, CAST(count(*) AS BIGINT) AS n FROM documents
+UNION ALL SELECT 'new', CAST(count(*) AS BIGINT) FROM ({_D_NEW})
+UNION ALL SELECT 'l1_passed', CAST(count(*) AS BIGINT) FROM ({_D_NEW_L1}) WHERE relevance_score > 3
+UNION ALL SELECT 'l2_summarized', CAST(count(*) AS BIGINT) FROM ({_D_NEW_L1}) WHERE relevance_score > 3
+UNION ALL SELECT 'written', CAST(count(*) AS BIGINT) FROM ({_D_NEW_L1}) WHERE relevance_score > 3
+""")
+def q_ingest_funnel(spark, sf):
+    """Q1 stage counts: fetched -> new (URL dedup + seen-store) -> L1 passed -> L2 -> written."""
+    from notesmith.plans import ingest as IG
+    return IG.funnel_counts(_ingest_stages(spark, sf))

@@ -13,7 +13,7 @@ from notesmith.functions.common import WORD_CHARS, WS, WS_CHARS
 from notesmith.functions.html import NAMED_ENTITIES
 from notesmith.functions.text import footer_patterns
 from notesmith.functions.urls import TRACKING_PREFIXES
-from notesmith.sources.derived import derived_sql
+from notesmith.sources.derived import derived_sql  # noqa: F401  (re-exported)
 
 
 def lit(s: str) -> str:
@@ -420,3 +420,97 @@ def l3_select(src: str) -> str:
     inner = (f"SELECT *, {concepts} AS concepts, {c_ok} AS c_ok, {st} AS st, {ki} AS ki, {asm} AS asm, {pos} AS pos "
              f"FROM ({_with_js(src, extract_greedy_json('raw'))})")
     return f"SELECT *, {ok} AS ok, {deep} AS content_deep FROM ({inner})"
+
+
+# ---- note rendering ---------------------------------------------------------
+
+SOURCE_DIR_CASE = ("CASE source WHEN 'rss' THEN '2-Articles' WHEN 'web_url' THEN '2-Articles' WHEN 'feishu' THEN '2-Articles' "
+                   "WHEN 'github' THEN '3-GitHub' WHEN 'email' THEN '4-Newsletters' WHEN 'manual' THEN '0-Inbox' "
+                   "ELSE '0-Inbox' END")
+
+
+def yaml_quoted(x: str) -> str:
+    e = f"replace({x}, '\\', '\\\\')"
+    for a, b in (('"', '\\"'), ("chr(10)", "'\\n'"), ("chr(13)", "'\\r'"), ("chr(9)", "'\\t'")):
+        if a.startswith("chr"):
+            e = f"replace({e}, {a}, {b})"
+        else:
+            e = f"replace({e}, {lit(a)}, {lit(b)})"
+    return f"('\"' || {e} || '\"')"
+
+
+def frontmatter(as_of: str) -> str:
+    nl = "chr(10)"
+    tags = "coalesce(tags, CAST([] AS VARCHAR[]))"
+    return (f"concat_ws({nl}, 'title: ' || {yaml_quoted('title')}, 'source: ' || {yaml_quoted('url')}, "
+            f"'source_name: ' || {yaml_quoted('coalesce(source_name, ' + lit('') + ')')}, "
+            f"CASE WHEN length(author) > 0 THEN 'author: ' || {yaml_quoted('author')} END, "
+            f"'date_processed: ' || {yaml_quoted(lit(as_of))}, "
+            f"CASE WHEN published_epoch IS NOT NULL THEN 'date_published: ' || {yaml_quoted(epoch_date_label('published_epoch'))} END, "
+            f"CASE WHEN len({tags}) > 0 THEN 'tags:' || {nl} || array_to_string(list_transform({tags}, "
+            f"lambda t: '- ' || {yaml_quoted('t')}), {nl}) ELSE 'tags: []' END, "
+            f"'relevance: ' || CAST(relevance_score AS VARCHAR), 'level: ' || {yaml_quoted('processing_level')}, "
+            f"'hash: ' || {yaml_quoted('content_hash')})")
+
+
+def body() -> str:
+    nl = "chr(10)"
+    e = "CAST([] AS VARCHAR[])"
+    author = "coalesce(author, '')"
+    meta = (f"'> Source: [' || coalesce(source_name, '') || '](' || url || ')' || "
+            f"CASE WHEN length({author}) > 0 THEN ' | Author: ' || {author} ELSE '' END || {nl}")
+    summ = "coalesce(content_summary, '')"
+    kp = f"coalesce(key_points, {e})"
+    deep = "coalesce(content_deep, '')"
+    rel = f"coalesce(related_topics, {e})"
+    tags = f"coalesce(tags, {e})"
+    raw = "coalesce(content_raw, '')"
+    parts = (f"list_concat(['# ' || title || {nl}, {meta}], "
+             f"CASE WHEN length({summ}) > 0 THEN ['## Summary' || {nl}, {summ} || {nl}] ELSE {e} END, "
+             f"CASE WHEN len({kp}) > 0 THEN list_concat(['## Key Points' || {nl}], list_transform({kp}, lambda p: '- ' || p), ['']) ELSE {e} END, "
+             f"CASE WHEN length({deep}) > 0 THEN ['## Deep Analysis' || {nl}, {deep} || {nl}] ELSE {e} END, "
+             f"CASE WHEN len({rel}) > 0 THEN ['## Related' || {nl}, array_to_string(list_transform({rel}, lambda t: '[[' || t || ']]'), ' ') || {nl}] ELSE {e} END, "
+             f"CASE WHEN len({tags}) > 0 THEN ['## Tags' || {nl}, array_to_string(list_transform({tags}, lambda t: '#' || t), ' ') || {nl}] ELSE {e} END, "
+             f"CASE WHEN content_tier = 'detailed' AND length({raw}) > 0 THEN ['## 原文内容' || {nl}, {raw} || {nl}] "
+             f"WHEN length({raw}) > 0 THEN [{nl} || '---' || {nl} || '*原文: ' || CAST({word_count(raw)} AS VARCHAR) || ' words*' || {nl}] ELSE {e} END, "
+             f"[{nl} || '## Personal Notes' || {nl}])")
+    return f"array_to_string({parts}, {nl})"
+
+
+def note_content(as_of: str) -> str:
+    return f"('---' || chr(10) || {frontmatter(as_of)} || chr(10) || '---' || chr(10) || {body()})"
+
+
+def target_dir(as_of: str) -> str:
+    repo = "CASE WHEN length(source_name) > 0 THEN list_extract(string_split(source_name, '/'), -1) ELSE 'unknown' END"
+    return f"({SOURCE_DIR_CASE} || '/' || CASE WHEN source = 'github' THEN {repo} ELSE '{as_of}' END)"
+
+
+def family_slots(filename: str) -> str:
+    """Existing file name -> list of (stem, slot) interpretations."""
+    stem = rx_extract(filename, r"^(.*)\.md$", 1)
+    base = rx_extract(stem, r"^(.*)-([1-9][0-9]*)$", 1)
+    k = rx_extract(stem, r"^(.*)-([1-9][0-9]*)$", 2)
+    return (f"CASE WHEN length({k}) > 0 THEN [{{'stem': {stem}, 'slot': 0}}, {{'stem': {base}, 'slot': CAST({k} AS BIGINT)}}] "
+            f"ELSE [{{'stem': {stem}, 'slot': 0}}] END")
+
+
+def resolve_collisions(notes: str, existing: str | None, key: str) -> str:
+    """notes: rows with key, dir, filename -> + final filename (first-free-slot rule, computed by brute force
+    over a bounded slot range for the oracle)."""
+    n = (f"SELECT *, {rx_extract('filename', r'^(.*)\.md$', 1)} AS stem, "
+         f"row_number() OVER (PARTITION BY dir, {rx_extract('filename', r'^(.*)\.md$', 1)} ORDER BY {key}) - 1 AS r "
+         f"FROM ({notes})")
+    if existing is None:
+        ex = "SELECT NULL::VARCHAR AS dir, NULL::VARCHAR AS stem, NULL::BIGINT AS slot WHERE false"
+    else:
+        ex = (f"SELECT DISTINCT dir, f.stem AS stem, f.slot AS slot FROM (SELECT dir, unnest({family_slots('filename')}) AS f "
+              f"FROM ({existing}))")
+    # Free slots of a family: 0..(r + #existing); pick the r-th free one.
+    free = (f"SELECT n.{key}, n.dir, n.stem, n.r, s.k FROM ({n}) n, "
+            f"LATERAL (SELECT unnest(range(0, n.r + 1 + (SELECT count(*) FROM ({ex}) e WHERE e.dir = n.dir AND e.stem = n.stem))) AS k) s "
+            f"WHERE NOT EXISTS (SELECT 1 FROM ({ex}) e WHERE e.dir = n.dir AND e.stem = n.stem AND e.slot = s.k)")
+    pick = (f"SELECT {key}, dir, stem, k FROM (SELECT *, row_number() OVER (PARTITION BY {key}, dir ORDER BY k) - 1 AS j "
+            f"FROM ({free})) WHERE j = r")
+    return (f"SELECT x.* REPLACE (CASE WHEN p.k = 0 THEN x.filename ELSE p.stem || '-' || CAST(p.k AS VARCHAR) || '.md' END "
+            f"AS filename) FROM ({notes}) x JOIN ({pick}) p ON p.{key} = x.{key} AND p.dir = x.dir")
