@@ -635,3 +635,211 @@ def q_ingest_funnel(spark, sf):
     """Q1 stage counts: fetched -> new (URL dedup + seen-store) -> L1 passed -> L2 -> written."""
     from notesmith.plans import ingest as IG
     return IG.funnel_counts(_ingest_stages(spark, sf))
+
+
+# ---- topics and topic maps (C4..C8 A3..A6 W5 W6 O2..O4 P10 P11 J5 J8 J9 R3 R4 G3 G4 K3) ----
+
+from notesmith.operators import maps as MP  # noqa: E402
+from notesmith.operators import topics as TP  # noqa: E402
+
+
+def _tag_notes(spark, sf) -> DataFrame:
+    return TP.notes_from_csv(derived(spark, sf, "doc_tags"))
+
+
+def _labelled(spark, sf):
+    """Notes with a vector get the supplied cluster label (vec_id = note order)."""
+    lab = load_table(spark, sf, "embeddings").select(F.col("vec_id").alias("ord"), "label")
+    return _tag_notes(spark, sf), lab
+
+
+def _tag_topic_result(spark, sf):
+    return TP.greedy_tag_topics(_tag_notes(spark, sf), min_size=3)
+
+
+_D_NOTES = "SELECT ord, path, title, relevance, source_name, string_split(tags_csv, ',') AS tags FROM doc_tags"
+_D_TOPIC_CTES = D.with_ctes("doc_tags", extra=[("notes", _D_NOTES)])
+_D_EDGES = "SELECT ord, unnest(tags) AS tag, generate_subscripts(tags, 1) AS pos FROM notes"
+
+
+def _d_greedy() -> str:
+    """Sequential greedy rule as a recursive CTE (the oracle runs it literally, tag by tag)."""
+    free = ("(SELECT {agg} FROM edges e JOIN ranked r ON e.tag = r.tag "
+            "WHERE r.rk = g.k + 1 AND NOT list_contains(g.used, e.ord))")
+    cnt, ids = free.format(agg="count(*)"), free.format(agg="list(e.ord)")
+    return f"""
+, edges AS ({_D_EDGES}),
+ts AS (SELECT tag, count(*) AS cnt, min(ord * 1000000 + pos) AS first FROM edges GROUP BY tag),
+ranked AS (SELECT tag, row_number() OVER (ORDER BY cnt DESC, first) AS rk FROM ts WHERE cnt >= 3),
+greedy(k, used, acc) AS (
+  SELECT 0, CAST([] AS BIGINT[]), CAST([] AS VARCHAR[])
+  UNION ALL
+  SELECT g.k + 1,
+    CASE WHEN {cnt} >= 3 THEN list_concat(g.used, {ids}) ELSE g.used END,
+    CASE WHEN {cnt} >= 3 THEN list_append(g.acc, (SELECT tag FROM ranked WHERE rk = g.k + 1)) ELSE g.acc END
+  FROM greedy g WHERE g.k < (SELECT count(*) FROM ranked)),
+accepted AS (SELECT acc FROM greedy ORDER BY k DESC LIMIT 1),
+assign AS (SELECT e.ord, min(list_position(a.acc, e.tag)) AS topic_order
+           FROM edges e, accepted a WHERE list_contains(a.acc, e.tag) GROUP BY e.ord),
+tmembers AS (SELECT n.*, s.topic_order FROM notes n JOIN assign s USING (ord)),
+ttopics AS (SELECT topic_order, (SELECT acc FROM accepted)[topic_order] AS name, count(*) AS size
+            FROM tmembers GROUP BY topic_order)
+"""
+
+
+@register("tag_topics", D.with_ctes("doc_tags", extra=[("notes", _D_NOTES)]).replace("WITH ", "WITH RECURSIVE ", 1)
+          + _d_greedy() + """
+SELECT name, CAST(size AS BIGINT) AS size, CAST(topic_order AS INTEGER) AS topic_order FROM ttopics
+""")
+def q_tag_topics(spark, sf):
+    topics, _ = _tag_topic_result(spark, sf)
+    return topics.select("name", "size", "topic_order")
+
+
+_D_LABELLED = ("SELECT n.*, e.label AS topic_id FROM notes n JOIN embeddings e ON e.vec_id = n.ord "
+               "WHERE e.label <> -1")
+_D_TAGCOUNTS = (f"SELECT topic_id, tag, count(*) AS cnt, min(ord * 1000000 + pos) AS first FROM "
+                f"(SELECT topic_id, ord, unnest(tags) AS tag, generate_subscripts(tags, 1) AS pos FROM ({_D_LABELLED})) "
+                f"GROUP BY topic_id, tag")
+_D_CORE = (f"SELECT topic_id, list(tag ORDER BY rk) AS core_tags FROM (SELECT *, row_number() OVER "
+           f"(PARTITION BY topic_id ORDER BY cnt DESC, first) AS rk FROM ({_D_TAGCOUNTS})) WHERE rk <= 5 GROUP BY topic_id")
+_D_ETOPICS = (f"SELECT s.topic_id, s.size, s.first_ord, coalesce(c.core_tags, CAST([] AS VARCHAR[])) AS core_tags, "
+              f"CASE WHEN len(coalesce(c.core_tags, CAST([] AS VARCHAR[]))) = 0 THEN 'Topic (' || CAST(s.size AS VARCHAR) || ' articles)' "
+              f"ELSE array_to_string(list_slice(c.core_tags, 1, 3), ' / ') END AS name, "
+              f"row_number() OVER (ORDER BY s.size DESC, s.first_ord) AS topic_order "
+              f"FROM (SELECT topic_id, count(*) AS size, min(ord) AS first_ord FROM ({_D_LABELLED}) GROUP BY topic_id) s "
+              f"LEFT JOIN ({_D_CORE}) c USING (topic_id)")
+
+
+@register("tag_counts", _D_TOPIC_CTES + f"""
+SELECT topic_id AS label, tag, CAST(cnt AS BIGINT) AS cnt, CAST(first // 1000000 AS BIGINT) AS first_ord,
+       CAST(first % 1000000 - 1 AS INTEGER) AS first_pos FROM ({_D_TAGCOUNTS})
+""")
+def q_tag_counts(spark, sf):
+    notes, lab = _labelled(spark, sf)
+    m = notes.join(lab, "ord").withColumnRenamed("label", "topic_id")
+    c = TP.tag_counts(m, "topic_id")
+    return c.select(F.col("topic_id").alias("label"), "tag", "cnt", F.col("first.ord").alias("first_ord"),
+                    F.col("first.pos").alias("first_pos"))
+
+
+@register("topic_names", _D_TOPIC_CTES + f"""
+SELECT topic_id AS label, name, array_to_string(core_tags, ',') AS core_tags, CAST(size AS BIGINT) AS size FROM ({_D_ETOPICS})
+""")
+def q_topic_names(spark, sf):
+    notes, lab = _labelled(spark, sf)
+    topics, _ = TP.assemble_topics(notes, lab)
+    return topics.select(F.col("topic_id").alias("label"), "name", F.array_join("core_tags", ",").alias("core_tags"),
+                         "size")
+
+
+@register("topics_by_size", _D_TOPIC_CTES + f"""
+SELECT name, CAST(size AS BIGINT) AS size, CAST(topic_order AS INTEGER) AS topic_order FROM ({_D_ETOPICS})
+""")
+def q_topics_by_size(spark, sf):
+    notes, lab = _labelled(spark, sf)
+    topics, _ = TP.assemble_topics(notes, lab)
+    return topics.select("name", "size", "topic_order")
+
+
+@register("trivial_cluster", """
+SELECT vec_id, CASE WHEN (SELECT count(*) FROM embeddings) >= 3 THEN 0 ELSE -1 END AS label FROM embeddings
+""")
+def q_trivial_cluster(spark, sf):
+    return TP.trivial_labels(load_table(spark, sf, "embeddings").select("vec_id")).select("vec_id", "label")
+
+
+def _d_member_line() -> str:
+    src = "coalesce(source_name, '')"
+    tags = "coalesce(tags, CAST([] AS VARCHAR[]))"
+    return (f"'- ' || {D.wikilink('path', 'title')} || CASE WHEN length({src}) > 0 THEN ' — *' || {src} || '*' ELSE '' END "
+            f"|| CASE WHEN len({tags}) > 0 THEN ' ' || array_to_string(list_transform(list_slice({tags}, 1, 3), "
+            f"lambda t: '#' || t), ' ') ELSE '' END")
+
+
+@register("member_lists", D.with_ctes("doc_tags", extra=[("notes", _D_NOTES)]).replace("WITH ", "WITH RECURSIVE ", 1)
+          + _d_greedy() + f"""
+SELECT t.name AS topic, CAST(-m.relevance AS BIGINT) AS k1, CAST(m.ord AS BIGINT) AS k2, {_d_member_line()} AS line
+FROM tmembers m JOIN ttopics t USING (topic_order)
+""")
+def q_member_lists(spark, sf):
+    topics, members = _tag_topic_result(spark, sf)
+    return members.join(topics.select("topic_id", F.col("name").alias("topic")), "topic_id").select(
+        "topic", (-F.col("relevance")).cast("long").alias("k1"), F.col("ord").cast("long").alias("k2"),
+        MP.member_line(members).alias("line"))
+
+
+def _d_pages(as_of: str) -> str:
+    page = f"'MOC-' || {D.topic_slug('name')} || '.md'"
+    core = "[name]"
+    fm = (f"concat_ws(chr(10), 'article_count: ' || CAST(size AS VARCHAR), 'auto_generated: true', "
+          f"'generated: ' || {D.yaml_quoted(D.lit(as_of))}, 'tags:' || chr(10) || '- ' || {D.yaml_quoted('name')}, "
+          f"'title: ' || {D.yaml_quoted(chr(39) + 'MOC: ' + chr(39) + ' || name')}, 'type: \"moc\"')")
+    nl = "chr(10)"
+    fixed = (f"SELECT {page} AS page, c.sec, c.k1, 0 AS k2, c.line FROM ttopics, LATERAL (SELECT unnest(["
+             f"{{'sec': 0, 'k1': 0, 'line': '---' || {nl} || {fm} || {nl} || '---' || {nl}}}, "
+             f"{{'sec': 0, 'k1': 1, 'line': '# MOC: ' || name || {nl}}}, "
+             f"{{'sec': 0, 'k1': 2, 'line': '> ' || CAST(size AS VARCHAR) || ' 篇文章 | 生成于 {as_of}' || {nl}}}, "
+             f"{{'sec': 0, 'k1': 3, 'line': '## 主题标签' || {nl}}}, "
+             f"{{'sec': 0, 'k1': 4, 'line': array_to_string(list_transform({core}, lambda t: '#' || t), ' ')}}, "
+             f"{{'sec': 0, 'k1': 5, 'line': ''}}, "
+             f"{{'sec': 0, 'k1': 6, 'line': '## 文章列表' || {nl}}}, "
+             f"{{'sec': 2, 'k1': 0, 'line': ''}}]) AS c)")
+    rows = (f"SELECT 'MOC-' || {D.topic_slug('t.name')} || '.md' AS page, 1 AS sec, -m.relevance AS k1, m.ord AS k2, "
+            f"{_d_member_line()} AS line FROM tmembers m JOIN ttopics t USING (topic_order)")
+    return (f"SELECT page, CAST(sec AS INTEGER) AS sec, CAST(k1 AS BIGINT) AS k1, CAST(k2 AS BIGINT) AS k2, line "
+            f"FROM ({fixed} UNION ALL {rows})")
+
+
+@register("topic_page", D.with_ctes("doc_tags", extra=[("notes", _D_NOTES)]).replace("WITH ", "WITH RECURSIVE ", 1)
+          + _d_greedy() + _d_pages(AS_OF))
+def q_topic_page(spark, sf):
+    topics, members = _tag_topic_result(spark, sf)
+    return MP.topic_pages(topics, members, AS_OF).select(
+        "page", F.col("sec").cast("int").alias("sec"), "k1", "k2", "line")
+
+
+def _d_index(as_of: str) -> str:
+    nl = "chr(10)"
+    link = f"'[[MOC-' || {D.topic_slug('name')} || '|' || name || ']]'"
+    fm = (f"concat_ws(chr(10), 'auto_generated: true', 'generated: ' || {D.yaml_quoted(D.lit(as_of))}, "
+          f"'title: \"知识地图总览\"', 'topic_count: ' || CAST(n AS VARCHAR), 'total_articles: ' || CAST(total AS VARCHAR), "
+          f"'type: \"moc-index\"')")
+    totals = "SELECT count(*) AS n, coalesce(sum(size), 0) AS total FROM ttopics"
+    head = (f"SELECT 0 AS sec, c.k1, 0 AS k2, c.line FROM ({totals}), LATERAL (SELECT unnest(["
+            f"{{'k1': 0, 'line': '---' || {nl} || {fm} || {nl} || '---' || {nl}}}, "
+            f"{{'k1': 1, 'line': '# 知识地图总览' || {nl}}}, "
+            f"{{'k1': 2, 'line': '> ' || CAST(n AS VARCHAR) || ' 个主题 | ' || CAST(total AS VARCHAR) || ' 篇文章 | 更新于 {as_of}' || {nl}}}, "
+            f"{{'k1': 3, 'line': '## 主题概览' || {nl}}}, {{'k1': 4, 'line': '| 主题 | 文章数 | 核心标签 |'}}, "
+            f"{{'k1': 5, 'line': '|------|--------|----------|'}}]) AS c)")
+    table = (f"SELECT 1, topic_order, 0, '| ' || {link} || ' | ' || CAST(size AS VARCHAR) || ' | ' || "
+             f"array_to_string(list_transform(list_slice([name], 1, 3), lambda t: '#' || t), ', ') || ' |' FROM ttopics")
+    gap = "SELECT 2, 0, 0, ''"
+    sec_head = f"SELECT 3, topic_order, 0, '## ' || {link} || {nl} FROM ttopics"
+    more = (f"SELECT 3, topic_order, 6, '- *...还有 ' || CAST(size - 5 AS VARCHAR) || ' 篇文章*' FROM ttopics "
+            f"WHERE size > 5")
+    blank = "SELECT 3, topic_order, 7, '' FROM ttopics"
+    top = (f"SELECT 3, topic_order, rk, '- ' || {D.wikilink('path', 'title')} FROM (SELECT *, row_number() OVER "
+           f"(PARTITION BY topic_order ORDER BY relevance DESC, ord) AS rk FROM tmembers) WHERE rk <= 5")
+    return (f"SELECT CAST(sec AS INTEGER) AS sec, CAST(k1 AS BIGINT) AS k1, CAST(k2 AS BIGINT) AS k2, line FROM ("
+            f"{head} UNION ALL {table} UNION ALL {gap} UNION ALL {sec_head} UNION ALL {more} UNION ALL {blank} "
+            f"UNION ALL {top})")
+
+
+@register("topic_index", D.with_ctes("doc_tags", extra=[("notes", _D_NOTES)]).replace("WITH ", "WITH RECURSIVE ", 1)
+          + _d_greedy() + _d_index(AS_OF))
+def q_topic_index(spark, sf):
+    topics, members = _tag_topic_result(spark, sf)
+    return MP.topic_index(topics, members, AS_OF).select(F.col("sec").cast("int").alias("sec"), "k1", "k2", "line")
+
+
+@register("embedding_text", D.with_ctes("doc_tags", extra=[("notes", _D_NOTES)]) + """
+SELECT n.ord, CASE WHEN length(concat_ws(' | ', CASE WHEN len(n.tags) > 0 THEN 'Tags: ' || array_to_string(n.tags, ', ') END,
+         CASE WHEN length(d.text) > 0 THEN substr(d.text, 1, 300) END)) > 0
+       THEN concat_ws(' | ', CASE WHEN len(n.tags) > 0 THEN 'Tags: ' || array_to_string(n.tags, ', ') END,
+         CASE WHEN length(d.text) > 0 THEN substr(d.text, 1, 300) END) ELSE n.title END AS text
+FROM notes n JOIN documents d ON d.doc_id = n.ord
+""")
+def q_embedding_text(spark, sf):
+    notes = _tag_notes(spark, sf).join(_docs(spark, sf).select(F.col("doc_id").alias("ord"), "text"), "ord")
+    return notes.select("ord", TP.embedding_text("tags", "text", "title").alias("text"))
