@@ -843,3 +843,58 @@ FROM notes n JOIN documents d ON d.doc_id = n.ord
 def q_embedding_text(spark, sf):
     notes = _tag_notes(spark, sf).join(_docs(spark, sf).select(F.col("doc_id").alias("ord"), "text"), "ord")
     return notes.select("ord", TP.embedding_text("tags", "text", "title").alias("text"))
+
+
+# ---- density clustering (J6 X1 C1 C2 C3 M4) -----------------------------------
+
+from notesmith.operators import density as DN  # noqa: E402
+
+MIN_SAMPLES = 2
+MIN_CLUSTER = 3
+CUT_QUANTILE = 0.5
+
+_D_VEC = "SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings"
+_D_PAIRS = (f"SELECT a.vec_id AS a, b.vec_id AS b, list_distance(a.e, b.e) AS dist "
+            f"FROM ({_D_VEC}) a JOIN ({_D_VEC}) b ON a.vec_id <> b.vec_id")
+_D_CORE = (f"SELECT a AS vec_id, dist AS core FROM (SELECT a, dist, row_number() OVER (PARTITION BY a ORDER BY dist) AS rn "
+           f"FROM ({_D_PAIRS})) WHERE rn = {MIN_SAMPLES}")
+_D_CUT = f"SELECT quantile_disc(core, {CUT_QUANTILE}) AS cut FROM ({_D_CORE})"
+_D_REACH = (f"SELECT p.a, p.b, greatest(p.dist, ca.core, cb.core) AS weight FROM ({_D_PAIRS}) p "
+            f"JOIN ({_D_CORE}) ca ON ca.vec_id = p.a JOIN ({_D_CORE}) cb ON cb.vec_id = p.b "
+            f"WHERE p.a < p.b AND greatest(p.dist, ca.core, cb.core) <= (SELECT cut FROM ({_D_CUT}))")
+
+
+def _vectors(spark, sf) -> DataFrame:
+    return load_table(spark, sf, "embeddings").select("vec_id", "embedding")
+
+
+@register("core_distance", f"""
+SELECT vec_id, round(core, 6) AS core_distance FROM ({_D_CORE})
+""")
+def q_core_distance(spark, sf):
+    c = DN.core_distances(_vectors(spark, sf), MIN_SAMPLES)
+    return c.select("vec_id", F.round("core", 6).alias("core_distance"))
+
+
+@register("reach_edges", f"""
+SELECT a, b, round(weight, 6) AS weight FROM ({_D_REACH})
+""")
+def q_reach_edges(spark, sf):
+    pts = _vectors(spark, sf)
+    core = DN.core_distances(pts, MIN_SAMPLES)
+    cut = DN.exact_quantile(core, "core", CUT_QUANTILE)
+    return DN.reach_edges(pts, core, cut).select("a", "b", F.round("weight", 6).alias("weight"))
+
+
+@register("density_components", f"""
+WITH RECURSIVE edges AS ({_D_REACH}),
+und AS (SELECT a AS s, b AS d FROM edges UNION SELECT b, a FROM edges),
+reach(s, d) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.s, u.d FROM reach r JOIN und u ON u.s = r.d),
+comp AS (SELECT s AS vec_id, min(d) AS comp FROM reach GROUP BY s),
+sizes AS (SELECT comp, count(*) AS size FROM comp GROUP BY comp)
+SELECT c.vec_id, CASE WHEN s.size >= {MIN_CLUSTER} THEN c.comp ELSE -1 END AS label
+FROM comp c JOIN sizes s USING (comp)
+""")
+def q_density_components(spark, sf):
+    lab, _ = DN.fixed_cut_labels(_vectors(spark, sf), MIN_SAMPLES, MIN_CLUSTER, CUT_QUANTILE)
+    return lab.select("vec_id", "label")
