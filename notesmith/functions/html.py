@@ -58,7 +58,7 @@ def decode_numeric_entities(c) -> Column:
     ents = F.array_distinct(F.regexp_extract_all(c, F.lit(r"&#(\d+);"), 1))
 
     def step(acc: Column, n: Column) -> Column:
-        cp = n.cast("int")
+        cp = n.try_cast("int")
         ch = F.decode(F.unhex(F.lpad(F.hex(cp), 8, "0")), "UTF-32")
         return F.when(cp.isNull() | (cp > 0x10FFFF), acc).otherwise(F.replace(acc, F.concat(F.lit("&#"), n, F.lit(";")), ch))
 

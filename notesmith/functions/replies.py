@@ -58,7 +58,7 @@ def score_number(sv) -> Column:
     sv = col(sv)
     t = F.schema_of_variant(sv)
     as_str = F.try_variant_get(sv, "$", "string")
-    from_str = F.when(as_str.rlike(f"^{WS}*[+-]?[0-9]+{WS}*$"), py_strip(as_str).cast("bigint"))
+    from_str = F.when(as_str.rlike(f"^{WS}*[+-]?[0-9]+{WS}*$"), py_strip(as_str).try_cast("bigint"))
     return (F.when(t == "STRING", from_str)
             .when((t == "VOID") | t.startswith("ARRAY") | t.startswith("OBJECT"), F.lit(None))
             .otherwise(F.try_variant_get(sv, "$", "bigint")))

@@ -27,6 +27,14 @@ from notesmith.session import cut_lineage
 BLOCK_SIZE = 2048
 
 
+def _log(msg: str) -> None:
+    import os
+    if os.environ.get("NOTESMITH_DEBUG"):
+        import sys
+        import time
+        print(f"[{time.strftime('%H:%M:%S')}] {msg}", file=sys.stderr, flush=True)
+
+
 def euclidean(a, b) -> Column:
     """O-X1 as a column expression (for pairs that are already joined)."""
     sq = F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0).cast("double"),
@@ -146,6 +154,7 @@ def components(nodes: DataFrame, edges: DataFrame, id_col: str = "vec_id", check
     und = cut_lineage(und)
     lab = nodes.select(F.col(id_col).alias("v"), F.col(id_col).alias("comp"))
     for i in range(max_rounds):
+        _log(f"components: round {i}")
         nbr = und.join(lab.withColumnRenamed("v", "dst"), "dst").groupBy("src").agg(F.min("comp").alias("m"))
         new = lab.join(nbr.withColumnRenamed("src", "v"), "v", "left").select(
             "v", F.least("comp", F.coalesce("m", "comp")).alias("comp"))
@@ -174,3 +183,214 @@ def fixed_cut_labels(points: DataFrame, min_samples: int = 2, min_cluster_size:
     lab = comp.join(sizes, "comp").select(
         id_col, F.when(F.col("size") >= min_cluster_size, F.col("comp")).otherwise(F.lit(-1)).alias("label"))
     return lab, cut
+
+
+# ---- O-C3: hierarchy ----------------------------------------------------------
+
+def _nearest_other_component(pts: DataFrame, id_col: str, vec_col: str, block_size: int) -> DataFrame:
+    """(id, w, other) per point: the mutual-reachability-nearest point in another component,
+    ties broken by the other point's id (the same order as (w, min id, max id) per point)."""
+    blocked, b = _with_blocks(pts, id_col, block_size)
+    groups = _pair_groups(blocked, b)
+
+    def per_pair(pdf: pd.DataFrame) -> pd.DataFrame:
+        b1, b2 = int(pdf["_b1"].iat[0]), int(pdf["_b2"].iat[0])
+        left, right = pdf[pdf["_blk"] == b1], pdf[pdf["_blk"] == b2]
+        d = _dist_matrix(_stack(left[vec_col]), _stack(right[vec_col]))
+        w = np.maximum(d, np.maximum(left["core"].to_numpy()[:, None], right["core"].to_numpy()[None, :]))
+        outs = []
+        sides = ((left, right, w), (right, left, w.T)) if b1 != b2 else ((left, right, w),)
+        for a, o, m in sides:
+            m = np.where(a["comp"].to_numpy()[:, None] == o["comp"].to_numpy()[None, :], np.inf, m)
+            if m.shape[1] == 0:
+                continue
+            oid = o[id_col].to_numpy()
+            order = np.lexsort((np.broadcast_to(oid[None, :], m.shape), m), axis=1)[:, 0]
+            best = m[np.arange(m.shape[0]), order]
+            keep = np.isfinite(best)
+            outs.append(pd.DataFrame({id_col: a[id_col].to_numpy()[keep], "w": best[keep], "other": oid[order][keep]}))
+        if not outs:
+            return pd.DataFrame({id_col: pd.Series([], dtype="int64"), "w": pd.Series([], dtype="float64"),
+                                 "other": pd.Series([], dtype="int64")})
+        return pd.concat(outs, ignore_index=True)
+
+    cand = groups.groupBy("_b1", "_b2").applyInPandas(per_pair, f"{id_col} long, w double, other long")
+    return cand.groupBy(id_col).agg(F.min(F.struct("w", "other")).alias("_m")).select(
+        id_col, F.col("_m.w").alias("w"), F.col("_m.other").alias("other"))
+
+
+def mutual_reachability_mst(points: DataFrame, core: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
+                            block_size: int = BLOCK_SIZE, max_rounds: int = 64) -> DataFrame:
+    """Minimum spanning tree (a, b, weight) of the mutual-reachability graph by Boruvka rounds:
+    every component takes its lightest outgoing edge under the strict order (w, a, b); the number
+    of components at least halves per round."""
+    pts = cut_lineage(points.select(id_col, vec_col).join(core, id_col).withColumn("comp", F.col(id_col)))
+    mst = None
+    for _ in range(max_rounds):
+        best = _nearest_other_component(pts, id_col, vec_col, block_size)
+        if best.limit(1).count() == 0:
+            break
+        e = best.join(pts.select(id_col, "comp"), id_col).select(
+            "comp", F.struct("w", F.least(id_col, "other").alias("a"), F.greatest(id_col, "other").alias("b")).alias("e"))
+        chosen = e.groupBy("comp").agg(F.min("e").alias("e")).select("e.w", "e.a", "e.b").distinct()
+        chosen = cut_lineage(chosen.select("a", "b", F.col("w").alias("weight")))
+        mst = chosen if mst is None else cut_lineage(mst.unionByName(chosen).distinct())
+        # Merge: components over the chosen edges, expressed on component ids.
+        cmap = pts.select(F.col(id_col).alias("v"), "comp")
+        ce = (chosen.join(cmap.withColumnRenamed("v", "a").withColumnRenamed("comp", "ca"), "a")
+              .join(cmap.withColumnRenamed("v", "b").withColumnRenamed("comp", "cb"), "b")
+              .select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+        cc = components(pts.select(F.col("comp").alias("cid")).distinct(), ce, "cid")
+        pts = cut_lineage(pts.join(cc.select(F.col("cid").alias("comp"), F.col("comp").alias("nc")), "comp")
+                          .drop("comp").withColumnRenamed("nc", "comp"))
+        if pts.select("comp").distinct().limit(2).count() < 2:
+            break
+    return mst
+
+
+def _levels(mst: DataFrame, max_levels: int) -> list[float]:
+    """Distance levels, high to low: all distinct edge weights when few, else quantiles (approximate)."""
+    distinct = mst.select("weight").distinct()
+    if distinct.limit(max_levels + 1).count() <= max_levels:
+        return sorted((r[0] for r in distinct.collect()), reverse=True)
+    qs = [i / (max_levels - 1) for i in range(max_levels)]
+    vals = mst.agg(F.percentile_approx("weight", qs, 100_000).alias("q")).first()["q"]
+    lo = mst.agg(F.min("weight")).first()[0]
+    return sorted(set(vals) | {lo}, reverse=True)
+
+
+def hierarchy_labels(points: DataFrame, min_samples: int = 2, min_cluster_size: int = 3,
+                     id_col: str = "vec_id", vec_col: str = "embedding", block_size: int = BLOCK_SIZE,
+                     max_levels: int = 48) -> DataFrame:
+    """O-C3: (id, label) of the most stable non-overlapping clusters; noise -1.
+
+    Level 0 keeps every tree edge; level i keeps edges lighter than the i-th distance level (so level
+    i is reached at lambda = 1 / level_i). A component of at least ``min_cluster_size`` points whose
+    parent has exactly one such child continues the parent's cluster; two or more such children start
+    new clusters. Stability of a cluster = sum over its points of (lambda when the point leaves it -
+    lambda at the cluster's birth); clusters are chosen bottom-up when their own stability is at least
+    the best total of their children; the root is never chosen. Labels are the smallest point id of
+    the chosen cluster. With all distinct weights as levels this is the published method up to ties;
+    above ``max_levels`` distinct weights the levels are quantiles (approximate)."""
+    spark = points.sparkSession
+    _log("hierarchy: core distances")
+    core = cut_lineage(core_distances(points, min_samples, id_col, vec_col, block_size))
+    n_pts = points.count()
+    if n_pts < max(min_cluster_size, 2):
+        return points.select(id_col, F.lit(-1).alias("label"))
+    _log("hierarchy: spanning tree")
+    mst = mutual_reachability_mst(points, core, id_col, vec_col, block_size)
+    levels = _levels(mst, max_levels)
+    _log(f"hierarchy: {len(levels)} levels")
+    m = len(levels)
+    base = int(points.agg(F.max(id_col)).first()[0]) + 1
+    lam = spark.createDataFrame([(0, 0.0)] + [(i + 1, (1.0 / t) if t > 0 else float("inf")) for i, t in enumerate(levels)],
+                                "lvl int, lam double")
+    lvl_arr = F.array(*[F.lit(float(t)) for t in levels])
+    # Edge e is present at levels 0..j where j = number of levels above its weight.
+    j = F.size(F.filter(lvl_arr, lambda t: t > F.col("weight")))
+    le = mst.select("a", "b", F.explode(F.sequence(F.lit(0), j)).alias("lvl"))
+    le = le.select((F.col("lvl").cast("long") * base + F.col("a")).alias("a"),
+                   (F.col("lvl").cast("long") * base + F.col("b")).alias("b"))
+    nodes = points.select(F.explode(F.sequence(F.lit(0), F.lit(m))).alias("lvl"), id_col).select(
+        (F.col("lvl").cast("long") * base + F.col(id_col)).alias("node"))
+    _log("hierarchy: components per level")
+    comp = cut_lineage(components(nodes, le, "node").select(
+        (F.col("node") / base).cast("int").alias("lvl"), (F.col("node") % base).alias("v"), "comp"))
+    size = comp.groupBy("comp").agg(F.count(F.lit(1)).alias("size"))
+    par = comp.select((F.col("lvl") + 1).alias("lvl"), "v", F.col("comp").alias("parent"))
+    k = (comp.join(par, ["lvl", "v"], "left").groupBy("lvl", "comp").agg(F.first("parent").alias("parent"))
+         .join(size, "comp"))
+    big = k.where(F.col("size") >= min_cluster_size)
+    nb = big.where(F.col("lvl") > 0).groupBy(F.col("parent").alias("comp")).agg(F.count(F.lit(1)).alias("nb"))
+    par_nb = nb.select(F.col("comp").alias("parent"), "nb")
+    big = big.join(par_nb, "parent", "left")
+    is_new = (F.col("lvl") == 0) | (F.coalesce(F.col("nb"), F.lit(0)) >= 2)
+    ptr = cut_lineage(big.select("comp", "lvl", F.when(is_new, F.col("comp")).otherwise(F.col("parent")).alias("ptr"),
+                                 is_new.alias("is_new"), "parent"))
+    for _ in range(max(1, math.ceil(math.log2(m + 2)) + 1)):  # pointer jumping along continuation chains
+        nxt = ptr.select(F.col("comp").alias("ptr"), F.col("ptr").alias("ptr2"))
+        ptr = cut_lineage(ptr.join(nxt, "ptr", "left").withColumn("ptr", F.coalesce("ptr2", "ptr")).drop("ptr2"))
+    cl = ptr.select("comp", F.col("ptr").alias("cluster"))
+    births = ptr.where("is_new").select(F.col("comp").alias("cluster"), F.col("lvl").alias("birth"), "parent")
+    births = births.join(lam.withColumnRenamed("lvl", "birth").withColumnRenamed("lam", "birth_lam"), "birth")
+    pc = comp.join(cl, "comp", "inner")  # (lvl, v, comp, cluster) for big components
+    last = pc.groupBy("v", "cluster").agg(F.max("lvl").alias("last"))
+    last = last.join(lam.select((F.col("lvl") - 1).alias("last"), F.col("lam").alias("leave_lam")), "last")
+    stab = last.join(births, "cluster").groupBy("cluster").agg(
+        F.sum(F.col("leave_lam") - F.col("birth_lam")).alias("stab"))
+    tree = births.join(stab, "cluster").join(cl.withColumnRenamed("comp", "parent")
+                                             .withColumnRenamed("cluster", "parent_cluster"), "parent", "left")
+    tree = cut_lineage(tree.select("cluster", "birth", "stab", "parent_cluster"))
+    _log("hierarchy: cluster choice")
+    final = _choose_clusters(tree)
+    lab = pc.join(final.select("cluster"), "cluster", "inner").select(F.col("v").alias(id_col), "cluster").distinct()
+    lab = lab.groupBy(id_col).agg(F.min("cluster").alias("cluster"))
+    named = lab.join(births.select("cluster", (F.col("cluster") % base).alias("label")), "cluster")
+    return points.select(id_col).join(named.select(id_col, "label"), id_col, "left").select(
+        id_col, F.coalesce(F.col("label"), F.lit(-1)).cast("long").alias("label"))
+
+
+TREE_LOCAL_MAX = 200_000
+
+
+def _choose_clusters(tree: DataFrame) -> DataFrame:
+    """Excess-of-mass choice over the cluster tree (cluster, birth, stab, parent_cluster): bottom-up
+    keep a cluster when its stability is at least its children's best total, then drop chosen
+    clusters below a chosen ancestor; the root (birth 0) is never chosen.
+
+    The tree has one row per cluster (at most 2n / min_cluster_size). Below ``TREE_LOCAL_MAX`` rows
+    (checked) it is decided in one small driver step; above, level by level with checkpoints."""
+    spark = tree.sparkSession
+    if tree.limit(TREE_LOCAL_MAX + 1).count() <= TREE_LOCAL_MAX:
+        rows = tree.collect()
+        kids: dict = {}
+        for r in rows:
+            kids.setdefault(r["parent_cluster"], []).append(r["cluster"])
+        info = {r["cluster"]: r for r in rows}
+        best: dict = {}
+        sel: dict = {}
+        for r in sorted(rows, key=lambda x: -x["birth"]):
+            ch = kids.get(r["cluster"], [])
+            csum = sum(best[c] for c in ch)
+            sel[r["cluster"]] = (not ch) or r["stab"] >= csum
+            best[r["cluster"]] = r["stab"] if sel[r["cluster"]] else csum
+        final = []
+        for r in sorted(rows, key=lambda x: x["birth"]):
+            c, anc = r["cluster"], False
+            p = r["parent_cluster"]
+            while p is not None and p in info:
+                if info[p]["birth"] > 0 and sel.get(p):
+                    anc = True
+                    break
+                p = info[p]["parent_cluster"]
+            if r["birth"] > 0 and sel[c] and not anc:
+                final.append((c,))
+        return spark.createDataFrame(final, "cluster long")
+    best = None
+    for b_lvl in sorted((r[0] for r in tree.select("birth").distinct().collect()), reverse=True):
+        here = tree.where(F.col("birth") == b_lvl)
+        if best is None:
+            child = here.select("cluster", F.lit(0.0).alias("csum"), F.lit(0).alias("nkids"))
+        else:
+            ks = best.groupBy(F.col("parent_cluster").alias("cluster")).agg(F.sum("best").alias("csum"),
+                                                                          F.count(F.lit(1)).alias("nkids"))
+            child = here.select("cluster").join(ks, "cluster", "left")
+        here = here.join(child, "cluster", "left")
+        sel_c = (F.coalesce(F.col("nkids"), F.lit(0)) == 0) | (F.col("stab") >= F.col("csum"))
+        here = here.select("cluster", "birth", "parent_cluster", sel_c.alias("sel"),
+                           F.when(sel_c, F.col("stab")).otherwise(F.col("csum")).alias("best"))
+        best = cut_lineage(here if best is None else best.unionByName(here))
+    flags = None
+    for b_lvl in sorted(r[0] for r in best.select("birth").distinct().collect()):
+        here = best.where(F.col("birth") == b_lvl).select("cluster", "parent_cluster", "sel")
+        if flags is None:
+            here = here.withColumn("anc", F.lit(False))
+        else:
+            up = flags.select(F.col("cluster").alias("parent_cluster"), F.col("blk").alias("anc"))
+            here = here.join(up, "parent_cluster", "left").withColumn("anc", F.coalesce("anc", F.lit(False)))
+        chosen_here = F.col("sel") & F.lit(b_lvl > 0)
+        here = here.select("cluster", (F.col("anc") | chosen_here).alias("blk"),
+                           (chosen_here & ~F.col("anc")).alias("final"))
+        flags = cut_lineage(here if flags is None else flags.unionByName(here))
+    return flags.where("final").select("cluster")

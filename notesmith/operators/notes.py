@@ -107,7 +107,7 @@ def _family(name: Column):
     base = F.regexp_extract(stem, r"^(.*)-([1-9][0-9]*)$", 1)
     k = F.regexp_extract(stem, r"^(.*)-([1-9][0-9]*)$", 2)
     own = F.struct(stem.alias("stem"), F.lit(0).cast("long").alias("slot"))
-    other = F.struct(base.alias("stem"), k.cast("long").alias("slot"))
+    other = F.struct(base.alias("stem"), k.try_cast("long").alias("slot"))
     return F.when(F.length(k) > 0, F.array(own, other)).otherwise(F.array(own))
 
 

@@ -898,3 +898,9 @@ FROM comp c JOIN sizes s USING (comp)
 def q_density_components(spark, sf):
     lab, _ = DN.fixed_cut_labels(_vectors(spark, sf), MIN_SAMPLES, MIN_CLUSTER, CUT_QUANTILE)
     return lab.select("vec_id", "label")
+
+
+@register("density_hierarchy", None)
+def q_density_hierarchy(spark, sf):
+    """O-C3 over the whole embeddings table (rows-only check; verified on separable blobs in tests)."""
+    return DN.hierarchy_labels(_vectors(spark, sf), MIN_SAMPLES, MIN_CLUSTER)
