@@ -904,3 +904,96 @@ def q_density_components(spark, sf):
 def q_density_hierarchy(spark, sf):
     """O-C3 over the whole embeddings table (rows-only check; verified on separable blobs in tests)."""
     return DN.hierarchy_labels(_vectors(spark, sf), MIN_SAMPLES, MIN_CLUSTER)
+
+
+# ---- prompts, row filters, batch inference (M1 M2 P7 P8 P9) -------------------
+
+from notesmith.operators import inference as INF  # noqa: E402
+
+MAX_TOKENS = 1000
+
+
+def _d_tag_text(tags: str) -> str:
+    return f"CASE WHEN len(coalesce({tags}, CAST([] AS VARCHAR[]))) > 0 THEN array_to_string({tags}, ', ') ELSE 'none' END"
+
+
+def _d_prompts() -> str:
+    nl = "chr(10)"
+    c = "coalesce(content_raw, '')"
+    l1 = (f"'Title: ' || title || {nl} || 'Source: ' || coalesce(source_name, '') || {nl} || 'Content (first 2000 chars):' "
+          f"|| {nl} || CASE WHEN length({c}) > 0 THEN substr({c}, 1, 2000) ELSE title END || {nl}")
+    l2 = (f"'Title: ' || title || {nl} || 'Tags: ' || {_d_tag_text('tags')} || {nl} || 'Content:' || {nl} || "
+          f"CASE WHEN content_tier = 'detailed' THEN {D.truncate_with_marker(c, 2 * MAX_TOKENS)} "
+          f"ELSE {D.truncate_with_marker(c, 3 * MAX_TOKENS)} END || {nl}")
+    s = "coalesce(content_summary, '')"
+    l3 = (f"'Title: ' || title || {nl} || 'Tags: ' || {_d_tag_text('tags')} || {nl} || 'Summary: ' || "
+          f"CASE WHEN length({s}) > 0 THEN substr({s}, 1, 500) ELSE 'N/A' END || {nl} || {nl} || 'Content:' || {nl} || "
+          f"{D.truncate_with_marker(c, 2 * MAX_TOKENS, chr(10) + '[...truncated for analysis]')} || {nl}")
+    return f"SELECT doc_id, {l1} AS l1_prompt, {l2} AS l2_prompt, {l3} AS l3_prompt FROM ({_D_RL2})"
+
+
+@register("prompt_build", _RENDER_CTES + _d_prompts())
+def q_prompt_build(spark, sf):
+    l1 = L.assign_tiers(L.apply_l1(_render_base(spark, sf), derived(spark, sf, "responses_l1"), key="doc_id"))
+    l2 = L.apply_l2(L.tier_filter(l1), derived(spark, sf, "responses_l2"), key="doc_id")
+    return l2.select("doc_id", INF.l1_prompt().alias("l1_prompt"), INF.l2_prompt(MAX_TOKENS).alias("l2_prompt"),
+                     INF.l3_prompt(MAX_TOKENS).alias("l3_prompt"))
+
+
+@register("row_filters", D.with_ctes("repos", "messages_flat", "docs_export") + f"""
+SELECT 'repo_not_fork' AS filter, CAST(count(*) AS BIGINT) AS n_in,
+       CAST(count(*) FILTER (WHERE NOT coalesce(fork, false)) AS BIGINT) AS n_kept FROM repos
+UNION ALL SELECT 'repo_has_content', CAST(count(*) FILTER (WHERE NOT coalesce(fork, false)) AS BIGINT),
+       CAST(count(*) FILTER (WHERE NOT coalesce(fork, false) AND (length(coalesce(readme, '')) > 0
+            OR length(coalesce(description, '')) > 0)) AS BIGINT) FROM repos
+UNION ALL SELECT 'message_has_body', CAST(count(*) AS BIGINT),
+       CAST(count(*) FILTER (WHERE length({D.strip(D.message_body())}) > 0) AS BIGINT) FROM messages_flat
+UNION ALL SELECT 'doc_has_id_and_content', CAST(count(*) AS BIGINT),
+       CAST(count(*) FILTER (WHERE {D.doc_id_from_url('url')} IS NOT NULL AND length(content) > 0) AS BIGINT) FROM docs_export
+UNION ALL SELECT 'page_has_text', CAST(count(*) AS BIGINT),
+       CAST(count(*) FILTER (WHERE length({D.html_to_text('html')}) > 0) AS BIGINT) FROM pages
+""")
+def q_row_filters(spark, sf):
+    """O-P7/P8/P9 kept counts: one pass per input table, counts as conditional sums."""
+    from notesmith.functions.common import py_strip
+    r = derived(spark, sf, "repos")
+    not_fork = ~F.coalesce(F.col("fork"), F.lit(False))
+    has = (F.length(F.coalesce("readme", F.lit(""))) > 0) | (F.length(F.coalesce("description", F.lit(""))) > 0)
+
+    def cnt(c):
+        return F.sum(c.cast("long")).cast("bigint")
+
+    repos = r.agg(cnt(F.lit(True)).alias("a"), cnt(not_fork).alias("b"), cnt(not_fork & has).alias("c"))
+    out = repos.select(F.lit("repo_not_fork").alias("filter"), F.col("a").alias("n_in"), F.col("b").alias("n_kept")) \
+        .unionByName(repos.select(F.lit("repo_has_content").alias("filter"), F.col("b").alias("n_in"),
+                                  F.col("c").alias("n_kept")))
+    m = A.messages_from_flat(derived(spark, sf, "messages_flat"))
+    out = out.unionByName(m.agg(cnt(F.lit(True)).alias("n_in"), cnt(F.length(py_strip(T.body_choice("parts"))) > 0)
+                                .alias("n_kept")).select(F.lit("message_has_body").alias("filter"), "n_in", "n_kept"))
+    d = derived(spark, sf, "docs_export")
+    out = out.unionByName(d.agg(cnt(F.lit(True)).alias("n_in"), cnt(U.doc_id_from_url("url").isNotNull()
+                                                                  & (F.length("content") > 0)).alias("n_kept"))
+                          .select(F.lit("doc_has_id_and_content").alias("filter"), "n_in", "n_kept"))
+    p = _pages(spark, sf)
+    out = out.unionByName(p.agg(cnt(F.lit(True)).alias("n_in"), cnt(F.length(H.html_to_text("html")) > 0)
+                                .alias("n_kept")).select(F.lit("page_has_text").alias("filter"), "n_in", "n_kept"))
+    return out
+
+
+def offline_scorer(prompts: list[str]) -> list[str]:
+    """A deterministic stand-in for the L1 model (no network): scores by prompt length."""
+    out = []
+    for p in prompts:
+        words = len(p.split())
+        out.append('{"relevance_score": %d, "tags": ["w%d"], "language": "xx"}' % (1 + words % 10, words % 3))
+    return out
+
+
+@register("batch_inference", None)
+def q_batch_inference(spark, sf):
+    """O-M1 end to end over all documents: prompt columns -> Arrow batches -> callable -> native parse."""
+    base = _render_base(spark, sf)
+    prompts = base.select("doc_id", INF.l1_prompt().alias("prompt"))
+    replies = INF.call_model(prompts, offline_scorer, key="doc_id", level="l1")
+    scored = L.assign_tiers(L.apply_l1(base, replies, key="doc_id"))
+    return scored.select("doc_id", "relevance_score", "content_tier", F.array_join("tags", ",").alias("tags"))
