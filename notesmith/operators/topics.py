@@ -89,8 +89,7 @@ def assemble_topics(notes: DataFrame, labels: DataFrame, min_notes: int = 2) ->
     return t.select("topic_id", "name", "size", "core_tags", "topic_order"), members
 
 
-def greedy_tag_topics(notes: DataFrame, min_size: int = 3, checkpoint_every: int = 3,
-                      max_rounds: int = 10_000) -> tuple[DataFrame, DataFrame]:
+def greedy_tag_topics(notes: DataFrame, min_size: int = 3, max_rounds: int = 10_000) -> tuple[DataFrame, DataFrame]:
     """O-C4, exact: tags by (count desc, first appearance); each, in turn, takes its still-free notes if
     at least ``min_size`` remain.
 
@@ -125,10 +124,7 @@ def greedy_tag_topics(notes: DataFrame, min_size: int = 3, checkpoint_every: int
                              .when(F.coalesce(F.col("hi"), F.lit(0)) < min_size, F.lit("rej"))
                              .otherwise(F.lit("und")))
                  .select("tag", "rank", "state"))
-        if (i + 1) % checkpoint_every == 0:
-            state = cut_lineage(state)
-        else:
-            state = state.cache()
+        state = cut_lineage(state)  # one row per tag: a cheap cut that keeps every round's plan small
         if state.where("state = 'und'").limit(1).count() == 0:
             break
     acc = sized_broadcast(state.where("state = 'acc'").select("tag", "rank"))

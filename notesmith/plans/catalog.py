@@ -226,11 +226,15 @@ WHERE b.url_hash NOT IN (SELECT {D.url_hash('url')} FROM seen_pages)
 
 @register("page_dedup_titles", FLAGSHIP_SQL)
 def flagship(spark, sf):
-    """New pages (first per normalised URL, not in the store) with their resolved title."""
-    new = q_url_dedup_seen(spark, sf)
-    pages = _pages(spark, sf).select("page_id", "html", F.col("url").alias("page_url"))
-    return new.join(pages, "page_id").select(
-        "url_hash", "page_id", "url", H.title_chain(F.lit(""), "html", "page_url").alias("title"))
+    """New pages (first per normalised URL, not in the store) with their resolved title.
+
+    The title is a narrow projection computed before the shuffle, so only (url_hash, ord, url, title)
+    moves and the HTML is read once, instead of joining the pages back after dedup."""
+    p = _pages(spark, sf).select(F.col("page_id").alias("ord"), "url",
+                                 H.title_chain(F.lit(""), "html", "url").alias("title"))
+    p = p.withColumn("url_hash", U.url_hash("url"))
+    seen = derived(spark, sf, "seen_pages").select(U.url_hash("url").alias("url_hash"))
+    return dedup.filter_new(p, seen).select("url_hash", F.col("ord").alias("page_id"), "url", "title")
 
 
 # ---- sources (S1..S6 S8 U1 J2 J3 W2 W3 P2 P3 P7 P8 R1 R2 F9 F10 F19 F20 F21 O1 O5) ----
