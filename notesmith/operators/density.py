@@ -99,6 +99,35 @@ def nearest_distances(points: DataFrame, k: int, id_col: str = "vec_id", vec_col
     return top.select(id_col, F.posexplode("_d").alias("rank", "dist")).withColumn("rank", F.col("rank") + 1)
 
 
+def nearest_neighbor(points: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
+                     block_size: int = BLOCK_SIZE) -> DataFrame:
+    """(id, nn): each point's nearest other point (ties by smaller id), from the blocked search."""
+    blocked, b = _with_blocks(points.select(id_col, vec_col), id_col, block_size)
+    groups = _pair_groups(blocked, b)
+
+    def per_pair(pdf: pd.DataFrame) -> pd.DataFrame:
+        b1, b2 = int(pdf["_b1"].iat[0]), int(pdf["_b2"].iat[0])
+        left, right = pdf[pdf["_blk"] == b1], pdf[pdf["_blk"] == b2]
+        d = _dist_matrix(_stack(left[vec_col]), _stack(right[vec_col]))
+        outs = []
+        for a, o, m in (((left, right, d), (right, left, d.T)) if b1 != b2 else ((left, right, d),)):
+            aid, oid = a[id_col].to_numpy(), o[id_col].to_numpy()
+            m = np.where(aid[:, None] == oid[None, :], np.inf, m)
+            if m.shape[1] == 0:
+                continue
+            order = np.lexsort((np.broadcast_to(oid[None, :], m.shape), m), axis=1)[:, 0]
+            best = m[np.arange(m.shape[0]), order]
+            keep = np.isfinite(best)
+            outs.append(pd.DataFrame({id_col: aid[keep], "d": best[keep], "nn": oid[order][keep]}))
+        if not outs:
+            return pd.DataFrame({id_col: pd.Series([], dtype="int64"), "d": pd.Series([], dtype="float64"),
+                                 "nn": pd.Series([], dtype="int64")})
+        return pd.concat(outs, ignore_index=True)
+
+    cand = groups.groupBy("_b1", "_b2").applyInPandas(per_pair, f"{id_col} long, d double, nn long")
+    return cand.groupBy(id_col).agg(F.min(F.struct("d", "nn")).alias("_m")).select(id_col, F.col("_m.nn").alias("nn"))
+
+
 def core_distances(points: DataFrame, min_samples: int = 2, id_col: str = "vec_id", vec_col: str = "embedding",
                    block_size: int = BLOCK_SIZE) -> DataFrame:
     """O-C1: distance to the ``min_samples``-th nearest other point (the point itself not counted)."""

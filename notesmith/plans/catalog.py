@@ -1001,3 +1001,18 @@ def q_batch_inference(spark, sf):
     replies = INF.call_model(prompts, offline_scorer, key="doc_id", level="l1")
     scored = L.assign_tiers(L.apply_l1(base, replies, key="doc_id"))
     return scored.select("doc_id", "relevance_score", "content_tier", F.array_join("tags", ",").alias("tags"))
+
+
+@register("nearest_neighbor", f"""
+SELECT a AS vec_id, b AS nn_id, round(dist, 6) AS dist FROM (
+  SELECT a, b, dist, row_number() OVER (PARTITION BY a ORDER BY dist, b) AS rn FROM ({_D_PAIRS})) WHERE rn = 1
+""")
+def q_nearest_neighbor(spark, sf):
+    """O-J6 + O-X1: nearest other vector per vector (blocked search), distance recomputed with the
+    native column expression on the joined pair."""
+    v = _vectors(spark, sf)
+    nn = DN.nearest_neighbor(v)
+    pair = nn.join(v, "vec_id").join(v.select(F.col("vec_id").alias("nn"), F.col("embedding").alias("e2")), "nn")
+    return pair.select("vec_id", F.col("nn").alias("nn_id"),
+                       F.round(DN.euclidean(F.col("embedding").cast("array<double>"), F.col("e2").cast("array<double>")),
+                               6).alias("dist"))

@@ -10,7 +10,6 @@ O-T2: the same dedup with bounded state, ``dropDuplicatesWithinWatermark`` on ur
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from notesmith.functions.urls import url_hash
@@ -60,4 +59,5 @@ def bounded_dedup(stream: DataFrame, event_time: str = "fetched_at", delay: str
 
 
 def with_fetched_at(df: DataFrame, as_of: str) -> DataFrame:
-    return df.withColumn("fetched_at", F.to_timestamp(F.lit(as_of)))
+    from notesmith.sources.articles import utc_midnight
+    return df.withColumn("fetched_at", utc_midnight(as_of))
