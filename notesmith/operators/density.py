@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from notesmith.session import cut_lineage
+from notesmith.session import cut_lineage, ship_package
 
 BLOCK_SIZE = 2048
 
@@ -52,6 +52,7 @@ def _dist_matrix(x: np.ndarray, y: np.ndarray, chunk: int = 128) -> np.ndarray:
 
 
 def _with_blocks(points: DataFrame, id_col: str, block_size: int) -> tuple[DataFrame, int]:
+    ship_package(points.sparkSession)  # the block-pair functions run in Python workers
     n = points.count()
     b = max(1, math.ceil(n / block_size))
     return points.withColumn("_blk", F.pmod(F.xxhash64(id_col), F.lit(b)).cast("int")), b

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from notesmith.functions.common import col
 from notesmith.functions.text import truncate_with_marker
+from notesmith.session import ship_package
 
 # Retry policy (attempts and waits between them).
 MAX_ATTEMPTS = 3
@@ -78,6 +79,7 @@ def call_model(df: DataFrame, fn: Callable[[list[str]], list[str]], key: str = "
     """(key, level, raw, error) per row. A batch that keeps failing is retried row by row so one bad
     article gets its own error (and its level's fallback) without failing its neighbours."""
     key_type = df.schema[key].dataType.simpleString()
+    ship_package(df.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -111,6 +113,7 @@ def embed(df: DataFrame, fn: Callable[[list[str]], list[list[float]]], key: str
     """(key, embedding) with requests of ``batch_size`` texts whatever the Arrow batch size; a failing
     request gives empty vectors for its texts (the run then falls back to tag topics, O-M4)."""
     key_type = df.schema[key].dataType.simpleString()
+    ship_package(df.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
