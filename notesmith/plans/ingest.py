@@ -26,6 +26,7 @@ class IngestStages:
     l2: DataFrame | None = None
     final: DataFrame | None = None
     rendered: DataFrame | None = None
+    counters: list | None = None  # O-A7 observations, filled when the plan runs
 
 
 def plan_ingest(articles: DataFrame, replies: dict[str, DataFrame] | None, as_of: str, seen: DataFrame | None = None,
@@ -36,13 +37,20 @@ def plan_ingest(articles: DataFrame, replies: dict[str, DataFrame] | None, as_of
     e.g. the output of ``notesmith.operators.inference.call_model``."""
     limited = articles.orderBy(key).limit(limit) if limit else articles  # O-O1, before dedup
     hashed = limited.withColumn("url_hash", url_hash("url"))
+    obs_in, obs_new, obs_l1 = Observation("dedup_in"), Observation("dedup_new"), Observation("l1")
+    hashed = hashed.observe(obs_in, F.count(F.lit(1)).alias("in"))  # O-A7 counters ride along the job
     new = dedup.first_per_key(hashed, "url_hash", key)  # O-W1
     if seen is not None:
         new = dedup.drop_seen(new, seen)  # O-J1
-    st = IngestStages(fetched=articles, limited=limited, new=new)
+    new = new.observe(obs_new, F.count(F.lit(1)).alias("new"))
+    st = IngestStages(fetched=articles, limited=limited, new=new, counters=[obs_in, obs_new])
     if dry_run or replies is None:
         return st
     l1 = levels.assign_tiers(levels.apply_l1(new, replies["l1"], key), discard_max, compressed_max)
+    passed = F.col("relevance_score") > max(0, discard_max)
+    l1 = l1.observe(obs_l1, F.count(F.lit(1)).alias("l1_in"), F.sum(passed.cast("long")).alias("l1_passed"),
+                    F.sum((~passed).cast("long")).alias("l1_discarded"))
+    st.counters.append(obs_l1)
     st.l1_passed = levels.tier_filter(l1, discard_max)
     st.l2 = levels.apply_l2(st.l1_passed, replies["l2"], key)
     st.final = levels.overlay_l3(st.l2, replies["l3"], key, l3_min_score, l3_enabled)
@@ -68,6 +76,9 @@ def write(st: IngestStages, notes_path: str, seen_path: str, as_of: str) -> dict
     obs = Observation("ingest")
     rendered = st.rendered.observe(obs, F.count(F.lit(1)).alias("written"))
     notes.write_notes(rendered, notes_path)
-    dedup.append_seen(st.new, seen_path, as_of)
     stats = {"written": int(obs.get.get("written", 0)), "errors": 0}
+    for o in st.counters or []:
+        stats.update({k: int(v or 0) for k, v in o.get.items()})
+    stats["duplicates"] = stats.get("in", 0) - stats.get("new", 0)
+    dedup.append_seen(st.new, seen_path, as_of)
     return stats

@@ -28,8 +28,11 @@ def test_ingest_funnel_and_write(spark, tmp_path):
     st = C._ingest_stages(spark, SF001)
     funnel = {r["stage"]: r["n"] for r in ingest.funnel_counts(st).collect()}
     assert funnel["fetched"] >= funnel["new"] >= funnel["l1_passed"] == funnel["l2_summarized"] == funnel["written"]
+    st = C._ingest_stages(spark, SF001)  # fresh observations for the write job
     stats = ingest.write(st, str(tmp_path / "notes"), str(tmp_path / "seen"), "2026-05-10")
     assert stats["written"] == funnel["written"]
+    assert stats["new"] == funnel["new"] and stats["l1_passed"] == funnel["l1_passed"]
+    assert stats["l1_in"] == stats["l1_passed"] + stats["l1_discarded"]
     assert spark.read.parquet(str(tmp_path / "seen")).count() == funnel["new"]
     # A second run over the same input finds nothing new.
     seen = spark.read.parquet(str(tmp_path / "seen")).select("url_hash")
