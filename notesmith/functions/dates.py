@@ -9,11 +9,23 @@ from notesmith.functions.common import WS, col, py_strip
 
 RFC_PATTERN = "d MMM yyyy HH:mm:ss Z"
 
+# Zone names of RFC 822 dates and their offsets.
+RFC_ZONES = (("GMT", "+0000"), ("UTC", "+0000"), ("UT", "+0000"), ("Z", "+0000"), ("EST", "-0500"),
+             ("EDT", "-0400"), ("CST", "-0600"), ("CDT", "-0500"), ("MST", "-0700"), ("MDT", "-0600"),
+             ("PST", "-0800"), ("PDT", "-0700"))
 
-def rfc2822_to_timestamp(c) -> Column:
-    """O-D1 / O-D3: 'Tue, 5 May 2026 04:15:00 +0000' (weekday optional) -> timestamp, else null."""
+
+def rfc_normalized(c) -> Column:
+    """Weekday dropped, a trailing zone name replaced by its numeric offset."""
     s = F.regexp_replace(py_strip(col(c)), f"^[A-Za-z]{{3}},{WS}*", "")
-    return F.try_to_timestamp(s, F.lit(RFC_PATTERN))
+    for name, off in RFC_ZONES:
+        s = F.regexp_replace(s, f" {name}$", f" {off}")
+    return s
+
+
+def rfc2822_to_timestamp(c) -> Column:
+    """O-D1 / O-D3: 'Tue, 5 May 2026 04:15:00 +0000' or '... GMT' (weekday optional) -> timestamp, else null."""
+    return F.try_to_timestamp(rfc_normalized(c), F.lit(RFC_PATTERN))
 
 
 def iso_to_timestamp(c) -> Column:

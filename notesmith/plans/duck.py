@@ -216,7 +216,10 @@ def feed_cascade(pt: str, c: str, d: str, s: str) -> str:
 # ---- dates ----------------------------------------------------------------
 
 def rfc_epoch(x: str) -> str:
+    from notesmith.functions.dates import RFC_ZONES
     s = rx_replace(strip(x), f"^[A-Za-z]{{3}},{WS}*", "")
+    for name, off in RFC_ZONES:
+        s = rx_replace(s, f" {name}$", f" {off}")
     return f"CAST(epoch(try_strptime({s}, '%d %b %Y %H:%M:%S %z')) AS BIGINT)"
 
 

@@ -143,3 +143,12 @@ def test_analysis_success_and_failure(spark):
     assert "**A**" in got[0]["content_deep"] and "**前提假设:**" in got[0]["content_deep"]
     assert "**作者立场:** p" in got[0]["content_deep"]
     assert not got[1]["ok"] and not got[2]["ok"]
+
+
+def test_rfc_dates(spark):
+    from notesmith.functions import dates as DT
+    rows = [("Tue, 05 May 2026 04:15:00 +0000",), ("5 May 2026 04:15:00 GMT",), ("Tue, 5 May 2026 00:15:00 EDT",),
+            ("garbage",), ("",)]
+    df = spark.createDataFrame(rows, "s string")
+    got = [r[0] for r in df.select(DT.epoch_seconds(DT.rfc2822_to_timestamp("s"))).collect()]
+    assert got[0] == got[1] == got[2] == 1777954500 and got[3] is None and got[4] is None
