@@ -256,8 +256,8 @@ def mutual_reachability_mst(points: DataFrame, core: DataFrame, id_col: str = "v
     pts = cut_lineage(points.select(id_col, vec_col).join(core, id_col).withColumn("comp", F.col(id_col)))
     mst = None
     for _ in range(max_rounds):
-        best = _nearest_other_component(pts, id_col, vec_col, block_size)
-        if best.limit(1).count() == 0:
+        best = cut_lineage(_nearest_other_component(pts, id_col, vec_col, block_size))  # computed once per round
+        if best.isEmpty():
             break
         e = best.join(pts.select(id_col, "comp"), id_col).select(
             "comp", F.struct("w", F.least(id_col, "other").alias("a"), F.greatest(id_col, "other").alias("b")).alias("e"))

@@ -61,9 +61,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss), never a local one."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage with a table written to the shared checkpoint folder and read back.
+
+    Survives executor loss like ``checkpoint()`` (never a local checkpoint), and the planner sees the
+    written files' real size. A ``checkpoint()`` keeps the estimate of the plan it replaced, and in
+    iterative self-joins (pointer jumping) that estimate is squared every round until planning stalls."""
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 _SHIPPED: set[str] = set()
