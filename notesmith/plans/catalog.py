@@ -12,12 +12,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from notesmith.functions import dates as DT
 from notesmith.functions import html as H
 from notesmith.functions import text as T
 from notesmith.functions import urls as U
 from notesmith.operators import dedup
+from notesmith.operators import density as DN
+from notesmith.operators import inference as INF
+from notesmith.operators import levels as L
+from notesmith.operators import maps as MP
+from notesmith.operators import notes as NT
+from notesmith.operators import topics as TP
 from notesmith.plans import duck as D
+from notesmith.plans import ingest as IG
 from notesmith.session import load_table
+from notesmith.sources import articles as A
 from notesmith.sources.derived import derived
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -245,9 +254,6 @@ MAX_EMAILS = 100
 MAX_REPOS = 500
 RUN_LIMIT = 50
 
-from notesmith.functions import dates as DT  # noqa: E402
-from notesmith.sources import articles as A  # noqa: E402
-
 
 def _flat(df: DataFrame) -> DataFrame:
     """Article rows in a hash-comparable shape (epoch seconds, comma-joined tags)."""
@@ -420,8 +426,6 @@ def q_date_labels(spark, sf):
 
 # ---- model levels over stored replies (N1..N6 P4 P5 P6 J4 J7 C8) -------------
 
-from notesmith.operators import levels as L  # noqa: E402
-
 
 def _level_base(spark, sf) -> DataFrame:
     return _docs(spark, sf).select(
@@ -510,7 +514,6 @@ def q_deep_gate(spark, sf):
 
 # ---- note rendering, routing, collisions, funnel (G1 G2 P12 F15 W4 K1 A2 A7) ----
 
-from notesmith.operators import notes as NT  # noqa: E402
 
 _LANG_SOURCE = "CASE lang WHEN 'en' THEN 'rss' WHEN 'fr' THEN 'email' WHEN 'de' THEN 'web_url' ELSE 'github' END"
 _AUTHOR = "CASE WHEN lang = 'en' THEN '' ELSE 'Writer \"' || lang || '\"' END"
@@ -615,7 +618,6 @@ def q_wikilink(spark, sf):
 
 
 def _ingest_stages(spark, sf, dry_run: bool = False, limit: int | None = None):
-    from notesmith.plans import ingest as IG
     base = _render_base(spark, sf)
     seen = base.where("source = 'rss'").select(U.url_hash("url").alias("url_hash"))  # an earlier run took 'en'
     replies = {lv: derived(spark, sf, f"responses_{lv}") for lv in ("l1", "l2", "l3")}
@@ -637,15 +639,11 @@ UNION ALL SELECT 'written', CAST(count(*) AS BIGINT) FROM ({_D_NEW_L1}) WHERE re
 """)
 def q_ingest_funnel(spark, sf):
     """Q1 stage counts: fetched -> new (URL dedup + seen-store) -> L1 passed -> L2 -> written."""
-    from notesmith.plans import ingest as IG
     return IG.funnel_counts(_ingest_stages(spark, sf))
 
 
 # ---- topics and topic maps (C4..C8 A3..A6 W5 W6 O2..O4 P10 P11 J5 J8 J9 R3 R4 G3 G4 K3) ----
 
-from notesmith.operators import maps as MP  # noqa: E402
-from notesmith.operators import topics as TP  # noqa: E402
-
 
 def _tag_notes(spark, sf) -> DataFrame:
     return TP.notes_from_csv(derived(spark, sf, "doc_tags"))
@@ -851,7 +849,6 @@ def q_embedding_text(spark, sf):
 
 # ---- density clustering (J6 X1 C1 C2 C3 M4) -----------------------------------
 
-from notesmith.operators import density as DN  # noqa: E402
 
 MIN_SAMPLES = 2
 MIN_CLUSTER = 3
@@ -912,7 +909,6 @@ def q_density_hierarchy(spark, sf):
 
 # ---- prompts, row filters, batch inference (M1 M2 P7 P8 P9) -------------------
 
-from notesmith.operators import inference as INF  # noqa: E402
 
 MAX_TOKENS = 1000
 
