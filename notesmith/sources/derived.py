@@ -23,6 +23,7 @@ class Derived:
     where: str | None = None
     distinct: bool = False
     deps: tuple[str, ...] = field(default=())
+    stored: bool = False  # stands for a stored table: materialized once, read back as plain columns
 
     def sql(self) -> str:
         sel = "SELECT DISTINCT " if self.distinct else "SELECT "
@@ -110,7 +111,7 @@ DERIVED: dict[str, Derived] = {
         "WHEN 6 THEN '{\"relevance_score\": 7.9, \"tags\": null}' "
         "ELSE '{\"tags\": [\"x\"' || '}' END AS raw",
         "CASE WHEN doc_id % 50 = 49 THEN 'API down' END AS error",
-    )),
+    ), stored=True),
     # Level L2: summary replies, incl. a <think> prefix, nested braces and a malformed think tag.
     "responses_l2": Derived("documents", (
         "doc_id",
@@ -128,7 +129,7 @@ DERIVED: dict[str, Derived] = {
         "ELSE '<think' || chr(10) || 'malformed</think' || chr(10) || '{\"tldr\": \"T' || CAST(doc_id AS STRING) "
         "|| '\"}' END AS raw",
         "CASE WHEN doc_id % 50 = 49 THEN 'API down' END AS error",
-    )),
+    ), stored=True),
     # Level L3: analysis replies.
     "responses_l3": Derived("documents", (
         "doc_id",
@@ -145,7 +146,7 @@ DERIVED: dict[str, Derived] = {
         "WHEN 6 THEN '{\"structure_type\": \"tutorial\", \"assumptions\": [], \"position\": \"skeptic\"}' "
         "ELSE '{\"concepts\": [}' END AS raw",
         "CASE WHEN doc_id % 50 = 49 THEN 'API down' END AS error",
-    )),
+    ), stored=True),
     # Notes for topic maps: tags distinct inside a note.
     "doc_tags": Derived("documents", (
         "doc_id AS ord",
@@ -184,4 +185,8 @@ def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if d.where:
         df = df.where(d.where)
     df = df.selectExpr(*d.exprs)
-    return df.distinct() if d.distinct else df
+    df = df.distinct() if d.distinct else df
+    if d.stored:
+        from notesmith.session import cut_lineage
+        df = cut_lineage(df)
+    return df
