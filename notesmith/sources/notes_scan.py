@@ -84,15 +84,11 @@ def read_notes(spark: SparkSession, vault: str) -> DataFrame:
     raw = frames[0]
     for f in frames[1:]:
         raw = raw.unionByName(f)
-    prefix = "file:" + vault.rstrip("/") + "/"
-    rel_path = F.regexp_replace(F.regexp_replace("file_path", "^file:(//)?", "file:"), "^" + _re_escape(prefix), "")
+    # Path relative to the vault, whatever the file system scheme (file:, hdfs:, s3a:, ...).
+    rel_path = F.regexp_extract("file_path", "/((?:" + "|".join(NOTE_DIRS) + ")/.*)$", 1)
     rows = raw.select(rel_path.alias("path"), "content").withColumn("n", parse_note("content", "path"))
     rows = rows.where(F.col("n").isNotNull()).select("path", "n.*")
     from notesmith.operators.ranking import balanced_row_number
     return balanced_row_number(rows, [], ["path"], "ord").select(
         "ord", "path", "title", "tags", "summary", "relevance", "source_name")
 
-
-def _re_escape(s: str) -> str:
-    import re
-    return re.sub(r"([\\.^$|?*+()\[\]{}])", r"\\\1", s)
