@@ -147,11 +147,17 @@ def render_notes(articles: DataFrame, as_of: str, existing: DataFrame | None = N
     return r.withColumn("content", note_content(as_of))
 
 
-def write_notes(rendered: DataFrame, path: str) -> None:
-    """O-K1: one parquet dataset partitioned by folder (folder pruning on read)."""
-    (rendered.withColumn("sub", F.split("dir", "/").getItem(0)).withColumn("leaf", F.split("dir", "/").getItem(1))
-     .select("sub", "leaf", "filename", "note_path", "content", "title", "tags", "relevance_score", "source_name")
-     .write.mode("append").partitionBy("sub", "leaf").parquet(path))
+def write_notes(rendered: DataFrame, path: str, run: str) -> None:
+    """O-K1: one parquet dataset partitioned by run and folder (folder pruning on read).
+
+    Dynamic partition overwrite makes a rerun of the same run replace its own partitions instead of
+    appending the notes twice (e.g. after a failure between this write and the seen-store append)."""
+    (rendered.withColumn("run", F.lit(run))
+     .withColumn("sub", F.split("dir", "/").getItem(0)).withColumn("leaf", F.split("dir", "/").getItem(1))
+     .select("run", "sub", "leaf", "filename", "note_path", "content", "title", "tags", "relevance_score",
+             "source_name")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run", "sub", "leaf")
+     .parquet(path))
 
 
 def article_json(df: DataFrame) -> DataFrame:

@@ -75,7 +75,7 @@ def write(st: IngestStages, notes_path: str, seen_path: str, as_of: str) -> dict
     """Write notes (O-K1), then append the new URLs to the seen-store (O-K2); returns run stats."""
     obs = Observation("ingest")
     rendered = st.rendered.observe(obs, F.count(F.lit(1)).alias("written"))
-    notes.write_notes(rendered, notes_path)
+    notes.write_notes(rendered, notes_path, as_of)
     stats = {"written": int(obs.get.get("written", 0)), "errors": 0}
     for o in st.counters or []:
         stats.update({k: int(v or 0) for k, v in o.get.items()})

@@ -29,15 +29,21 @@ def _store(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], STORE_SCHEMA)
 
 
-def ingest_new(batch: DataFrame, store_path: str, out_path: str, as_of: str) -> None:
-    """One micro-batch: first per url_hash (by ord), minus the store; append new rows, then the store."""
+def ingest_new(batch: DataFrame, store_path: str, out_path: str, as_of: str, batch_id: int = 0) -> None:
+    """One micro-batch: first per url_hash (by ord), minus the store; write the new rows, then the store.
+
+    The output partition of the batch is overwritten (dynamic), so a replayed batch replaces its own
+    rows; the store append is an anti-join, so replaying it adds nothing."""
+    from pyspark.sql import functions as F
+
     spark = batch.sparkSession
     hashed = batch.withColumn("url_hash", url_hash("url"))
     new = dedup.drop_seen(dedup.first_per_key(hashed, "url_hash", "ord"), _store(spark, store_path))
     new = new.persist()
     try:
-        new.write.mode("append").parquet(out_path)
-        dedup.seen_records(new, as_of).write.mode("append").parquet(store_path)
+        (new.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out_path))
+        dedup.append_seen(new, store_path, as_of)
     finally:
         new.unpersist()
 
@@ -46,7 +52,7 @@ def start_incremental(spark: SparkSession, input_dir: str, schema: T.StructType,
                       checkpoint: str, as_of: str, available_now: bool = True):
     """O-T1: file source -> foreachBatch(ingest_new). Returns the StreamingQuery."""
     stream = spark.readStream.schema(schema).parquet(input_dir)
-    w = stream.writeStream.foreachBatch(lambda df, _epoch: ingest_new(df, store_path, out_path, as_of)).option(
+    w = stream.writeStream.foreachBatch(lambda df, epoch: ingest_new(df, store_path, out_path, as_of, epoch)).option(
         "checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
