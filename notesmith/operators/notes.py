@@ -124,13 +124,17 @@ def resolve_collisions(notes: DataFrame, existing: DataFrame | None = None, key:
     fam = ["dir", "_stem"]
     n = balanced_row_number(n, fam, [key], "_val").withColumn("_val", F.col("_val") - 1)
     parts = [n.select("dir", "_stem", "_val", F.lit(1).alias("_new"), F.col(key).alias("_k"))]
+    # Slots already taken: every reading of an existing file name, plus the base name of each new note read
+    # as a suffixed name of another family ('x-1.md' is slot 1 of family 'x'), so a generated name never
+    # lands on another note's own name (base names win over generated suffixes).
+    taken = n.select("dir", F.explode(F.slice(_family(F.col("filename")), 2, 1)).alias("f"))
     if existing is not None:
-        ex = existing.select("dir", F.explode(_family(F.col("filename"))).alias("f")).select(
-            "dir", F.col("f.stem").alias("_stem"), F.col("f.slot").alias("slot")).distinct()
-        ex = balanced_row_number(ex, fam, ["slot"], "_i")
-        parts.append(ex.select("dir", "_stem", (F.col("slot") - F.col("_i") + 1).alias("_val"),
-                               F.lit(0).alias("_new"), F.lit(None).cast(n.schema[key].dataType).alias("_k")))
-    u = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        taken = taken.unionByName(existing.select("dir", F.explode(_family(F.col("filename"))).alias("f")))
+    ex = taken.select("dir", F.col("f.stem").alias("_stem"), F.col("f.slot").alias("slot")).distinct()
+    ex = balanced_row_number(ex, fam, ["slot"], "_i")
+    parts.append(ex.select("dir", "_stem", (F.col("slot") - F.col("_i") + 1).alias("_val"),
+                           F.lit(0).alias("_new"), F.lit(None).cast(n.schema[key].dataType).alias("_k")))
+    u = parts[0].unionByName(parts[1])
     u = balanced_row_number(u, fam, ["_val", "_new", "_k"], "_slot").withColumn("_slot", F.col("_slot") - 1)
     u = u.where("_new = 1")
     out = n.join(u.select(F.col("_k").alias(key), "dir", "_slot"), [key, "dir"], "inner")

@@ -504,11 +504,12 @@ def resolve_collisions(notes: str, existing: str | None, key: str) -> str:
     n = (f"SELECT *, {rx_extract('filename', r'^(.*)\.md$', 1)} AS stem, "
          f"row_number() OVER (PARTITION BY dir, {rx_extract('filename', r'^(.*)\.md$', 1)} ORDER BY {key}) - 1 AS r "
          f"FROM ({notes})")
-    if existing is None:
-        ex = "SELECT NULL::VARCHAR AS dir, NULL::VARCHAR AS stem, NULL::BIGINT AS slot WHERE false"
-    else:
-        ex = (f"SELECT DISTINCT dir, f.stem AS stem, f.slot AS slot FROM (SELECT dir, unnest({family_slots('filename')}) AS f "
-              f"FROM ({existing}))")
+    base = rx_extract(rx_extract("filename", r"^(.*)\.md$", 1), r"^(.*)-([1-9][0-9]*)$", 1)
+    k = rx_extract(rx_extract("filename", r"^(.*)\.md$", 1), r"^(.*)-([1-9][0-9]*)$", 2)
+    ex = (f"SELECT DISTINCT dir, {base} AS stem, CAST({k} AS BIGINT) AS slot FROM ({notes}) WHERE length({k}) > 0")
+    if existing is not None:
+        ex += (f" UNION SELECT DISTINCT dir, f.stem AS stem, f.slot AS slot FROM (SELECT dir, "
+               f"unnest({family_slots('filename')}) AS f FROM ({existing}))")
     # Free slots of a family: 0..(r + #existing); pick the r-th free one.
     free = (f"SELECT n.{key}, n.dir, n.stem, n.r, s.k FROM ({n}) n, "
             f"LATERAL (SELECT unnest(range(0, n.r + 1 + (SELECT count(*) FROM ({ex}) e WHERE e.dir = n.dir AND e.stem = n.stem))) AS k) s "
