@@ -30,3 +30,15 @@ def blank_to_null(c) -> Column:
 def empty_to_null(c) -> Column:
     c = col(c)
     return F.when(F.length(c) > 0, c)
+
+
+def select_where(df, exprs, cond):
+    """``df.select(*exprs).where(cond)`` evaluating each projected expression once.
+
+    With a plain select + where, Catalyst pushes the condition below the projection and inlines the
+    projected expressions into it, so an expensive column (an HTML regex chain) runs twice. Filtering
+    inside a generator keeps one evaluation: each row becomes an array of one struct, the array is
+    filtered with ``cond`` (given the struct) and ``inline`` emits the surviving row."""
+    from pyspark.sql import functions as F
+
+    return df.select(F.inline(F.filter(F.array(F.struct(*exprs)), cond)))
