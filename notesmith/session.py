@@ -53,7 +53,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return conf_dir
-    if not sc.master.startswith("local"):
+    if not (sc.master == "local" or sc.master.startswith("local[")):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder for iterative operators")
     local = tempfile.mkdtemp(prefix="notesmith-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
@@ -71,7 +71,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_cut(df: DataFrame) -> None:
+    """Remove the files behind a table made by ``cut_lineage`` once its successor is written.
+
+    Only files inside the checkpoint folder are touched; the table must not be read afterwards."""
+    spark = df.sparkSession
+    root = checkpoint_dir(spark).rstrip("/")
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if folder.rsplit("/", 1)[-1].startswith("cut-") and folder.rsplit("/", 2)[-2] == root.rsplit("/", 1)[-1]:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
 
 
 _SHIPPED: set[str] = set()
