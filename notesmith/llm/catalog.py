@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from notesmith.llm import exact_dedup, quality_rules
+from notesmith.llm import exact_dedup, quality_rules, secret_scan
 
 QUERIES = {
     "op7_quality_rules": quality_rules.op7_quality_rules,
+    "op9_secret_scan": secret_scan.op9_secret_scan,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 
 ORACLE = {
     "op7_quality_rules": quality_rules.ORACLE,
+    "op9_secret_scan": secret_scan.ORACLE,
     "op10_exact_dedup": exact_dedup.ORACLE,
 }
