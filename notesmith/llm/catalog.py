@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from notesmith.llm import exact_dedup, quality_rules, secret_scan
+from notesmith.llm import exact_dedup, quality_rules, secret_scan, source_mix
 
 QUERIES = {
     "op7_quality_rules": quality_rules.op7_quality_rules,
+    "op8_source_mix": source_mix.op8_source_mix,
     "op9_secret_scan": secret_scan.op9_secret_scan,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
