@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from notesmith.llm import exact_dedup, label_shards, quality_rules, secret_scan, source_mix
+from notesmith.llm import exact_dedup, label_shards, quality_rules, secret_scan, sentence_spans, source_mix
 
 QUERIES = {
+    "op3_sentence_spans": sentence_spans.op3_sentence_spans,
     "op6_label_shards": label_shards.op6_label_shards,
     "op7_quality_rules": quality_rules.op7_quality_rules,
     "op8_source_mix": source_mix.op8_source_mix,
