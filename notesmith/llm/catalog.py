@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from notesmith.llm import exact_dedup, label_shards, minhash_hamming, quality_rules, secret_scan, sentence_spans, source_mix
+from notesmith.llm import byte_bpe, exact_dedup, label_shards, minhash_hamming, quality_rules, secret_scan, sentence_spans, source_mix
 
 QUERIES = {
     "op3_sentence_spans": sentence_spans.op3_sentence_spans,
+    "op4_byte_bpe": byte_bpe.op4_byte_bpe,
     "op5_minhash_hamming": minhash_hamming.op5_minhash_hamming,
     "op6_label_shards": label_shards.op6_label_shards,
     "op7_quality_rules": quality_rules.op7_quality_rules,
