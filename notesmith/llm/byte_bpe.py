@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notesmith.llm.common import documents, ship, text_of
+from notesmith.llm.common import documents, let, ship, text_of
 
 NO_RANK = (1 << 31) - 1
 #: Words of a text that share one list of distinct words: bounds the search for a word's place in it.
@@ -89,11 +89,6 @@ def _literals(items: tuple) -> dict[str, list]:
     return {"shift": shift.tolist(), "key": slot_key.tolist(), "rank": slot_rank.tolist()} | _singles(ranks)
 
 
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with the value computed once."""
-    return F.transform(F.array(value), body)[0]
-
-
 def _merge_all(data: np.ndarray, starts: np.ndarray, single: np.ndarray, first: np.ndarray, keys: np.ndarray,
                ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """ids of all words and their starts; ``data`` holds the words' bytes end to end, ``starts`` (n + 1) where they begin.
@@ -193,7 +188,7 @@ def encoded(texts: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFram
     # The ids of all windows' distinct words come back in one list; each window's part starts where the ones before end.
     ends = F.transform("_own", lambda o: F.size(o))
     t = t.select("*", F.transform(ends, lambda n, i: F.aggregate(F.slice(ends, F.lit(1), i), F.lit(0), lambda a, x: a + x)).alias("_from"))
-    whole = F.flatten(F.transform("_windows", lambda w, i: _let(
+    whole = F.flatten(F.transform("_windows", lambda w, i: let(
         F.slice("_ids", F.get("_from", i) + 1, F.size(F.get("_own", i))), lambda ids: _placed(w, F.get("_own", i), ids))))
     return t.select(*rest, whole.alias("ids"))
 
@@ -208,8 +203,8 @@ def encode(text: Column, ranks: dict[bytes, int], pattern: str) -> Column:
         def at(key, h):
             slot = (F.shiftrightunsigned(h, 16) + F.get(t["shift"], h.bitwiseAND(F.lit(_BUCKETS - 1))).cast("long")
                     * F.shiftrightunsigned(h, 44).bitwiseOR(F.lit(1))).bitwiseAND(F.lit(_SLOTS - 1))
-            return _let(slot.cast("int"), lambda s: F.when(F.get(t["key"], s) == key, F.get(t["rank"], s)).otherwise(none))
-        return _let(left.cast("long") * F.lit(1 << 17) + right, lambda key: _let(F.xxhash64(key), lambda h: at(key, h)))
+            return let(slot.cast("int"), lambda s: F.when(F.get(t["key"], s) == key, F.get(t["rank"], s)).otherwise(none))
+        return let(left.cast("long") * F.lit(1 << 17) + right, lambda key: let(F.xxhash64(key), lambda h: at(key, h)))
 
     nothing = F.array().cast("array<int>")
 
@@ -223,12 +218,12 @@ def encode(text: Column, ranks: dict[bytes, int], pattern: str) -> Column:
             F.concat(F.slice(rk, F.lit(1), F.greatest(k - 2, F.lit(0))), left, right, F.slice(rk, k + 2, n)).alias("ranks"))
 
     def step(t):
-        return lambda a, _: _let(F.array_min(a["ranks"]), lambda m: F.when(
-            m < none, _let(F.array_position(a["ranks"], m).cast("int"), lambda k: merged(t, a, m, k))).otherwise(a))
+        return lambda a, _: let(F.array_min(a["ranks"]), lambda m: F.when(
+            m < none, let(F.array_position(a["ranks"], m).cast("int"), lambda k: merged(t, a, m, k))).otherwise(a))
 
     def fold(t, word):
         codes = F.transform(F.split(F.decode(word.cast("binary"), "ISO-8859-1"), ""), lambda c: F.ascii(c))
-        return _let(codes, lambda c: F.when(F.size(c) == 1, F.transform(c, lambda x: F.get(t["single"], x))).otherwise(
+        return let(codes, lambda c: F.when(F.size(c) == 1, F.transform(c, lambda x: F.get(t["single"], x))).otherwise(
             F.aggregate(
                 F.sequence(F.lit(2), F.size(c)),
                 F.struct(F.transform(c, lambda x: F.get(t["single"], x)).alias("ids"),
@@ -237,15 +232,15 @@ def encode(text: Column, ranks: dict[bytes, int], pattern: str) -> Column:
                 step(t), lambda a: a["ids"])))
 
     def window(t, words):
-        return _let(F.array_distinct(words), lambda own: _let(F.transform(own, lambda w: fold(t, w)), lambda ids: _placed(words, own, ids)))
+        return let(F.array_distinct(words), lambda own: let(F.transform(own, lambda w: fold(t, w)), lambda ids: _placed(words, own, ids)))
 
     words = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit("(?U)" + pattern), F.lit(0))
 
     def whole(t):
-        return _let(words, lambda ws: F.when(F.size(ws) == 0, nothing).otherwise(F.flatten(F.transform(
+        return let(words, lambda ws: F.when(F.size(ws) == 0, nothing).otherwise(F.flatten(F.transform(
             F.sequence(F.lit(1), F.size(ws), F.lit(WINDOW)), lambda at: window(t, F.slice(ws, at, F.lit(WINDOW)))))))
 
-    return _let(tables, whole)
+    return let(tables, whole)
 
 
 def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
@@ -254,13 +249,13 @@ def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
     for token, rank in ranks.items():
         pieces[rank] = token.hex().upper()
     table = F.split(F.lit(",".join(pieces)), ",")
-    return F.unhex(_let(table, lambda t: F.array_join(F.transform(ids, lambda i: F.get(t, i)), "")))
+    return F.unhex(let(table, lambda t: F.array_join(F.transform(ids, lambda i: F.get(t, i)), "")))
 
 
 def id_bytes(ids: Column, ranks: dict[bytes, int]) -> Column:
     """ids as little-endian unsigned 32-bit integers."""
     table = F.split(F.lit(",".join(i.to_bytes(4, "little").hex().upper() for i in range(max(ranks.values()) + 1))), ",")
-    return F.unhex(_let(table, lambda t: F.array_join(F.transform(ids, lambda i: F.get(t, i)), "")))
+    return F.unhex(let(table, lambda t: F.array_join(F.transform(ids, lambda i: F.get(t, i)), "")))
 
 
 def vocabulary(spark: SparkSession, path: str | None = None, pattern: str | None = None) -> tuple[dict[bytes, int], str]:

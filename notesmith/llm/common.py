@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +31,11 @@ def words_of(c: Column) -> Column:
     return F.array_remove(F.split(c, SPACE + "+"), "")
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, inside an expression."""
+    return F.transform(F.array(value), body)[0]
+
+
 def only(df: DataFrame, *names: str) -> DataFrame:
     """The named columns under exactly these names (other columns of the table, also clashing ones, are left out)."""
     return df.select(*[F.col(f"`{n}`") for n in names])
@@ -42,10 +45,3 @@ def ship(spark: SparkSession) -> None:
     """Python workers can import this package."""
     ship_package(spark)
 
-
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def env_path(name: str, default: str) -> str:
-    return os.environ.get(name, default)

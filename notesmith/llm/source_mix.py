@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from notesmith.llm.common import documents, text_of, words_of
+from notesmith.llm.common import documents, let, text_of, words_of
 from notesmith.operators.joins import sized_broadcast
 from notesmith.session import cut_lineage
 
@@ -34,7 +34,7 @@ SEED = 20_240_611
 #: Blocks behind the last full one whose documents may fill the rest of a target.
 BORDER_BLOCKS = 8
 #: Rounds in which documents of the border blocks fill what is left of the target; each leaves a smaller rest.
-FILL_ROUNDS = 8
+FILL_ROUNDS = 6
 
 
 def _hash(seed: int, *cols) -> Column:
@@ -85,41 +85,50 @@ def hypergeometric(n: Column, k: Column, m: Column, u: Column) -> Column:
     mode first, then values above it, then below. Two folds with scalar state: the sum of weights, then the value
     at which it reaches ``u`` times the whole.
     """
-    n, k, m = (c.cast("double") for c in (n, k, m))
-    lo, hi = F.greatest(F.lit(0.0), m + k - n), F.least(k, m)
-    mode = F.least(hi, F.greatest(lo, F.floor((m + 1) * (k + 1) / (n + 2)).cast("double")))
-    var = m * (k / F.greatest(n, F.lit(1.0))) * ((n - k) / F.greatest(n, F.lit(1.0))) * ((n - m) / F.greatest(n - 1, F.lit(1.0)))
-    reach = F.ceil(9 * F.sqrt(F.greatest(var, F.lit(0.0)))).cast("double") + 12
-    up = F.sequence(F.lit(0), F.least(hi - mode, reach).cast("int"))
-    down = F.sequence(F.lit(0), F.least(mode - lo, reach).cast("int"))
-
-    def above(w, i):  # weight of mode + i from that of mode + i - 1; the first step is the mode itself
-        x = mode + i - 1
-        return F.when(i == 0, F.lit(1.0)).otherwise(w * (k - x) * (m - x) / ((x + 1) * (n - k - m + x + 1)))
-
-    def below(w, i):
-        x = mode - i + 1
-        return F.when(i == 0, F.lit(1.0)).otherwise(w * x * (n - k - m + x) / ((k - x + 1) * (m - x + 1)))
-
-    def total(steps, ratio):
-        zero = F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("s"))
-        return F.aggregate(steps, zero, lambda a, i: F.struct(
-            ratio(a["w"], i).alias("w"), (a["s"] + ratio(a["w"], i)).alias("s")))["s"]
-
-    s_up, s_down = total(up, above), total(down, below) - 1  # the mode counts once
-    goal = u * (s_up + s_down)
-
-    def reach_goal(steps, ratio, base, sign):
-        zero = F.struct(F.lit(1.0).alias("w"), base.alias("s"), F.lit(None).cast("double").alias("x"))
-
-        def step(a, i):
-            s = a["s"] + ratio(a["w"], i)
-            return F.struct(ratio(a["w"], i).alias("w"), s.alias("s"),
-                            F.coalesce(a["x"], F.when(s >= goal, mode + sign * i)).alias("x"))
-        return F.aggregate(steps, zero, step)["x"]
-
-    x = F.coalesce(reach_goal(up, above, F.lit(0.0), 1), reach_goal(down, below, s_up - 1, -1), mode)
-    return F.when(hi <= lo, lo).otherwise(x).cast("long")
+    def known(a):
+        n, k, m = a["n"], a["k"], a["m"]
+        lo, hi = F.greatest(F.lit(0.0), m + k - n), F.least(k, m)
+        some, others = F.greatest(n, F.lit(1.0)), F.greatest(n - 1, F.lit(1.0))
+        var = m * (k / some) * ((n - k) / some) * ((n - m) / others)
+        mode = F.least(hi, F.greatest(lo, F.floor((m + 1) * (k + 1) / (n + 2)).cast("double")))
+        reach = F.ceil(9 * F.sqrt(F.greatest(var, F.lit(0.0)))).cast("double") + 12
+        return F.struct(n.alias("n"), k.alias("k"), m.alias("m"), a["u"].alias("u"), lo.alias("lo"), hi.alias("hi"),
+                        mode.alias("mode"), reach.alias("reach"))
+
+    def drawn(a):
+        def above(i):  # weight of mode + i over that of mode + i - 1
+            x = a["mode"] + i - 1
+            return (a["k"] - x) * (a["m"] - x) / ((x + 1) * (a["n"] - a["k"] - a["m"] + x + 1))
+
+        def below(i):
+            x = a["mode"] - i + 1
+            return x * (a["n"] - a["k"] - a["m"] + x) / ((a["k"] - x + 1) * (a["m"] - x + 1))
+
+        def steps(room):  # 0 stands for the mode
+            return F.sequence(F.lit(0), F.least(room, a["reach"]).cast("int"))
+
+        def weight(w, i, ratio):
+            return F.when(i == 0, F.lit(1.0)).otherwise(w * ratio(i))
+
+        def total(room, ratio):
+            zero = F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("s"))
+            return F.aggregate(steps(room), zero, lambda s, i: let(weight(s["w"], i, ratio), lambda w: F.struct(
+                w.alias("w"), (s["s"] + w).alias("s"))))["s"]
+
+        def found(room, ratio, sign, base, goal):
+            zero = F.struct(F.lit(1.0).alias("w"), base.alias("s"), F.lit(None).cast("double").alias("x"))
+            return F.aggregate(steps(room), zero, lambda s, i: let(weight(s["w"], i, ratio), lambda w: F.struct(
+                w.alias("w"), (s["s"] + w).alias("s"),
+                F.coalesce(s["x"], F.when(s["s"] + w >= goal, a["mode"] + sign * i)).alias("x"))))["x"]
+
+        up, down = a["hi"] - a["mode"], a["mode"] - a["lo"]
+        sums = F.struct(total(up, above).alias("up"), (total(down, below) - 1).alias("down"))  # the mode counts once
+        x = let(sums, lambda s: let(a["u"] * (s["up"] + s["down"]), lambda goal: F.coalesce(
+            found(up, above, 1, F.lit(0.0), goal), found(down, below, -1, s["up"] - 1, goal), a["mode"])))
+        return F.when(a["hi"] <= a["lo"], a["lo"]).otherwise(x).cast("long")
+
+    given = F.struct(n.cast("double").alias("n"), k.cast("double").alias("k"), m.cast("double").alias("m"), u.alias("u"))
+    return let(given, lambda a: let(known(a), drawn))
 
 
 def _deal(rows: DataFrame, keys: list[str], item: str, seed: int) -> DataFrame:
@@ -133,9 +142,9 @@ def _deal(rows: DataFrame, keys: list[str], item: str, seed: int) -> DataFrame:
     zero = F.struct(F.col("n").alias("n"), F.col("m").alias("m"), F.array().cast(cell).alias("out"))
 
     def step(a, x):
-        left = hypergeometric(a["n"], x["quota"], a["m"], x["u"])
-        return F.struct((a["n"] - x["quota"]).alias("n"), (a["m"] - left).alias("m"),
-                        F.concat(a["out"], F.array(F.struct(x[item].alias(item), left.alias("left")))).alias("out"))
+        return let(hypergeometric(a["n"], x["quota"], a["m"], x["u"]), lambda left: F.struct(
+            (a["n"] - x["quota"]).alias("n"), (a["m"] - left).alias("m"),
+            F.concat(a["out"], F.array(F.struct(x[item].alias(item), left.alias("left")))).alias("out")))
 
     return g.select(*keys, F.explode(F.aggregate("all", zero, step)["out"]).alias("o")).select(*keys, "o.*")
 
@@ -233,11 +242,17 @@ def _fill(part: DataFrame, rounds: int = FILL_ROUNDS) -> DataFrame:
         t = t.withColumn("new", fits & (F.col("sum") <= F.col("left")))
         t = t.withColumn("left", F.col("left") - F.coalesce(F.sum(F.when(F.col("new"), F.col("size"))).over(allof), F.lit(0)))
         t = t.withColumn("in", F.col("in") | F.col("new"))
-    # One more document where passing the target by it comes nearer than stopping short.
+    # Nearer than stopping short may be one more document past the target, or the smallest one left for one taken.
     off = F.when(~F.col("in"), F.struct(F.abs(F.col("size") - F.col("left")).alias("off"), "row"))
-    best = F.min(off).over(allof)
-    t = t.withColumn("best", best)
-    return t.where(F.col("in") | ((F.col("best.row") == F.col("row")) & (F.col("best.off") < F.col("left"))))
+    spare = F.when(~F.col("in") & (F.col("size") > 0), F.struct("size", "row"))
+    t = t.withColumns({"more": F.min(off).over(allof), "spare": F.min(spare).over(allof)})
+    back = F.struct(F.abs(F.col("left") - F.col("spare.size") + F.col("size")).alias("off"), "row")
+    t = t.withColumn("back", F.min(F.when(F.col("in") & F.col("spare").isNotNull(), back)).over(allof))
+    far = F.lit(float("inf"))
+    plus, swap = F.coalesce("more.off", far), F.coalesce("back.off", far)
+    row = F.col("row")
+    return t.where(F.when(swap < F.least("left", plus), (F.col("in") & (row != F.col("back.row"))) | (row == F.col("spare.row")))
+                   .otherwise(F.col("in") | (F.coalesce(row == F.col("more.row"), F.lit(False)) & (plus < F.col("left")))))
 
 
 def write_mix(docs: DataFrame, drawn: DataFrame, path: str, levels: int = LEVELS) -> None:
