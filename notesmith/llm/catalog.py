@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from notesmith.llm import byte_bpe, exact_dedup, label_shards, minhash_hamming, quality_rules, secret_scan, sentence_spans, source_mix, suffix_dedup
+from notesmith.llm import byte_bpe, exact_dedup, label_shards, license_scan, minhash_hamming, quality_rules, secret_scan, sentence_spans, source_mix, suffix_dedup
 
 QUERIES = {
+    "op1_license_scan": license_scan.op1_license_scan,
     "op2_suffix_dedup": suffix_dedup.op2_suffix_dedup,
     "op3_sentence_spans": sentence_spans.op3_sentence_spans,
     "op4_byte_bpe": byte_bpe.op4_byte_bpe,
