@@ -4,15 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from notesmith.llm import exact_dedup, quality_rules
+from notesmith.llm import byte_bpe, exact_dedup, minhash_hamming, quality_rules, source_mix
 from notesmith.llm.common import documents
 from notesmith.session import cut_lineage
 
 STAGES = [
     ("quality_rules", quality_rules.stage),
     ("exact_dedup", exact_dedup.stage),
+    ("near_dedup", minhash_hamming.stage),
+    ("source_mix", source_mix.stage),
+    ("byte_bpe", byte_bpe.stage),
 ]
 
+#: Near-duplicates and the mix have no SQL; tests/llm holds the rows against a brute-force version.
 ORACLE_SQL = None
 
 
