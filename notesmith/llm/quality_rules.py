@@ -110,7 +110,9 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     bad = F.lit(False)
     for c in compile_rules().values():
         bad = bad | c
-    return t.where(~bad).select(*[F.col(f"`{c}`") for c in docs.columns])
+    # A plain filter would be pushed below the measures and take a copy of each measure's whole expression with it.
+    kept = F.explode(F.when(~bad, F.array(F.lit(1)))).alias("_q_kept")
+    return t.select("*", kept).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def _oracle() -> str:
