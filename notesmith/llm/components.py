@@ -11,10 +11,10 @@ from notesmith.session import cut_lineage, drop_cut
 def components(links: DataFrame, most_rounds: int = 64) -> DataFrame:
     """id, comp (the smallest id reachable) for every id in ``links`` (a long, b long; nulls and self links are ignored).
 
-    Each round every node points to its smallest neighbour or itself, pointers are followed twice, and the links are
-    rewritten between what the pointers lead to. Pointers never rise, so the last root of a component is its smallest
-    id. A star of any size shrinks in one round; minima combine on the map side. Links shrink at least by half per
-    round, so ``most_rounds`` is out of reach; past it the function raises.
+    Each round every node points to its smallest neighbour or itself, pointers are doubled until they lead to roots, and
+    the links are rewritten between roots. Pointers never rise, so the last root of a component is its smallest id. A
+    star of any size shrinks in one round; minima combine on the map side. A root with a link left is at most every
+    second of them, so nodes halve per round and ``most_rounds`` is out of reach; past it the function raises.
     """
     links = cut_lineage(links.select("a", "b").where("a <> b"))
     roots: DataFrame | None = None
@@ -22,10 +22,14 @@ def components(links: DataFrame, most_rounds: int = 64) -> DataFrame:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         up = cut_lineage(both.groupBy("a").agg(F.min("b").alias("m")).select(
             F.col("a").alias("u"), F.least("a", "m").alias("p")))
-        for _ in range(2):
+        while True:
             q = up.select(F.col("u").alias("q"), F.col("p").alias("pp"))
-            old, up = up, cut_lineage(up.join(q, up["p"] == q["q"]).select("u", F.col("pp").alias("p")))
+            old = up
+            up = cut_lineage(up.join(q, up["p"] == q["q"]).select("u", F.col("pp").alias("p"), (F.col("pp") != F.col("p")).alias("on")))
             drop_cut(old)
+            if up.where("on").isEmpty():
+                break
+        up = up.select("u", "p")
         if roots is None:
             roots = up.select(F.col("u").alias("id"), F.col("p").alias("comp"))
         else:

@@ -8,13 +8,15 @@ earlier in the same document. Windows never cross documents.
    as its place, its anchor and a hash of its bytes, not as bytes.
 2. Blocks equal in bytes are collapsed, first inside each batch of documents and then globally by anchor: all but the
    first repeat whole. An anchor that has one distinct block, whose anchor gram stands in it once, has no repeats.
-3. The distinct blocks of every other anchor meet in one task, in the order of their places, and their common suffix
-   order (``lyndon_order``) brings equal windows together: all but the one that starts first are removed.
+3. The distinct blocks of every other anchor meet in one task, in the order of their places. Each is trimmed to the
+   longest stretches around the anchor that any other block has too, and the common suffix order (``lyndon_order``)
+   of what is left brings equal windows together: all but the one that starts first are removed.
 4. Removed windows return to their documents, where their union is cut out.
 
 An anchor can be too frequent for one task. A bounded sketch names the most frequent anchors over all documents before
 step 2; their windows are sent one by one under their own 128-bit hashes, spread evenly and collapsed alike. Anchors
-that reach step 3 with more than ``MOST_BLOCKS`` blocks or ``MOST_BYTES`` bytes take that way too.
+that reach step 3 with more than ``MOST_BLOCKS`` blocks or ``MOST_BYTES`` bytes take that way too. In large groups equal
+trimmed blocks are collapsed before the order is made, and more than ``MOST_ORDERED`` bytes are matched by hashes.
 """
 
 from __future__ import annotations
@@ -32,7 +34,9 @@ from notesmith.llm.lyndon_order import suffix_order
 from notesmith.session import cut_lineage
 
 LENGTH, GRAM = 100, 24
-MOST_BLOCKS, MOST_BYTES = 4096, 1 << 20
+MOST_BLOCKS, MOST_BYTES = 1 << 16, 1 << 24
+#: Groups of more blocks collapse equal trimmed blocks first; the order is made of this many bytes at most.
+LARGE, MOST_ORDERED = 64, 1 << 20
 HOT_ANCHORS, COUNTERS, HOT_ROWS = 512, 8192, 20_000
 #: Windows of a text hashed at once, and documents whose blocks are collapsed together: bounds of a task's arrays.
 CHUNK, DOCS_AT_ONCE = 1 << 20, 2000
@@ -91,6 +95,13 @@ def _window_min(h: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(back[:m], ahead[w - 1:w - 1 + m])
 
 
+def _grams(a: np.ndarray, gram: int) -> tuple[_Hashes, np.ndarray]:
+    """Sums of some bytes and the hashes of all their grams."""
+    hs = _Hashes(a)
+    with np.errstate(over="ignore"):
+        return hs, _mix((hs.sum[gram:] - hs.sum[:-gram]) * hs.down[:len(a) - gram + 1])
+
+
 def blocks_of(data: bytes, length: int = LENGTH, gram: int = GRAM):
     """Arrays start, n (windows), anchor, digest, twice (the anchor's gram may stand in the block twice) of a text's blocks."""
     a = np.frombuffer(data, dtype=np.uint8)
@@ -98,9 +109,7 @@ def blocks_of(data: bytes, length: int = LENGTH, gram: int = GRAM):
     out = []
     for lo in range(0, len(a) - length + 1, CHUNK):
         part = a[lo:lo + CHUNK + length - 1]
-        hs = _Hashes(part)
-        i = np.arange(len(part) - gram + 1)
-        h = hs.at(i, i + gram)
+        hs, h = _grams(part, gram)
         low = _window_min(h, w)
         s = np.concatenate([[0], np.flatnonzero(low[1:] != low[:-1]) + 1])
         n = np.diff(np.concatenate([s, [len(low)]]))
@@ -149,11 +158,26 @@ def _collapse(r: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return both | new[2] | new[3] | new[4], key, both
 
 
+def _anchors(batches: Iterator[pd.DataFrame], length: int, gram: int) -> Iterator[pd.DataFrame]:
+    """Anchors of blocks that occur twice or more in the same batch of documents, once per occurrence."""
+    for pdf in batches:
+        for lo in range(0, len(pdf), DOCS_AT_ONCE):
+            out = []
+            for text in pdf["text"].iloc[lo:lo + DOCS_AT_ONCE]:
+                a = np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8)
+                for at in range(0, len(a) - length + 1, CHUNK):
+                    low = _window_min(_grams(a[at:at + CHUNK + length - 1], gram)[1], length - gram + 1)
+                    out.append(low[np.concatenate([[True], low[1:] != low[:-1]])])
+            if out:
+                k, n = np.unique(np.concatenate(out), return_counts=True)
+                yield pd.DataFrame({"k1": np.repeat(k[n > 1], n[n > 1]).view(np.int64)})
+
+
 def _spans(batches: Iterator[pd.DataFrame], hot: np.ndarray, length: int, gram: int) -> Iterator[pd.DataFrame]:
     """Blocks (and windows of hot anchors) of a batch, collapsed: what is not first here is not first anywhere."""
     for pdf in batches:
         for lo in range(0, len(pdf), DOCS_AT_ONCE):
-            part = pdf.iloc[lo:lo + DOCS_AT_ONCE]
+            part = pdf.iloc[lo:lo + DOCS_AT_ONCE].sort_values(["doc_id", "th"])
             out = []
             for doc_id, th, text in zip(part["doc_id"], part["th"], part["text"]):
                 data = text.encode("utf-8", "surrogatepass")
@@ -170,10 +194,12 @@ def _spans(batches: Iterator[pd.DataFrame], hot: np.ndarray, length: int, gram:
                 out.append((np.full(m, BLOCK), anchor, digest, np.full(m, doc_id), np.full(m, th), s, np.where(twice, -n, n)))
             if not out:
                 continue
-            r = _rows(*[np.concatenate(x) for x in zip(*out)])
-            r = r.sort_values(["k1", "k2", "doc_id", "th", "s"], ignore_index=True)
+            cols = [np.concatenate(x) for x in zip(*out)]
+            # Rows stand in the order of their places; the sort by hashes is stable and keeps it.
+            order = np.lexsort((cols[2].view(np.int64), cols[1].view(np.int64)))
+            r = _rows(*[c[order] for c in cols])
             fresh, _, first = _collapse(r)
-            r.loc[~first, "kind"] = GONE
+            r["kind"] = np.where(first, r["kind"], GONE).astype(np.int32)
             yield r[fresh]
 
 
@@ -211,22 +237,105 @@ def _judge(batches: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFram
         yield out[fresh & (more | ~first | old)]
 
 
-def _cut(batches: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFrame]:
-    """Bytes of the blocks that go on; windows of the spread ones."""
+def _cut(batches: Iterator[pd.DataFrame], length: int, gram: int) -> Iterator[pd.DataFrame]:
+    """Bytes of the blocks that go on and where their anchor stands (-1: more than once); windows of the spread ones."""
+    w = length - gram + 1
     for pdf in batches:
+        out, data_of, off_of = [], [], []
         for doc_id, th, text, todo in zip(pdf["doc_id"], pdf["th"], pdf["text"], pdf["todo"]):
             data = text.encode("utf-8", "surrogatepass")
             whole = [b for b in todo if b["kind"] == BLOCK]
             if whole:
+                _, h = _grams(np.frombuffer(data, dtype=np.uint8), gram)
+                for b in whole:
+                    s, n = b["s"], b["n"]
+                    own = h[s:s + n + w - 1]
+                    at = int(own.argmin())
+                    off_of.append(at if (own == own[at]).sum() == 1 else -1)
+                    data_of.append(data[s:s + n + length - 1])
                 m = len(whole)
-                r = _rows(np.full(m, BLOCK), np.array([b["k1"] for b in whole], np.int64), np.zeros(m, np.int64),
-                          np.full(m, doc_id), np.full(m, th), np.array([b["s"] for b in whole]), np.array([b["n"] for b in whole]))
-                yield r.assign(data=[data[b["s"]:b["s"] + b["n"] + length - 1] for b in whole])
+                out.append((np.full(m, BLOCK), np.array([b["k1"] for b in whole], np.int64), np.zeros(m, np.int64),
+                            np.full(m, doc_id), np.full(m, th), np.array([b["s"] for b in whole]), np.array([b["n"] for b in whole])))
             wide = [b for b in todo if b["kind"] == SPREAD]
             if wide:
                 at, w1, w2 = _starts_windows(data, np.array([b["s"] for b in wide]), np.array([b["n"] for b in wide]), length)
                 m = len(at)
-                yield _rows(np.full(m, SPREAD), w1, w2, np.full(m, doc_id), np.full(m, th), at, np.ones(m, np.int64)).assign(data=None)
+                out.append((np.full(m, SPREAD), w1.view(np.int64), w2.view(np.int64), np.full(m, doc_id), np.full(m, th), at, np.ones(m, np.int64)))
+                data_of += [None] * m
+                off_of += [-1] * m
+        if out:
+            yield _rows(*[np.concatenate(x) for x in zip(*out)]).assign(off=np.array(off_of, np.int32), data=data_of)
+
+
+def _shared(a: bytes, b: bytes) -> int:
+    """Length of the common beginning."""
+    lo, hi = 0, min(len(a), len(b))
+    while lo < hi:
+        mid = (lo + hi + 1) // 2
+        if a[lo:mid] == b[lo:mid]:
+            lo = mid
+        else:
+            hi = mid - 1
+    return lo
+
+
+def _reach(parts: list[bytes]) -> list[int]:
+    """For every part the longest beginning that any other part has too: its neighbours in sorted order have it."""
+    order = sorted(range(len(parts)), key=parts.__getitem__)
+    out = [0] * len(parts)
+    for x, y in zip(order[:-1], order[1:]):
+        n = _shared(parts[x], parts[y])
+        out[x], out[y] = max(out[x], n), max(out[y], n)
+    return out
+
+
+def _by_hashes(parts: list[bytes], length: int) -> list[tuple[int, int]]:
+    """What ``repeated_windows`` finds, by the 128-bit hashes of all windows."""
+    cols = []
+    for k, p in enumerate(parts):
+        m = len(p) - length + 1
+        if m > 0:
+            at, w1, w2 = _starts_windows(p, np.array([0]), np.array([m]), length)
+            cols.append((np.full(m, k), at, w1, w2))
+    k, at, w1, w2 = (np.concatenate(c) for c in zip(*cols))
+    order = np.lexsort((w2, w1))
+    again = (w1[order][1:] == w1[order][:-1]) & (w2[order][1:] == w2[order][:-1])
+    gone = np.sort(order[1:][again])
+    return list(zip(k[gone].tolist(), at[gone].tolist()))
+
+
+def gone_runs(blocks: list[bytes], offs: list[int], length: int) -> list[tuple[int, int, int]]:
+    """(block, start, windows) of the repeated windows of one anchor's distinct blocks, given in the order of their places."""
+    cut = [(0, len(b)) for b in blocks]
+    if len(blocks) > 1 and min(offs) >= 0:
+        right = _reach([b[o:] for b, o in zip(blocks, offs)])
+        left = _reach([b[:o][::-1] for b, o in zip(blocks, offs)])
+        cut = [(o - x, o + y) for o, x, y in zip(offs, left, right)]
+    live = [k for k, (a, b) in enumerate(cut) if b - a >= length]
+    runs: list[list[int]] = []
+    if len(live) > LARGE:
+        seen: set[bytes] = set()
+        some = []
+        for k in live:
+            a, b = cut[k]
+            part = blocks[k][a:b]
+            if part in seen:
+                runs.append([k, a, b - a - length + 1])
+            else:
+                seen.add(part)
+                some.append(k)
+        live = some
+    if live:
+        parts = [blocks[k][cut[k][0]:cut[k][1]] for k in live]
+        find = repeated_windows if sum(map(len, parts)) <= MOST_ORDERED else _by_hashes
+        for i, at in find(parts, length):
+            k = live[i]
+            at += cut[k][0]
+            if runs and runs[-1][0] == k and runs[-1][1] + runs[-1][2] == at:
+                runs[-1][2] += 1
+            else:
+                runs.append([k, at, 1])
+    return [(k, a, n) for k, a, n in runs]
 
 
 def repeated_windows(parts: list[bytes], length: int) -> list[tuple[int, int]]:
@@ -280,17 +389,12 @@ def _ordered(batches: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFr
         g = r[(kind == BLOCK) & fresh]
         if not len(g):
             continue
-        ids, ths, ss, datas, ks = (g[c].tolist() for c in ("doc_id", "th", "s", "data", "k1"))
+        ids, ths, ss, datas, offs, ks = (g[c].tolist() for c in ("doc_id", "th", "s", "data", "off", "k1"))
         rows = []
         lo = 0
         for hi in range(1, len(ks) + 1):
             if hi == len(ks) or ks[hi] != ks[lo]:
-                for part, at in repeated_windows(datas[lo:hi], length):
-                    k = lo + part
-                    if rows and rows[-1][0] == k and rows[-1][1] + rows[-1][2] == at:
-                        rows[-1][2] += 1
-                    else:
-                        rows.append([k, at, 1])
+                rows += [(lo + k, at, n) for k, at, n in gone_runs(datas[lo:hi], offs[lo:hi], length)]
                 lo = hi
         yield pd.DataFrame({"doc_id": np.array([ids[k] for k, _, _ in rows], np.int64), "th": np.array([ths[k] for k, _, _ in rows], np.int32),
                             "s": np.array([ss[k] + at for k, at, _ in rows], np.int32), "n": np.array([m for _, _, m in rows], np.int32)})
@@ -326,9 +430,8 @@ def texts_of(docs: DataFrame) -> DataFrame:
 
 def hot_anchors(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, least: int = HOT_ROWS) -> list[int]:
     """At most ``HOT_ANCHORS`` anchors that a sketch over the blocks of all documents finds ``least`` times or more."""
-    none = np.empty(0, dtype=np.uint64)
-    rows = texts_of(docs).mapInPandas(lambda it: _spans(it, none, length, gram), _ROW)
-    top = rows.where(F.col("kind") == BLOCK).agg(F.expr(f"approx_top_k(k1, {HOT_ANCHORS}, {COUNTERS})").alias("top"))
+    rows = texts_of(docs).mapInPandas(lambda it: _anchors(it, length, gram), "k1 long")
+    top = rows.agg(F.expr(f"approx_top_k(k1, {HOT_ANCHORS}, {COUNTERS})").alias("top"))
     return [r["k"] for r in top.select(F.explode("top").alias("t")).where(f"t.count >= {least}").select(
         F.col("t.item").alias("k")).collect()]
 
@@ -348,7 +451,7 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_ro
     judged = cut_lineage(spans.repartition("k1").sortWithinPartitions(*order).mapInPandas(lambda it: _judge(it, length), _ROW))
     todo = judged.where(F.col("kind") != GONE).groupBy("doc_id", "th").agg(
         F.collect_list(F.struct("kind", "k1", "s", "n")).alias("todo"))
-    pieces = t.join(todo, ["doc_id", "th"]).mapInPandas(lambda it: _cut(it, length), _ROW + ", data binary")
+    pieces = t.join(todo, ["doc_id", "th"]).mapInPandas(lambda it: _cut(it, length, gram), _ROW + ", off int, data binary")
     later = pieces.repartition("k1").sortWithinPartitions(*order).mapInPandas(
         lambda it: _ordered(it, length), "doc_id long, th int, s int, n int")
     gone = judged.where(F.col("kind") == GONE).select("doc_id", "th", "s", "n").unionByName(later)
