@@ -16,8 +16,12 @@ RFC_ZONES = (("GMT", "+0000"), ("UTC", "+0000"), ("UT", "+0000"), ("Z", "+0000")
 
 
 def rfc_normalized(c) -> Column:
-    """Weekday dropped, a trailing zone name replaced by its numeric offset."""
-    s = F.regexp_replace(py_strip(col(c)), f"^[A-Za-z]{{3}},{WS}*", "")
+    """Weekday and trailing comment dropped, seconds and century filled in, a zone name replaced by its numeric offset."""
+    s = F.regexp_replace(py_strip(col(c)), f"^[A-Za-z]{{3}},{WS}*|{WS}*\\([^()]*\\)$", "")
+    s = F.regexp_replace(s, f"{WS}+", " ")
+    s = F.regexp_replace(s, "^(\\d{1,2} [A-Za-z]{3}) ([0-4]\\d) ", "$1 20$2 ")
+    s = F.regexp_replace(s, "^(\\d{1,2} [A-Za-z]{3}) ([5-9]\\d) ", "$1 19$2 ")
+    s = F.regexp_replace(s, "^(\\d{1,2} [A-Za-z]{3} \\d{4} \\d{2}:\\d{2}) ", "$1:00 ")
     for name, off in RFC_ZONES:
         s = F.regexp_replace(s, f" {name}$", f" {off}")
     return s
@@ -33,6 +37,11 @@ def iso_to_timestamp(c) -> Column:
     return F.try_to_timestamp(col(c))
 
 
+def feed_timestamp(c) -> Column:
+    """A feed entry's date in either of the two usual forms."""
+    return F.coalesce(rfc2822_to_timestamp(c), iso_to_timestamp(c))
+
+
 def epoch_seconds(ts) -> Column:
     return F.unix_timestamp(col(ts)).cast("bigint")
 

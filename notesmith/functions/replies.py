@@ -23,6 +23,8 @@ DEEP_ASSUMPTIONS = "**前提假设:**\n"
 DEEP_POSITION = "**作者立场:** "
 DEEP_CONCEPTS = "**核心概念:**\n"
 L1_ERROR_SCORE = 5
+#: Scores beyond an int are held at its ends (they rank and tier as the largest and smallest do).
+MAX_SCORE = (1 << 31) - 1
 THINK_BLOCK = f"(?s)<think\\b[^>]*>.*?</think{WS}*>"
 
 
@@ -77,7 +79,8 @@ def score_from(raw, error, js, v, sv, num) -> Column:
             .when(col(js).isNull(), F.lit(0))
             .when(col(v).isNull(), F.lit(L1_ERROR_SCORE))
             .when(col(sv).isNull(), F.lit(0))
-            .otherwise(F.coalesce(col(num), F.lit(L1_ERROR_SCORE)))).cast("int")
+            .otherwise(F.greatest(F.lit(-MAX_SCORE), F.least(F.lit(MAX_SCORE), F.coalesce(col(num), F.lit(L1_ERROR_SCORE)))))
+            ).cast("int")
 
 
 def l1_ok_from(raw, error, js, v, sv, num) -> Column:

@@ -109,15 +109,18 @@ def remove_footer(c, greedy: bool = False) -> Column:
 
 
 def sender_name(from_header) -> Column:
-    """O-F19 display name ('' for a bare address)."""
-    return F.regexp_extract(col(from_header), f'^{WS}*"?(.*?)"?{WS}*<([^>]+)>', 1)
+    """O-F19 display name: before <..>, or a comment behind a bare address ('' for an address alone)."""
+    f = col(from_header)
+    return F.when(F.contains(f, F.lit("<")), F.regexp_extract(f, f'^{WS}*"?(.*?)"?{WS}*<([^>]+)>', 1)).otherwise(
+        F.regexp_extract(f, f"\\(([^()]*)\\){WS}*$", 1))
 
 
 def sender_address(from_header) -> Column:
     """O-F19 lower-case address: inside <..> when present, else the bare header."""
     f = col(from_header)
     inner = F.regexp_extract(f, r"<([^>]+)>", 1)
-    return F.lower(F.when(F.length(inner) > 0, inner).otherwise(py_strip(f)))
+    return F.lower(F.when(F.length(inner) > 0, inner).otherwise(
+        py_strip(F.regexp_replace(f, f"\\([^()]*\\){WS}*$", ""))))
 
 
 def message_id_hash(message_id, subject, date_header, from_header) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from notesmith.functions.urls import url_hash
+from notesmith.session import path_exists
 
 
 def with_url_hash(df: DataFrame, url_col: str = "url", out: str = "url_hash") -> DataFrame:
@@ -57,11 +58,9 @@ def append_seen(new: DataFrame, store_path: str, as_of: str) -> DataFrame:
     """O-K2 insert-or-ignore: anti-join on the stored keys, then one append per run."""
     spark = new.sparkSession
     recs = seen_records(new, as_of)
-    try:
+    if path_exists(spark, store_path):  # the first run has no store; an unreadable one is an error
         existing = spark.read.parquet(store_path)
         recs = recs.join(existing.select("url_hash"), "url_hash", "left_anti")
-    except Exception:  # first run: no store yet
-        pass
     recs.write.mode("append").parquet(store_path)
     return recs
 

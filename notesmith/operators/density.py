@@ -200,8 +200,8 @@ def components(nodes: DataFrame, edges: DataFrame, id_col: str = "vec_id", max_r
         changed = new.join(lab, ["v", "comp"], "left_anti").limit(1).count()
         lab = new
         if changed == 0:
-            break
-    return lab.select(F.col("v").alias(id_col), "comp")
+            return lab.select(F.col("v").alias(id_col), "comp")
+    raise RuntimeError(f"components did not converge in {max_rounds} rounds")
 
 
 def fixed_cut_labels(points: DataFrame, min_samples: int = 2, min_cluster_size: int = 3, quantile: float = 0.5,
@@ -281,6 +281,8 @@ def mutual_reachability_mst(points: DataFrame, core: DataFrame, id_col: str = "v
                           .drop("comp").withColumnRenamed("nc", "comp"))
         if pts.select("comp").distinct().limit(2).count() < 2:
             break
+    else:
+        raise RuntimeError(f"the spanning tree was not complete after {max_rounds} rounds")
     return mst
 
 

@@ -70,12 +70,14 @@ def apply_l2(articles: DataFrame, replies: DataFrame, key: str = "ord") -> DataF
              .drop("_raw", "_error", "_s"))
 
 
+def deep_condition(min_score: int = 7, enabled: bool = True, compressed_max: int = 6):
+    """O-P6: score >= min_score and tier detailed (score > compressed_max), written as one bound on the score."""
+    return F.col("relevance_score") >= max(min_score, compressed_max + 1) if enabled else F.lit(False)
+
+
 def deep_gate(df: DataFrame, min_score: int = 7, enabled: bool = True, compressed_max: int = 6) -> DataFrame:
-    """O-P6: rows that get the deep analysis: score >= min_score and tier detailed
-    (score > compressed_max), written as one bound on the score."""
-    if not enabled:
-        return df.where(F.lit(False))
-    return df.where(F.col("relevance_score") >= max(min_score, compressed_max + 1))
+    """Rows that get the deep analysis."""
+    return df.where(deep_condition(min_score, enabled, compressed_max))
 
 
 def analyze_l3(gated: DataFrame, replies: DataFrame, key: str = "ord") -> DataFrame:
@@ -89,14 +91,17 @@ def analyze_l3(gated: DataFrame, replies: DataFrame, key: str = "ord") -> DataFr
 def overlay_l3(articles: DataFrame, replies: DataFrame, key: str = "ord", min_score: int = 7,
                enabled: bool = True) -> DataFrame:
     """O-J7: left join of the L3 results; rows outside the gate or with a failed reply keep their values."""
-    res = analyze_l3(deep_gate(articles, min_score, enabled), replies, key).where("_a.ok")
+    # Replies are parsed by themselves and joined once; the gate is part of the condition, so articles are read once.
+    parsed = replies.select(key, F.col("raw").alias("_raw"), F.col("error").alias("_error"))
+    parsed = parsed.withColumn("_js", R.extract_greedy_json("_raw")).withColumn("_v", F.try_parse_json("_js"))
+    res = parsed.select(key, R.analysis_fields("_raw", "_error", "_js", "_v").alias("_a")).where("_a.ok")
     base = articles
     for c, default in (("l3_concepts", F.array().cast(R.CONCEPTS_TYPE)), ("l3_structure_type", F.lit("")),
                        ("l3_key_insight", F.lit("")), ("content_deep", F.lit(""))):
         if c not in base.columns:
             base = base.withColumn(c, default)
     j = base.join(res, key, "left")
-    hit = F.col("_a").isNotNull()
+    hit = F.col("_a").isNotNull() & deep_condition(min_score, enabled)
     return (j.withColumn("l3_concepts", F.when(hit, F.col("_a.concepts")).otherwise(F.col("l3_concepts")))
              .withColumn("l3_structure_type", F.when(hit, F.col("_a.structure_type")).otherwise(F.col("l3_structure_type")))
              .withColumn("l3_key_insight", F.when(hit, F.col("_a.key_insight")).otherwise(F.col("l3_key_insight")))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from notesmith.functions.text import topic_slug, wikilink
-from notesmith.operators.notes import yaml_quoted
+from notesmith.operators.notes import resolve_collisions, yaml_quoted
 
 # Page headings and labels of the topic pages and the index.
 INDEX_TITLE = "知识地图总览"
@@ -21,6 +21,7 @@ TOPIC_LIST_HEADING = "## 文章列表\n"
 INDEX_OVERVIEW_HEADING = "## 主题概览\n"
 INDEX_TABLE_HEAD = "| 主题 | 文章数 | 核心标签 |"
 INDEX_TABLE_RULE = "|------|--------|----------|"
+INDEX_PAGE = "MOC-Index.md"
 TOP_PER_TOPIC = 5
 
 
@@ -37,8 +38,8 @@ def _tags_yaml(tags: Column) -> Column:
         F.transform(tags, lambda t: F.concat(F.lit("- "), yaml_quoted(t))), "\n"))).otherwise(F.lit("tags: []"))
 
 
-def moc_link(name) -> Column:
-    return F.concat(F.lit("[[MOC-"), topic_slug(name), F.lit("|"), name, F.lit("]]"))
+def moc_link(name, page) -> Column:
+    return F.concat(F.lit("[["), F.regexp_replace(page, r"\.md$", ""), F.lit("|"), name, F.lit("]]"))
 
 
 def member_line(m: DataFrame) -> Column:
@@ -51,10 +52,21 @@ def member_line(m: DataFrame) -> Column:
                         F.transform(F.slice(tags, 1, 3), lambda t: F.concat(F.lit("#"), t)), " "))).otherwise(F.lit("")))
 
 
+def with_pages(topics: DataFrame) -> DataFrame:
+    """``topics`` with ``page``, its file name: 'MOC-slug.md', and by the rule of note names (O-W4) 'MOC-slug-1.md' ... where
+    topics share a slug, in the order of their ids."""
+    if "page" in topics.columns:
+        return topics
+    named = topics.select("topic_id", F.lit("").alias("dir"), F.concat(F.lit("MOC-"), topic_slug("name"), F.lit(".md")).alias("filename"))
+    pages = resolve_collisions(named, key="topic_id").select("topic_id", F.col("filename").alias("page"))
+    return topics.join(pages, "topic_id")
+
+
 def topic_pages(topics: DataFrame, members: DataFrame, as_of: str) -> DataFrame:
     """O-G3: one page per topic: frontmatter (sorted keys), heading, counts, core tags, members by
     relevance (desc, stable in note order) with source and three tags."""
-    page = F.concat(F.lit("MOC-"), topic_slug("name"), F.lit(".md"))
+    topics = with_pages(topics)
+    page = F.col("page")
     core = F.coalesce(F.col("core_tags"), F.array().cast("array<string>"))
     fm = F.concat_ws("\n", F.concat(F.lit("article_count: "), F.col("size").cast("string")),
                      F.lit("auto_generated: true"), F.concat(F.lit("generated: "), yaml_quoted(F.lit(as_of))),
@@ -82,6 +94,7 @@ def topic_pages(topics: DataFrame, members: DataFrame, as_of: str) -> DataFrame:
 def topic_index(topics: DataFrame, members: DataFrame, as_of: str) -> DataFrame:
     """O-G4 (+O-A5, O-W6): totals, a table row per topic (three tags), then per topic its five most
     relevant notes and an 'n more' line. Rows are (sec, k1, k2, line) of the single index page."""
+    topics = with_pages(topics)
     totals = topics.agg(F.count(F.lit(1)).cast("long").alias("n"), F.coalesce(F.sum("size"), F.lit(0)).cast("long")
                         .alias("total"))
     fm = F.concat_ws("\n", F.lit("auto_generated: true"), F.concat(F.lit("generated: "), yaml_quoted(F.lit(as_of))),
@@ -98,11 +111,11 @@ def topic_index(topics: DataFrame, members: DataFrame, as_of: str) -> DataFrame:
     head = totals.select(F.explode(F.array(*[_chunk("", 0, i, 0, ln) for i, ln in enumerate(head_lines)])).alias("c"))
     core = F.coalesce(F.col("core_tags"), F.array().cast("array<string>"))
     table = topics.select(_chunk("", 1, F.col("topic_order"), 0, F.concat(
-        F.lit("| "), moc_link(F.col("name")), F.lit(" | "), F.col("size").cast("string"), F.lit(" | "),
+        F.lit("| "), moc_link(F.col("name"), F.col("page")), F.lit(" | "), F.col("size").cast("string"), F.lit(" | "),
         F.array_join(F.transform(F.slice(core, 1, 3), lambda t: F.concat(F.lit("#"), t)), ", "), F.lit(" |"))).alias("c"))
     gap = totals.select(_chunk("", 2, 0, 0, F.lit("")).alias("c"))
     sections = topics.select(F.explode(F.concat(
-        F.array(_chunk("", 3, F.col("topic_order"), 0, F.concat(F.lit("## "), moc_link(F.col("name")), F.lit("\n")))),
+        F.array(_chunk("", 3, F.col("topic_order"), 0, F.concat(F.lit("## "), moc_link(F.col("name"), F.col("page")), F.lit("\n")))),
         F.when(F.col("size") > TOP_PER_TOPIC, F.array(_chunk(
             "", 3, F.col("topic_order"), TOP_PER_TOPIC + 1,
             F.concat(F.lit("- *...还有 "), (F.col("size") - TOP_PER_TOPIC).cast("string"), F.lit(" 篇文章*")))))
@@ -118,6 +131,11 @@ def topic_index(topics: DataFrame, members: DataFrame, as_of: str) -> DataFrame:
     return out.select("c.sec", "c.k1", "c.k2", "c.line")
 
 
+def index_page(index: DataFrame) -> DataFrame:
+    """The index rows as chunks of its page, ready for ``write_pages``."""
+    return index.withColumn("page", F.lit(INDEX_PAGE))
+
+
 def write_pages(chunks: DataFrame, path: str) -> None:
     """O-K3: chunks range-partitioned by (page, keys) so a big page spans several ordered part files."""
     (chunks.repartitionByRange("page", "sec", "k1", "k2").sortWithinPartitions("page", "sec", "k1", "k2")

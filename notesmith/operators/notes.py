@@ -15,6 +15,7 @@ from notesmith.functions.common import col
 from notesmith.functions.dates import utc_date_label
 from notesmith.functions.text import note_filename, word_count
 from notesmith.operators.ranking import balanced_row_number
+from notesmith.session import cut_lineage, path_exists
 
 # Vault folder per source, section headings of a note.
 SOURCE_DIRS = {"rss": "2-Articles", "web_url": "2-Articles", "feishu": "2-Articles", "github": "3-GitHub",
@@ -120,7 +121,9 @@ def resolve_collisions(notes: DataFrame, existing: DataFrame | None = None, key:
     notes (value r) are ordered together, existing first on ties. Only row numbers per family (balanced
     when one family, e.g. 'untitled', holds most notes), never pairs.
     """
-    n = notes.withColumn("_stem", F.regexp_extract("filename", r"^(.*)\.md$", 1))
+    # Only the names are numbered; they are written once, so the (wide) notes are not evaluated per number.
+    names = cut_lineage(notes.select(key, "dir", "filename"))
+    n = names.withColumn("_stem", F.regexp_extract("filename", r"^(.*)\.md$", 1))
     fam = ["dir", "_stem"]
     n = balanced_row_number(n, fam, [key], "_val").withColumn("_val", F.col("_val") - 1)
     parts = [n.select("dir", "_stem", "_val", F.lit(1).alias("_new"), F.col(key).alias("_k"))]
@@ -140,7 +143,8 @@ def resolve_collisions(notes: DataFrame, existing: DataFrame | None = None, key:
     out = n.join(u.select(F.col("_k").alias(key), "dir", "_slot"), [key, "dir"], "inner")
     name = F.when(F.col("_slot") == 0, F.col("filename")).otherwise(
         F.concat(F.col("_stem"), F.lit("-"), F.col("_slot").cast("string"), F.lit(".md")))
-    return out.withColumn("filename", name).drop("_stem", "_val", "_slot")
+    found = out.select(F.col(key), "dir", name.alias("filename"))
+    return notes.drop("filename").join(found, [key, "dir"], "inner").select(*notes.columns)
 
 
 def render_notes(articles: DataFrame, as_of: str, existing: DataFrame | None = None, key: str = "ord") -> DataFrame:
@@ -151,11 +155,22 @@ def render_notes(articles: DataFrame, as_of: str, existing: DataFrame | None = N
     return r.withColumn("content", note_content(as_of))
 
 
+def stored_names(spark, path: str, run: str | None = None) -> DataFrame | None:
+    """dir, filename of the notes that runs other than ``run`` have written; None where nothing is stored yet."""
+    if not path_exists(spark, path):
+        return None
+    t = spark.read.parquet(path)
+    if run is not None:
+        t = t.where(F.col("run") != run)
+    return t.select(F.concat(F.col("sub").cast("string"), F.lit("/"), F.col("leaf").cast("string")).alias("dir"), "filename")
+
+
 def write_notes(rendered: DataFrame, path: str, run: str) -> None:
     """O-K1: one parquet dataset partitioned by run and folder (folder pruning on read).
 
-    Dynamic partition overwrite makes a rerun of the same run replace its own partitions instead of
-    appending the notes twice (e.g. after a failure between this write and the seen-store append)."""
+    ``run`` names one ingest, not a day: two runs of a day keep both their notes. Dynamic partition overwrite makes a
+    rerun under the same name replace its own partitions instead of appending the notes twice (e.g. after a failure
+    between this write and the seen-store append)."""
     (rendered.withColumn("run", F.lit(run))
      .withColumn("sub", F.split("dir", "/").getItem(0)).withColumn("leaf", F.split("dir", "/").getItem(1))
      .select("run", "sub", "leaf", "filename", "note_path", "content", "title", "tags", "relevance_score",

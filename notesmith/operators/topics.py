@@ -127,6 +127,8 @@ def greedy_tag_topics(notes: DataFrame, min_size: int = 3, max_rounds: int = 10_
         state = cut_lineage(state)  # one row per tag: a cheap cut that keeps every round's plan small
         if state.where("state = 'und'").limit(1).count() == 0:
             break
+    else:
+        raise RuntimeError(f"tags are undecided after {max_rounds} rounds")
     acc = sized_broadcast(state.where("state = 'acc'").select("tag", "rank"))
     best = e.join(acc, ["tag", "rank"], "inner").groupBy("ord").agg(F.min("rank").alias("rank"))  # O-J9
     members = best.join(acc, "rank", "inner").join(notes, "ord", "inner")

@@ -250,6 +250,7 @@ def flagship(spark, sf):
 
 AS_OF = "2026-05-10"
 WHITELIST = ("src1.example.com", "News@src2.example.com", "SRC5", "c7.example.com")
+#: Only the queries about the caps themselves cut their tables (the newest messages, the first repos of a list).
 MAX_EMAILS = 100
 MAX_REPOS = 500
 RUN_LIMIT = 50
@@ -272,9 +273,9 @@ def build_sources(spark, sf, as_of: str = AS_OF) -> dict:
         "rss": lambda: A.feed_articles(derived(spark, sf, "feed_entries"), derived(spark, sf, "feeds")),
         "url": lambda: A.page_articles(_pages(spark, sf)),
         "feishu": lambda: A.doc_articles(derived(spark, sf, "docs_export")),
-        "github": lambda: A.repo_articles(derived(spark, sf, "repos"), as_of, MAX_REPOS),
+        "github": lambda: A.repo_articles(derived(spark, sf, "repos"), as_of),
         "email": lambda: A.message_articles(A.messages_from_flat(derived(spark, sf, "messages_flat")),
-                                            WHITELIST, MAX_EMAILS),
+                                            WHITELIST),
     }
 
 
@@ -283,8 +284,8 @@ _ALL_SOURCES = ("rss", "url", "feishu", "github", "email")
 
 def _duck_all_sources() -> str:
     return " UNION ALL ".join(f"({q})" for q in (
-        D.feed_articles(), D.page_articles(), D.doc_articles(), D.repo_articles(AS_OF, MAX_REPOS),
-        D.message_articles(WHITELIST, MAX_EMAILS)))
+        D.feed_articles(), D.page_articles(), D.doc_articles(), D.repo_articles(AS_OF),
+        D.message_articles(WHITELIST)))
 
 
 _SRC_CTES = D.with_ctes("feeds", "feed_entries", "docs_export", "repos", "messages_flat")
@@ -321,7 +322,7 @@ def q_feed_articles(spark, sf):
     return _flat(build_sources(spark, sf)["rss"]())
 
 
-@register("newsletter_articles", D.with_ctes("messages_flat") + _duck_flat(D.message_articles(WHITELIST, MAX_EMAILS)))
+@register("newsletter_articles", D.with_ctes("messages_flat") + _duck_flat(D.message_articles(WHITELIST)))
 def q_newsletter_articles(spark, sf):
     return _flat(build_sources(spark, sf)["email"]())
 
@@ -358,7 +359,13 @@ def q_newest_messages(spark, sf):
     return A.newest(derived(spark, sf, "messages_flat"), MAX_EMAILS).select("ord", "subject")
 
 
-@register("repo_articles", D.with_ctes("repos") + _duck_flat(D.repo_articles(AS_OF, MAX_REPOS)))
+@register("newest_repos", D.with_ctes("repos") + _duck_flat(D.repo_articles(AS_OF, MAX_REPOS)))
+def q_newest_repos(spark, sf):
+    """O-O5: the listing cap, in list order and before any filter."""
+    return _flat(A.repo_articles(derived(spark, sf, "repos"), AS_OF, MAX_REPOS))
+
+
+@register("repo_articles", D.with_ctes("repos") + _duck_flat(D.repo_articles(AS_OF)))
 def q_repo_articles(spark, sf):
     return _flat(build_sources(spark, sf)["github"]())
 
@@ -917,18 +924,31 @@ def _d_tag_text(tags: str) -> str:
     return f"CASE WHEN len(coalesce({tags}, CAST([] AS VARCHAR[]))) > 0 THEN array_to_string({tags}, ', ') ELSE 'none' END"
 
 
+def _d_filled(template: str, **fields: str) -> str:
+    """SQL of a prompt template: literal pieces and field expressions in turn."""
+    out, rest = [], template
+    while rest:
+        head, brace, rest = rest.partition("{")
+        if head:
+            out.append("'" + head.replace("'", "''") + "'")
+        if brace:
+            name, _, rest = rest.partition("}")
+            out.append(f"({fields[name]})")
+    return " || ".join(out)
+
+
 def _d_prompts() -> str:
-    nl = "chr(10)"
     c = "coalesce(content_raw, '')"
-    l1 = (f"'Title: ' || title || {nl} || 'Source: ' || coalesce(source_name, '') || {nl} || 'Content (first 2000 chars):' "
-          f"|| {nl} || CASE WHEN length({c}) > 0 THEN substr({c}, 1, 2000) ELSE title END || {nl}")
-    l2 = (f"'Title: ' || title || {nl} || 'Tags: ' || {_d_tag_text('tags')} || {nl} || 'Content:' || {nl} || "
-          f"CASE WHEN content_tier = 'detailed' THEN {D.truncate_with_marker(c, 2 * MAX_TOKENS)} "
-          f"ELSE {D.truncate_with_marker(c, 3 * MAX_TOKENS)} END || {nl}")
+    l1 = _d_filled(INF.PROMPTS["l1"], title="title", source="coalesce(source_name, '')",
+                   content=f"CASE WHEN length({c}) > 0 THEN substr({c}, 1, 2000) ELSE title END")
+    tags = _d_tag_text("tags")
+    long = _d_filled(INF.PROMPTS["l2_detailed"], title="title", tags=tags, content=D.truncate_with_marker(c, 2 * MAX_TOKENS))
+    short = _d_filled(INF.PROMPTS["l2"], title="title", tags=tags, content=D.truncate_with_marker(c, 3 * MAX_TOKENS))
+    l2 = f"CASE WHEN content_tier = 'detailed' THEN {long} ELSE {short} END"
     s = "coalesce(content_summary, '')"
-    l3 = (f"'Title: ' || title || {nl} || 'Tags: ' || {_d_tag_text('tags')} || {nl} || 'Summary: ' || "
-          f"CASE WHEN length({s}) > 0 THEN substr({s}, 1, 500) ELSE 'N/A' END || {nl} || {nl} || 'Content:' || {nl} || "
-          f"{D.truncate_with_marker(c, 2 * MAX_TOKENS, chr(10) + '[...truncated for analysis]')} || {nl}")
+    l3 = _d_filled(INF.PROMPTS["l3"], title="title", tags=tags,
+                   summary=f"CASE WHEN length({s}) > 0 THEN substr({s}, 1, 500) ELSE 'N/A' END",
+                   content=D.truncate_with_marker(c, 2 * MAX_TOKENS, chr(10) + "[...truncated for analysis]"))
     return f"SELECT doc_id, {l1} AS l1_prompt, {l2} AS l2_prompt, {l3} AS l3_prompt FROM ({_D_RL2})"
 
 
@@ -989,7 +1009,19 @@ def offline_scorer(prompts: list[str]) -> list[str]:
     return out
 
 
-@register("batch_inference", None)
+def _d_batch_inference() -> str:
+    """The offline scorer in SQL: words of the prompt, then the score, tier and tag they give."""
+    prompt = _d_filled(INF.PROMPTS["l1"], title="title", source="coalesce(source_name, '')", content=
+                       "CASE WHEN length(coalesce(content_raw, '')) > 0 THEN substr(coalesce(content_raw, ''), 1, 2000) ELSE title END")
+    words = rf"len(regexp_extract_all({prompt}, '[^{D.WS_CHARS}]+'))"
+    return f"""
+SELECT doc_id, CAST(score AS INTEGER) AS relevance_score,
+       CASE WHEN score <= 3 THEN 'discard' WHEN score <= 6 THEN 'compressed' ELSE 'detailed' END AS content_tier,
+       'w' || CAST(n % 3 AS VARCHAR) AS tags
+FROM (SELECT doc_id, n, 1 + n % 10 AS score FROM (SELECT doc_id, {words} AS n FROM ({_D_RBASE})))"""
+
+
+@register("batch_inference", _RENDER_CTES + _d_batch_inference())
 def q_batch_inference(spark, sf):
     """O-M1 end to end over all documents: prompt columns -> Arrow batches -> callable -> native parse."""
     base = _render_base(spark, sf)

@@ -8,13 +8,16 @@ so a failed write never marks URLs as seen), with stage counts gathered by
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from notesmith.functions.urls import url_hash
-from notesmith.operators import dedup, levels, notes
+from notesmith.operators import dedup, inference, levels, notes
+from notesmith.session import cut_lineage
 
 
 @dataclass
@@ -32,9 +35,11 @@ class IngestStages:
 def plan_ingest(articles: DataFrame, replies: dict[str, DataFrame] | None, as_of: str, seen: DataFrame | None = None,
                 key: str = "ord", limit: int | None = None, dry_run: bool = False,
                 existing_notes: DataFrame | None = None, l3_enabled: bool = True, l3_min_score: int = 7,
-                discard_max: int = 3, compressed_max: int = 6) -> IngestStages:
-    """Build the stage DataFrames. ``replies`` maps 'l1'/'l2'/'l3' to reply tables (key, raw, error),
-    e.g. the output of ``notesmith.operators.inference.call_model``."""
+                discard_max: int = 3, compressed_max: int = 6, models: dict[str, Callable] | None = None,
+                max_tokens: int = 4000) -> IngestStages:
+    """Build the stage DataFrames. ``replies`` maps 'l1'/'l2'/'l3' to reply tables (key, raw, error), e.g. the output of
+    ``notesmith.operators.inference.call_model``. With ``models`` (a callable per level) instead, each level is
+    asked in turn, once per article, and only for the articles that its filter has kept; these calls run at once."""
     limited = articles.orderBy(key).limit(limit) if limit else articles  # O-O1, before dedup
     hashed = limited.withColumn("url_hash", url_hash("url"))
     obs_in, obs_new, obs_l1 = Observation("dedup_in"), Observation("dedup_new"), Observation("l1")
@@ -44,16 +49,26 @@ def plan_ingest(articles: DataFrame, replies: dict[str, DataFrame] | None, as_of
         new = dedup.drop_seen(new, seen)  # O-J1
     new = new.observe(obs_new, F.count(F.lit(1)).alias("new"))
     st = IngestStages(fetched=articles, limited=limited, new=new, counters=[obs_in, obs_new])
-    if dry_run or replies is None:
+    if dry_run or (replies is None and models is None):
         return st
-    l1 = levels.assign_tiers(levels.apply_l1(new, replies["l1"], key), discard_max, compressed_max)
+    if models is not None:
+        new = cut_lineage(new)
+        st.new = new
+
+    def replied(level: str, rows: DataFrame, prompt) -> DataFrame:
+        if models is None:
+            return replies[level]
+        return inference.call_model(rows.select(key, prompt.alias("prompt")), models[level], key, level=level)
+
+    l1 = levels.assign_tiers(levels.apply_l1(new, replied("l1", new, inference.l1_prompt()), key), discard_max, compressed_max)
     passed = F.col("relevance_score") > max(0, discard_max)
     l1 = l1.observe(obs_l1, F.count(F.lit(1)).alias("l1_in"), F.sum(passed.cast("long")).alias("l1_passed"),
                     F.sum((~passed).cast("long")).alias("l1_discarded"))
     st.counters.append(obs_l1)
     st.l1_passed = levels.tier_filter(l1, discard_max)
-    st.l2 = levels.apply_l2(st.l1_passed, replies["l2"], key)
-    st.final = levels.overlay_l3(st.l2, replies["l3"], key, l3_min_score, l3_enabled)
+    st.l2 = levels.apply_l2(st.l1_passed, replied("l2", st.l1_passed, inference.l2_prompt(max_tokens)), key)
+    deep = levels.deep_gate(st.l2, l3_min_score, l3_enabled)
+    st.final = levels.overlay_l3(st.l2, replied("l3", deep, inference.l3_prompt(max_tokens)), key, l3_min_score, l3_enabled)
     st.rendered = notes.render_notes(st.final, as_of, existing_notes, key)
     return st
 
@@ -71,12 +86,16 @@ def funnel_counts(st: IngestStages) -> DataFrame:
     return out
 
 
-def write(st: IngestStages, notes_path: str, seen_path: str, as_of: str) -> dict:
-    """Write notes (O-K1), then append the new URLs to the seen-store (O-K2); returns run stats."""
+def write(st: IngestStages, notes_path: str, seen_path: str, as_of: str, run: str | None = None) -> dict:
+    """Write notes (O-K1), then append the new URLs to the seen-store (O-K2); returns run stats, with the run's name.
+
+    Plan with ``existing_notes=notes.stored_names(spark, notes_path, run)`` so that names go on from what is stored. To
+    repeat a run that failed between the two writes, pass its name."""
+    run = run or f"{as_of}-{uuid.uuid4().hex[:12]}"
     obs = Observation("ingest")
     rendered = st.rendered.observe(obs, F.count(F.lit(1)).alias("written"))
-    notes.write_notes(rendered, notes_path, as_of)
-    stats = {"written": int(obs.get.get("written", 0)), "errors": 0}
+    notes.write_notes(rendered, notes_path, run)
+    stats = {"written": int(obs.get.get("written", 0)), "errors": 0, "run": run}
     for o in st.counters or []:
         stats.update({k: int(v or 0) for k, v in o.get.items()})
     stats["duplicates"] = stats.get("in", 0) - stats.get("new", 0)

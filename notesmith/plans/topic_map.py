@@ -47,4 +47,5 @@ def plan_topic_map(notes: DataFrame, as_of: str, embed_fn: Callable | None = Non
         t, m = topics.assemble_topics(notes, labels)
     else:
         t, m = topics.greedy_tag_topics(notes, min_cluster_size)
+    t = maps.with_pages(t)
     return TopicMap(t, m, maps.topic_pages(t, m, as_of), maps.topic_index(t, m, as_of), use_vectors)

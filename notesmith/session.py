@@ -60,6 +60,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, on any file system Spark reads; other failures are raised."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Cut lineage with a table written to the shared checkpoint folder and read back.
 

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from notesmith.functions.urls import url_hash
 from notesmith.operators import dedup
+from notesmith.session import path_exists
 
 STORE_SCHEMA = T.StructType([
     T.StructField("url_hash", T.StringType()), T.StructField("url", T.StringType()),
@@ -23,10 +24,9 @@ STORE_SCHEMA = T.StructType([
 
 
 def _store(spark: SparkSession, path: str) -> DataFrame:
-    try:
+    if path_exists(spark, path):
         return spark.read.schema(STORE_SCHEMA).parquet(path)
-    except Exception:  # noqa: BLE001 - no store yet
-        return spark.createDataFrame([], STORE_SCHEMA)
+    return spark.createDataFrame([], STORE_SCHEMA)
 
 
 def ingest_new(batch: DataFrame, store_path: str, out_path: str, as_of: str, batch_id: int = 0) -> None:

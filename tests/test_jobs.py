@@ -2,8 +2,10 @@
 
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
+from notesmith.operators import dedup, notes
 from notesmith.plans import catalog as C
 from notesmith.plans import ingest, topic_map
 from notesmith.streaming import incremental
@@ -16,6 +18,13 @@ def _articles(spark, rows):
     return spark.createDataFrame(rows, ARTICLE_SCHEMA)
 
 
+def _whole_articles(spark, rows):
+    """With the columns that prompts and notes read."""
+    return _articles(spark, rows).withColumns({
+        "source_name": F.lit("feed"), "author": F.lit("a"), "published_at": F.lit(None).cast("timestamp"),
+        "language": F.lit(""), "tags": F.array().cast("array<string>")})
+
+
 def test_ingest_dry_run_and_limit(spark):
     rows = [(i, f"https://e.com/{i}", f"T{i}", "text", "rss", f"h{i}") for i in range(3)]
     st = ingest.plan_ingest(_articles(spark, rows), None, "2026-05-10", dry_run=True)
@@ -100,7 +109,50 @@ def test_replayed_batch_and_rerun_write_are_idempotent(spark, tmp_path):
     assert spark.read.parquet(out).count() == 2 and spark.read.parquet(store).count() == 2
     st = C._ingest_stages(spark, SF001)
     notes_path = str(tmp_path / "notes")
-    ingest.write(st, notes_path, str(tmp_path / "seen2"), "2026-05-10")
+    ingest.write(st, notes_path, str(tmp_path / "seen2"), "2026-05-10", run="r1")
     first = spark.read.parquet(notes_path).count()
-    ingest.write(C._ingest_stages(spark, SF001), notes_path, str(tmp_path / "seen2"), "2026-05-10")
+    ingest.write(C._ingest_stages(spark, SF001), notes_path, str(tmp_path / "seen2"), "2026-05-10", run="r1")
     assert spark.read.parquet(notes_path).count() == first
+
+
+def _scored(spark, rows):
+    df = _whole_articles(spark, rows)
+    replies = df.select("ord", F.lit('{"relevance_score": 5}').alias("raw"), F.lit(None).cast("string").alias("error"))
+    return df, {"l1": replies, "l2": replies.withColumn("raw", F.lit("short")), "l3": replies}
+
+
+def test_two_runs_of_a_day_keep_both_and_names_go_on(spark, tmp_path):
+    path, seen = str(tmp_path / "notes"), str(tmp_path / "seen")
+    for k in (1, 2):
+        df, replies = _scored(spark, [(k, f"https://a.com/{k}", "Same title", "x", "rss", f"h{k}")])
+        st = ingest.plan_ingest(df, replies, "2026-05-10", existing_notes=notes.stored_names(spark, path))
+        assert ingest.write(st, path, seen, "2026-05-10")["written"] == 1
+    names = sorted(r["filename"] for r in spark.read.parquet(path).collect())
+    assert len(names) == 2 and names[0][:-3].rstrip("-1") == names[1][:-3].rstrip("-1") and sum("-1.md" in n for n in names) == 1
+
+
+def test_an_unreadable_store_is_an_error(spark, tmp_path):
+    store = tmp_path / "seen"
+    store.mkdir()
+    (store / "part-0.parquet").write_text("not parquet")
+    df, replies = _scored(spark, [(1, "https://a.com/1", "T", "x", "rss", "h")])
+    new = ingest.plan_ingest(df, replies, "2026-05-10").new
+    with pytest.raises(Exception):
+        dedup.append_seen(new, str(store), "2026-05-10").count()
+
+
+def test_models_are_asked_once_per_kept_article(spark):
+    asked = {k: spark.sparkContext.accumulator(0) for k in ("l1", "l2", "l3")}
+
+    def model(level, reply):
+        def fn(prompts):
+            asked[level].add(len(prompts))
+            return [reply(p) for p in prompts]
+        return fn
+
+    df = _whole_articles(spark, [(i, f"https://a.com/{i}", f"T{i % 4}", "text", "rss", f"h{i}") for i in range(20)])
+    score = lambda p: '{"relevance_score": %d}' % {"T0": 2, "T1": 5, "T2": 8, "T3": 9}[p.split("Article: ")[1][:2]]
+    st = ingest.plan_ingest(df, None, "2026-05-10", models={"l1": model("l1", score), "l2": model("l2", lambda p: "short"),
+                                                            "l3": model("l3", lambda p: "{}")})
+    assert st.rendered.count() == 15 and st.final.count() == 15
+    assert {k: a.value for k, a in asked.items()} == {"l1": 20, "l2": 15, "l3": 10}
