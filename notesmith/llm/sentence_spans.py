@@ -6,9 +6,9 @@ more with ``MIN_WORDS`` words or more that starts there, and the shortest that e
 are functions of the run's own words, so equal passages give equal runs wherever they stand, and the two directions
 cover a repeated passage to both of its ends.
 
-Runs meet globally by hash. The smallest (doc_id, start) is the first; the sentences of all others are removed. Hashes
-that a bounded frequent-items sketch names are settled against a broadcast table of their verified firsts on the
-map side, so a run that a third of all documents share never meets one task; all others go through one shuffle.
+Runs are first collapsed inside each batch of documents: what is not first there is not first anywhere, so a run that a
+third of all documents share sends one row per batch. What is left meets globally by hash in one shuffle. The smallest
+(doc_id, start) is the first; the sentences of all others are removed.
 """
 
 from __future__ import annotations
@@ -23,10 +23,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from notesmith.llm.common import documents, only, ship, text_of
-from notesmith.session import cut_lineage
 
 RUN, MIN_WORDS, MAX_WORDS = 2, 16, 20
-MAX_HEAVY, COUNTERS = 512, 4096
+#: Documents whose runs are collapsed together.
+DOCS_AT_ONCE = 2000
 
 _END = re.compile(rb"(?:[.!?]+[\x20\x09-\x0D]|\n)[\x20\x09-\x0D]*")
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")
@@ -89,17 +89,34 @@ def runs(norm: list[bytes], counts: list[int], run: int = RUN, min_words: int =
 
 def _spans(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        out = []
-        for doc_id, th, text in zip(pdf["doc_id"], pdf["th"], pdf["text"]):
-            _, norm, counts = pieces(text.encode("utf-8", "surrogatepass"))
-            r = runs(norm, counts)
-            if r is not None:
-                s, e, k1, k2 = r
-                m = len(s)
-                out.append((np.full(m, doc_id), np.full(m, th), s, e, k1, k2))
-        if out:
-            cols = [np.concatenate(x) for x in zip(*out)]
-            yield pd.DataFrame(dict(zip(("doc_id", "th", "s", "e", "k1", "k2"), cols)))
+        for lo in range(0, len(pdf), DOCS_AT_ONCE):
+            out = []
+            part = pdf.iloc[lo:lo + DOCS_AT_ONCE].sort_values(["doc_id", "th"])
+            for doc_id, th, text in zip(part["doc_id"], part["th"], part["text"]):
+                _, norm, counts = pieces(text.encode("utf-8", "surrogatepass"))
+                r = runs(norm, counts)
+                if r is not None:
+                    s, e, k1, k2 = r
+                    m = len(s)
+                    out.append((np.full(m, doc_id), np.full(m, th), s, e, k1, k2))
+            if not out:
+                continue
+            doc, th, s, e, k1, k2 = (np.concatenate(x) for x in zip(*out))
+            order = np.lexsort((k2, k1))  # stable: rows of a hash stay in the order of their places
+            doc, th, s, e, k1, k2 = (x[order] for x in (doc, th, s, e, k1, k2))
+            head = np.concatenate([[True], (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])])
+            again = np.concatenate([[False], (doc[1:] == doc[:-1]) & (th[1:] == th[:-1]) & (s[1:] == s[:-1])]) & ~head
+            first = np.maximum.accumulate(np.where(head, np.arange(len(head)), 0))
+            # Rows that are gone already travel under a key of their own, spread evenly.
+            k1 = np.where(head, k1, _scatter(doc, s))
+            keep = ~again
+            yield pd.DataFrame({"doc_id": doc[keep], "th": th[keep], "s": s[keep], "e": e[keep], "k1": k1[keep], "k2": k2[keep],
+                                "before": pd.array(np.where(head, 0, doc[first])[keep], dtype="int64"), "gone": ~head[keep]})
+
+
+def _scatter(doc: np.ndarray, s: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return ((doc.astype(np.uint64) * _B[0] + s.astype(np.uint64)) * _B[1]).view(np.int64)
 
 
 def texts_of(docs: DataFrame) -> DataFrame:
@@ -110,27 +127,17 @@ def texts_of(docs: DataFrame) -> DataFrame:
 
 
 def spans_of(docs: DataFrame) -> DataFrame:
-    """doc_id, th, s, e (pieces s to e - 1), k1, k2 of every run."""
+    """doc_id, th, s, e (pieces s to e - 1), k1, k2 of every run, gone where its batch has an earlier one (in ``before``)."""
     ship(docs.sparkSession)
-    return texts_of(docs).mapInPandas(_spans, "doc_id long, th long, s int, e int, k1 long, k2 long")
-
-
-def repeats(spans: DataFrame, max_heavy: int = MAX_HEAVY, counters: int = COUNTERS) -> DataFrame:
-    """doc_id, th, s, e of every run that is not the first of its hash, and first_id, the document that has the first."""
-    top = spans.agg(F.expr(f"approx_top_k(k1, {max_heavy}, {counters})").alias("top"))
-    named = top.select(F.explode("top").alias("t")).where("t.count > 1").select(F.col("t.item").alias("k1"))
-    first = F.min(F.struct("doc_id", "th", "s")).alias("first")
-    heavy = cut_lineage(spans.join(F.broadcast(named), "k1").groupBy("k1", "k2").agg(first, F.count(F.lit(1)).alias("n"))
-                        .orderBy(F.desc("n")).limit(max_heavy).drop("n"))
-    marked = spans.join(F.broadcast(heavy), ["k1", "k2"], "left")
-    cols = ["doc_id", "th", "s", "e", "first_id"]
-    known = marked.where(F.col("first").isNotNull() & (F.struct("doc_id", "th", "s") != F.col("first"))).withColumn(
-        "first_id", F.col("first.doc_id"))
-    w = Window.partitionBy("k1", "k2").orderBy("doc_id", "th", "s")
-    others = marked.where("first is null").select("doc_id", "th", "s", "e", "k1", "k2")
-    others = others.withColumns({"head": F.first(F.struct("doc_id", "th", "s")).over(w)}).where(
-        F.struct("doc_id", "th", "s") != F.col("head")).withColumn("first_id", F.col("head.doc_id"))
-    return known.select(cols).unionByName(others.select(cols))
+    return texts_of(docs).mapInPandas(_spans, "doc_id long, th long, s int, e int, k1 long, k2 long, before long, gone boolean")
+
+
+def repeats(spans: DataFrame) -> DataFrame:
+    """doc_id, th, s, e of every run that is not the first of its hash, and first_id, a document that has it earlier."""
+    w = Window.partitionBy("gone", "k1", "k2").orderBy("doc_id", "th", "s")
+    place = F.struct("doc_id", "th", "s")
+    t = spans.withColumn("head", F.first(place).over(w)).where(F.col("gone") | (place != F.col("head")))
+    return t.select("doc_id", "th", "s", "e", F.when(F.col("gone"), F.col("before")).otherwise(F.col("head.doc_id")).alias("first_id"))
 
 
 def _removed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -155,7 +162,8 @@ def _removed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def sentence_dedup(docs: DataFrame) -> DataFrame:
-    """Documents that lose sentences: doc_id, th, n_sentences, n_removed, first_ids, kept_text, kept_sha256.
+    """Documents that lose sentences: doc_id, th, n_sentences, n_removed, first_ids (documents that hold a removed run earlier),
+    kept_text, kept_sha256.
 
     All other documents stay as they are and have no row. Null and empty texts have no sentences. Runs inside one document
     repeat too. Rows that repeat id and text are one document. A null id counts as the smallest long. Other columns,
