@@ -36,6 +36,11 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def packed(docs: DataFrame) -> Column:
+    """The whole row as one struct: ``select("doc.*")`` gives it back whatever its columns are called."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+
+
 def only(df: DataFrame, *names: str) -> DataFrame:
     """The named columns under exactly these names (other columns of the table, also clashing ones, are left out)."""
     return df.select(*[F.col(f"`{n}`") for n in names])

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from notesmith.llm.common import ascii_lower, documents, text_of
+from notesmith.llm.common import ascii_lower, documents, packed, text_of
 from notesmith.session import cut_lineage
 
 #: Most digests that are treated as frequent (also the most rows broadcast), and counters of the sketch.
@@ -74,14 +74,14 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     from pyspark.sql import Window
 
-    keep = exact_dedup(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"))
-    keyed = docs.withColumns({"_id": F.col("doc_id").cast("long"),
-                              "_digest": F.unhex(F.sha2(ascii_lower(text_of()).cast("binary"), 256))})
+    keep = exact_dedup(docs).where("kept").select(F.col("doc_id").alias("id"), "digest")
+    keyed = docs.select(packed(docs), F.col("doc_id").cast("long").alias("id"),
+                        F.unhex(F.sha2(ascii_lower(text_of()).cast("binary"), 256)).alias("digest"))
     a, b = keyed.alias("a"), keep.alias("b")
-    same = F.col("a._id").eqNullSafe(F.col("b._id")) & (F.col("a._digest") == F.col("b._digest"))
+    same = F.col("a.id").eqNullSafe(F.col("b.id")) & (F.col("a.digest") == F.col("b.digest"))
     stays = a.join(b, same, "left_semi")
-    w = Window.partitionBy("_id", "_digest").orderBy("_id")
-    return stays.withColumn("_n", F.row_number().over(w)).where("_n = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    w = Window.partitionBy("id", "digest").orderBy("id")
+    return stays.withColumn("n", F.row_number().over(w)).where("n = 1").select("doc.*")
 
 
 #: DuckDB: ``translate`` maps A-Z only.

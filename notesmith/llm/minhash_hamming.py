@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from notesmith.llm.common import documents, only, ship, text_of
+from notesmith.llm.common import documents, only, packed, ship, text_of
 from notesmith.llm.components import components
 from notesmith.operators.ranking import balanced_row_number
 from notesmith.session import cut_lineage
@@ -287,6 +287,6 @@ def op5_minhash_hamming(spark, sf_dir: str) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component (the one with the smallest doc_id), with all columns."""
-    keep = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    keyed = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))))
-    return keyed.join(keep, "_id", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    keep = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("id")).distinct()
+    keyed = docs.select(packed(docs), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("id"))
+    return keyed.join(keep, "id", "left_semi").select("doc.*")

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from notesmith.llm.common import documents, text_of, words_of
+from notesmith.llm.common import documents, packed, text_of, words_of
 
 SYMBOLS = "[#*$%&|<>]"
 WINDOW = 3
@@ -106,13 +106,13 @@ def op7_quality_rules(spark, sf_dir: str) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that pass every rule, with all columns."""
-    t = measured(docs)
+    t = measured(docs.select(packed(docs), "text"))
     bad = F.lit(False)
     for c in compile_rules().values():
         bad = bad | c
     # A plain filter would be pushed below the measures and take a copy of each measure's whole expression with it.
-    kept = F.explode(F.when(~bad, F.array(F.lit(1)))).alias("_q_kept")
-    return t.select("*", kept).select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = F.explode(F.when(~bad, F.array(F.lit(1)))).alias("kept")
+    return t.select("doc", kept).select("doc.*")
 
 
 def _oracle() -> str:

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from notesmith.llm.common import documents, let, text_of, words_of
+from notesmith.llm.common import documents, let, packed, text_of, words_of
 from notesmith.operators.joins import sized_broadcast
 from notesmith.session import cut_lineage
 
@@ -256,26 +256,25 @@ def _fill(part: DataFrame, rounds: int = FILL_ROUNDS) -> DataFrame:
 
 
 def write_mix(docs: DataFrame, drawn: DataFrame, path: str, levels: int = LEVELS) -> None:
-    """The mixed rows with all columns, one folder per output shard, in the shard's shuffled order."""
+    """The mixed rows (as struct ``doc``), one folder per output shard, in the shard's shuffled order."""
     rows = _with_copies(docs, drawn)
     n = max(1 << levels, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    (rows.repartitionByRange(n, "_shard", "_place").sortWithinPartitions("_shard", "_place").drop("_place")
-     .write.partitionBy("_shard").mode("overwrite").parquet(path))
+    (rows.repartitionByRange(n, "shard", "place").sortWithinPartitions("shard", "place").select("doc", "shard")
+     .write.partitionBy("shard").mode("overwrite").parquet(path))
 
 
 def _with_copies(docs: DataFrame, drawn: DataFrame, seed: int = SEED) -> DataFrame:
-    """Each document once per drawn copy, with _shard and _place. Rows equal in id and text share the copies of their key."""
-    per = drawn.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), F.struct("place", "shard").alias("c"))
-    per = per.groupBy("_id", "_key").agg(F.sort_array(F.collect_list("c")).alias("_cs"))
-    keyed = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_key": _hash(seed, F.col("doc_id").cast("long"), text_of())})
+    """doc (the whole row as a struct), shard, place of each drawn copy. Rows equal in id and text share their key's copies."""
+    per = drawn.select(F.col("doc_id").alias("id"), "key", F.struct("place", "shard").alias("c"))
+    per = per.groupBy("id", "key").agg(F.sort_array(F.collect_list("c")).alias("cs"))
+    own_id = F.col("doc_id").cast("long")
+    keyed = docs.select(packed(docs), own_id.alias("id"), _hash(seed, own_id, text_of()).alias("key"))
     a, b = keyed.alias("a"), per.alias("b")
-    t = a.join(b, F.col("a._id").eqNullSafe(F.col("b._id")) & (F.col("a._key") == F.col("b._key"))).select(
-        "a.*", F.col("b._cs").alias("_cs"))
-    w = Window.partitionBy("_id", "_key").orderBy("_id")
-    t = t.withColumns({"_i": F.row_number().over(w), "_m": F.count(F.lit(1)).over(Window.partitionBy("_id", "_key"))})
-    own = F.filter("_cs", lambda c, i: F.pmod(i, F.col("_m")) == F.col("_i") - 1)
-    t = t.withColumn("_c", F.explode(own))
-    return t.select(*[F.col(f"`{c}`") for c in docs.columns], F.col("_c.shard").alias("_shard"), F.col("_c.place").alias("_place"))
+    t = a.join(b, F.col("a.id").eqNullSafe(F.col("b.id")) & (F.col("a.key") == F.col("b.key"))).select("a.*", "b.cs")
+    w = Window.partitionBy("id", "key")
+    t = t.withColumns({"i": F.row_number().over(w.orderBy("id")), "m": F.count(F.lit(1)).over(w)})
+    own = F.filter("cs", lambda c, i: F.pmod(i, F.col("m")) == F.col("i") - 1)
+    return t.select("doc", F.explode(own).alias("c")).select("doc", "c.shard", "c.place")
 
 
 def op8_source_mix(spark, sf_dir: str) -> DataFrame:
@@ -292,4 +291,4 @@ def op8_source_mix(spark, sf_dir: str) -> DataFrame:
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: every drawn copy of a document as one row with all columns."""
     _, _, drawn = mix(docs)
-    return _with_copies(docs, drawn).drop("_shard", "_place")
+    return _with_copies(docs, drawn).select("doc.*")
