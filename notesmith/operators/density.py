@@ -42,8 +42,13 @@ def euclidean(a, b) -> Column:
     return F.sqrt(sq)
 
 
-def _dist_matrix(x: np.ndarray, y: np.ndarray, chunk: int = 128) -> np.ndarray:
-    """Pairwise Euclidean distances, computed as sqrt(sum((a - b)^2)) in float64, chunked."""
+#: Bytes of the difference array that one step of a distance matrix may hold.
+STEP_BYTES = 64 << 20
+
+
+def _dist_matrix(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Pairwise Euclidean distances, computed as sqrt(sum((a - b)^2)) in float64, in steps sized by the dimension."""
+    chunk = max(1, STEP_BYTES // max(1, 8 * y.size))
     out = np.empty((x.shape[0], y.shape[0]), dtype=np.float64)
     for s in range(0, x.shape[0], chunk):
         d = x[s:s + chunk, None, :] - y[None, :, :]

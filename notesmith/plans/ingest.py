@@ -25,6 +25,7 @@ class IngestStages:
     fetched: DataFrame
     limited: DataFrame
     new: DataFrame
+    l1: DataFrame | None = None
     l1_passed: DataFrame | None = None
     l2: DataFrame | None = None
     final: DataFrame | None = None
@@ -65,6 +66,7 @@ def plan_ingest(articles: DataFrame, replies: dict[str, DataFrame] | None, as_of
     l1 = l1.observe(obs_l1, F.count(F.lit(1)).alias("l1_in"), F.sum(passed.cast("long")).alias("l1_passed"),
                     F.sum((~passed).cast("long")).alias("l1_discarded"))
     st.counters.append(obs_l1)
+    st.l1 = l1.withColumn("_passed", passed)
     st.l1_passed = levels.tier_filter(l1, discard_max)
     st.l2 = levels.apply_l2(st.l1_passed, replied("l2", st.l1_passed, inference.l2_prompt(max_tokens)), key)
     deep = levels.deep_gate(st.l2, l3_min_score, l3_enabled)
@@ -74,16 +76,17 @@ def plan_ingest(articles: DataFrame, replies: dict[str, DataFrame] | None, as_of
 
 
 def funnel_counts(st: IngestStages) -> DataFrame:
-    """O-A2 as rows (stage, n): one small aggregate per stage, unioned (no cross join)."""
-    pairs = [("fetched", st.fetched), ("new", st.new), ("l1_passed", st.l1_passed), ("l2_summarized", st.l2),
-             ("written", st.rendered)]
-    out = None
-    for name, df in pairs:
-        if df is None:
-            continue
-        c = df.agg(F.count(F.lit(1)).cast("bigint").alias("n")).select(F.lit(name).alias("stage"), "n")
-        out = c if out is None else out.unionByName(c)
-    return out
+    """O-A2 as rows (stage, n): one aggregate over the fetched and one over the scored articles (no cross join)."""
+    fetched = st.fetched.agg(F.count(F.lit(1)).cast("bigint").alias("n")).select(F.lit("fetched").alias("stage"), "n")
+    if st.l1 is None:
+        new = st.new.agg(F.count(F.lit(1)).cast("bigint").alias("n")).select(F.lit("new").alias("stage"), "n")
+        return fetched.unionByName(new)
+    # The second and third level and the rendering keep every article that passed the first, so one pass counts them all.
+    passed = F.sum(F.col("_passed").cast("long")).cast("bigint")
+    one = st.l1.agg(F.count(F.lit(1)).cast("bigint").alias("n"), F.coalesce(passed, F.lit(0)).cast("bigint").alias("p"))
+    stages = [("new", "n"), ("l1_passed", "p"), ("l2_summarized", "p"), ("written", "p")]
+    rows = F.explode(F.array(*[F.struct(F.lit(k).alias("stage"), F.col(c).alias("n")) for k, c in stages])).alias("r")
+    return fetched.unionByName(one.select(rows).select("r.*"))
 
 
 def write(st: IngestStages, notes_path: str, seen_path: str, as_of: str, run: str | None = None) -> dict:
