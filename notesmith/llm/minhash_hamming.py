@@ -103,28 +103,31 @@ def keys_of(sig: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def small_of(sig: np.ndarray) -> bytes:
+    """The low ``NIBBLE`` bits of every slot, two slots to a byte."""
+    low = (sig & np.uint16((1 << NIBBLE) - 1)).astype(np.uint8)
+    return ((low[0::2] << NIBBLE) | low[1::2]).tobytes()
+
+
 def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         rows = []
         for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
             s = shingles(text)
             if len(s):
-                rows.append((doc_id, len(s), xxhash.xxh3_128_digest(s.tobytes()), signature(s).tobytes()))
+                sig = signature(s)
+                rows.append((doc_id, len(s), xxhash.xxh3_128_digest(s.tobytes()), sig.tobytes(), small_of(sig)))
             else:
-                rows.append((doc_id, 0, None, None))
-        yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "set_hash", "sig"])
+                rows.append((doc_id, 0, None, None, None))
+        yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "set_hash", "sig", "small"])
 
 
 def _keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         for at in range(0, len(pdf), 1000):
             part = pdf.iloc[at:at + 1000]
-            sig = np.frombuffer(b"".join(part["sig"]), dtype=np.uint16).reshape(-1, SLOTS)
-            low = (sig & np.uint16((1 << NIBBLE) - 1)).astype(np.uint8)
-            small = [r.tobytes() for r in (low[:, 0::2] << NIBBLE) | low[:, 1::2]]
-            k = keys_of(sig)
-            yield pd.DataFrame({"key": k.ravel(), "rep": np.repeat(part["rep"].to_numpy(), k.shape[1]),
-                                "small": np.repeat(np.array(small, dtype=object), k.shape[1])})
+            k = keys_of(np.frombuffer(b"".join(part["sig"]), dtype=np.uint16).reshape(-1, SLOTS))
+            yield pd.DataFrame({"key": k.ravel(), "rep": np.repeat(part["rep"].to_numpy(), k.shape[1])})
 
 
 def _groups(batches: Iterator[pd.DataFrame], by: list[str]) -> Iterator[pd.DataFrame]:
@@ -259,18 +262,19 @@ def near_duplicates(docs: DataFrame, bucket: int = BUCKET, group: int = GROUP) -
     """
     ship(docs.sparkSession)
     t = _ids(docs)
-    signed = cut_lineage(t.mapInPandas(_signed, "doc_id long, n_shingles long, set_hash binary, sig binary"))
+    signed = cut_lineage(t.mapInPandas(_signed, "doc_id long, n_shingles long, set_hash binary, sig binary, small binary"))
     classes = cut_lineage(signed.where("set_hash is not null").groupBy("set_hash").agg(
-        F.min("doc_id").alias("rep"), F.first("sig").alias("sig")))
-    keyed = classes.select("rep", "sig").mapInPandas(_keyed, "key long, rep long, small binary")
-    # Sizes of buckets travel without signatures; only buckets of two or more classes go on.
+        F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("small").alias("small")))
+    keyed = classes.select("rep", "sig").mapInPandas(_keyed, "key long, rep long")
+    # Keys travel without signatures; only the members of buckets of two or more classes fetch theirs.
     sizes = keyed.select("key").groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     met = _in_blocks(keyed, "key", "rep", sizes, bucket)
-    met = met.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    met = met.join(classes.select("rep", "small"), "rep").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     loose = components(met.mapInPandas(_bucket_forest, "a long, b long").distinct())
     loose = loose.select(F.col("comp").alias("grp"), F.col("id").alias("rep"))
     members = _in_blocks(loose, "grp", "rep", loose.groupBy("grp").agg(F.count(F.lit(1)).alias("members")), group)
-    texts = t.join(cut_lineage(members).withColumnRenamed("rep", "doc_id"), "doc_id").withColumnRenamed("doc_id", "rep")
+    # Members grow with the documents, so they are never broadcast, also where their files happen to be small.
+    texts = t.join(cut_lineage(members).withColumnRenamed("rep", "doc_id").hint("merge"), "doc_id").withColumnRenamed("doc_id", "rep")
     texts = texts.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j")
     links = components(texts.mapInPandas(_confirmed, "a long, b long"))
     reps = classes.select("set_hash", "rep").join(links.withColumnRenamed("id", "rep"), "rep", "left").select(
