@@ -4,14 +4,15 @@ The ranks of a vocabulary become a literal rank map: pair of ids -> rank of the
 into two tokens. Spark looks maps up by scanning, so the literal is a hash table laid out in three arrays without
 collisions (``_table``); keys are compared in full.
 
-Encoding: a native regular expression splits the text; words are taken in windows of ``WINDOW``, and the distinct words of
-a window are folded once each: their bytes start as ids with the ranks of neighbouring pairs, and every step merges the
-leftmost pair of lowest rank. A merged token's id is its rank. Higher-order functions put the ids of the distinct words
-back into the places of the words. Decoding looks up the bytes of every id and concatenates them. Nothing is shuffled.
-
-The fold itself has two kernels with equal results. ``fold`` is a higher-order ``aggregate`` per word; its interpreted
-steps cost too much for a whole corpus (figures in README.md). ``arrow``, the default, takes the same distinct words as
-one Arrow batch and does the same merge step for all of them at once.
+Encoding: a native regular expression splits the text into words, and every distinct word is folded once: its bytes start
+as ids with the ranks of neighbouring pairs, and every step merges the leftmost pair of lowest rank. A merged token's id
+is its rank. The ids of the distinct words then go back into the places of the words. Decoding looks up the bytes of
+every id and concatenates them with higher-order functions. Nothing is shuffled.
+
+The fold has two kernels with equal results. ``fold`` is made of higher-order functions alone: the distinct words of
+windows of ``WINDOW`` words, and an ``aggregate`` per word; its interpreted steps cost too much for a whole corpus
+(figures in README.md). ``arrow``, the default, takes the words of many texts as one Arrow batch, finds the distinct ones
+there and does each merge step for all of them at once.
 """
 
 from __future__ import annotations
@@ -130,7 +131,7 @@ AT_ONCE = 200_000
 
 
 def _arrow_kernel(ranks: dict[bytes, int]):
-    """Arrow function: lists of words -> lists of their ids."""
+    """Arrow function: the words of texts -> the ids of texts. Each distinct word of a batch is merged once."""
     import pyarrow as pa
 
     pairs = pair_ranks(ranks)
@@ -155,9 +156,10 @@ def _arrow_kernel(ranks: dict[bytes, int]):
         if isinstance(lists, pa.ChunkedArray):
             lists = lists.combine_chunks()
         coded = lists.flatten().dictionary_encode()
-        starts = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))])
-        inner = ids_of(coded.dictionary).take(coded.indices)
-        return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), inner)
+        words = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))])
+        per_word = ids_of(coded.dictionary).take(coded.indices)
+        upto = np.concatenate([[0], np.cumsum(per_word.value_lengths().to_numpy(zero_copy_only=False))])
+        return pa.ListArray.from_arrays(pa.array(upto[words], pa.int32()), per_word.flatten())
 
     kernel.__annotations__ = {"lists": pa.Array, "return": pa.Array}  # how Spark knows the kind of function
     return kernel
@@ -170,27 +172,12 @@ def _singles(ranks: dict[bytes, int]) -> dict[str, list]:
     return {"single": single, "first": [ranks.get(bytes([a, b]), NO_RANK) for a in range(256) for b in range(256)]}
 
 
-def _placed(words: Column, own: Column, ids: Column) -> Column:
-    """ids of the distinct words ``own`` in the places of ``words``."""
-    return F.flatten(F.transform(words, lambda w: F.get(ids, F.array_position(own, w).cast("int") - 1)))
-
-
 def encoded(texts: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     """``texts`` with ids (array<int>) in place of text, by the ``arrow`` kernel."""
-    kernel = F.arrow_udf(_arrow_kernel(ranks), "array<array<int>>")
+    kernel = F.arrow_udf(_arrow_kernel(ranks), "array<int>")
     rest = [F.col(f"`{c}`") for c in texts.columns if c != "text"]
-    t = texts.select(*rest, F.regexp_extract_all("text", F.lit("(?U)" + pattern), F.lit(0)).alias("_words"))
-    cut = F.when(F.size("_words") == 0, F.array().cast("array<array<string>>")).otherwise(F.transform(
-        F.sequence(F.lit(1), F.size("_words"), F.lit(WINDOW)), lambda at: F.slice("_words", at, F.lit(WINDOW))))
-    t = t.select(*rest, cut.alias("_windows")).select(*rest, "_windows", F.transform(
-        "_windows", lambda w: F.array_distinct(w)).alias("_own"))
-    t = t.select(*rest, "_windows", "_own", kernel(F.flatten("_own")).alias("_ids"))
-    # The ids of all windows' distinct words come back in one list; each window's part starts where the ones before end.
-    ends = F.transform("_own", lambda o: F.size(o))
-    t = t.select("*", F.transform(ends, lambda n, i: F.aggregate(F.slice(ends, F.lit(1), i), F.lit(0), lambda a, x: a + x)).alias("_from"))
-    whole = F.flatten(F.transform("_windows", lambda w, i: let(
-        F.slice("_ids", F.get("_from", i) + 1, F.size(F.get("_own", i))), lambda ids: _placed(w, F.get("_own", i), ids))))
-    return t.select(*rest, whole.alias("ids"))
+    words = F.regexp_extract_all("text", F.lit("(?U)" + pattern), F.lit(0))
+    return texts.select(*rest, kernel(words).alias("ids"))
 
 
 def encode(text: Column, ranks: dict[bytes, int], pattern: str) -> Column:
@@ -232,7 +219,8 @@ def encode(text: Column, ranks: dict[bytes, int], pattern: str) -> Column:
                 step(t), lambda a: a["ids"])))
 
     def window(t, words):
-        return let(F.array_distinct(words), lambda own: let(F.transform(own, lambda w: fold(t, w)), lambda ids: _placed(words, own, ids)))
+        return let(F.array_distinct(words), lambda own: let(F.transform(own, lambda w: fold(t, w)), lambda ids: F.flatten(
+            F.transform(words, lambda w: F.get(ids, F.array_position(own, w).cast("int") - 1)))))
 
     words = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit("(?U)" + pattern), F.lit(0))
 
