@@ -128,6 +128,8 @@ def _merge_all(data: np.ndarray, starts: np.ndarray, single: np.ndarray, first:
 
 #: Distinct words merged at once: bounds the arrays of a task.
 AT_ONCE = 200_000
+#: Texts of an Arrow batch whose words are coded together: bounds the copies of their words.
+TEXTS_AT_ONCE = 2000
 
 
 def _arrow_kernel(ranks: dict[bytes, int]):
@@ -152,15 +154,19 @@ def _arrow_kernel(ranks: dict[bytes, int]):
             parts.append(pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids, pa.int32())))
         return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
 
-    def kernel(lists):
-        if isinstance(lists, pa.ChunkedArray):
-            lists = lists.combine_chunks()
+    def some(lists: pa.Array) -> pa.Array:
         coded = lists.flatten().dictionary_encode()
         words = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))])
         per_word = ids_of(coded.dictionary).take(coded.indices)
         upto = np.concatenate([[0], np.cumsum(per_word.value_lengths().to_numpy(zero_copy_only=False))])
         return pa.ListArray.from_arrays(pa.array(upto[words], pa.int32()), per_word.flatten())
 
+    def kernel(lists):
+        if isinstance(lists, pa.ChunkedArray):
+            lists = lists.combine_chunks()
+        parts = [some(lists.slice(at, TEXTS_AT_ONCE)) for at in range(0, len(lists), TEXTS_AT_ONCE)]
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
+
     kernel.__annotations__ = {"lists": pa.Array, "return": pa.Array}  # how Spark knows the kind of function
     return kernel
 
