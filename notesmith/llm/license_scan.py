@@ -3,12 +3,14 @@
 Sentences that mention licensing become candidate blocks. Each block is compressed alone and with every template as a raw
 zstandard dictionary; the part of the size that a template saves ranks the templates. The best ``RANKED`` are then
 compared word by word: a block is confirmed for the template whose wording it has with the fewest differing words, when
-these are few. Blocks are judged one by one, so nothing is shuffled.
+these are few. Single line ends are white space, as notices are usually wrapped; a block with several notices gives one row
+for each. Texts are judged one by one, so nothing is shuffled.
 """
 
 from __future__ import annotations
 
 import difflib
+import itertools
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -50,14 +52,17 @@ TEMPLATES = (
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("proprietary", "All rights reserved."),
 )
-MENTION = r"licen[sc]|copyright|permission|redistribut|public domain|creative commons|cc by|all rights reserved|free software"
+MENTION = (r"licen[sc]|copyright|permission|redistribut|public\W+domain|creative\W+commons|cc\W+by|all\W+rights\W+reserved|"
+           r"free\W+software")
 #: Sentences longer than this are read as windows of this many words on either side of a mention.
 WINDOW_WORDS = 60
 #: Templates compared word by word, the largest share of differing words, and zstandard's level.
 RANKED, MOST_DIFFERENT, LEVEL = 4, 0.1, 19
 
 _MENTION = re.compile(MENTION, re.I)
-_END = re.compile(r"(?<=[.!?:])\s+|\n\s*")
+#: Sentences go on over single line ends, so hard-wrapped notices stay whole; the second reading ends them at every line end.
+_END = re.compile(r"(?<=[.!?:])\s+|\n\s*\n\s*")
+_LINE_END = re.compile(r"(?<=[.!?:])\s+|\n\s*")
 _WORD = re.compile(r"[^\W_]+(?:[.+-][^\W_]+)*")
 
 
@@ -65,10 +70,10 @@ def words_of(text: str) -> list[str]:
     return [w.lower() for w in _WORD.findall(text)]
 
 
-def blocks_of(text: str, window: int = WINDOW_WORDS) -> list[tuple[int, int]]:
+def blocks_of(text: str, window: int = WINDOW_WORDS, ends: re.Pattern = _END) -> list[tuple[int, int]]:
     """(start, end) in code points of the candidate blocks: sentences with a mention, joined where they follow each other."""
     out: list[list[int]] = []
-    cuts = [0, *[m.end() for m in _END.finditer(text)], len(text)]
+    cuts = [0, *[m.end() for m in ends.finditer(text)], len(text)]
     sentence = 0
     for m in _MENTION.finditer(text):
         while cuts[sentence + 1] <= m.start():
@@ -132,6 +137,60 @@ def judge(block: str, templates: tuple = TEMPLATES, ranked: int | None = RANKED,
     return templates[k][0], k, alone, size, n, ok
 
 
+def _extent(block: str, wording: list[str]) -> tuple[int, int]:
+    """(start, end) of the part of a block that a template's wording lies in."""
+    at = [m.span() for m in _WORD.finditer(block)]
+    same = [x for x in difflib.SequenceMatcher(None, wording, words_of(block), autojunk=False).get_matching_blocks() if x.size]
+    return at[same[0].b][0], at[same[-1].b + same[-1].size - 1][1]
+
+
+def notices(text: str, templates: tuple = TEMPLATES) -> list[tuple[int, int, tuple]]:
+    """(start, end, ``judge``) of every block, in order.
+
+    A block may hold several notices. What lies before and behind a confirmed one is read again, and a block that is not
+    confirmed is read line by line; a block is divided only where that confirms a further notice.
+    """
+    window = max(WINDOW_WORDS, *(len(w) for w in _tools(templates, LEVEL)[2]))
+    out, todo = [], [(a, b, True) for a, b in blocks_of(text, window)]
+    while todo:
+        a, b, first = todo.pop()
+        got = judge(text[a:b], templates)
+        if not got[-1]:
+            lines = [(a + c, a + d) for c, d in blocks_of(text[a:b], window, _LINE_END)]
+            parts = [(c, d, judge(text[c:d], templates)) for c, d in lines] if lines != [(a, b)] else []
+            if any(part[2][-1] for part in parts):
+                out += parts
+            elif first:
+                out.append((a, b, got))
+            continue
+        c, d = _extent(text[a:b], words_of(templates[got[1]][1]))
+        rest = [(lo + x, lo + y) for lo, hi in ((a, a + c), (a + d, b)) for x, y in blocks_of(text[lo:hi], window)]
+        out.append((a, b, got))
+        todo += [(x, y, False) for x, y in rest]
+    # A block ends where a further notice inside it starts, and starts where one ends.
+    out.sort(key=lambda r: (r[0], -r[1]))
+    return _apart(text, out, templates)
+
+
+def _apart(text: str, found: list[tuple[int, int, tuple]], templates: tuple) -> list[tuple[int, int, tuple]]:
+    out = []
+    for k, (a, b, got) in enumerate(found):
+        inner = []
+        for c, d, _ in itertools.islice(found, k + 1, None):
+            if c >= b:
+                break
+            inner.append((c, d))
+        if inner:
+            c, d = _extent(text[a:b], words_of(templates[got[1]][1]))
+            lo = max([y for _, y in inner if y <= a + c], default=a)
+            hi = min([x for x, _ in inner if x >= a + d], default=b)
+            lo += len(text[lo:hi]) - len(text[lo:hi].lstrip())
+            a, b = lo, lo + len(text[lo:hi].rstrip())
+            got = judge(text[a:b], templates)
+        out.append((a, b, got))
+    return sorted(out, key=lambda r: r[:2])
+
+
 def license_scan(docs: DataFrame, templates: tuple = TEMPLATES) -> DataFrame:
     """One row per candidate block: doc_id, block, start, end (code points, end exclusive), license, template, plain_bytes,
     conditional_bytes, reduction, n_different, confirmed.
@@ -146,8 +205,7 @@ def license_scan(docs: DataFrame, templates: tuple = TEMPLATES) -> DataFrame:
         for pdf in batches:
             rows = []
             for doc_id, text in zip(pdf["doc_id"].array, pdf["text"]):
-                for k, (a, b) in enumerate(blocks_of(text)):
-                    lic, t, plain, size, n, ok = judge(text[a:b], templates)
+                for k, (a, b, (lic, t, plain, size, n, ok)) in enumerate(notices(text, templates)):
                     rows.append((doc_id, k, a, b, lic, t, plain, size, 1 - size / plain, n, ok))
             yield pd.DataFrame(rows, columns=["doc_id", "block", "start", "end", "license", "template", "plain_bytes",
                                               "conditional_bytes", "reduction", "n_different", "confirmed"])

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import struct
+import textwrap
 import zlib
 
 import pytest
@@ -35,6 +36,26 @@ def test_license_ranking_finds_what_comparing_all_templates_finds(spark):
     assert not by[100] and not by[101]
 
 
+@pytest.mark.parametrize("prefix", ["", "# ", " * "])
+def test_license_templates_are_confirmed_when_wrapped(spark, prefix):
+    wrapped = [textwrap.fill(t, 70, initial_indent=prefix, subsequent_indent=prefix) for _, t in license_scan.TEMPLATES]
+    docs = [(i, f"int x = 1;\n\n{t}\n\nint y = 2;\n", "a") for i, t in enumerate(wrapped)]
+    by = collections.defaultdict(set)
+    for r in license_scan.license_scan(table(spark, docs)).collect():
+        if r["confirmed"]:
+            by[r["doc_id"]].add(r["license"])
+    assert all(lic in by[i] for i, (lic, _) in enumerate(license_scan.TEMPLATES))
+
+
+def test_license_notices_on_lines_without_blank_lines_are_all_found():
+    mit = textwrap.fill(license_scan.TEMPLATES[2][1], 70)
+    text = f"Licensed under CC BY 4.0\nmade by hand\nReleased under the MIT License\nmore words here\n{mit}\nand\nAll rights reserved"
+    got = license_scan.notices(text)
+    assert [r[0] for _, _, r in got if r[-1]] == ["CC-BY-4.0", "MIT", "MIT", "proprietary"]
+    assert all(got[k][1] <= got[k + 1][0] for k in range(len(got) - 1))
+    assert all(license_scan.judge(text[a:b]) == r for a, b, r in got)
+
+
 def test_license_edges(edge, nothing):
     assert license_scan.license_scan(edge).count() == 0
     assert license_scan.license_scan(nothing).count() == 0
