@@ -107,7 +107,8 @@ def scan(docs: DataFrame, ledger: tuple[DataFrame, DataFrame] | None = None, rul
     b = todo.withColumnRenamed("path", "first").alias("b")
     texts = a.join(b, F.col("a.path").eqNullSafe(F.col("b.first"))
                    & (F.unhex(F.sha2(F.col("a.text").cast("binary"), 256)) == F.col("b.blob")))
-    found = spans_in(texts.select("blob", "text", "todo"), rules).distinct()
+    # Rows that repeat path and text all meet the representative; positions are running sums, so one row per blob.
+    found = spans_in(texts.select("blob", "text", "todo").dropDuplicates(["blob"]), rules).distinct()
     return versions, todo.select("blob", F.col("todo").alias("rules")), cut_lineage(found)
 
 

@@ -419,6 +419,14 @@ def test_ledger_scans_only_what_is_unseen(spark, tmp_path):
     assert {tuple(r["rules"]) for r in scans.collect()} == {("hex@2",)}
 
 
+def test_a_repeated_row_adds_no_secrets(spark):
+    text = "password = abcdefghij, then AKIA" + "A1" * 8 + " and token = klmnopqrst"
+    once = [(1, text, "a"), (2, "no secret", "a"), (None, "passwd: abcdefghij", "a")]
+    per = lambda rows: {r["path"]: r for r in secret_scan.per_path(*secret_scan.scan(table(spark, rows))[::2]).collect()}
+    want, got = per(once), per(once + once + once[:1])
+    assert got == want and want[1]["n_assign"] == 2 and want[1]["spans"].startswith("assign:0:21,access:28:48")
+
+
 def test_secret_edges(edge, nothing):
     v, _, found = secret_scan.scan(edge)
     rows = secret_scan.per_path(v, found).collect()
