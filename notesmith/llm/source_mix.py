@@ -3,8 +3,8 @@
 1. ``sized``: one pass over the texts leaves narrow rows (doc_id, source, size in words, key).
 2. ``targets``: per source its share of the mix, at most ``most`` times its size, the excess shared out again.
 3. Blocks: the documents of a source fall by key into at most ``max_blocks`` blocks of about ``block_words`` words, and
-   a keyed permutation orders the blocks. The mix takes whole copies of every block, then blocks in permuted order
-   up to the target, then documents of a few blocks on the border: the exact block quota of the source.
+   a keyed permutation orders the blocks. The mix takes whole copies of every block, then in permuted order every block
+   that still fits the target, then documents of a few blocks on the border: the exact block quota of the source.
 4. ``split_quotas``: a binary tree over the output shards. At every node the quotas of all sources are split between
    the two halves by one multivariate-hypergeometric draw, the law that dealing the node's shuffled blocks would
    give. The draw folds one hypergeometric draw per source over the sources, each by inversion from a keyed uniform.
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from notesmith.llm.common import documents, let, packed, text_of, words_of
 from notesmith.operators.joins import sized_broadcast
-from notesmith.session import cut_lineage
+from notesmith.session import cut_lineage, drop_cut
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE, MOST = 1.5, 2.0
@@ -31,7 +31,7 @@ BLOCK_WORDS, MAX_BLOCKS = 4096, 65_536
 LEVELS = 3
 SOURCES_PER_GROUP = 256
 SEED = 20_240_611
-#: Blocks behind the last full one whose documents may fill the rest of a target.
+#: Blocks behind those taken whole whose documents may fill the rest of a target; each holds more words than that rest.
 BORDER_BLOCKS = 8
 #: Rounds in which documents of the border blocks fill what is left of the target; each leaves a smaller rest.
 FILL_ROUNDS = 6
@@ -193,13 +193,11 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
     placed = rows.join(small, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     placed = placed.withColumn("block", F.pmod(_hash(seed + 1, "key"), "n_blocks").cast("int"))
     blocks = placed.groupBy("source", "block", "copies", "rest", "n_blocks").agg(F.sum("size").alias("words"))
-    order = Window.partitionBy("source").orderBy(_hash(seed + 2, "source", "block"), "block")
-    blocks = blocks.withColumn("at", F.row_number().over(order) - 1).withColumn(
-        "upto", F.sum("words").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    blocks = blocks.withColumn("full", F.col("upto") <= F.col("rest"))
-    allof = Window.partitionBy("source")
-    blocks = blocks.withColumn("n_full", F.count(F.when(F.col("full"), 1)).over(allof)).withColumn(
-        "room", F.col("rest") - F.coalesce(F.max(F.when(F.col("full"), F.col("upto"))).over(allof), F.lit(0)))
+    blocks = _whole_blocks(blocks.withColumn("o", _hash(seed + 2, "source", "block")), block_words)
+    # The blocks taken come first, then those of the border: a source's draws are numbered without gaps.
+    order = Window.partitionBy("source").orderBy(~F.col("full"), ~F.col("full") & F.col("long"), "o", "block")
+    blocks = blocks.withColumn("at", F.row_number().over(order) - 1)
+    blocks = blocks.withColumn("n_full", F.count(F.when(F.col("full"), 1)).over(Window.partitionBy("source")))
     blocks = blocks.withColumn("border", ~F.col("full") & (F.col("room") > 0) & (F.col("at") < F.col("n_full") + BORDER_BLOCKS))
     # Every taken block is one draw; its number in the source's permuted sequence decides the shard.
     held = F.count(F.lit(1)).over(Window.partitionBy("source"))
@@ -230,6 +228,31 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
     return rows, per, drawn.withColumn("place", _hash(seed + 3, "shard", "key", "copy"))
 
 
+def _whole_blocks(blocks: DataFrame, block_words: int) -> DataFrame:
+    """``blocks`` with long (holds a document far over a block's size), full (taken whole) and room (what is left of ``rest``).
+
+    Blocks are taken in permuted order, each that still fits, until none does. A source that stops more than a block short so,
+    because its long blocks came too late, takes its long blocks first. Every round takes the next run of blocks and passes
+    one that does not fit; the table has one row per block.
+    """
+    t = blocks.withColumn("long", F.col("words") > 2 * block_words).withColumn("try", F.explode(F.array(F.lit(0), F.lit(1))))
+    t = cut_lineage(t.withColumns({"full": F.lit(False), "new": F.lit(False), "room": F.col("rest").cast("double")}))
+    allof = Window.partitionBy("source", "try")
+    upto = allof.orderBy(~((F.col("try") == 1) & F.col("long")), "o", "block").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    while True:
+        fits = ~F.col("full") & (F.col("room") > 0) & (F.col("words") <= F.col("room"))
+        new = t.withColumn("new", fits & (F.sum(F.when(fits, F.col("words")).otherwise(0)).over(upto) <= F.col("room")))
+        new = new.withColumn("room", F.col("room") - F.coalesce(F.sum(F.when(F.col("new"), F.col("words"))).over(allof), F.lit(0)))
+        old, t = t, cut_lineage(new.withColumn("full", F.col("full") | F.col("new")))
+        drop_cut(old)
+        if t.where("new").isEmpty():
+            break
+    room = [F.max(F.when(F.col("try") == k, F.col("room"))).over(Window.partitionBy("source")) for k in (0, 1)]
+    pick = F.when(room[0] - room[1] > block_words, 1).otherwise(0)
+    return t.withColumn("pick", pick).where(F.col("try") == F.col("pick")).drop("try", "pick", "new")
+
+
 def _fill(part: DataFrame, rounds: int = FILL_ROUNDS) -> DataFrame:
     """Documents of border blocks that fit into the room left, in keyed order. ``BORDER_BLOCKS`` bounds a window's rows."""
     order = Window.partitionBy("source").orderBy("at", "key", "row")

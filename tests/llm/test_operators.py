@@ -371,6 +371,21 @@ def test_mix_meets_targets_and_reruns_agree(spark):
     assert draw(copies) == draw(again) and len({r["shard"] for r in copies}) == 8
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_mix_meets_targets_with_a_document_of_half_a_source(spark, seed):
+    # Both sources hold about 20,000 words, 10,000 of them in one document, for a target of about 12,000.
+    long = " ".join(["w"] * 10_000)
+    rows = [(i, f"{i} " + " ".join(["w"] * (19 + i % 60)), "ab"[i % 2]) for i in range(400)]
+    short = {s: sum(len(t.split()) for _, t, x in rows if x == s) for s in "ab"}
+    rows += [(1000 + k, long, s) for k, s in enumerate("ab")]
+    _, per, drawn = source_mix.mix(table(spark, rows), weights=(1.0,), share=0.6, block_words=500, seed=seed)
+    taken = collections.Counter()
+    for r in drawn.collect():
+        taken[r["source"]] += r["size"]
+    for r in per.collect():
+        assert r["target"] - short[r["source"]] > 1000 and abs(taken[r["source"]] - r["target"]) <= 0.01 * r["target"], (r, taken)
+
+
 def test_splitting_tree_is_exact_and_even(spark):
     quotas = spark.createDataFrame([("a", 500), ("b", 37), (None, 3), ("c", 0)] + [(f"x{i}", 5) for i in range(40)], "source string, quota long")
     rows = source_mix.split_quotas(quotas, per_group=8).collect()
