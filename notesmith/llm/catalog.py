@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from notesmith.llm import byte_bpe, exact_dedup, label_shards, license_scan, minhash_hamming, quality_rules, secret_scan, sentence_spans, source_mix, suffix_dedup
+from notesmith.llm import byte_bpe, exact_dedup, label_shards, license_scan, minhash_hamming, quality_rules, reversed_search, secret_scan, sentence_spans, source_mix, suffix_dedup
 
 QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
@@ -15,10 +15,12 @@ QUERIES = {
     "op8_source_mix": source_mix.op8_source_mix,
     "op9_secret_scan": secret_scan.op9_secret_scan,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+    "op11_reversed_search": reversed_search.op11_reversed_search,
 }
 
 ORACLE = {
     "op7_quality_rules": quality_rules.ORACLE,
     "op9_secret_scan": secret_scan.ORACLE,
     "op10_exact_dedup": exact_dedup.ORACLE,
+    "op11_reversed_search": reversed_search.ORACLE,
 }
