@@ -128,6 +128,16 @@ def weight(n_docs: int, df: int) -> int:
     return math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df + 1)))
 
 
+def first_per_key(keys: np.ndarray, scores: np.ndarray, ids: np.ndarray, k: int, once: bool = False) -> np.ndarray:
+    """Places of the ``k`` entries with the highest scores (ties: smaller id) of every key; equal entries count ``once`` if asked."""
+    order = np.lexsort((ids, -scores, keys))
+    key, score, one = keys[order], scores[order], ids[order]
+    if once and len(order):
+        new = np.concatenate([[True], (key[1:] != key[:-1]) | (score[1:] != score[:-1]) | (one[1:] != one[:-1])])
+        order, key = order[new], key[new]
+    return order[np.arange(len(order)) - np.searchsorted(key, key) < k]
+
+
 class Heaps:
     """The ``k`` best (score, doc) of each of ``size`` items, the smaller doc first among equal scores. ``least`` and ``last``
     are the score and doc that a new entry has to beat."""
@@ -139,8 +149,10 @@ class Heaps:
     def offer(self, docs: np.ndarray, scores: np.ndarray) -> None:
         """``scores[d, i]`` of ``docs[d]`` for item i; scores of 0 or less never enter."""
         better = (scores > self.least) | ((scores == self.least) & (docs[:, None] < self.last))
-        for d, i in zip(*(x.tolist() for x in np.nonzero(better))):
-            heap, entry = self.heaps[i], (int(scores[d, i]), -int(docs[d]))
+        d, i = np.nonzero(better)
+        at = first_per_key(i, scores[d, i], docs[d], self.k)
+        for i, s, d in zip(i[at].tolist(), scores[d[at], i[at]].tolist(), docs[d[at]].tolist()):
+            heap, entry = self.heaps[i], (s, -d)
             if len(heap) < self.k:
                 heapq.heappush(heap, entry)
             elif entry > heap[0]:
