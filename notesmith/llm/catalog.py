@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from notesmith.llm import angle_negatives, byte_bpe, exact_dedup, label_shards, license_scan, minhash_hamming, quality_rules, reversed_search, secret_scan, sentence_spans, source_mix, suffix_dedup
+from notesmith.llm import angle_negatives, byte_bpe, exact_dedup, factor_machine, label_shards, license_scan, minhash_hamming, quality_rules, reversed_search, secret_scan, sentence_spans, source_mix, suffix_dedup
 
 QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_secret_scan": secret_scan.op9_secret_scan,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
     "op11_reversed_search": reversed_search.op11_reversed_search,
+    "op12_factor_machine": factor_machine.op12_factor_machine,
     "op13_angle_negatives": angle_negatives.op13_angle_negatives,
 }
 
