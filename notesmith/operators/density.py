@@ -1,16 +1,8 @@
-"""Density clustering of embeddings (O-X1, O-J6, O-C1, O-C2, O-C3).
-
-Exact distances without pair rows: points are hashed into blocks of bounded size and
-every block pair is one ``applyInPandas`` group. numpy computes that distance
-sub-matrix in memory and emits only what the next step needs (each point's k nearest,
-or the pairs within a cut), never all pairs. A group holds at most two blocks whatever
-the data looks like, so a dense region cannot overload one task. The total work is the
-inherent n^2/2 distance evaluations, spread over B(B+1)/2 tasks.
-
-Components (O-C2) are min-label propagation with pointer jumping over DataFrames, with
-a reliable checkpoint every few rounds. The hierarchy (O-C3) runs Boruvka rounds for the
-minimum spanning tree of mutual-reachability distances, then components of the tree at
-a set of distance levels and the stability-based choice of clusters.
+"""Density clustering of embeddings at one cut (O-X1, O-J6, O-C1, O-C2). The hierarchy (O-C3) is in ``linkage``.
+
+Exact, without pair rows: points stand in blocks by pivots (``vector_blocks``), each block first answers out of its own rows,
+and only rows whose bound still allows a better answer meet other blocks. What leaves a pair of blocks is at most
+``k`` candidates per row (nearest neighbours) or a spanning forest of its links (components), never all pairs.
 """
 
 from __future__ import annotations
@@ -19,20 +11,11 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from notesmith.session import cut_lineage, ship_package
-
-BLOCK_SIZE = 2048
-
-
-def _log(msg: str) -> None:
-    import os
-    if os.environ.get("NOTESMITH_DEBUG"):
-        import sys
-        import time
-        print(f"[{time.strftime('%H:%M:%S')}] {msg}", file=sys.stderr, flush=True)
+from notesmith.operators.vector_blocks import ROW, Blocks, blocked, distances, per_pair, routed, stacked, summaries
+from notesmith.session import cut_lineage
 
 
 def euclidean(a, b) -> Column:
@@ -42,100 +25,91 @@ def euclidean(a, b) -> Column:
     return F.sqrt(sq)
 
 
-#: Bytes of the difference array that one step of a distance matrix may hold.
-STEP_BYTES = 64 << 20
-
-
-def _dist_matrix(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Pairwise Euclidean distances, computed as sqrt(sum((a - b)^2)) in float64, in steps sized by the dimension."""
-    chunk = max(1, STEP_BYTES // max(1, 8 * y.size))
-    out = np.empty((x.shape[0], y.shape[0]), dtype=np.float64)
-    for s in range(0, x.shape[0], chunk):
-        d = x[s:s + chunk, None, :] - y[None, :, :]
-        out[s:s + chunk] = np.sqrt(np.einsum("ijk,ijk->ij", d, d))
-    return out
-
-
-def _with_blocks(points: DataFrame, id_col: str, block_size: int) -> tuple[DataFrame, int]:
-    ship_package(points.sparkSession)  # the block-pair functions run in Python workers
-    n = points.count()
-    b = max(1, math.ceil(n / block_size))
-    return points.withColumn("_blk", F.pmod(F.xxhash64(id_col), F.lit(b)).cast("int")), b
-
-
-def _pair_groups(blocked: DataFrame, b: int) -> DataFrame:
-    """Each point goes to the B block pairs (min(blk, o), max(blk, o)) it takes part in."""
-    other = F.explode(F.sequence(F.lit(0), F.lit(b - 1))).alias("_o")
-    p = blocked.select("*", other)
-    return p.withColumn("_b1", F.least("_blk", "_o")).withColumn("_b2", F.greatest("_blk", "_o")).drop("_o")
-
-
-def _stack(col: pd.Series) -> np.ndarray:
-    return np.stack([np.asarray(v, dtype=np.float64) for v in col]) if len(col) else np.zeros((0, 0))
+# ---- O-J6 / O-C1: nearest rows ------------------------------------------------------
+
+def _best(m: np.ndarray, others: np.ndarray, mult: np.ndarray, k: int, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, distance, id) of the ``k`` nearest columns of each row of m within its reach; a column counts ``mult`` times, ties go
+    to the smaller id."""
+    kth = np.partition(m, min(k, m.shape[1]) - 1, axis=1)[:, min(k, m.shape[1]) - 1]
+    row, col = np.nonzero((m <= np.minimum(kth, reach)[:, None]) & np.isfinite(m))
+    times = np.minimum(mult[col], k)
+    row, col = np.repeat(row, times), np.repeat(col, times)
+    order = np.lexsort((others[col], m[row, col], row))
+    row, col = row[order], col[order]
+    keep = np.arange(len(row)) - np.searchsorted(row, row) < k
+    return row[keep], m[row[keep], col[keep]], others[col[keep]]
+
+
+def _within_blocks(b: Blocks, k: int) -> DataFrame:
+    """Columns of ``ROW``, core (null), reach (distance of the k-th nearest in the own block) and near/who: those k. Written."""
+    def own(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("rep").reset_index(drop=True)
+        x, ids, mult = stacked(pdf["vec"]), pdf["rep"].to_numpy(), pdf["mult"].to_numpy()
+        m = distances(x, x)
+        np.fill_diagonal(m, np.inf)
+        row, dist, who = _best(m, ids, mult, k, np.full(len(ids), np.inf))
+        near = [[0.0] * min(k, int(c) - 1) for c in mult]
+        whose = [[int(i)] * len(z) for i, z in zip(ids, near)]
+        for r, d, w in zip(row.tolist(), dist.tolist(), who.tolist()):
+            if len(near[r]) < k:
+                near[r].append(d)
+                whose[r].append(w)
+        return pdf.assign(core=np.inf, reach=[z[-1] if len(z) == k else math.inf for z in near], near=near, who=whose)
+
+    return cut_lineage(b.rows.groupBy("blk").applyInPandas(own, ROW + ", core double, reach double, near array<double>, who array<long>"))
+
+
+def _nearest(b: Blocks, k: int) -> tuple[DataFrame, DataFrame]:
+    """(rep, rank, dist, who) of the ``k`` nearest other points of each vector, exact, and the rows sent between blocks."""
+    state = _within_blocks(b, k)
+    sent = routed(state.select(*state.columns[:7]), summaries(state, b.count, b.pivots),
+                  lambda bounds, rows, s: bounds <= np.maximum(rows["reach"][:, None], s.reach[None, :]), own_pair=False)
+
+    def across(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        m = distances(stacked(left["vec"]), stacked(right["vec"]))
+        out = []
+        for a, o, d in ((left, right, m), (right, left, m.T)):
+            row, dist, who = _best(d, o["rep"].to_numpy(), o["mult"].to_numpy(), k, a["reach"].to_numpy())
+            out.append(pd.DataFrame({"rep": a["rep"].to_numpy()[row], "dist": dist, "who": who}))
+        return pd.concat(out)
+
+    found = per_pair(sent, across, "rep long, dist double, who long")
+    own = state.select("rep", F.explode(F.arrays_zip("near", "who")).alias("z")).select("rep", "z.near", "z.who").toDF("rep", "dist", "who")
+    rank = F.row_number().over(Window.partitionBy("rep").orderBy("dist", "who"))
+    return own.unionByName(found).withColumn("rank", rank).where(F.col("rank") <= k), sent
 
 
 def nearest_distances(points: DataFrame, k: int, id_col: str = "vec_id", vec_col: str = "embedding",
-                      block_size: int = BLOCK_SIZE) -> DataFrame:
-    """(id, rank, dist): the k smallest distances from each point to other points (exact)."""
-    blocked, b = _with_blocks(points.select(id_col, vec_col), id_col, block_size)
-    groups = _pair_groups(blocked, b)
-
-    def per_pair(pdf: pd.DataFrame) -> pd.DataFrame:
-        b1, b2 = int(pdf["_b1"].iat[0]), int(pdf["_b2"].iat[0])
-        left = pdf[pdf["_blk"] == b1]
-        right = pdf[pdf["_blk"] == b2]
-        ids_l, ids_r = left[id_col].to_numpy(), right[id_col].to_numpy()
-        d = _dist_matrix(_stack(left[vec_col]), _stack(right[vec_col]))
-        outs = []
-        for ids_a, ids_b, m in ((ids_l, ids_r, d), (ids_r, ids_l, d.T)) if b1 != b2 else ((ids_l, ids_r, d),):
-            m = np.where(ids_a[:, None] == ids_b[None, :], np.inf, m)
-            kk = min(k, m.shape[1])
-            if kk == 0:
-                continue
-            part = np.partition(m, kk - 1, axis=1)[:, :kk]
-            outs.append(pd.DataFrame({id_col: np.repeat(ids_a, kk), "dist": part.reshape(-1)}))
-        if not outs:
-            return pd.DataFrame({id_col: pd.Series([], dtype="int64"), "dist": pd.Series([], dtype="float64")})
-        res = pd.concat(outs, ignore_index=True)
-        return res[np.isfinite(res["dist"])]
-
-    cand = groups.groupBy("_b1", "_b2").applyInPandas(per_pair, f"{id_col} long, dist double")
-    # At most B*k candidates per point; keep the k smallest.
-    top = cand.groupBy(id_col).agg(F.slice(F.array_sort(F.collect_list("dist")), 1, k).alias("_d"))
-    return top.select(id_col, F.posexplode("_d").alias("rank", "dist")).withColumn("rank", F.col("rank") + 1)
+                      block_size: int | None = None) -> DataFrame:
+    """(id, rank, dist): the k smallest distances from each point to other points (exact; equal vectors are other points at 0)."""
+    b = blocked(points, id_col, vec_col, block_size)
+    if not b.count:
+        return points.sparkSession.createDataFrame([], f"{id_col} long, rank int, dist double")
+    near, _ = _nearest(b, k)
+    return b.ids.join(near, "rep").select(F.col("id").alias(id_col), "rank", "dist")
 
 
 def nearest_neighbor(points: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
-                     block_size: int = BLOCK_SIZE) -> DataFrame:
-    """(id, nn): each point's nearest other point (ties by smaller id), from the blocked search."""
-    blocked, b = _with_blocks(points.select(id_col, vec_col), id_col, block_size)
-    groups = _pair_groups(blocked, b)
-
-    def per_pair(pdf: pd.DataFrame) -> pd.DataFrame:
-        b1, b2 = int(pdf["_b1"].iat[0]), int(pdf["_b2"].iat[0])
-        left, right = pdf[pdf["_blk"] == b1], pdf[pdf["_blk"] == b2]
-        d = _dist_matrix(_stack(left[vec_col]), _stack(right[vec_col]))
-        outs = []
-        for a, o, m in (((left, right, d), (right, left, d.T)) if b1 != b2 else ((left, right, d),)):
-            aid, oid = a[id_col].to_numpy(), o[id_col].to_numpy()
-            m = np.where(aid[:, None] == oid[None, :], np.inf, m)
-            if m.shape[1] == 0:
-                continue
-            order = np.lexsort((np.broadcast_to(oid[None, :], m.shape), m), axis=1)[:, 0]
-            best = m[np.arange(m.shape[0]), order]
-            keep = np.isfinite(best)
-            outs.append(pd.DataFrame({id_col: aid[keep], "d": best[keep], "nn": oid[order][keep]}))
-        if not outs:
-            return pd.DataFrame({id_col: pd.Series([], dtype="int64"), "d": pd.Series([], dtype="float64"),
-                                 "nn": pd.Series([], dtype="int64")})
-        return pd.concat(outs, ignore_index=True)
-
-    cand = groups.groupBy("_b1", "_b2").applyInPandas(per_pair, f"{id_col} long, d double, nn long")
-    return cand.groupBy(id_col).agg(F.min(F.struct("d", "nn")).alias("_m")).select(id_col, F.col("_m.nn").alias("nn"))
+                     block_size: int | None = None) -> DataFrame:
+    """(id, nn): each point's nearest other point (ties by smaller id). Of equal vectors the one with the smallest other id."""
+    b = blocked(points, id_col, vec_col, block_size)
+    if not b.count:
+        return points.sparkSession.createDataFrame([], f"{id_col} long, nn long")
+    near, _ = _nearest(b, 1)
+    second = b.ids.where("id <> rep").groupBy("rep").agg(F.min("id").alias("second"))
+    found = b.ids.join(near.select("rep", "who"), "rep", "left").join(second, "rep", "left")
+    nn = F.when(F.col("second").isNull(), F.col("who")).when(F.col("id") == F.col("rep"), F.col("second")).otherwise(F.col("rep"))
+    return found.select(F.col("id").alias(id_col), nn.alias("nn")).where("nn is not null")
+
+
+def rep_cores(b: Blocks, min_samples: int) -> DataFrame:
+    """rep, core: distance to the ``min_samples``-th nearest other point; vectors with fewer others are left out. Written."""
+    near, _ = _nearest(b, min_samples)
+    return cut_lineage(near.where(F.col("rank") == min_samples).select("rep", F.col("dist").alias("core")))
 
 
 def core_distances(points: DataFrame, min_samples: int = 2, id_col: str = "vec_id", vec_col: str = "embedding",
-                   block_size: int = BLOCK_SIZE) -> DataFrame:
+                   block_size: int | None = None) -> DataFrame:
     """O-C1: distance to the ``min_samples``-th nearest other point (the point itself not counted)."""
     nd = nearest_distances(points, min_samples, id_col, vec_col, block_size)
     return nd.where(F.col("rank") == min_samples).select(id_col, F.col("dist").alias("core"))
@@ -152,30 +126,75 @@ def exact_quantile(df: DataFrame, value_col: str, q: float) -> float:
     return float(ranked.where(F.col("_r") == r).select(value_col).first()[0])
 
 
+# ---- O-C2: components under one cut ---------------------------------------------------
+
+def _reaching(b: Blocks, core: DataFrame, cut: float) -> DataFrame:
+    """Rows with core <= cut, sent to every pair of blocks in which they may have a link of at most ``cut``."""
+    rows = cut_lineage(b.rows.join(core.where(F.col("core") <= cut), "rep").withColumn("reach", F.lit(float(cut))))
+    return routed(rows, summaries(rows, b.count, b.pivots), lambda bounds, rows, s: bounds <= cut, own_pair=True)
+
+
+def _reach(left: pd.DataFrame, right: pd.DataFrame) -> np.ndarray:
+    """Mutual reachability: max(core a, core b, distance)."""
+    d = distances(stacked(left["vec"]), stacked(right["vec"]))
+    return np.maximum(d, np.maximum(left["core"].to_numpy()[:, None], right["core"].to_numpy()[None, :]))
+
+
 def reach_edges(points: DataFrame, core: DataFrame, cut: float, id_col: str = "vec_id", vec_col: str = "embedding",
-                block_size: int = BLOCK_SIZE) -> DataFrame:
+                block_size: int | None = None) -> DataFrame:
     """(a, b, weight) with a < b for mutual-reachability weight max(core a, core b, d) <= cut.
 
-    Only points with core <= cut can have such edges, so others are filtered before blocking;
-    each block pair emits just its pairs inside the cut."""
-    pts = points.select(id_col, vec_col).join(core.where(F.col("core") <= cut), id_col, "inner")
-    blocked, b = _with_blocks(pts, id_col, block_size)
-    groups = _pair_groups(blocked, b)
-
-    def per_pair(pdf: pd.DataFrame) -> pd.DataFrame:
-        b1, b2 = int(pdf["_b1"].iat[0]), int(pdf["_b2"].iat[0])
-        left, right = pdf[pdf["_blk"] == b1], pdf[pdf["_blk"] == b2]
-        d = _dist_matrix(_stack(left[vec_col]), _stack(right[vec_col]))
-        w = np.maximum(d, np.maximum(left["core"].to_numpy()[:, None], right["core"].to_numpy()[None, :]))
-        ia, ib = left[id_col].to_numpy(), right[id_col].to_numpy()
+    Pairs are those of different vectors, each by its smallest id; copies of a vector are linked to that id."""
+    b = blocked(points, id_col, vec_col, block_size)
+    cores = core.select(F.col(id_col).alias("rep"), "core")
+    if not b.count:
+        return points.sparkSession.createDataFrame([], "a long, b long, weight double")
+
+    def pairs(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        w, ia, ib = _reach(left, right), left["rep"].to_numpy(), right["rep"].to_numpy()
         mask = w <= cut
-        if b1 == b2:  # one block against itself: each unordered pair once
+        if left["blk"].iat[0] == right["blk"].iat[0]:  # one block against itself: each unordered pair once
             mask &= ia[:, None] < ib[None, :]
         i, j = np.nonzero(mask)
-        a, b_ = ia[i], ib[j]
-        return pd.DataFrame({"a": np.minimum(a, b_), "b": np.maximum(a, b_), "weight": w[i, j]})
-
-    return groups.groupBy("_b1", "_b2").applyInPandas(per_pair, "a long, b long, weight double")
+        return pd.DataFrame({"a": np.minimum(ia[i], ib[j]), "b": np.maximum(ia[i], ib[j]), "weight": w[i, j]})
+
+    copies = b.ids.where("id <> rep").join(cores.where(F.col("core") <= cut), "rep").select(F.col("rep").alias("a"), F.col("id").alias("b"),
+                                                                                            F.col("core").alias("weight"))
+    return per_pair(_reaching(b, cores, cut), pairs, "a long, b long, weight double").unionByName(copies)
+
+
+def forest_links(adjacent: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of links that span the components of a bipartite graph (``same``: rows and columns are one set).
+
+    Columns carry the number of their component; every row links to one column of each component it touches and unites
+    them, so there are fewer links than rows and columns together."""
+    label = np.arange(adjacent.shape[1])
+    rows, cols = [], []
+    for i in range(adjacent.shape[0]):
+        touched = np.nonzero(adjacent[i])[0]
+        if same:
+            touched = np.append(touched, i)
+        if not len(touched):
+            continue
+        parts, at = np.unique(label[touched], return_index=True)
+        pick = touched[at]
+        if same:
+            pick = pick[parts != label[i]]
+        rows.append(np.full(len(pick), i))
+        cols.append(pick)
+        if len(parts) > 1:
+            label[np.isin(label, parts[1:])] = parts[0]
+    none = np.zeros(0, np.int64)
+    return (np.concatenate(rows), np.concatenate(cols)) if rows else (none, none)
+
+
+def reach_forest(b: Blocks, core: DataFrame, cut: float) -> DataFrame:
+    """(a, b): a spanning forest of the links of at most ``cut`` for each pair of blocks; fewer links than rows sent."""
+    def links(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        i, j = forest_links(_reach(left, right) <= cut, left["blk"].iat[0] == right["blk"].iat[0])
+        return pd.DataFrame({"a": left["rep"].to_numpy()[i], "b": right["rep"].to_numpy()[j]})
+
+    return per_pair(_reaching(b, core, cut), links, "a long, b long")
 
 
 def components(nodes: DataFrame, edges: DataFrame, id_col: str = "vec_id", max_rounds: int = 1000,
@@ -191,8 +210,7 @@ def components(nodes: DataFrame, edges: DataFrame, id_col: str = "vec_id", max_r
         edges.select(F.col("b").alias("src"), F.col("a").alias("dst")))
     und = cut_lineage(und)
     lab = nodes.select(F.col(id_col).alias("v"), F.col(id_col).alias("comp"))
-    for i in range(max_rounds):
-        _log(f"components: round {i}")
+    for _ in range(max_rounds):
         nbr = und.join(lab.withColumnRenamed("v", "dst"), "dst").groupBy("src").agg(F.min("comp").alias("m"))
         nbr = nbr.withColumnRenamed("src", "v")
         new = lab.join(nbr, "v", "left").select("v", F.least("comp", F.coalesce("m", "comp")).alias("comp"))
@@ -211,229 +229,28 @@ def components(nodes: DataFrame, edges: DataFrame, id_col: str = "vec_id", max_r
 
 def fixed_cut_labels(points: DataFrame, min_samples: int = 2, min_cluster_size: int = 3, quantile: float = 0.5,
                      cut: float | None = None, id_col: str = "vec_id", vec_col: str = "embedding",
-                     block_size: int = BLOCK_SIZE) -> tuple[DataFrame, float]:
+                     block_size: int | None = None) -> tuple[DataFrame, float]:
     """O-C2 at one cut (DBSCAN*-equivalent): components of the mutual-reachability graph with
     weights <= cut; components smaller than ``min_cluster_size`` are noise (-1). The cut defaults to
     a quantile of the core distances (never a constant: the supplied vectors are near-orthogonal)."""
-    core = cut_lineage(core_distances(points, min_samples, id_col, vec_col, block_size))
+    b = blocked(points, id_col, vec_col, block_size)
+    if not b.count:
+        return b.ids.select(F.col("id").alias(id_col), F.lit(-1).cast("long").alias("label")), float("nan")
+    core = rep_cores(b, min_samples)
     if cut is None:
-        cut = exact_quantile(core, "core", quantile)
-    edges = reach_edges(points, core, cut, id_col, vec_col, block_size)
-    comp = components(points.select(id_col), edges, id_col)
-    sizes = comp.groupBy("comp").agg(F.count(F.lit(1)).alias("size"))
-    lab = comp.join(sizes, "comp").select(
-        id_col, F.when(F.col("size") >= min_cluster_size, F.col("comp")).otherwise(F.lit(-1)).alias("label"))
-    return lab, cut
-
-
-# ---- O-C3: hierarchy ----------------------------------------------------------
-
-def _nearest_other_component(pts: DataFrame, id_col: str, vec_col: str, block_size: int) -> DataFrame:
-    """(id, w, other) per point: the mutual-reachability-nearest point in another component,
-    ties broken by the other point's id (the same order as (w, min id, max id) per point)."""
-    blocked, b = _with_blocks(pts, id_col, block_size)
-    groups = _pair_groups(blocked, b)
-
-    def per_pair(pdf: pd.DataFrame) -> pd.DataFrame:
-        b1, b2 = int(pdf["_b1"].iat[0]), int(pdf["_b2"].iat[0])
-        left, right = pdf[pdf["_blk"] == b1], pdf[pdf["_blk"] == b2]
-        d = _dist_matrix(_stack(left[vec_col]), _stack(right[vec_col]))
-        w = np.maximum(d, np.maximum(left["core"].to_numpy()[:, None], right["core"].to_numpy()[None, :]))
-        outs = []
-        sides = ((left, right, w), (right, left, w.T)) if b1 != b2 else ((left, right, w),)
-        for a, o, m in sides:
-            m = np.where(a["comp"].to_numpy()[:, None] == o["comp"].to_numpy()[None, :], np.inf, m)
-            if m.shape[1] == 0:
-                continue
-            oid = o[id_col].to_numpy()
-            order = np.lexsort((np.broadcast_to(oid[None, :], m.shape), m), axis=1)[:, 0]
-            best = m[np.arange(m.shape[0]), order]
-            keep = np.isfinite(best)
-            outs.append(pd.DataFrame({id_col: a[id_col].to_numpy()[keep], "w": best[keep], "other": oid[order][keep]}))
-        if not outs:
-            return pd.DataFrame({id_col: pd.Series([], dtype="int64"), "w": pd.Series([], dtype="float64"),
-                                 "other": pd.Series([], dtype="int64")})
-        return pd.concat(outs, ignore_index=True)
-
-    cand = groups.groupBy("_b1", "_b2").applyInPandas(per_pair, f"{id_col} long, w double, other long")
-    return cand.groupBy(id_col).agg(F.min(F.struct("w", "other")).alias("_m")).select(
-        id_col, F.col("_m.w").alias("w"), F.col("_m.other").alias("other"))
-
-
-def mutual_reachability_mst(points: DataFrame, core: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
-                            block_size: int = BLOCK_SIZE, max_rounds: int = 64) -> DataFrame:
-    """Minimum spanning tree (a, b, weight) of the mutual-reachability graph by Boruvka rounds:
-    every component takes its lightest outgoing edge under the strict order (w, a, b); the number
-    of components at least halves per round."""
-    pts = cut_lineage(points.select(id_col, vec_col).join(core, id_col).withColumn("comp", F.col(id_col)))
-    mst = None
-    for _ in range(max_rounds):
-        best = cut_lineage(_nearest_other_component(pts, id_col, vec_col, block_size))  # computed once per round
-        if best.isEmpty():
-            break
-        e = best.join(pts.select(id_col, "comp"), id_col).select(
-            "comp", F.struct("w", F.least(id_col, "other").alias("a"), F.greatest(id_col, "other").alias("b")).alias("e"))
-        chosen = e.groupBy("comp").agg(F.min("e").alias("e")).select("e.w", "e.a", "e.b").distinct()
-        chosen = cut_lineage(chosen.select("a", "b", F.col("w").alias("weight")))
-        mst = chosen if mst is None else cut_lineage(mst.unionByName(chosen).distinct())
-        # Merge: components over the chosen edges, expressed on component ids.
-        cmap = pts.select(F.col(id_col).alias("v"), "comp")
-        ce = (chosen.join(cmap.withColumnRenamed("v", "a").withColumnRenamed("comp", "ca"), "a")
-              .join(cmap.withColumnRenamed("v", "b").withColumnRenamed("comp", "cb"), "b")
-              .select(F.col("ca").alias("a"), F.col("cb").alias("b")))
-        cc = components(pts.select(F.col("comp").alias("cid")).distinct(), ce, "cid")
-        pts = cut_lineage(pts.join(cc.select(F.col("cid").alias("comp"), F.col("comp").alias("nc")), "comp")
-                          .drop("comp").withColumnRenamed("nc", "comp"))
-        if pts.select("comp").distinct().limit(2).count() < 2:
-            break
-    else:
-        raise RuntimeError(f"the spanning tree was not complete after {max_rounds} rounds")
-    return mst
-
-
-def _levels(mst: DataFrame, max_levels: int) -> list[float]:
-    """Distance levels, high to low: all distinct edge weights when few, else quantiles (approximate)."""
-    distinct = mst.select("weight").distinct()
-    if distinct.limit(max_levels + 1).count() <= max_levels:
-        return sorted((r[0] for r in distinct.collect()), reverse=True)
-    qs = [i / (max_levels - 1) for i in range(max_levels)]
-    vals = mst.agg(F.percentile_approx("weight", qs, 100_000).alias("q")).first()["q"]
-    lo = mst.agg(F.min("weight")).first()[0]
-    return sorted(set(vals) | {lo}, reverse=True)
-
-
-def hierarchy_labels(points: DataFrame, min_samples: int = 2, min_cluster_size: int = 3,
-                     id_col: str = "vec_id", vec_col: str = "embedding", block_size: int = BLOCK_SIZE,
-                     max_levels: int = 48) -> DataFrame:
-    """O-C3: (id, label) of the most stable non-overlapping clusters; noise -1.
-
-    Level 0 keeps every tree edge; level i keeps edges lighter than the i-th distance level (so level
-    i is reached at lambda = 1 / level_i). A component of at least ``min_cluster_size`` points whose
-    parent has exactly one such child continues the parent's cluster; two or more such children start
-    new clusters. Stability of a cluster = sum over its points of (lambda when the point leaves it -
-    lambda at the cluster's birth); clusters are chosen bottom-up when their own stability is at least
-    the best total of their children; the root is never chosen. Labels are the smallest point id of
-    the chosen cluster. With all distinct weights as levels this is the published method up to ties;
-    above ``max_levels`` distinct weights the levels are quantiles (approximate)."""
-    spark = points.sparkSession
-    _log("hierarchy: core distances")
-    core = cut_lineage(core_distances(points, min_samples, id_col, vec_col, block_size))
-    n_pts = points.count()
-    if n_pts < max(min_cluster_size, 2):
-        return points.select(id_col, F.lit(-1).alias("label"))
-    _log("hierarchy: spanning tree")
-    mst = mutual_reachability_mst(points, core, id_col, vec_col, block_size)
-    levels = _levels(mst, max_levels)
-    _log(f"hierarchy: {len(levels)} levels")
-    m = len(levels)
-    base = int(points.agg(F.max(id_col)).first()[0]) + 1
-    lam = spark.createDataFrame([(0, 0.0)] + [(i + 1, (1.0 / t) if t > 0 else float("inf")) for i, t in enumerate(levels)],
-                                "lvl int, lam double")
-    lvl_arr = F.array(*[F.lit(float(t)) for t in levels])
-    # Edge e is present at levels 0..j where j = number of levels above its weight.
-    j = F.size(F.filter(lvl_arr, lambda t: t > F.col("weight")))
-    le = mst.select("a", "b", F.explode(F.sequence(F.lit(0), j)).alias("lvl"))
-    le = le.select((F.col("lvl").cast("long") * base + F.col("a")).alias("a"),
-                   (F.col("lvl").cast("long") * base + F.col("b")).alias("b"))
-    nodes = points.select(F.explode(F.sequence(F.lit(0), F.lit(m))).alias("lvl"), id_col).select(
-        (F.col("lvl").cast("long") * base + F.col(id_col)).alias("node"))
-    _log("hierarchy: components per level")
-    comp = cut_lineage(components(nodes, le, "node").select(
-        (F.col("node") / base).cast("int").alias("lvl"), (F.col("node") % base).alias("v"), "comp"))
-    size = comp.groupBy("comp").agg(F.count(F.lit(1)).alias("size"))
-    par = comp.select((F.col("lvl") + 1).alias("lvl"), "v", F.col("comp").alias("parent"))
-    k = (comp.join(par, ["lvl", "v"], "left").groupBy("lvl", "comp").agg(F.first("parent").alias("parent"))
-         .join(size, "comp"))
-    big = k.where(F.col("size") >= min_cluster_size)
-    nb = big.where(F.col("lvl") > 0).groupBy(F.col("parent").alias("comp")).agg(F.count(F.lit(1)).alias("nb"))
-    par_nb = nb.select(F.col("comp").alias("parent"), "nb")
-    big = big.join(par_nb, "parent", "left")
-    is_new = (F.col("lvl") == 0) | (F.coalesce(F.col("nb"), F.lit(0)) >= 2)
-    ptr = cut_lineage(big.select("comp", "lvl", F.when(is_new, F.col("comp")).otherwise(F.col("parent")).alias("ptr"),
-                                 is_new.alias("is_new"), "parent"))
-    for _ in range(max(1, math.ceil(math.log2(m + 2)) + 1)):  # pointer jumping along continuation chains
-        nxt = ptr.select(F.col("comp").alias("ptr"), F.col("ptr").alias("ptr2"))
-        ptr = cut_lineage(ptr.join(nxt, "ptr", "left").withColumn("ptr", F.coalesce("ptr2", "ptr")).drop("ptr2"))
-    cl = ptr.select("comp", F.col("ptr").alias("cluster"))
-    births = ptr.where("is_new").select(F.col("comp").alias("cluster"), F.col("lvl").alias("birth"), "parent")
-    births = births.join(lam.withColumnRenamed("lvl", "birth").withColumnRenamed("lam", "birth_lam"), "birth")
-    pc = comp.join(cl, "comp", "inner")  # (lvl, v, comp, cluster) for big components
-    last = pc.groupBy("v", "cluster").agg(F.max("lvl").alias("last"))
-    last = last.join(lam.select((F.col("lvl") - 1).alias("last"), F.col("lam").alias("leave_lam")), "last")
-    stab = last.join(births, "cluster").groupBy("cluster").agg(
-        F.sum(F.col("leave_lam") - F.col("birth_lam")).alias("stab"))
-    tree = births.join(stab, "cluster").join(cl.withColumnRenamed("comp", "parent")
-                                             .withColumnRenamed("cluster", "parent_cluster"), "parent", "left")
-    tree = cut_lineage(tree.select("cluster", "birth", "stab", "parent_cluster"))
-    _log("hierarchy: cluster choice")
-    final = _choose_clusters(tree)
-    lab = pc.join(final.select("cluster"), "cluster", "inner").select(F.col("v").alias(id_col), "cluster").distinct()
-    lab = lab.groupBy(id_col).agg(F.min("cluster").alias("cluster"))
-    named = lab.join(births.select("cluster", (F.col("cluster") % base).alias("label")), "cluster")
-    return points.select(id_col).join(named.select(id_col, "label"), id_col, "left").select(
-        id_col, F.coalesce(F.col("label"), F.lit(-1)).cast("long").alias("label"))
-
-
-TREE_LOCAL_MAX = 200_000
-
-
-def _choose_clusters(tree: DataFrame) -> DataFrame:
-    """Excess-of-mass choice over the cluster tree (cluster, birth, stab, parent_cluster): bottom-up
-    keep a cluster when its stability is at least its children's best total, then drop chosen
-    clusters below a chosen ancestor; the root (birth 0) is never chosen.
-
-    The tree has one row per cluster (at most 2n / min_cluster_size). Below ``TREE_LOCAL_MAX`` rows
-    (checked) it is decided in one small driver step; above, level by level with checkpoints."""
-    spark = tree.sparkSession
-    if tree.limit(TREE_LOCAL_MAX + 1).count() <= TREE_LOCAL_MAX:
-        rows = tree.collect()
-        kids: dict = {}
-        for r in rows:
-            kids.setdefault(r["parent_cluster"], []).append(r["cluster"])
-        info = {r["cluster"]: r for r in rows}
-        best: dict = {}
-        sel: dict = {}
-        for r in sorted(rows, key=lambda x: -x["birth"]):
-            ch = kids.get(r["cluster"], [])
-            csum = sum(best[c] for c in ch)
-            sel[r["cluster"]] = (not ch) or r["stab"] >= csum
-            best[r["cluster"]] = r["stab"] if sel[r["cluster"]] else csum
-        final = []
-        for r in sorted(rows, key=lambda x: x["birth"]):
-            c, anc = r["cluster"], False
-            p = r["parent_cluster"]
-            while p is not None and p in info:
-                if info[p]["birth"] > 0 and sel.get(p):
-                    anc = True
-                    break
-                p = info[p]["parent_cluster"]
-            if r["birth"] > 0 and sel[c] and not anc:
-                final.append((c,))
-        return spark.createDataFrame(final, "cluster long")
-    best = None
-    for b_lvl in sorted((r[0] for r in tree.select("birth").distinct().collect()), reverse=True):
-        here = tree.where(F.col("birth") == b_lvl)
-        if best is None:
-            child = here.select("cluster", F.lit(0.0).alias("csum"), F.lit(0).alias("nkids"))
-        else:
-            ks = best.groupBy(F.col("parent_cluster").alias("cluster")).agg(F.sum("best").alias("csum"),
-                                                                          F.count(F.lit(1)).alias("nkids"))
-            child = here.select("cluster").join(ks, "cluster", "left")
-        here = here.join(child, "cluster", "left")
-        sel_c = (F.coalesce(F.col("nkids"), F.lit(0)) == 0) | (F.col("stab") >= F.col("csum"))
-        here = here.select("cluster", "birth", "parent_cluster", sel_c.alias("sel"),
-                           F.when(sel_c, F.col("stab")).otherwise(F.col("csum")).alias("best"))
-        best = cut_lineage(here if best is None else best.unionByName(here))
-    flags = None
-    for b_lvl in sorted(r[0] for r in best.select("birth").distinct().collect()):
-        here = best.where(F.col("birth") == b_lvl).select("cluster", "parent_cluster", "sel")
-        if flags is None:
-            here = here.withColumn("anc", F.lit(False))
-        else:
-            up = flags.select(F.col("cluster").alias("parent_cluster"), F.col("blk").alias("anc"))
-            here = here.join(up, "parent_cluster", "left").withColumn("anc", F.coalesce("anc", F.lit(False)))
-        chosen_here = F.col("sel") & F.lit(b_lvl > 0)
-        here = here.select("cluster", (F.col("anc") | chosen_here).alias("blk"),
-                           (chosen_here & ~F.col("anc")).alias("final"))
-        flags = cut_lineage(here if flags is None else flags.unionByName(here))
-    return flags.where("final").select("cluster")
+        cut = exact_quantile(b.ids.join(core, "rep"), "core", quantile)
+    comp = components(b.reps, reach_forest(b, core, cut), "rep")
+    # copies of a vector are linked by its core distance
+    own = F.when(F.col("core") <= cut, F.col("comp")).otherwise(F.col("id"))
+    lab = cut_lineage(b.ids.join(comp.join(core, "rep", "left"), "rep").select("id", own.alias("comp")))
+    sizes = lab.groupBy("comp").agg(F.count(F.lit(1)).alias("size"))
+    return lab.join(sizes, "comp").select(
+        F.col("id").alias(id_col), F.when(F.col("size") >= min_cluster_size, F.col("comp")).otherwise(F.lit(-1)).alias("label")), cut
+
+
+def hierarchy_labels(points: DataFrame, min_samples: int = 2, min_cluster_size: int = 3, id_col: str = "vec_id",
+                     vec_col: str = "embedding", block_size: int | None = None) -> DataFrame:
+    """O-C3, see ``linkage.hierarchy_labels``."""
+    from notesmith.operators import linkage
+
+    return linkage.hierarchy_labels(points, min_samples, min_cluster_size, id_col, vec_col, block_size)

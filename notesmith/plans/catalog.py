@@ -908,9 +908,66 @@ def q_density_components(spark, sf):
     return lab.select("vec_id", "label")
 
 
-@register("density_hierarchy", None)
+#: Single linkage by growing one tree from the smallest id: in the order in which points join, every component under a distance is
+#: a stretch of points that joined at that distance or less. Clusters are chosen bottom-up, one height in each step.
+_D_HIERARCHY = f"""
+WITH RECURSIVE pairs AS MATERIALIZED ({_D_PAIRS}),
+core AS MATERIALIZED (SELECT a AS vec_id, dist AS core FROM (
+  SELECT a, dist, row_number() OVER (PARTITION BY a ORDER BY dist) AS rn FROM pairs) WHERE rn = {MIN_SAMPLES}),
+w AS MATERIALIZED (SELECT p.a, p.b, round(greatest(p.dist, ca.core, cb.core), 9) AS w
+                   FROM pairs p JOIN core ca ON ca.vec_id = p.a JOIN core cb ON cb.vec_id = p.b),
+grow(step, v, best) AS (
+  SELECT 1, b, w FROM w WHERE a = (SELECT min(vec_id) FROM embeddings)
+  UNION ALL
+  SELECT g.step + 1, g.v, least(g.best, w.w)
+  FROM (SELECT step, v, best, first_value(v) OVER (ORDER BY best, v) AS pick FROM grow) g JOIN w ON w.a = g.pick AND w.b = g.v
+  WHERE g.v <> g.pick),
+seq AS MATERIALIZED (
+  SELECT 0 AS i, min(vec_id) AS vec_id, 'Infinity'::DOUBLE AS c FROM embeddings
+  UNION ALL
+  SELECT step, v, best FROM (SELECT *, row_number() OVER (PARTITION BY step ORDER BY best, v) AS rn FROM grow) WHERE rn = 1),
+lefts AS (SELECT s.i, s.c, max(l.i) AS l FROM seq s JOIN seq l ON l.i < s.i AND l.c > s.c GROUP BY s.i, s.c),
+rights AS (SELECT s.i, min(r.i) - 1 AS r FROM seq s JOIN seq r ON r.i > s.i AND r.c > s.c GROUP BY s.i),
+nodes AS MATERIALIZED (
+  SELECT DISTINCT l, coalesce(r, (SELECT max(i) FROM seq)) AS r, c AS w FROM lefts LEFT JOIN rights USING (i)),
+big AS MATERIALIZED (SELECT row_number() OVER (ORDER BY l, r) AS n, l, r, w, r - l + 1 AS size FROM nodes WHERE r - l + 1 >= {MIN_CLUSTER}),
+inside AS MATERIALIZED (SELECT s.n, t.n AS outer_n, t.size FROM big s JOIN big t ON t.l <= s.l AND t.r >= s.r AND t.n <> s.n),
+par AS (SELECT n, arg_min(outer_n, size) AS up FROM inside GROUP BY n),
+kids AS (SELECT up, count(*) AS kids FROM par GROUP BY up),
+starts AS MATERIALIZED (
+  SELECT b.n, b.l, b.r, b.size, CASE WHEN u.w IS NULL THEN 0.0 ELSE 1 / greatest(u.w, 1e-12) END AS birth
+  FROM big b LEFT JOIN par p ON p.n = b.n LEFT JOIN kids k ON k.up = p.up LEFT JOIN big u ON u.n = p.up
+  WHERE p.up IS NULL OR k.kids >= 2),
+homes AS (SELECT s.i, arg_min(1 / greatest(b.w, 1e-12), b.size) AS leaves FROM seq s JOIN big b ON s.i BETWEEN b.l AND b.r GROUP BY s.i),
+own AS (SELECT s.i, arg_min(c.n, c.size) AS n FROM seq s JOIN starts c ON s.i BETWEEN c.l AND c.r GROUP BY s.i),
+outer_start AS (SELECT s.n, arg_min(t.n, t.size) AS up FROM starts s JOIN starts t ON t.l <= s.l AND t.r >= s.r AND t.n <> s.n GROUP BY s.n),
+stab AS (
+  SELECT n, sum(x) AS s FROM (
+    SELECT own.n, homes.leaves AS x FROM own JOIN homes USING (i)
+    UNION ALL SELECT o.up, c.size * c.birth FROM starts c JOIN outer_start o ON o.n = c.n
+    UNION ALL SELECT n, -size * birth FROM starts) GROUP BY n),
+climb(step, n, up, s, best) AS (
+  SELECT 0, c.n, o.up, t.s, NULL::DOUBLE FROM starts c JOIN stab t ON t.n = c.n LEFT JOIN outer_start o ON o.n = c.n
+  UNION ALL
+  SELECT step + 1, n, up, s, CASE WHEN best IS NULL AND open = 0 THEN greatest(s, total) ELSE best END
+  FROM (SELECT *, sum(CASE WHEN kind = 1 THEN best END) OVER (PARTITION BY node) AS total,
+               sum(CASE WHEN kind = 1 AND best IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY node) AS open,
+               sum(CASE WHEN best IS NULL THEN 1 ELSE 0 END) OVER () AS undone
+        FROM (SELECT c.*, k.kind, CASE WHEN k.kind = 0 THEN c.n ELSE c.up END AS node FROM climb c, (VALUES (0), (1)) k(kind)))
+  WHERE kind = 0 AND undone > 0),
+best AS (SELECT n, any_value(up) AS up, any_value(s) AS s, max(best) AS best FROM climb GROUP BY n),
+total AS (SELECT up AS n, sum(best) AS total FROM best GROUP BY up),
+picked AS (SELECT c.n, c.l, c.r FROM best b JOIN starts c ON c.n = b.n LEFT JOIN total t ON t.n = b.n
+           WHERE b.up IS NOT NULL AND (t.total IS NULL OR b.s >= t.total)),
+final AS (SELECT * FROM picked p WHERE NOT EXISTS (SELECT 1 FROM picked q WHERE q.l <= p.l AND q.r >= p.r AND q.n <> p.n)),
+labels AS (SELECT f.n, f.l, f.r, min(s.vec_id) AS label FROM final f JOIN seq s ON s.i BETWEEN f.l AND f.r GROUP BY f.n, f.l, f.r)
+SELECT s.vec_id, coalesce(f.label, -1) AS label FROM seq s LEFT JOIN labels f ON s.i BETWEEN f.l AND f.r
+"""
+
+
+@register("density_hierarchy", _D_HIERARCHY)
 def q_density_hierarchy(spark, sf):
-    """O-C3 over the whole embeddings table (rows-only check; verified on separable blobs in tests)."""
+    """O-C3 over the whole embeddings table."""
     return DN.hierarchy_labels(_vectors(spark, sf), MIN_SAMPLES, MIN_CLUSTER)
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -77,9 +79,36 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    if _COLLECTED:
+        _COLLECTED[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Folders of the cuts made inside each open ``scratch_cuts``.
+_COLLECTED: list[list[str]] = []
+
+
+@contextmanager
+def scratch_cuts(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Cuts made inside the block are removed at its end, also after a failure; the yielded function writes a result that stays."""
+    _COLLECTED.append([])
+
+    def keep(df: DataFrame) -> DataFrame:
+        out = cut_lineage(df)
+        path = _COLLECTED[-1].pop()
+        if len(_COLLECTED) > 1:
+            _COLLECTED[-2].append(path)
+        return out
+
+    try:
+        yield keep
+    finally:
+        jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for folder in _COLLECTED.pop():
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+
+
 def drop_cut(df: DataFrame) -> None:
     """Remove the files behind a table made by ``cut_lineage`` once its successor is written.
 
