@@ -116,14 +116,13 @@ def follow(links: DataFrame) -> DataFrame:
     now = cut_lineage(links.select("node", "to"))
     while True:
         step = now.select(F.col("node").alias("to"), F.col("to").alias("t2"))
-        more = now.join(step, "to").select("node", F.col("to").alias("t0"), F.col("t2").alias("to"))
-        for _ in range(2):
-            more = more.join(step, "to").select("node", "t0", F.col("t2").alias("to"))
-        new = cut_lineage(more.select("node", "to", (F.col("to") != F.col("t0")).alias("moved")))
-        drop_cut(now)
-        now = new
-        if now.where("moved").isEmpty():
-            return now.select("node", "to")
+        for _ in range(3):
+            now = now.join(step, "to").select("node", F.col("t2").alias("to"))
+        new = cut_lineage(now.join(step, "to").select("node", "to", (F.col("t2") != F.col("to")).alias("goes_on")))
+        drop_cut(step)
+        now = new.select("node", "to")
+        if new.where("goes_on").isEmpty():
+            return now
 
 
 def contracted(edges: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
@@ -268,7 +267,6 @@ def chosen_clusters(tree: DataFrame) -> DataFrame:
         waits = (F.col("open") == 1) & F.col("next").isNull()
         n = n.select("c", "parent", "s", F.coalesce("best", settled).alias("best"), F.when(waits, F.col("s")).otherwise(F.col("fa")).alias("fa"),
                      F.when(waits, total).otherwise(F.col("fb")).alias("fb"), F.when(waits, F.col("one")).otherwise(F.col("next")).alias("next"))
-        n = cut_lineage(n)
         o = n.select(F.col("c").alias("next"), F.col("best").alias("ob"), F.col("fa").alias("oa"), F.col("fb").alias("of"), F.col("next").alias("on"))
         idle, busy = n.where("best is not null or next is null"), n.where("best is null and next is not null").join(o, "next")
         busy = busy.select("c", "parent", "s", F.greatest("fa", F.col("fb") + F.col("ob")).alias("_b"), "fa", "fb", "next", "ob", "oa", "of", "on")
@@ -277,7 +275,6 @@ def chosen_clusters(tree: DataFrame) -> DataFrame:
                            F.when(F.col("on").isNull(), F.col("fb")).otherwise(F.col("fb") + F.col("of")).alias("fb"), F.coalesce("on", "next").alias("next"))
         new = cut_lineage(idle.unionByName(busy))
         drop_cut(now)
-        drop_cut(n)
         now = new
         if now.where("best is null").isEmpty():
             break
@@ -287,7 +284,8 @@ def chosen_clusters(tree: DataFrame) -> DataFrame:
     up = cut_lineage(now.join(total, "c", "left").select("c", F.when(picked, F.col("c")).alias("chosen"), F.col("parent").alias("up")))
     while not up.where("up is not null").isEmpty():
         o = up.select(F.col("c").alias("up"), F.col("chosen").alias("higher"), F.col("up").alias("up2"))
-        new = cut_lineage(up.join(o, "up", "left").select("c", F.coalesce("higher", "chosen").alias("chosen"), F.col("up2").alias("up")))
+        two = up.join(o, "up", "left").select("c", F.coalesce("higher", "chosen").alias("chosen"), F.col("up2").alias("up"))
+        new = cut_lineage(two.join(o, "up", "left").select("c", F.coalesce("higher", "chosen").alias("chosen"), F.col("up2").alias("up")))
         drop_cut(up)
         up = new
     return up.select("c", "chosen")
