@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from notesmith.functions.urls import url_hash
-from notesmith.session import path_exists
+from notesmith.operators.key_store import seen_store
 
 
 def with_url_hash(df: DataFrame, url_col: str = "url", out: str = "url_hash") -> DataFrame:
@@ -54,15 +54,14 @@ def seen_records(new: DataFrame, as_of: str, source_col: str = "source") -> Data
     )
 
 
-def append_seen(new: DataFrame, store_path: str, as_of: str) -> DataFrame:
-    """O-K2 insert-or-ignore: anti-join on the stored keys, then one append per run."""
-    spark = new.sparkSession
-    recs = seen_records(new, as_of)
-    if path_exists(spark, store_path):  # the first run has no store; an unreadable one is an error
-        existing = spark.read.parquet(store_path)
-        recs = recs.join(existing.select("url_hash"), "url_hash", "left_anti")
-    recs.write.mode("append").parquet(store_path)
-    return recs
+def unseen(batch: DataFrame, store_path: str) -> DataFrame:
+    """O-J1 against a stored seen-store: only the parts in which a key of the batch may be are read (``key_store``)."""
+    return seen_store(batch.sparkSession, store_path).unseen(batch)
+
+
+def append_seen(new: DataFrame, store_path: str, as_of: str) -> int:
+    """O-K2 insert-or-ignore: the keys that are not stored yet, in one append per run; returns how many."""
+    return seen_store(new.sparkSession, store_path).insert(seen_records(new, as_of))
 
 
 def seen_stats(seen: DataFrame, source_col: str = "source", total_label: str = "*") -> DataFrame:

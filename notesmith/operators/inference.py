@@ -20,13 +20,14 @@ from pyspark.sql import functions as F
 
 from notesmith.functions.common import col
 from notesmith.functions.text import truncate_with_marker
+from notesmith.operators.key_store import reply_store
 from notesmith.session import cut_lineage, ship_package
 
 # Seconds to wait before the second and the third attempt; texts per embedding request.
 WAITS = (2.0, 4.0)
 EMBED_BATCH = 16
-#: Prompts per model request.
-REQUEST = 32
+#: Prompts per model request, and prompts whose replies are stored together when a ledger is kept.
+REQUEST, LEDGER_BATCH = 32, 20_000
 
 
 def with_retry(call: Callable[[], object], waits=WAITS, sleep=time.sleep):
@@ -131,6 +132,30 @@ def call_model(df: DataFrame, fn: Callable[[list[str]], list[str]], key: str = "
     return cut_lineage(df.select(key, prompt).mapInPandas(run, f"{key} {key_type}, level string, raw string, error string"))
 
 
+def call_with_ledger(df: DataFrame, fn: Callable[[list[str]], list[str]], ledger: str, model: str, key: str = "ord", prompt: str = "prompt",
+                     level: str = "l1", batch: int = LEDGER_BATCH, **how) -> DataFrame:
+    """``call_model`` that asks each prompt once for all runs: (key, level, raw, error) per row, as a written table.
+
+    Replies are stored under the SHA-256 of model, level and prompt. Equal prompts of a run are asked once. What the ledger lacks is
+    asked in batches of about ``batch`` prompts, each stored before the next is asked, so a job that dies repeats at most one batch.
+    Errors are not stored: the next run asks again."""
+    spark = df.sparkSession
+    store = reply_store(spark, ledger)
+    digest = F.sha2(F.concat_ws("\x00", F.lit(model), F.lit(level), F.coalesce(F.col(prompt), F.lit(""))), 256)
+    rows = cut_lineage(df.select(key, F.col(prompt).alias("prompt"), digest.alias("digest")))
+    each = rows.groupBy("digest").agg(F.min("prompt").alias("prompt"))
+    known = cut_lineage(store.known(each).select("digest", "raw", F.lit(None).cast("string").alias("error")).dropDuplicates(["digest"]))
+    lacking = cut_lineage(each.join(known, "digest", "left_anti"))
+    parts = max(1, -(-lacking.count() // batch))
+    replies = known
+    for part in range(parts):
+        some = lacking.where(F.pmod(F.xxhash64("digest"), F.lit(parts)) == part)
+        got = call_model(some, fn, "digest", "prompt", level, **how)
+        store.append(got.where("error is null").select("digest", F.lit(model).alias("model"), "level", "raw"))
+        replies = replies.unionByName(got.select("digest", "raw", "error"))
+    return cut_lineage(rows.select(key, "digest").join(replies, "digest", "left").select(key, F.lit(level).alias("level"), "raw", "error"))
+
+
 # ---- embeddings (O-M3, O-M4) ---------------------------------------------------
 
 def embed(df: DataFrame, fn: Callable[[list[str]], list[list[float]]], key: str = "ord", text: str = "text",

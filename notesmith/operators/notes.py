@@ -8,12 +8,15 @@ notes (see ``resolve_collisions``).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from notesmith.functions.common import col
 from notesmith.functions.dates import utc_date_label
 from notesmith.functions.text import note_filename, word_count
+from notesmith.operators.key_store import name_store
 from notesmith.operators.ranking import balanced_row_number
 from notesmith.session import cut_lineage, path_exists
 
@@ -112,9 +115,11 @@ def _family(name: Column):
     return F.when(F.length(k) > 0, F.array(own, other)).otherwise(F.array(own))
 
 
-def resolve_collisions(notes: DataFrame, existing: DataFrame | None = None, key: str = "ord") -> DataFrame:
+def resolve_collisions(notes: DataFrame, existing: DataFrame | Callable[[DataFrame], DataFrame] | None = None, key: str = "ord") -> DataFrame:
     """O-W4: final file name per note: 'x.md', 'x-1.md', ... per folder, skipping names already present.
 
+    ``existing`` are (dir, filename) rows, or a function that gives those of the families (dir, stem) it is asked for.
+
     The r-th new note of a family (0-based, by ``key``) takes the r-th free slot. With the existing
     slots e_1 < e_2 < ... given the value g_i = e_i - i + 1, the r-th free slot is r plus the number of
     i with g_i <= r, which is exactly the new note's position when existing slots (value g) and new
@@ -131,6 +136,8 @@ def resolve_collisions(notes: DataFrame, existing: DataFrame | None = None, key:
     # as a suffixed name of another family ('x-1.md' is slot 1 of family 'x'), so a generated name never
     # lands on another note's own name (base names win over generated suffixes).
     taken = n.select("dir", F.explode(F.slice(_family(F.col("filename")), 2, 1)).alias("f"))
+    if callable(existing):
+        existing = existing(n.select("dir", F.col("_stem").alias("stem")).distinct())
     if existing is not None:
         taken = taken.unionByName(existing.select("dir", F.explode(_family(F.col("filename"))).alias("f")))
     ex = taken.select("dir", F.col("f.stem").alias("_stem"), F.col("f.slot").alias("slot")).distinct()
@@ -147,7 +154,7 @@ def resolve_collisions(notes: DataFrame, existing: DataFrame | None = None, key:
     return notes.drop("filename").join(found, [key, "dir"], "inner").select(*notes.columns)
 
 
-def render_notes(articles: DataFrame, as_of: str, existing: DataFrame | None = None, key: str = "ord") -> DataFrame:
+def render_notes(articles: DataFrame, as_of: str, existing: DataFrame | Callable[[DataFrame], DataFrame] | None = None, key: str = "ord") -> DataFrame:
     """Rendered note rows: key, dir, filename, note_path, content (+ the article columns)."""
     r = articles.withColumn("dir", target_dir(as_of)).withColumn("filename", note_filename("relevance_score", "title"))
     r = resolve_collisions(r, existing, key)
@@ -165,6 +172,33 @@ def stored_names(spark, path: str, run: str | None = None) -> DataFrame | None:
     return t.select(F.concat(F.col("sub").cast("string"), F.lit("/"), F.col("leaf").cast("string")).alias("dir"), "filename")
 
 
+def written_names(spark, path: str, run: str) -> DataFrame:
+    """dir, filename of the notes of one run."""
+    t = spark.read.parquet(path).where(F.col("run") == run)
+    return t.select(F.concat(F.col("sub").cast("string"), F.lit("/"), F.col("leaf").cast("string")).alias("dir"), "filename")
+
+
+def _family_key(dir_: Column, stem: Column) -> Column:
+    return F.concat(dir_, F.lit("/"), stem)
+
+
+def registered_names(spark, registry: str, run: str | None = None) -> Callable[[DataFrame], DataFrame]:
+    """Names taken by runs other than ``run``, for ``existing`` of ``resolve_collisions``: only the asked families are looked up in
+    the registry; the notes themselves are not read."""
+    def of(families: DataFrame) -> DataFrame:
+        known = name_store(spark, registry).known(families.select(_family_key(F.col("dir"), F.col("stem")).alias("family")))
+        return known.where(F.col("run") != F.lit(run or "")).select("dir", "filename").distinct()
+
+    return of
+
+
+def register_names(rendered: DataFrame, registry: str, run: str) -> int:
+    """Adds the notes' names to the registry, under every family that a name reads as."""
+    rows = rendered.select("dir", "filename", F.explode(_family(F.col("filename"))).alias("f"))
+    return name_store(rendered.sparkSession, registry).append(
+        rows.select(_family_key(F.col("dir"), F.col("f.stem")).alias("family"), "dir", "filename", F.lit(run).alias("run")))
+
+
 def write_notes(rendered: DataFrame, path: str, run: str) -> None:
     """O-K1: one parquet dataset partitioned by run and folder (folder pruning on read).
 

@@ -7,6 +7,7 @@ the same parquet views. Computed columns carry the same aliases on both sides.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +26,7 @@ from notesmith.operators import notes as NT
 from notesmith.operators import topics as TP
 from notesmith.plans import duck as D
 from notesmith.plans import ingest as IG
-from notesmith.session import load_table
+from notesmith.session import checkpoint_dir, load_table
 from notesmith.sources import articles as A
 from notesmith.sources.derived import derived
 
@@ -83,6 +84,28 @@ def q_url_dedup_seen(spark, sf):
     return dedup.filter_new(p, seen).select("url_hash", F.col("ord").alias("page_id"), "url")
 
 
+def _scratch(spark, name: str) -> str:
+    """A new folder for a store that a query builds, beside the lineage cuts."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@register("seen_store", D.with_ctes("seen_pages") + f"""
+SELECT b.url_hash, b.page_id, b.url FROM (
+  SELECT url_hash, min(page_id) AS page_id, arg_min(url, page_id) AS url
+  FROM (SELECT page_id, url, {D.url_hash('url')} AS url_hash FROM pages) GROUP BY url_hash) b
+WHERE b.url_hash NOT IN (SELECT {D.url_hash('url')} FROM seen_pages)
+""")
+def q_seen_store(spark, sf):
+    """O-K2, then O-J1 against the stored keys: Bloom filters first, then only the parts that may hold a key."""
+    path = _scratch(spark, "seen")
+    seen = derived(spark, sf, "seen_pages").select(
+        F.col("page_id").alias("ord"), "url", F.lit("").alias("title"), F.lit("").alias("content_hash"), F.lit("web_url").alias("source"),
+        U.url_hash("url").alias("url_hash"))
+    dedup.append_seen(dedup.first_per_key(seen, "url_hash"), path, AS_OF)
+    p = _pages(spark, sf).select(F.col("page_id").alias("ord"), "url").withColumn("url_hash", U.url_hash("url"))
+    return dedup.unseen(dedup.first_per_key(p, "url_hash"), path).select("url_hash", F.col("ord").alias("page_id"), "url")
+
+
 def _seen_store(spark, sf) -> DataFrame:
     """A store from two sources: earlier pages (web_url) and feed links (rss), first wins."""
     pages = derived(spark, sf, "seen_pages").select(
@@ -352,6 +375,20 @@ def q_sender_allowed(spark, sf):
                     T.message_id_hash("message_id", "subject", "date_header", "from_header").alias("msg_id"))
 
 
+@register("sender_list", D.with_ctes("messages_flat") + f"""
+SELECT ord, {D.sender_address('from_header')} AS sender_addr,
+       {D.sender_allowed(D.sender_address('from_header'), WHITELIST, exact=True)} AS allowed_exact
+FROM messages_flat WHERE {D.sender_allowed(D.sender_address('from_header'), WHITELIST)}
+""")
+def q_sender_list(spark, sf):
+    """O-J2 with the list as a table of any length."""
+    m = derived(spark, sf, "messages_flat").select("ord", T.sender_address("from_header").alias("sender_addr"))
+    entries = spark.createDataFrame([(e,) for e in WHITELIST], "entry string")
+    exact = A.allowed_senders(m, "sender_addr", entries, exact=True).select("ord", F.lit(True).alias("_x"))
+    return A.allowed_senders(m, "sender_addr", entries).join(exact, "ord", "left").select(
+        "ord", "sender_addr", F.coalesce("_x", F.lit(False)).alias("allowed_exact"))
+
+
 @register("newest_messages", D.with_ctes("messages_flat") + f"""
 SELECT ord, subject FROM messages_flat ORDER BY ord DESC LIMIT {MAX_EMAILS}
 """)
@@ -593,6 +630,18 @@ def q_note_collisions(spark, sf):
     return NT.resolve_collisions(named, _existing_notes(spark, sf), key="doc_id").select("doc_id", "dir", "filename")
 
 
+@register("name_registry", _RENDER_CTES + f"""
+SELECT doc_id, dir, filename FROM ({D.resolve_collisions(_D_NAMED, _D_EXISTING, 'doc_id')})
+""")
+def q_name_registry(spark, sf):
+    """O-W4 with the taken names in a registry: only the families of the new notes are looked up."""
+    path = _scratch(spark, "names")
+    NT.register_names(_existing_notes(spark, sf), path, "earlier")
+    named = _final_articles(spark, sf).withColumn("dir", NT.target_dir(AS_OF)).withColumn(
+        "filename", T.note_filename("relevance_score", "title"))
+    return NT.resolve_collisions(named, NT.registered_names(spark, path), key="doc_id").select("doc_id", "dir", "filename")
+
+
 @register("note_render", _RENDER_CTES + f"""
 SELECT doc_id, note_path, content FROM ({_D_RENDERED})
 """)
@@ -637,18 +686,31 @@ _D_NEW = (f"SELECT * FROM ({_D_RBASE}) WHERE {D.url_hash('url')} NOT IN "
 _D_NEW_L1 = D.l1_select(f"SELECT b.*, r.raw, r.error FROM ({_D_NEW}) b LEFT JOIN responses_l1 r USING (doc_id)")
 
 
-@register("ingest_funnel", D.with_ctes("responses_l1") + f"""
+def _d_errors(columns: str) -> str:
+    """Replies with an error, of the articles that each level is asked for."""
+    return " UNION ALL ".join(f"SELECT {columns.format(level=lv)} FROM ({_D_NEW_L1}) s JOIN responses_{lv} r ON r.doc_id = s.doc_id "
+                              f"WHERE r.error IS NOT NULL AND s.relevance_score >= {least}" for lv, least in (("l1", -1), ("l2", 4), ("l3", 7)))
+
+
+@register("ingest_funnel", _RENDER_CTES + f"""
 SELECT 'fetched' AS stage, CAST(count(*) AS BIGINT) AS n FROM documents
 UNION ALL SELECT 'new', CAST(count(*) AS BIGINT) FROM ({_D_NEW})
 UNION ALL SELECT 'l1_passed', CAST(count(*) AS BIGINT) FROM ({_D_NEW_L1}) WHERE relevance_score > 3
 UNION ALL SELECT 'l2_summarized', CAST(count(*) AS BIGINT) FROM ({_D_NEW_L1}) WHERE relevance_score > 3
 UNION ALL SELECT 'written', CAST(count(*) AS BIGINT) FROM ({_D_NEW_L1}) WHERE relevance_score > 3
+UNION ALL SELECT 'errors', CAST(count(*) AS BIGINT) FROM ({_d_errors("1")})
 """)
 def q_ingest_funnel(spark, sf):
-    """Q1 stage counts: fetched -> new (URL dedup + seen-store) -> L1 passed -> L2 -> written."""
+    """Q1 stage counts: fetched -> new (URL dedup + seen-store) -> L1 passed -> L2 -> written, and the failed replies."""
     return IG.funnel_counts(_ingest_stages(spark, sf))
 
 
+@register("ingest_errors", _RENDER_CTES + _d_errors("'{level}' AS stage, s.doc_id, r.error"))
+def q_ingest_errors(spark, sf):
+    """Every failed reply of a run with its level."""
+    return _ingest_stages(spark, sf).errors.select("stage", "doc_id", "error")
+
+
 # ---- topics and topic maps (C4..C8 A3..A6 W5 W6 O2..O4 P10 P11 J5 J8 J9 R3 R4 G3 G4 K3) ----
 
 
@@ -1088,6 +1150,18 @@ def q_batch_inference(spark, sf):
     return scored.select("doc_id", "relevance_score", "content_tier", F.array_join("tags", ",").alias("tags"))
 
 
+@register("reply_ledger", _RENDER_CTES + _d_batch_inference())
+def q_reply_ledger(spark, sf):
+    """O-M1 with a ledger: English documents are asked in a first run, the second run asks only what the ledger lacks."""
+    base = _render_base(spark, sf)
+    prompts = base.select("doc_id", "source", INF.l1_prompt().alias("prompt"))
+    ledger = _scratch(spark, "replies")
+    INF.call_with_ledger(prompts.where("source = 'rss'"), offline_scorer, ledger, "offline", key="doc_id")
+    replies = INF.call_with_ledger(prompts, offline_scorer, ledger, "offline", key="doc_id", batch=5000)
+    scored = L.assign_tiers(L.apply_l1(base, replies, key="doc_id"))
+    return scored.select("doc_id", "relevance_score", "content_tier", F.array_join("tags", ",").alias("tags"))
+
+
 @register("nearest_neighbor", f"""
 SELECT a AS vec_id, b AS nn_id, round(dist, 6) AS dist FROM (
   SELECT a, b, dist, row_number() OVER (PARTITION BY a ORDER BY dist, b) AS rn FROM ({_D_PAIRS})) WHERE rn = 1

@@ -1,10 +1,7 @@
-"""Feed files (RSS 2.0 and Atom) -> feed_entries table (O-S1, O-S2).
+"""Feed files -> feed_entries table (O-S1, O-S2).
 
-Uses Spark's built-in XML source in PERMISSIVE mode, once per row tag (``item``, ``entry``) and with a given schema, so
-files are read without a scan that infers one, and a broken entry becomes a ``_corrupt_record`` row instead of failing
-the other feeds. The feed name is the file's base name. ``ord`` numbers the entries by file and place in it, however
-files are packed into tasks. Page text for an entry comes from an optional ``pages`` table joined on the link (the
-download itself is not rebuilt).
+``feed_files`` reads the files; here entries get their number over all files, the feed's name (the file's base name) and
+page text from an optional ``pages`` table joined on the link (the download itself is not rebuilt).
 """
 
 from __future__ import annotations
@@ -14,41 +11,24 @@ from pyspark.sql import functions as F
 
 from notesmith.functions.html import html_to_text
 from notesmith.operators.ranking import balanced_row_number
+from notesmith.sources.feed_files import read_feed_files
 
-_RSS = ("title string, link string, description string, `content:encoded` string, author string, `dc:creator` string, "
-        "pubDate string, _corrupt_record string")
-_ATOM = ("title string, link array<struct<_href: string, _rel: string>>, summary string, content string, "
-         "author struct<name: string>, published string, updated string, _corrupt_record string")
 
+def read_rss(spark: SparkSession, path: str, pages: DataFrame | None = None, rows: DataFrame | None = None) -> DataFrame:
+    """Columns: ord, feed, link, title, page_text, content, description, summary, author, published.
 
-def _scan(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame:
-    raw = spark.read.format("xml").schema(schema).option("rowTag", tag).option("mode", "PERMISSIVE").load(path)
-    raw = raw.withColumn("_file", F.col("_metadata.file_path")).withColumn("_place", F.monotonically_increasing_id())
-    return raw.where(F.col("_corrupt_record").isNull())
-
-
-def _text(name: str):
-    return F.coalesce(F.col(f"`{name}`"), F.lit(""))
-
-
-def read_rss(spark: SparkSession, path: str, pages: DataFrame | None = None) -> DataFrame:
-    """Columns: ord, feed, link, title, page_text, content, description, summary, author, published."""
-    rss = _scan(spark, path, "item", _RSS).select(
-        "_file", "_place", _text("link").alias("link"), "title", _text("content:encoded").alias("content"),
-        _text("description").alias("description"), _text("description").alias("summary"),
-        F.coalesce("author", "`dc:creator`", F.lit("")).alias("author"), F.col("pubDate").alias("published"))
-    # An entry's own page is the link without a relation or with 'alternate'.
-    own = F.filter("link", lambda x: F.coalesce(x["_rel"], F.lit("alternate")) == "alternate")
-    atom = _scan(spark, path, "entry", _ATOM).select(
-        "_file", "_place", F.coalesce(F.get(own, F.lit(0))["_href"], F.lit("")).alias("link"), "title",
-        _text("content").alias("content"), _text("summary").alias("description"), _text("summary").alias("summary"),
-        F.coalesce("author.name", F.lit("")).alias("author"), F.coalesce("published", "updated").alias("published"))
-    both = rss.unionByName(atom).withColumn("feed", F.regexp_extract("_file", r"([^/]+?)(\.[^./]*)?$", 1))
-    entries = balanced_row_number(both, [], ["_file", "_place"], "ord").withColumn("ord", F.col("ord") - 1).drop("_file", "_place")
+    ``ord`` counts entries by file and place. Pass ``rows`` (of ``read_feed_files``, written) to use its errors as well."""
+    found = (rows if rows is not None else read_feed_files(spark, path)).where("error is null")
+    text = lambda *names: F.coalesce(*names, F.lit(""))
+    entries = found.select(
+        "file", "place", F.regexp_extract("file", r"([^/]+?)(\.[^./]*)?$", 1).alias("feed"), text("link").alias("link"), "title",
+        text("content").alias("content"), text("description").alias("description"), text("description").alias("summary"),
+        text("author", "creator").alias("author"), F.coalesce("published", "updated").alias("published"))
+    entries = balanced_row_number(entries, [], ["file", "place"], "ord").withColumn("ord", F.col("ord") - 1).drop("file", "place")
     cols = ["ord", "feed", "link", "title", "page_text", "content", "description", "summary", "author", "published"]
     if pages is None:
         return entries.withColumn("page_text", F.lit("")).select(cols)
     # A URL held twice is one page, the smaller text; entries without a link have none.
     one = pages.where(F.length("url") > 0).groupBy(F.col("url").alias("link")).agg(F.min("html").alias("html"))
-    text = one.select("link", html_to_text("html").alias("page_text"))
-    return entries.join(text, "link", "left").withColumn("page_text", F.coalesce("page_text", F.lit(""))).select(cols)
+    page_text = one.select("link", html_to_text("html").alias("page_text"))
+    return entries.join(page_text, "link", "left").withColumn("page_text", text("page_text")).select(cols)

@@ -1,9 +1,9 @@
 """Incremental ingest as Structured Streaming (O-T1, O-T2).
 
 O-T1: each micro-batch of newly dropped article files is deduplicated first-wins inside
-the batch, anti-joined with the seen-store, and the new rows are appended to the output
+the batch, looked up in the seen-store, and the new rows are appended to the output
 and then to the store (``foreachBatch``; the checkpoint makes a restarted query resume
-after the last committed batch, and the store anti-join makes a replayed batch a no-op).
+after the last committed batch, and the lookup makes a replayed batch a no-op).
 O-T2: the same dedup with bounded state, ``dropDuplicatesWithinWatermark`` on url_hash.
 """
 
@@ -14,38 +14,22 @@ from pyspark.sql import types as T
 
 from notesmith.functions.urls import url_hash
 from notesmith.operators import dedup
-from notesmith.session import path_exists
-
-STORE_SCHEMA = T.StructType([
-    T.StructField("url_hash", T.StringType()), T.StructField("url", T.StringType()),
-    T.StructField("title", T.StringType()), T.StructField("content_hash", T.StringType()),
-    T.StructField("first_seen", T.StringType()), T.StructField("source", T.StringType()),
-])
-
-
-def _store(spark: SparkSession, path: str) -> DataFrame:
-    if path_exists(spark, path):
-        return spark.read.schema(STORE_SCHEMA).parquet(path)
-    return spark.createDataFrame([], STORE_SCHEMA)
-
+from notesmith.session import cut_lineage, scratch_cuts
 
 def ingest_new(batch: DataFrame, store_path: str, out_path: str, as_of: str, batch_id: int = 0) -> None:
     """One micro-batch: first per url_hash (by ord), minus the store; write the new rows, then the store.
 
-    The output partition of the batch is overwritten (dynamic), so a replayed batch replaces its own
-    rows; the store append is an anti-join, so replaying it adds nothing."""
+    Of the store only the parts are read in which a URL of the batch may be (``key_store``). The output partition of the batch is overwritten (dynamic), so a replayed batch replaces its own
+    rows; the store takes only keys that it does not hold, so replaying it adds nothing."""
     from pyspark.sql import functions as F
 
     spark = batch.sparkSession
     hashed = batch.withColumn("url_hash", url_hash("url"))
-    new = dedup.drop_seen(dedup.first_per_key(hashed, "url_hash", "ord"), _store(spark, store_path))
-    new = new.persist()
-    try:
+    with scratch_cuts(spark):
+        new = cut_lineage(dedup.unseen(dedup.first_per_key(hashed, "url_hash", "ord"), store_path))
         (new.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out_path))
         dedup.append_seen(new, store_path, as_of)
-    finally:
-        new.unpersist()
 
 
 def start_incremental(spark: SparkSession, input_dir: str, schema: T.StructType, store_path: str, out_path: str,

@@ -42,6 +42,9 @@ def test_ingest_funnel_and_write(spark, tmp_path):
     assert stats["written"] == funnel["written"]
     assert stats["new"] == funnel["new"] and stats["l1_passed"] == funnel["l1_passed"]
     assert stats["l1_in"] == stats["l1_passed"] + stats["l1_discarded"]
+    failed = spark.read.parquet(str(tmp_path / "notes-errors"))
+    assert stats["errors"] == funnel["errors"] == failed.where(F.col("run") == stats["run"]).count() > 0
+    assert {r["stage"] for r in failed.select("stage").distinct().collect()} <= {"l1", "l2", "l3"}
     assert spark.read.parquet(str(tmp_path / "seen")).count() == funnel["new"]
     # A second run over the same input finds nothing new.
     seen = spark.read.parquet(str(tmp_path / "seen")).select("url_hash")
@@ -138,7 +141,7 @@ def test_an_unreadable_store_is_an_error(spark, tmp_path):
     df, replies = _scored(spark, [(1, "https://a.com/1", "T", "x", "rss", "h")])
     new = ingest.plan_ingest(df, replies, "2026-05-10").new
     with pytest.raises(Exception):
-        dedup.append_seen(new, str(store), "2026-05-10").count()
+        dedup.append_seen(new, str(store), "2026-05-10")
 
 
 def test_models_are_asked_once_per_kept_article(spark):
