@@ -305,6 +305,56 @@ def test_links_of_several_hubs(spark):
     links = spark.createDataFrame([(i, f"h{i // 10}") for i in range(80)] + [(i, f"g{i // 20}") for i in range(80)], "row long, hub string")
     got = {r["row"]: r["shard"] for r in label_shards.propagate(links, [10] * 8).collect()}
     assert len(got) == 80 and max(collections.Counter(got.values()).values()) <= 10
+    assert all(len({got[i] for i in range(10 * h, 10 * h + 10)}) == 1 for h in range(8))  # tens fill shards of ten
+
+
+def cut_pairs(groups, shard):
+    """Pairs of rows with equal group in different shards."""
+    n = 0
+    for g in set(groups):
+        per = collections.Counter(s for h, s in zip(groups, shard) if h == g)
+        n += (sum(per.values()) ** 2 - sum(c * c for c in per.values())) // 2
+    return n
+
+
+@pytest.mark.parametrize("sizes, cut", [([2] * 200, 0), ([3] * 133, 7), ([90, 40] + [2] * 100, 9)])
+def test_groups_gather_where_every_text_has_copies(spark, sizes, cut):
+    texts = [f"text {g}" for g, c in enumerate(sizes) for _ in range(c)]
+    random.Random(3).shuffle(texts)
+    got = sharded(table(spark, [(i, t, "a") for i, t in enumerate(texts)]))
+    balanced(got, len(texts))
+    where = collections.defaultdict(set)
+    for r in got:
+        where[texts[r["doc_id"]]].add(r["shard"])
+    assert sum(len(s) > 1 for s in where.values()) <= cut
+
+
+def test_few_rows_reach_the_least_cut_of_all_deals(spark):
+    import itertools
+
+    groups = [0, 0, 0, 1, 1, 1, 2, 2, 3, 3]
+    least = min(cut_pairs(groups, s) for s in itertools.product((0, 1), repeat=10) if sum(s) == 5)
+    links = spark.createDataFrame(list(enumerate(groups)), "row long, hub long")
+    got = {r["row"]: r["shard"] for r in label_shards.propagate(links, [5, 5]).collect()}
+    assert sorted(collections.Counter(got.values()).values()) == [5, 5]
+    assert cut_pairs(groups, [got[i] for i in range(10)]) == least == 0
+
+
+def test_exchanges_follow_cycles_and_room():
+    rnd = random.Random(6)
+    for _ in range(200):
+        n = rnd.randint(2, 6)
+        asked = [[0 if k == j else rnd.choice((0, 0, rnd.randint(1, 5))) for j in range(n)] for k in range(n)]
+        free = [rnd.choice((0, 0, 1, 4)) for _ in range(n)]
+        got = label_shards.exchanges(asked, free)
+        for k in range(n):
+            come, leave = sum(got[i][k] for i in range(n)), sum(got[k])
+            assert come - leave <= free[k] and all(0 <= got[k][j] <= asked[k][j] for j in range(n))
+        left = [[a - g for a, g in zip(*r)] for r in zip(asked, got)]
+        assert not label_shards._shortest_cycle(left)
+        room = [free[k] - sum(got[i][k] for i in range(n)) + sum(got[k]) for k in range(n)]
+        assert not any(left[k][j] and room[j] for k in range(n) for j in range(n))
+    assert label_shards.exchanges([[0, 3], [2, 0]], [0, 0]) == [[0, 2], [2, 0]]
 
 
 def test_shard_edges(edge, nothing):
