@@ -1,7 +1,8 @@
 """Substring deduplication over sliding spans of sentences.
 
-A text is cut into sentences (behind . ! ? and at line ends; sentences of more than ``MAX_WORDS`` words into pieces of
-that many, so a text without punctuation has pieces too). For every sentence the shortest run of ``RUN`` sentences or
+A text is cut into sentences (behind . ! ? and at line ends). Sentences of more than ``MAX_WORDS`` words are cut on where the content says so:
+before a word whose two-word gram has the least hash of the ``NEAR`` places on either side (the first of equal ones), so a text without punctuation has
+pieces too, and a passage inside longer sentences has the same pieces wherever it stands in them. For every sentence the shortest run of ``RUN`` sentences or
 more with ``MIN_WORDS`` words or more that starts there, and the shortest that ends there, is hashed to 128 bits. Both
 are functions of the run's own words, so equal passages give equal runs wherever they stand, and the two directions
 cover a repeated passage to both of its ends.
@@ -25,6 +26,8 @@ from pyspark.sql import functions as F
 from notesmith.llm.common import documents, only, ship, text_of
 
 RUN, MIN_WORDS, MAX_WORDS = 2, 16, 20
+#: Places on either side that a cut's hash is compared with (cuts are more than that apart), and most words between two cuts.
+NEAR, MOST_WORDS = 4, 60
 #: Documents whose runs are collapsed together.
 DOCS_AT_ONCE = 2000
 
@@ -35,8 +38,37 @@ _B = tuple(np.uint64(b) for b in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F))
 _INV = tuple(np.uint64(pow(int(b), -1, 1 << 64)) for b in _B)
 
 
-def pieces(data: bytes, max_words: int = MAX_WORDS) -> tuple[list[int], list[bytes], list[int]]:
-    """Starts of the pieces (the first is 0 and piece i ends where i + 1 starts), their normalised words, word counts."""
+def _hashes(words: list[bytes], known: dict[bytes, int]) -> np.ndarray:
+    out = []
+    for w in words:
+        h = known.get(w)
+        if h is None:
+            if len(known) > 500_000:
+                known.clear()
+            h = known[w] = xxhash.xxh3_64_intdigest(w)
+        out.append(h)
+    return np.array(out, dtype=np.uint64)
+
+
+def cuts(h: np.ndarray, near: int = NEAR, most: int = MOST_WORDS) -> list[int]:
+    """Places (the first is 0) at which pieces of a sentence of words with these hashes start.
+
+    A stretch without a place of least hash, such as a word repeated over and over, is cut every ``most`` words from its start."""
+    with np.errstate(over="ignore"):
+        gram = h[:-1] * _B[0] + h[1:]
+    n = len(gram)
+    least = np.ones(n, dtype=bool)
+    for d in range(1, near + 1):
+        least[d:] &= gram[d:] < gram[:-d]
+        least[:-d] &= gram[:-d] <= gram[d:]
+    at = [0, *(np.flatnonzero(least[1:]) + 1).tolist(), n + 1]
+    return [k for a, b in zip(at, at[1:]) for k in range(a, b, most)]
+
+
+def pieces(data: bytes, max_words: int = MAX_WORDS, known: dict[bytes, int] | None = None) -> tuple[list[int], list[bytes], list[int]]:
+    """Starts of the pieces (the first is 0 and piece i ends where i + 1 starts), their normalised words, word counts. ``known``
+    keeps hashes of words from text to text."""
+    known = {} if known is None else known
     starts, norm, counts = [], [], []
     at = 0
     ends = [m.end() for m in _END.finditer(data)]
@@ -50,10 +82,11 @@ def pieces(data: bytes, max_words: int = MAX_WORDS) -> tuple[list[int], list[byt
             counts.append(len(words))
         else:
             spots = [m.start() for m in _WORD.finditer(data, at, end)]
-            for k in range(0, len(words), max_words):
+            own = cuts(_hashes(words, known))
+            for k, to in zip(own, [*own[1:], len(words)]):
                 starts.append(spots[k] if k else at)
-                norm.append(b" ".join(words[k:k + max_words]))
-                counts.append(len(words[k:k + max_words]))
+                norm.append(b" ".join(words[k:to]))
+                counts.append(to - k)
         at = end
     return starts, norm, counts
 
@@ -88,12 +121,13 @@ def runs(norm: list[bytes], counts: list[int], run: int = RUN, min_words: int =
 
 
 def _spans(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    known: dict[bytes, int] = {}
     for pdf in batches:
         for lo in range(0, len(pdf), DOCS_AT_ONCE):
             out = []
             part = pdf.iloc[lo:lo + DOCS_AT_ONCE].sort_values(["doc_id", "th"])
             for doc_id, th, text in zip(part["doc_id"], part["th"], part["text"]):
-                _, norm, counts = pieces(text.encode("utf-8", "surrogatepass"))
+                _, norm, counts = pieces(text.encode("utf-8", "surrogatepass"), known=known)
                 r = runs(norm, counts)
                 if r is not None:
                     s, e, k1, k2 = r
@@ -143,11 +177,12 @@ def repeats(spans: DataFrame) -> DataFrame:
 def _removed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     import hashlib
 
+    known: dict[bytes, int] = {}
     for pdf in batches:
         rows = []
         for doc_id, th, text, cuts, firsts in zip(pdf["doc_id"], pdf["th"], pdf["text"], pdf["cuts"], pdf["firsts"]):
             data = text.encode("utf-8", "surrogatepass")
-            starts, _, counts = pieces(data)
+            starts, _, counts = pieces(data, known=known)
             gone = np.zeros(len(starts) + 1, dtype=np.int64)
             for c in cuts:
                 gone[c["s"]] += 1

@@ -8,6 +8,7 @@ import textwrap
 import zlib
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from notesmith.llm import (byte_bpe, exact_dedup, label_shards, license_scan, lyndon_order, minhash_hamming, quality_rules,
@@ -183,6 +184,40 @@ def test_a_passage_of_one_long_sentence_is_caught_and_clean_text_is_not(spark):
     assert set(got) == {1, 2, 3, 4} and all(0 <= f < i for i, fs in got.items() for f in fs)
 
 
+def test_long_sentences_are_cut_where_a_plain_scan_cuts_them():
+    rnd = random.Random(12)
+    for n in (21, 22, 50, 300, 700):
+        for words in ([b"%d" % rnd.randrange(40) for _ in range(n)], [b"same"] * n, [b"a", b"b"] * (n // 2) + [b"c"]):
+            h = [xxhash.xxh3_64_intdigest(w) for w in words]
+            gram = [(x * 0x9E3779B97F4A7C15 + y) % 2 ** 64 for x, y in zip(h, h[1:])]
+            near = sentence_spans.NEAR
+            at = [0] + [i for i in range(1, len(gram)) if all(gram[j] > gram[i] for j in range(max(0, i - near), i))
+                        and all(gram[j] >= gram[i] for j in range(i + 1, min(len(gram), i + near + 1)))]
+            want = []
+            for a, b in zip(at, at[1:] + [len(words)]):
+                while a < b:
+                    want.append(a)
+                    a += sentence_spans.MOST_WORDS
+            _, norm, counts = sentence_spans.pieces(b" ".join(words))
+            assert counts == [b - a for a, b in zip(want, want[1:] + [len(words)])]
+            assert b" ".join(norm).split() == words
+
+
+def test_shifted_passages_inside_long_sentences_are_found(spark):
+    """A passage of 61 words at other offsets of longer sentences, in documents that share nothing else."""
+    rnd = random.Random(13)
+    own = lambda n: " ".join("".join(rnd.choices("bcdfghjk", k=7)) for _ in range(n))
+    passages = [own(61) for _ in range(40)]
+    rows = [(i, own(30) + ". " + own(rnd.randint(1, 19)) + " " + p + " " + own(rnd.randint(1, 19)) + ". " + own(30), "a")
+            for i, p in enumerate(passages + passages)]
+    got = {r["doc_id"]: r["kept_text"] for r in sentence_spans.sentence_dedup(table(spark, rows)).collect()}
+    assert set(got) == set(range(40, 80))
+    for i, kept in got.items():
+        left = len(set(passages[i - 40].split()) & set(kept.split()))
+        assert left <= 40 and len(set(rows[i][1].split()) - set(passages[i - 40].split()) - set(kept.split())) == 0
+    assert sum(len(set(passages[i - 40].split()) & set(k.split())) for i, k in got.items()) / 40 < 20
+
+
 def test_sentence_edges(edge, nothing):
     got = {r["doc_id"]: r for r in sentence_spans.sentence_dedup(edge).collect()}
     assert set(got) <= {4, 9, 5} and got[9]["n_removed"] > 0
