@@ -27,7 +27,9 @@ from notesmith.llm.common import documents, only, ship, text_of
 
 RUN, MIN_WORDS, MAX_WORDS = 2, 16, 20
 #: Places on either side that a cut's hash is compared with (cuts are more than that apart), and most words between two cuts.
-NEAR, MOST_WORDS = 4, 60
+NEAR, MOST_WORDS = 5, 60
+#: A run's two ends in one number.
+SPAN = 1 << 31
 #: Documents whose runs are collapsed together.
 DOCS_AT_ONCE = 2000
 
@@ -50,39 +52,52 @@ def _hashes(words: list[bytes], known: dict[bytes, int]) -> np.ndarray:
     return np.array(out, dtype=np.uint64)
 
 
-def cuts(h: np.ndarray, near: int = NEAR, most: int = MOST_WORDS) -> list[int]:
-    """Places (the first is 0) at which pieces of a sentence of words with these hashes start.
+def cuts(sentences: list[list[bytes]], known: dict[bytes, int], near: int = NEAR, most: int = MOST_WORDS) -> list[list[int]]:
+    """Places (the first is 0) at which pieces of each sentence start; all sentences of a text are looked at together.
 
     A stretch without a place of least hash, such as a word repeated over and over, is cut every ``most`` words from its start."""
+    gap = [b""] * near  # between two sentences nothing is less
+    h = _hashes([w for words in sentences for w in (*words, *gap)], known)
     with np.errstate(over="ignore"):
-        gram = h[:-1] * _B[0] + h[1:]
-    n = len(gram)
-    least = np.ones(n, dtype=bool)
+        gram = h * _B[0]
+        gram[:-1] += h[1:]
+    sizes = np.array([len(words) for words in sentences])
+    first = np.cumsum(sizes + near) - sizes - near
+    for d in range(near + 1):  # the last word has no gram
+        gram[first + sizes - 1 + d] = np.iinfo(np.uint64).max
+    least = np.ones(len(gram), dtype=bool)
     for d in range(1, near + 1):
         least[d:] &= gram[d:] < gram[:-d]
         least[:-d] &= gram[:-d] <= gram[d:]
-    at = [0, *(np.flatnonzero(least[1:]) + 1).tolist(), n + 1]
-    return [k for a, b in zip(at, at[1:]) for k in range(a, b, most)]
+    least[first] = False
+    spots = np.flatnonzero(least)
+    out = []
+    for a, b, own in zip(first.tolist(), (first + sizes).tolist(), np.split(spots, np.searchsorted(spots, first[1:]))):
+        at = [0, *(own - a).tolist(), b - a]
+        out.append([k for x, y in zip(at, at[1:]) for k in range(x, y, most)])
+    return out
 
 
 def pieces(data: bytes, max_words: int = MAX_WORDS, known: dict[bytes, int] | None = None) -> tuple[list[int], list[bytes], list[int]]:
     """Starts of the pieces (the first is 0 and piece i ends where i + 1 starts), their normalised words, word counts. ``known``
     keeps hashes of words from text to text."""
-    known = {} if known is None else known
     starts, norm, counts = [], [], []
-    at = 0
     ends = [m.end() for m in _END.finditer(data)]
     if not ends or ends[-1] < len(data):
         ends.append(len(data))
-    for end in ends:
-        words = data[at:end].lower().split()
+    low = data.lower()
+    sentences = [low[a:b].split() for a, b in zip([0, *ends], ends)]
+    long = [words for words in sentences if len(words) > max_words]
+    places = iter(cuts(long, {} if known is None else known) if long else ())
+    at = 0
+    for end, words in zip(ends, sentences):
         if len(words) <= max_words:
             starts.append(at)
             norm.append(b" ".join(words))
             counts.append(len(words))
         else:
             spots = [m.start() for m in _WORD.finditer(data, at, end)]
-            own = cuts(_hashes(words, known))
+            own = next(places)
             for k, to in zip(own, [*own[1:], len(words)]):
                 starts.append(spots[k] if k else at)
                 norm.append(b" ".join(words[k:to]))
@@ -107,7 +122,7 @@ def runs(norm: list[bytes], counts: list[int], run: int = RUN, min_words: int =
     e = np.concatenate([fwd[fwd <= n], i[back >= 0] + 1])
     if not len(s):
         return None
-    s, e = np.unique(np.stack([s, e]), axis=1)
+    s, e = np.divmod(np.unique(s * (n + 1) + e), n + 1)
     h = np.frombuffer(b"".join(xxhash.xxh3_128_digest(norm[j]) for j in have), dtype=">u8").astype(np.uint64).reshape(-1, 2)
     keys = []
     with np.errstate(over="ignore"):
@@ -144,8 +159,9 @@ def _spans(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             # Rows that are gone already travel under a key of their own, spread evenly.
             k1 = np.where(head, k1, _scatter(doc, s))
             keep = ~again
-            yield pd.DataFrame({"doc_id": doc[keep], "th": th[keep], "s": s[keep], "e": e[keep], "k1": k1[keep], "k2": k2[keep],
-                                "before": pd.array(np.where(head, 0, doc[first])[keep], dtype="int64"), "gone": ~head[keep]})
+            before = pd.array(doc[first][keep], dtype="Int64")
+            before[head[keep]] = pd.NA
+            yield pd.DataFrame({"k1": k1[keep], "k2": k2[keep], "th": th[keep], "doc_id": doc[keep], "span": s[keep] * SPAN + e[keep], "before": before})
 
 
 def _scatter(doc: np.ndarray, s: np.ndarray) -> np.ndarray:
@@ -161,17 +177,20 @@ def texts_of(docs: DataFrame) -> DataFrame:
 
 
 def spans_of(docs: DataFrame) -> DataFrame:
-    """doc_id, th, s, e (pieces s to e - 1), k1, k2 of every run, gone where its batch has an earlier one (in ``before``)."""
+    """k1, k2, th, doc_id, span (pieces s to e - 1 as s * SPAN + e) of every run, and before, a document that has it earlier in its batch
+    (null: none). Few narrow columns, random ones side by side: this is what is shuffled."""
     ship(docs.sparkSession)
-    return texts_of(docs).mapInPandas(_spans, "doc_id long, th long, s int, e int, k1 long, k2 long, before long, gone boolean")
+    return texts_of(docs).mapInPandas(_spans, "k1 long, k2 long, th long, doc_id long, span long, before long")
 
 
 def repeats(spans: DataFrame) -> DataFrame:
     """doc_id, th, s, e of every run that is not the first of its hash, and first_id, a document that has it earlier."""
-    w = Window.partitionBy("gone", "k1", "k2").orderBy("doc_id", "th", "s")
-    place = F.struct("doc_id", "th", "s")
-    t = spans.withColumn("head", F.first(place).over(w)).where(F.col("gone") | (place != F.col("head")))
-    return t.select("doc_id", "th", "s", "e", F.when(F.col("gone"), F.col("before")).otherwise(F.col("head.doc_id")).alias("first_id"))
+    gone = F.col("before").isNotNull()
+    w = Window.partitionBy("k1", "k2", gone).orderBy("doc_id", "th", "span")
+    place = F.struct("doc_id", "th", "span")
+    t = spans.withColumn("head", F.first(place).over(w)).where(gone | (place != F.col("head")))
+    first = F.when(gone, F.col("before")).otherwise(F.col("head.doc_id"))
+    return t.select("doc_id", "th", F.expr(f"cast(span div {SPAN} as int)").alias("s"), (F.col("span") % SPAN).cast("int").alias("e"), first.alias("first_id"))
 
 
 def _removed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
