@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from notesmith.session import cut_lineage, path_exists
+from notesmith.session import cut_lineage, holds_files, path_exists
 
 #: Bits of a bitmap (fixed by the bitmap functions), bits set per key, and bits held per key.
 WIDTH, BITS, PER_KEY = 32_768, 6, 10
@@ -70,8 +70,14 @@ class KeyStore:
     def filters(self, prefixes: list[str] | None = None) -> DataFrame:
         return self._read(f"{self.path}/_filters", T._parse_datatype_string(FILTERS), prefixes)
 
+    def _check(self) -> None:
+        """A folder that holds something else than a store is an error, not an empty store."""
+        if holds_files(self.spark, self.path) and not path_exists(self.spark, f"{self.path}/_filters"):
+            raise ValueError(f"{self.path} holds files but no filters: not a key store (append its rows to a new one)")
+
     def maybe(self, keys: DataFrame) -> DataFrame:
         """(key, prefix) of the keys that some filter does not rule out. Written."""
+        self._check()
         digest = F.md5(F.col(self.key).cast("binary"))
         asked = cut_lineage(keys.select(self.key).dropna().distinct().select(self.key, digest.alias("_d"), prefix_of(digest, self.digits).alias("prefix")))
         prefixes = [r[0] for r in asked.select("prefix").distinct().collect()]  # at most 16 ** digits
@@ -95,6 +101,7 @@ class KeyStore:
 
     def append(self, rows: DataFrame) -> int:
         """Adds rows (of ``schema``, a null key left out); returns how many."""
+        self._check()
         own = cut_lineage(rows.select(*self.schema.names).where(F.col(self.key).isNotNull()))
         n = own.count()
         if n:

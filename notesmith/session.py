@@ -68,6 +68,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def holds_files(spark: SparkSession, path: str) -> bool:
+    """Whether a folder is there and not empty."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(p) and fs.listStatusIterator(p).hasNext()
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Cut lineage with a table written to the shared checkpoint folder and read back.
 
