@@ -18,6 +18,7 @@ there and does each merge step for all of them at once.
 from __future__ import annotations
 
 import base64
+import heapq
 from functools import lru_cache
 
 import numpy as np
@@ -121,11 +122,69 @@ def _merge_all(data: np.ndarray, starts: np.ndarray, single: np.ndarray, first:
         stay = ~done
         stay[hit + 1] = False
         ids, word = ids[stay], word[stay]
+    if not out_ids:
+        return ids, np.zeros(n + 1, dtype=np.int64)
     ids, word = np.concatenate(out_ids), np.concatenate(out_word)
     order = np.argsort(word, kind="stable")
     return ids[order], np.concatenate([[0], np.cumsum(np.bincount(word, minlength=n))])
 
 
+#: Bytes from which a word is merged by itself: every round of ``_merge_all`` costs the lengths of all words that are left.
+LONG = 256
+
+
+def _merge_long(data: np.ndarray, single: np.ndarray, first: np.ndarray, pairs: dict[int, int]) -> np.ndarray:
+    """ids of one word: a linked list of its pieces and a heap of (rank, place), so n bytes cost n log n steps."""
+    n = len(data)
+    codes = data.astype(np.int64)
+    rank = [*first[codes[:-1] << 8 | codes[1:]].tolist(), NO_RANK]
+    ids, after, before = single[data].tolist(), list(range(1, n + 1)), list(range(-1, n - 1))
+    heap = [(r, at) for at, r in enumerate(rank) if r != NO_RANK]
+    heapq.heapify(heap)
+    while heap:
+        r, at = heapq.heappop(heap)
+        if rank[at] != r:  # the pair has changed since
+            continue
+        gone = after[at]
+        ids[at], rank[gone] = r, NO_RANK
+        after[at] = nxt = after[gone]
+        rank[at] = NO_RANK
+        if nxt < n:
+            before[nxt] = at
+            rank[at] = pairs.get(r << 17 | ids[nxt], NO_RANK)
+            if rank[at] != NO_RANK:
+                heapq.heappush(heap, (rank[at], at))
+        prev = before[at]
+        if prev >= 0:
+            rank[prev] = pairs.get(ids[prev] << 17 | r, NO_RANK)
+            if rank[prev] != NO_RANK:
+                heapq.heappush(heap, (rank[prev], prev))
+    out, at = [], 0
+    while at < n:
+        out.append(ids[at])
+        at = after[at]
+    return np.array(out, dtype=np.int64)
+
+
+def _merge_words(data: np.ndarray, starts: np.ndarray, single: np.ndarray, first: np.ndarray, pairs: dict[int, int],
+                 keys: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """ids of all words and their starts; long words one by one, the others in common rounds."""
+    size = np.diff(starts)
+    long = np.flatnonzero(size >= LONG)
+    if not len(long):
+        return _merge_all(data, starts, single, first, keys, ranks)
+    rest = np.where(size >= LONG, 0, size)
+    ids, at = _merge_all(data[np.repeat(size < LONG, size)], np.concatenate([[0], np.cumsum(rest)]), single, first, keys, ranks)
+    parts, upto = [], 0
+    for k in long.tolist():
+        parts += [ids[upto:at[k]], _merge_long(data[starts[k]:starts[k + 1]], single, first, pairs)]
+        upto = at[k]
+    parts.append(ids[upto:])
+    n_ids = np.diff(at)
+    n_ids[long] = [len(p) for p in parts[1::2]]
+    return np.concatenate(parts), np.concatenate([[0], np.cumsum(n_ids)])
+
+
 #: Distinct words merged at once: bounds the arrays of a task.
 AT_ONCE = 200_000
 #: Texts of an Arrow batch whose words are coded together: bounds the copies of their words.
@@ -150,7 +209,7 @@ def _arrow_kernel(ranks: dict[bytes, int]):
             part = pa.concat_arrays([raw.slice(at, AT_ONCE)])
             offsets = np.frombuffer(part.buffers()[1], dtype=np.int64)[part.offset:part.offset + len(part) + 1]
             data = np.frombuffer(part.buffers()[2] or b"", dtype=np.uint8)[offsets[0]:offsets[-1]]
-            ids, starts = _merge_all(data, offsets - offsets[0], single, first, keys, values)
+            ids, starts = _merge_words(data, offsets - offsets[0], single, first, pairs, keys, values)
             parts.append(pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids, pa.int32())))
         return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
 
