@@ -25,21 +25,18 @@ def groups_of(text: list[int]) -> tuple[list[int], list[int]]:
     while end > 0:
         low = home[order[end - 1]]
         seen: dict[int, int] = {}
-        most = 1
         for s in sorted(order[low:end]) if end - low > 1 else (order[low],):
             p = s - 1
             while p >= 0 and home[p] >= low:
                 p = left[p]
             left[s] = p
             if p >= 0:
-                if p in seen:
-                    seen[p] += 1
-                    if seen[p] > most:
-                        most = seen[p]
-                else:
-                    seen[p] = 1
-        for times in range(most, 0, -1):
-            moved = [p for p, c in seen.items() if c == times] if most > 1 else list(seen)
+                seen[p] = seen.get(p, 0) + 1
+        by_times: dict[int, list[int]] = {}
+        for p, times in seen.items():
+            by_times.setdefault(times, []).append(p)
+        # The counts of a group add up to its size, so there are few different ones.
+        for moved in [by_times[times] for times in sorted(by_times, reverse=True)]:
             for p in moved:
                 h = home[p]
                 size[h] -= 1
