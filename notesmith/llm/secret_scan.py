@@ -24,13 +24,15 @@ from notesmith.session import cut_lineage
 
 @dataclass(frozen=True)
 class Rule:
-    """``pattern`` has exactly one group; a match is kept when that group has ``least`` characters or more."""
+    """``pattern`` has exactly one group; a match is kept when that group has ``least`` characters or more. ``before``, if
+    given, ends the gap in front of a match: it leads to the only place near it where a match can start."""
 
     kind: str
     version: int
     pattern: str
     least: int
     base: bool = False
+    before: str = ""
 
     @property
     def key(self) -> str:
@@ -43,7 +45,9 @@ RULES = (
     Rule("access", 1, r"(AKIA[A-Z0-9]+)", 16, True),
     Rule("hex", 1, r"([0-9a-f]{32,})", 32, True),  # runs are maximal, so shorter ones can be left out of the pattern
     Rule("pem", 1, r"(-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----)", 1),
-    Rule("jwt", 1, r"(eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,})", 1),
+    # The first part reaches to the end of its run of characters, so where the first eyJ of a run fails, later ones fail too.
+    Rule("jwt", 1, r"(eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,})", 1,
+         before=r"(?<![A-Za-z0-9_-])(?>[A-Za-z0-9_-]*?(?=eyJ))"),
     Rule("hosted", 1, r"(gh[pousr]_[A-Za-z0-9]{36,})", 1),
 )
 
@@ -76,15 +80,17 @@ def _hit(rule: str):
 
 
 def spans_in(texts: DataFrame, rules=RULES) -> DataFrame:
-    """blob, rule, start, end of every kept match; ``texts`` has blob, text, todo."""
+    """blob, rule, start, end of every kept match; ``texts`` has blob, text, todo, and may repeat a blob."""
     hits = []
     for r in rules:
-        at = r"\G((?s:.*?))(" + r.pattern + ")"
+        at = r"\G((?s:.*?)" + r.before + ")(" + r.pattern + ")"
         part = [F.transform(F.regexp_extract_all("text", F.lit(at), F.lit(i)), lambda s: F.length(s)) for i in (1, 2, 3)]
         found = F.transform(F.arrays_zip(*part), _hit(r.key))
-        hits.append(F.when(F.array_contains("todo", r.key) & F.col("text").rlike(r.pattern), found))
+        hits.append(F.when(F.array_contains("todo", r.key) & F.col("text").rlike(r.before + r.pattern), found))
     none = F.array().cast("array<struct<rule:string,i:int,gap:int,n:int,v:int>>")
     rows = texts.select("blob", F.explode(F.concat(*[F.coalesce(h, none) for h in hits])).alias("h")).select("blob", "h.*")
+    # Copies of a blob give the same matches under the same numbers; positions are running sums, so one of each is kept.
+    rows = rows.dropDuplicates(["blob", "rule", "i"])
     upto = Window.partitionBy("blob", "rule").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumn("end", F.sum((F.col("gap") + F.col("n")).cast("long")).over(upto))
     least = F.create_map(*[x for r in rules for x in (F.lit(r.key), F.lit(r.least))])
@@ -107,8 +113,8 @@ def scan(docs: DataFrame, ledger: tuple[DataFrame, DataFrame] | None = None, rul
     b = todo.withColumnRenamed("path", "first").alias("b")
     texts = a.join(b, F.col("a.path").eqNullSafe(F.col("b.first"))
                    & (F.unhex(F.sha2(F.col("a.text").cast("binary"), 256)) == F.col("b.blob")))
-    # Rows that repeat path and text all meet the representative; positions are running sums, so one row per blob.
-    found = spans_in(texts.select("blob", "text", "todo").dropDuplicates(["blob"]), rules).distinct()
+    # Rows that repeat path and text all meet the representative.
+    found = spans_in(texts.select("blob", "text", "todo"), rules)
     return versions, todo.select("blob", F.col("todo").alias("rules")), cut_lineage(found)
 
 
