@@ -1,6 +1,6 @@
 """MinHash near-duplicates by a multi-index Hamming join.
 
-1. Every text becomes the set of its 2-word shingles (64-bit hashes) and a signature of ``SLOTS`` minima, ``BITS`` bits
+1. Every text becomes the set of its shingles of ``words`` words (64-bit hashes; five, unless the query's contract says two) and a signature of ``SLOTS`` minima, ``BITS`` bits
    each. Texts with equal sets form one class, represented by the smallest doc_id.
 2. Pigeonhole: the signature is split into ``CHUNKS`` chunks. Two signatures that differ in at most ``RADIUS`` slots
    differ in at most one slot of some chunk, so they agree on one of that chunk's keys with one slot left out. All those
@@ -19,6 +19,7 @@ of about 1e-6; nearer pairs are rarer to miss still.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -36,7 +37,8 @@ SLOTS, BITS, CHUNKS, RADIUS = 64, 16, 15, 29
 NIBBLE = 4
 BUCKET, GROUP = 4096, 256
 SIMILAR = 80  # per cent
-WORDS = 2
+#: Words of a shingle: of the operator and the pipeline stage, and of the query by its contract.
+WORDS, QUERY_WORDS = 5, 2
 
 assert 2 * CHUNKS > RADIUS
 _rng = np.random.default_rng(20_240_611)
@@ -68,17 +70,21 @@ def _mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-def shingles(text: str) -> np.ndarray:
-    """Sorted distinct hashes of the 2-word shingles; of the whole sequence where there are fewer words."""
+def shingles(text: str, n: int) -> np.ndarray:
+    """Sorted distinct hashes of the shingles of n words; of the whole sequence where there are fewer words."""
     words = text.encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.empty(0, dtype=np.uint64)
     h = np.fromiter(map(_words.__getitem__, words), dtype=np.uint64, count=len(words))
-    if len(words) < WORDS:
-        return _mix(h + np.uint64(1))
+    short = len(h) < n
+    n = min(n, len(h))
+    run = h[:len(h) - n + 1]
     with np.errstate(over="ignore"):
-        pair = _mix(h[:-1]) * np.uint64(3) + ((h[1:] << np.uint64(29)) | (h[1:] >> np.uint64(35)))
-    return np.unique(_mix(pair))
+        for k in range(1, n):
+            more = h[k:len(h) - n + 1 + k]
+            run = _mix(run) * np.uint64(3) + ((more << np.uint64(29)) | (more >> np.uint64(35)))
+        # A shorter sequence never equals a shingle of n words.
+        return np.unique(_mix(run + np.uint64(n) if short else run))
 
 
 def signature(s: np.ndarray) -> np.ndarray:
@@ -109,11 +115,11 @@ def small_of(sig: np.ndarray) -> bytes:
     return ((low[0::2] << NIBBLE) | low[1::2]).tobytes()
 
 
-def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _signed(batches: Iterator[pd.DataFrame], words: int) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         rows = []
         for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
-            s = shingles(text)
+            s = shingles(text, words)
             if len(s):
                 sig = signature(s)
                 rows.append((doc_id, len(s), xxhash.xxh3_128_digest(s.tobytes()), sig.tobytes(), small_of(sig)))
@@ -193,13 +199,13 @@ def _bucket_forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame({"a": np.array(a, dtype=np.int64), "b": np.array(b, dtype=np.int64)})
 
 
-def _confirmed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _confirmed(batches: Iterator[pd.DataFrame], words: int) -> Iterator[pd.DataFrame]:
     """Spanning forest of the exact links in every group of texts."""
     a: list[int] = []
     b: list[int] = []
     for g in _groups(batches, ["grp", "i", "j"]):
         ids = g["rep"].to_numpy()
-        sets = [shingles(t) for t in g["text"]]
+        sets = [shingles(t, words) for t in g["text"]]
         sizes = np.array([len(s) for s in sets])
         if len(sets) == 2:
             common = len(np.intersect1d(*sets, assume_unique=True))
@@ -253,16 +259,17 @@ def _ids(docs: DataFrame) -> DataFrame:
     return t.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc_id"), text_of().alias("text"))
 
 
-def near_duplicates(docs: DataFrame, bucket: int = BUCKET, group: int = GROUP) -> DataFrame:
-    """One row per input row: doc_id, n_shingles, class_id (smallest doc_id with an equal set), component_id, kept.
+def near_duplicates(docs: DataFrame, bucket: int = BUCKET, group: int = GROUP, words: int = WORDS) -> DataFrame:
+    """One row per input row: doc_id, n_shingles (of ``words`` words), class_id (smallest doc_id with an equal set), component_id, kept.
 
-    Texts without words, also null ones, are linked with nothing. A null id counts as the smallest long. Rows that repeat an
-    id should repeat the text; each gets its row. Texts are read whole at any length. Other columns, whatever their
+    Texts without words, also null ones, are linked with nothing. A null id counts as the smallest long. Every row takes the
+    component of its own text, also where its id repeats with another text; two texts of which the same id is the smallest are
+    one component. Texts are read whole at any length. Other columns, whatever their
     names, are not read. An empty table gives no rows.
     """
     ship(docs.sparkSession)
     t = _ids(docs)
-    signed = cut_lineage(t.mapInPandas(_signed, "doc_id long, n_shingles long, set_hash binary, sig binary, small binary"))
+    signed = cut_lineage(t.mapInPandas(partial(_signed, words=words), "doc_id long, n_shingles long, set_hash binary, sig binary, small binary"))
     classes = cut_lineage(signed.where("set_hash is not null").groupBy("set_hash").agg(
         F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("small").alias("small")))
     keyed = classes.select("rep", "sig").mapInPandas(_keyed, "key long, rep long")
@@ -276,7 +283,7 @@ def near_duplicates(docs: DataFrame, bucket: int = BUCKET, group: int = GROUP) -
     # Members grow with the documents, so they are never broadcast, also where their files happen to be small.
     texts = t.join(cut_lineage(members).withColumnRenamed("rep", "doc_id").hint("merge"), "doc_id").withColumnRenamed("doc_id", "rep")
     texts = texts.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j")
-    links = components(texts.mapInPandas(_confirmed, "a long, b long"))
+    links = components(texts.mapInPandas(partial(_confirmed, words=words), "a long, b long"))
     reps = classes.select("set_hash", "rep").join(links.withColumnRenamed("id", "rep"), "rep", "left").select(
         "set_hash", F.col("rep").alias("class_id"), F.coalesce("comp", "rep").alias("comp"))
     out = signed.select("doc_id", "n_shingles", "set_hash").join(reps, "set_hash", "left")
@@ -286,7 +293,7 @@ def near_duplicates(docs: DataFrame, bucket: int = BUCKET, group: int = GROUP) -
 
 
 def op5_minhash_hamming(spark, sf_dir: str) -> DataFrame:
-    return near_duplicates(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "kept", "class_id")
+    return near_duplicates(documents(spark, sf_dir), words=QUERY_WORDS).select("doc_id", "n_shingles", "component_id", "kept", "class_id")
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
