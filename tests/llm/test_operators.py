@@ -5,6 +5,7 @@ import hashlib
 import random
 import struct
 import textwrap
+import time
 import zlib
 
 import pytest
@@ -71,6 +72,16 @@ def test_suffix_order_is_the_sorted_order():
         assert lyndon_order.suffix_order(t) == sorted(range(len(t)), key=lambda i: t[i:])
 
 
+def test_grouping_costs_as_much_as_its_text_is_long():
+    """Pointers that are named very often and very many pointers that are named once: each is handled once."""
+    def seconds(n):
+        text = [1] + [2] * n + [1, 2] * n + [0]
+        start = time.process_time()
+        assert lyndon_order.suffix_order(text)[0] == 3 * n + 1
+        return time.process_time() - start
+    assert seconds(64_000) < 3.5 * seconds(32_000) + 0.5
+
+
 def removed_by_brute_force(docs, length):
     """(doc_id, text) in order -> (bytes, removed, spans, sha256 of the rest)."""
     seen, out = set(), {}
@@ -241,6 +252,27 @@ def test_bpe_equals_tiktoken_and_decodes(spark, edge, nothing):
     assert byte_bpe.tokenize(nothing, ranks, pattern).count() == 0
 
 
+def test_long_words_are_merged_as_tiktoken_does(spark):
+    import tiktoken
+
+    ranks, pattern = byte_bpe.vocabulary(spark)
+    enc = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    rnd = random.Random(4)
+    sets = ["ACGT", "ab", "abcdefghijklmnopqrstuvwxyz", "ethnarios", "áé中文字x", "0", "=-_", " "]
+    texts = ["".join(rnd.choices(s, k=n)) for s in sets for n in (85, byte_bpe.LONG - 1, byte_bpe.LONG, 3000)]
+    texts += [" and ".join(rnd.choices(texts, k=4)) + " end" for _ in range(20)]
+    got = byte_bpe.tokenize(table(spark, [(i, t, "a") for i, t in enumerate(texts)]), ranks, pattern).collect()
+    assert {r["doc_id"]: r["ids"] for r in got} == {i: enc.encode_ordinary(t) for i, t in enumerate(texts)}
+
+
+def test_a_word_of_a_million_letters(spark):
+    ranks, pattern = byte_bpe.vocabulary(spark)
+    text = "".join(random.Random(5).choices("ACGT", k=1_000_000))
+    start = time.monotonic()
+    row = byte_bpe.tokenize(table(spark, [(1, text, "a")]), ranks, pattern).first()
+    assert bytes(row["decoded"]).decode() == text and time.monotonic() - start < 120
+
+
 def test_bpe_digests(spark):
     ranks, pattern = byte_bpe.vocabulary(spark)
     r = byte_bpe._digests(table(spark, [(1, "two words", "a")]), ranks, pattern).first()
@@ -250,11 +282,11 @@ def test_bpe_digests(spark):
 
 
 # ---- 5 near-duplicates -----------------------------------------------------------------------------------------------
-def near_by_brute_force(docs):
+def near_by_brute_force(docs, n=5):
     sets = {}
     for i, t in docs:
         w = WORD.findall(t.translate(UP))
-        sets[i] = frozenset(zip(w, w[1:])) if len(w) > 1 else frozenset([tuple(w)] if w else [])
+        sets[i] = frozenset(zip(*(w[k:] for k in range(n)))) if len(w) >= n else frozenset([tuple(w)] if w else [])
     up = {i: i for i in sets}
 
     def root(i):
@@ -269,12 +301,27 @@ def near_by_brute_force(docs):
     return {i: (len(sets[i]), root(i)) for i in sets}
 
 
-@pytest.mark.parametrize("block", [None, 3])
-def test_near_duplicates_match_brute_force(spark, block):
-    rows = corpus(21, 120) + [(200, "one", "a"), (201, "One", "a"), (202, "", "a")]
-    sizes = {} if block is None else {"bucket": block, "group": block}
+@pytest.mark.parametrize("block,words", [(None, 2), (3, 2), (None, 5)])
+def test_near_duplicates_match_brute_force(spark, block, words):
+    rows = corpus(21, 120) + [(200, "one", "a"), (201, "One", "a"), (202, "", "a"), (203, "one two three", "a"), (204, "One two  three", "a")]
+    sizes = {"words": words} if block is None else {"bucket": block, "group": block, "words": words}
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash_hamming.near_duplicates(table(spark, rows), **sizes).collect()}
-    assert got == near_by_brute_force([(i, t) for i, t, _ in rows])
+    assert got == near_by_brute_force([(i, t) for i, t, _ in rows], words)
+
+
+def test_an_id_with_two_texts(spark):
+    a, b = " ".join(f"a{k}" for k in range(40)), " ".join(f"b{k}" for k in range(40))
+    per = lambda rows: sorted((r["doc_id"], r["component_id"]) for r in minhash_hamming.near_duplicates(table(spark, rows)).collect())
+    assert per([(5, a, "a"), (5, b, "a"), (2, a, "a"), (3, b + " c", "a")]) == [(2, 2), (3, 3), (5, 2), (5, 3)]
+    assert per([(1, a, "a"), (1, b, "a"), (2, a, "a"), (3, b + " c", "a")]) == [(1, 1), (1, 1), (2, 1), (3, 1)]
+
+
+def test_near_stage_takes_five_words(spark):
+    words = [f"w{k}" for k in range(400)]
+    edited = [w + "x" if k % 25 == 12 else w for k, w in enumerate(words)]  # over 0.8 on two words, under 0.8 on five
+    rows = [(1, " ".join(words), "a"), (2, " ".join(edited), "a"), (3, " ".join(words[:395]), "a")]
+    assert near_by_brute_force([r[:2] for r in rows], 2)[2][1] == 1 and near_by_brute_force([r[:2] for r in rows])[2][1] == 2
+    assert {r["doc_id"] for r in minhash_hamming.stage(spark, table(spark, rows), "").collect()} == {1, 2}
 
 
 def test_near_edges(edge, nothing):
@@ -527,6 +574,24 @@ def test_a_repeated_row_adds_no_secrets(spark):
     assert got == want and want[1]["n_assign"] == 2 and want[1]["spans"].startswith("assign:0:21,access:28:48")
 
 
+def test_web_tokens_in_long_runs(spark):
+    """The rule with its gap finds what the plain pattern finds, also where the run before a match holds more starts."""
+    import re
+
+    rule = next(r for r in secret_scan.RULES if r.kind == "jwt")
+    rnd = random.Random(6)
+    part = lambda: "".join(rnd.choice(["eyJ", "eyJ", "abcdefgh", "abcdefgh-", "A_", ".", ".", rnd.choice(" =é")]) for _ in range(rnd.randint(1, 60)))
+    good = "eyJ" + "a" * 9 + "." + "b" * 9 + "." + "c" * 9
+    texts = [part() for _ in range(400)] + [good, "x" + good, good + "." + good, good + " " + good, "eyJeyJ" + good, "eyJ.eyJ." + good, good[:-2]]
+    want = {i: ",".join(f"jwt:{m.start()}:{m.end()}" for m in re.finditer(rule.pattern, t)) for i, t in enumerate(texts)}
+    assert sum(map(bool, want.values())) > 30
+    v, _, found = secret_scan.scan(table(spark, [(i, t, "a") for i, t in enumerate(texts)]), rules=(rule,))
+    assert {r["path"]: r["spans"] for r in secret_scan.per_path(v, found, (rule,)).collect()} == want
+    start = time.monotonic()
+    v, _, found = secret_scan.scan(table(spark, [(1, "eyJ" * 300_000 + "! " + good, "a")]))
+    assert secret_scan.per_path(v, found).first()["spans"] == f"jwt:900002:{900002 + len(good)}" and time.monotonic() - start < 120
+
+
 def test_secret_edges(edge, nothing):
     v, _, found = secret_scan.scan(edge)
     rows = secret_scan.per_path(v, found).collect()
