@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from notesmith.functions.text import topic_slug, wikilink
 from notesmith.operators.notes import resolve_collisions, yaml_quoted
+from notesmith.operators.publication import publish, published
 
 # Page headings and labels of the topic pages and the index.
 INDEX_TITLE = "知识地图总览"
@@ -136,7 +137,21 @@ def index_page(index: DataFrame) -> DataFrame:
     return index.withColumn("page", F.lit(INDEX_PAGE))
 
 
-def write_pages(chunks: DataFrame, path: str) -> None:
-    """O-K3: chunks range-partitioned by (page, keys) so a big page spans several ordered part files."""
-    (chunks.repartitionByRange("page", "sec", "k1", "k2").sortWithinPartitions("page", "sec", "k1", "k2")
-     .select("page", "line").write.mode("overwrite").partitionBy("page").text(path))
+#: Name of the run under which a map's pages are published: a new map replaces the old one.
+MAP = "map"
+
+
+def write_pages(chunks: DataFrame, path: str, run: str = MAP) -> None:
+    """O-K3: chunks range-partitioned by (page, keys) so a big page spans several ordered part files, all pages published at once."""
+    ordered = chunks.repartitionByRange("page", "sec", "k1", "k2").sortWithinPartitions("page", "sec", "k1", "k2")
+    publish(ordered.select("page", F.col("line").alias("value")), path, run, ["page"], "text")
+
+
+def published_pages(spark, path: str, run: str = MAP) -> DataFrame | None:
+    """page, file, place, line of the pages in force: by (file, place) the lines of a page are in order. None before the first map."""
+    t = published(spark, path, [run])
+    if t is None:
+        return None
+    at = F.struct(F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                  F.monotonically_increasing_id().alias("row"))
+    return t.select("page", at["file"].alias("file"), F.struct(at["block"], at["row"]).alias("place"), F.col("value").alias("line"))

@@ -8,7 +8,7 @@ notes (see ``resolve_collisions``).
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,8 +17,9 @@ from notesmith.functions.common import col
 from notesmith.functions.dates import utc_date_label
 from notesmith.functions.text import note_filename, word_count
 from notesmith.operators.key_store import name_store
+from notesmith.operators.publication import publish, published
 from notesmith.operators.ranking import balanced_row_number
-from notesmith.session import cut_lineage, path_exists
+from notesmith.session import cut_lineage
 
 # Vault folder per source, section headings of a note.
 SOURCE_DIRS = {"rss": "2-Articles", "web_url": "2-Articles", "feishu": "2-Articles", "github": "3-GitHub",
@@ -164,18 +165,13 @@ def render_notes(articles: DataFrame, as_of: str, existing: DataFrame | Callable
 
 def stored_names(spark, path: str, run: str | None = None) -> DataFrame | None:
     """dir, filename of the notes that runs other than ``run`` have written; None where nothing is stored yet."""
-    if not path_exists(spark, path):
-        return None
-    t = spark.read.parquet(path)
-    if run is not None:
-        t = t.where(F.col("run") != run)
-    return t.select(F.concat(F.col("sub").cast("string"), F.lit("/"), F.col("leaf").cast("string")).alias("dir"), "filename")
+    t = published(spark, path, but=run)
+    return None if t is None else t.select(F.concat(F.col("sub").cast("string"), F.lit("/"), F.col("leaf").cast("string")).alias("dir"), "filename")
 
 
 def written_names(spark, path: str, run: str) -> DataFrame:
     """dir, filename of the notes of one run."""
-    t = spark.read.parquet(path).where(F.col("run") == run)
-    return t.select(F.concat(F.col("sub").cast("string"), F.lit("/"), F.col("leaf").cast("string")).alias("dir"), "filename")
+    return published(spark, path, [run]).select(F.concat(F.col("sub").cast("string"), F.lit("/"), F.col("leaf").cast("string")).alias("dir"), "filename")
 
 
 def _family_key(dir_: Column, stem: Column) -> Column:
@@ -200,17 +196,20 @@ def register_names(rendered: DataFrame, registry: str, run: str) -> int:
 
 
 def write_notes(rendered: DataFrame, path: str, run: str) -> None:
-    """O-K1: one parquet dataset partitioned by run and folder (folder pruning on read).
+    """O-K1: one parquet dataset, published run by run and partitioned by folder (folder pruning on read).
 
-    ``run`` names one ingest, not a day: two runs of a day keep both their notes. Dynamic partition overwrite makes a
-    rerun under the same name replace its own partitions instead of appending the notes twice (e.g. after a failure
-    between this write and the seen-store append)."""
-    (rendered.withColumn("run", F.lit(run))
+    ``run`` names one ingest, not a day: two runs of a day keep both their notes. A rerun under the same name replaces the
+    run's notes in one step, also in folders that it no longer writes to; a run that dies has no notes (``published_notes``)."""
+    rows = (rendered.withColumn("run", F.lit(run))
      .withColumn("sub", F.split("dir", "/").getItem(0)).withColumn("leaf", F.split("dir", "/").getItem(1))
      .select("run", "sub", "leaf", "filename", "note_path", "content", "title", "tags", "relevance_score",
-             "source_name")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run", "sub", "leaf")
-     .parquet(path))
+             "source_name"))
+    publish(rows, path, run, ["sub", "leaf"])
+
+
+def published_notes(spark, path: str, runs: Sequence[str] | None = None) -> DataFrame | None:
+    """The notes of all published runs, or of some; None where there are none."""
+    return published(spark, path, runs)
 
 
 def article_json(df: DataFrame) -> DataFrame:

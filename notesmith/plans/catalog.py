@@ -23,10 +23,11 @@ from notesmith.operators import inference as INF
 from notesmith.operators import levels as L
 from notesmith.operators import maps as MP
 from notesmith.operators import notes as NT
+from notesmith.operators import publication as PB
 from notesmith.operators import topics as TP
 from notesmith.plans import duck as D
 from notesmith.plans import ingest as IG
-from notesmith.session import checkpoint_dir, load_table
+from notesmith.session import checkpoint_dir, cut_lineage, load_table
 from notesmith.sources import articles as A
 from notesmith.sources.derived import derived
 
@@ -649,6 +650,22 @@ def q_note_render(spark, sf):
     return _rendered(spark, sf).select("doc_id", "note_path", "content")
 
 
+@register("published_notes", _RENDER_CTES + f"""
+SELECT CASE WHEN relevance_score >= 7 THEN 'second' ELSE 'first' END AS run, note_path, CAST(length(content) AS BIGINT) AS n_chars
+FROM ({_D_RENDERED})
+""")
+def q_published_notes(spark, sf):
+    """O-K1 as readers see it: two runs, one of them published again with fewer notes, and one that died before its manifest."""
+    path = _scratch(spark, "notes")
+    rendered = cut_lineage(_rendered(spark, sf))
+    high = F.col("relevance_score") >= 7
+    NT.write_notes(rendered.where(~high), path, "first")
+    NT.write_notes(rendered, path, "second")
+    NT.write_notes(rendered.where(high), path, "second")
+    PB.write_attempt(rendered.select("note_path", "content"), path, "third")
+    return NT.published_notes(spark, path).select("run", "note_path", F.length("content").cast("bigint").alias("n_chars"))
+
+
 @register("note_filename", _RENDER_CTES + f"""
 SELECT doc_id, {D.note_filename('relevance_score', 'title')} AS filename,
        {D.note_filename('0', 'title')} AS unscored_filename FROM ({_D_FINAL})
