@@ -8,12 +8,16 @@
 3. Inside a key's bucket the distances are computed and only a spanning forest of the pairs within ``RADIUS`` leaves the
    task, so rows grow with members, not pairs. A bucket of more than ``BUCKET`` members is compared in pairs of blocks.
    Connected components of the forests are loose groups: every pair within the radius is inside one of them.
-4. Each loose group meets once with its texts, and the exact test on the full sets decides every link: a search outward from
-   each member over those not yet reached. Groups over ``GROUP`` members are tested in pairs of blocks. Components of
-   the confirmed links are the result.
+4. The exact test on the full sets decides every link: a search outward from each member over those not yet reached. A
+   loose group of at most ``GROUP`` members meets once with its texts. A larger one is first divided by sketches, the
+   ``SKETCH`` smallest hashes of every set: pairs whose sketches cannot come from linked sets are let go, so texts that share
+   a frame but no link never meet. Where more than ``GROUP`` members stay together, each block of them is tested with the
+   group's smallest member beside it; what one component then holds is settled, and only blocks with other members
+   meet the rest in pairs. Components of the confirmed links are the result.
 
 A pair at a similarity of exactly 0.8 differs in 12.8 slots on average and in more than ``RADIUS`` with a probability
-of about 1e-6; nearer pairs are rarer to miss still.
+of about 1e-6; nearer pairs are rarer to miss still. Inside large loose groups the sketches' estimate of such a pair is five
+standard deviations above ``SKETCH_LEAST``; sets that fit into a sketch are compared whole.
 """
 
 from __future__ import annotations
@@ -36,6 +40,8 @@ SLOTS, BITS, CHUNKS, RADIUS = 64, 16, 15, 29
 #: Bits per slot that travel with the keys for the distance: fewer bits never make a distance larger.
 NIBBLE = 4
 BUCKET, GROUP = 4096, 256
+#: Hashes of a sketch, rows of a block of sketches, and the least estimate (per mille) that is tested on the full sets.
+SKETCH, SKETCHES, SKETCH_LEAST = 512, 1024, 711
 SIMILAR = 80  # per cent
 #: Words of a shingle: of the operator and the pipeline stage, and of the query by its contract.
 WORDS, QUERY_WORDS = 5, 2
@@ -199,6 +205,33 @@ def _bucket_forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame({"a": np.array(a, dtype=np.int64), "b": np.array(b, dtype=np.int64)})
 
 
+def _overlap(sets: list[np.ndarray]):
+    """``common(i, some)``: sizes of the intersections of set i with the sets ``some``; with the flat layout of all sets."""
+    sizes = np.array([len(s) for s in sets])
+    values, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    mark = np.zeros(len(values), dtype=np.int32)
+
+    def places(some):
+        spots = np.concatenate([[0], np.cumsum(sizes[some])])
+        return flat[np.repeat(starts[some] - spots[:-1], sizes[some]) + np.arange(spots[-1])], spots[:-1]
+
+    def common(i, some):
+        own = flat[starts[i]:starts[i + 1]]
+        mark[own] = 1
+        at, spots = places(some)
+        n = np.add.reduceat(mark[at], spots)
+        mark[own] = 0
+        return n
+
+    return common, places
+
+
+def _linkable(size: int, sizes: np.ndarray) -> np.ndarray:
+    """Which sizes a set linked with one of ``size`` can have."""
+    return (sizes > 0) & (SIMILAR * sizes <= 100 * size) & (SIMILAR * size <= 100 * sizes)
+
+
 def _confirmed(batches: Iterator[pd.DataFrame], words: int) -> Iterator[pd.DataFrame]:
     """Spanning forest of the exact links in every group of texts."""
     a: list[int] = []
@@ -211,23 +244,14 @@ def _confirmed(batches: Iterator[pd.DataFrame], words: int) -> Iterator[pd.DataF
             common = len(np.intersect1d(*sets, assume_unique=True))
             pairs = [(0, 1)] if 100 * common >= SIMILAR * (sizes.sum() - common) else []
         else:
-            values, ids_flat = np.unique(np.concatenate(sets), return_inverse=True)
-            starts = np.concatenate([[0], np.cumsum(sizes)])
-            mark = np.zeros(len(values), dtype=np.int32)
+            overlap, _ = _overlap(sets)
 
             def near(i, rest):
-                own = ids_flat[starts[i]:starts[i + 1]]
-                able = (SIMILAR * sizes[rest] <= 100 * sizes[i]) & (SIMILAR * sizes[i] <= 100 * sizes[rest])
-                hit = np.zeros(len(rest), dtype=bool)
-                some = rest[able]
-                if not len(some):
-                    return hit
-                mark[own] = 1
-                spots = np.concatenate([[0], np.cumsum(sizes[some])])
-                flat = np.repeat(starts[some] - spots[:-1], sizes[some]) + np.arange(spots[-1])
-                common = np.add.reduceat(mark[ids_flat[flat]], spots[:-1])
-                mark[own] = 0
-                hit[able] = 100 * common >= SIMILAR * (sizes[i] + sizes[some] - common)
+                hit = _linkable(sizes[i], sizes[rest])
+                some = rest[hit]
+                if len(some):
+                    common = overlap(i, some)
+                    hit[hit] = 100 * common >= SIMILAR * (sizes[i] + sizes[some] - common)
                 return hit
             pairs = _forest(len(sets), near)
         for i, j in pairs:
@@ -236,35 +260,138 @@ def _confirmed(batches: Iterator[pd.DataFrame], words: int) -> Iterator[pd.DataF
     yield pd.DataFrame({"a": np.array(a, dtype=np.int64), "b": np.array(b, dtype=np.int64)})
 
 
-def _in_blocks(df: DataFrame, group: str, order: str, size: DataFrame, most: int) -> DataFrame:
+def sketch(s: np.ndarray) -> np.ndarray:
+    """The ``SKETCH`` smallest of a set's hashes, cut to 32 bits."""
+    return np.unique((s[:2 * SKETCH] >> np.uint64(32)).astype(np.uint32))[:SKETCH]
+
+
+def _sketched(batches: Iterator[pd.DataFrame], words: int) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        sets = [shingles(t, words) for t in pdf["text"]]
+        yield pd.DataFrame({"grp": pdf["grp"], "rep": pdf["rep"], "n": [len(s) for s in sets], "sketch": [sketch(s).tobytes() for s in sets]})
+
+
+def _sketch_forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Spanning forest of the pairs whose sketches may come from linked sets.
+
+    The hashes up to the lesser of two sketches' ends are a sample of the union of both sets: the whole of it where
+    both sketches are whole sets."""
+    a: list[int] = []
+    b: list[int] = []
+    for g in _groups(batches, ["grp", "i", "j"]):
+        ids, sizes = g["rep"].to_numpy(), g["n"].to_numpy()
+        sets = [np.frombuffer(x, dtype=np.uint32) for x in g["sketch"]]
+        overlap, places = _overlap(sets)
+        whole = np.iinfo(np.int64).max
+        end = np.array([whole if n <= SKETCH else places(np.array([k]))[0][-1] for k, n in enumerate(sizes)])
+
+        def near(i, rest):
+            hit = _linkable(sizes[i], sizes[rest])
+            some = rest[hit]
+            if len(some):
+                upto = np.minimum(end[i], end[some])
+                at, spots = places(some)
+                theirs = np.add.reduceat((at <= np.repeat(upto, np.diff(np.append(spots, len(at))))).astype(np.int64), spots)
+                common = overlap(i, some)
+                union = np.searchsorted(places(np.array([i]))[0], upto, side="right") + theirs - common
+                # Two hashes cut to 32 bits may fall together, so a whole set may lack one.
+                hit[hit] = np.where(upto == whole, 100 * (common + 1) >= SIMILAR * union, 1000 * common >= SKETCH_LEAST * union)
+            return hit
+        for i, j in _forest(len(sets), near):
+            a.append(ids[i])
+            b.append(ids[j])
+    yield pd.DataFrame({"a": np.array(a, dtype=np.int64), "b": np.array(b, dtype=np.int64)})
+
+
+def _in_blocks(df: DataFrame, group: str, order: list[str], size: DataFrame, most: int) -> DataFrame:
     """df with columns i, j: groups of at most ``most`` rows once (0, 0); larger ones once per pair of blocks.
 
-    A row of a large group is repeated once per block of its group; no task sees more than ``2 * most`` rows of it."""
+    A row of a large group is repeated once per block of its group; no task sees more than ``2 * most`` rows of it. Where
+    ``size`` has a column ``settled``, so many first rows of the group need not meet each other, and blocks of
+    such rows alone do not."""
     t = df.join(size, group)
+    settled = F.col("settled") if "settled" in size.columns else F.lit(0)
     small = t.where(F.col("members") <= most).withColumn("at", F.lit(None).cast("struct<i:int,j:int>"))
     large = t.where(F.col("members") > most)
-    large = balanced_row_number(large, [group], [order], "rn")
+    large = balanced_row_number(large, [group], order, "rn")
     own = F.floor((F.col("rn") - 1) / most).cast("int")
     n = F.ceil(F.col("members") / most).cast("int")
-    others = F.filter(F.sequence(F.lit(0), n - 1), lambda x: x != own)
+    first = F.floor(settled / most).cast("int")
+    others = F.filter(F.sequence(F.lit(0), n - 1), lambda x: (x != own) & (F.greatest(x, own) >= first))
     at = F.transform(others, lambda x: F.struct(F.least(x, own).cast("int").alias("i"), F.greatest(x, own).cast("int").alias("j")))
     large = large.withColumn("at", F.explode(at)).drop("rn")
-    both = small.unionByName(large).drop("members")
+    both = small.unionByName(large).drop("members", "settled")
     return both.withColumns({"i": F.coalesce("at.i", F.lit(0)), "j": F.coalesce("at.j", F.lit(0))}).drop("at")
 
 
+def _sizes(df: DataFrame, by: str = "grp") -> DataFrame:
+    return df.groupBy(by).agg(F.count(F.lit(1)).alias("members"))
+
+
+def _meet(df: DataFrame, *by: str) -> DataFrame:
+    return df.repartition(*by).sortWithinPartitions(*by)
+
+
+def _texts(t: DataFrame, members: DataFrame) -> DataFrame:
+    """The members (rep) with their texts. Members grow with the documents, so they are never broadcast, also where
+    their files happen to be small."""
+    return t.join(cut_lineage(members).withColumnRenamed("rep", "doc_id").hint("merge"), "doc_id").withColumnRenamed("doc_id", "rep")
+
+
+def _exact_links(t: DataFrame, loose: DataFrame, group: int, sketches: int, words: int) -> DataFrame:
+    """Links (a, b) that hold together the components of the exact links inside loose groups (grp, its smallest rep; rep)."""
+    pairs = "a long, b long"
+    confirm = partial(_confirmed, words=words)
+
+    def tested(members: DataFrame) -> DataFrame:
+        return _meet(_texts(t, members), "grp", "i", "j").mapInPandas(confirm, pairs)
+
+    loose = cut_lineage(loose)
+    sizes = _sizes(loose)
+    once = loose.join(sizes.where(F.col("members") <= group).select("grp"), "grp")
+    large = sizes.where(F.col("members") > group)
+    alone = {"i": F.lit(0), "j": F.lit(0)}
+    if large.isEmpty():
+        return tested(once.withColumns(alone))
+    # Large groups are divided by sketches; the texts are read once for them.
+    divided = loose.join(large.select("grp"), "grp")
+    made = cut_lineage(_texts(t, divided).mapInPandas(partial(_sketched, words=words), "grp long, rep long, n long, sketch binary"))
+    met = _in_blocks(divided, "grp", ["rep"], large, sketches)
+    met = _meet(met.join(made.drop("grp").hint("merge"), "rep"), "grp", "i", "j")
+    near = components(met.mapInPandas(_sketch_forest, pairs)).select(F.col("comp").alias("grp"), F.col("id").alias("rep"))
+    sizes = cut_lineage(_sizes(near))
+    once = once.unionByName(near.join(sizes.where(F.col("members") <= group).select("grp"), "grp"))
+    large = sizes.where(F.col("members") > group)
+    # Every block of a group that is still large beside the group's smallest member.
+    many = cut_lineage(balanced_row_number(near.join(large, "grp"), ["grp"], ["rep"], "rn"))
+    block = F.floor((F.col("rn") - 1) / group).cast("int")
+    hubs = many.where("rep = grp").withColumn("i", F.explode(F.sequence(F.lit(1), F.ceil(F.col("members") / group).cast("int") - 1)))
+    blocks = many.withColumn("i", block).unionByName(hubs).select("grp", "rep", "i", F.col("i").alias("j"))
+    links = cut_lineage(tested(once.withColumns(alone).unionByName(blocks)))
+    found = components(links.join(many.select(F.col("rep").alias("a")), "a", "left_semi").select("a", "b"))
+    parts = cut_lineage(many.select("grp", "rep").join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
+        "grp", "rep", F.coalesce("comp", "rep").alias("part")))
+    counted = parts.groupBy("grp", "part").agg(F.count(F.lit(1)).alias("n"))
+    best = counted.groupBy("grp").agg(F.sum("n").alias("members"), F.max(F.struct(F.col("n"), F.col("part"))).alias("best"))
+    best = cut_lineage(best.select("grp", "members", F.col("best.n").alias("settled"), F.col("best.part").alias("main")).where("members > settled"))
+    open_ = parts.join(best.select("grp", "main"), "grp").select("grp", "rep", (F.col("part") != F.col("main")).alias("late"))
+    left = _in_blocks(open_, "grp", ["late", "rep"], best.select("grp", "members", "settled"), group).drop("late")
+    return links.unionByName(tested(left))
+
+
 def _ids(docs: DataFrame) -> DataFrame:
     """doc_id (null: the smallest long), text (null: empty)."""
     t = only(docs, "doc_id", "text")
     return t.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc_id"), text_of().alias("text"))
 
 
-def near_duplicates(docs: DataFrame, bucket: int = BUCKET, group: int = GROUP, words: int = WORDS) -> DataFrame:
+def near_duplicates(docs: DataFrame, bucket: int = BUCKET, group: int = GROUP, words: int = WORDS, sketches: int = SKETCHES) -> DataFrame:
     """One row per input row: doc_id, n_shingles (of ``words`` words), class_id (smallest doc_id with an equal set), component_id, kept.
 
     Texts without words, also null ones, are linked with nothing. A null id counts as the smallest long. Every row takes the
     component of its own text, also where its id repeats with another text; two texts of which the same id is the smallest are
-    one component. Texts are read whole at any length. Other columns, whatever their
+    one component. Texts are read whole at any length. ``bucket``, ``group`` and ``sketches`` bound the rows that meet at once
+    (of keys, texts and sketches) and change no result. Other columns, whatever their
     names, are not read. An empty table gives no rows.
     """
     ship(docs.sparkSession)
@@ -274,16 +401,10 @@ def near_duplicates(docs: DataFrame, bucket: int = BUCKET, group: int = GROUP, w
         F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("small").alias("small")))
     keyed = classes.select("rep", "sig").mapInPandas(_keyed, "key long, rep long")
     # Keys travel without signatures; only the members of buckets of two or more classes fetch theirs.
-    sizes = keyed.select("key").groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    met = _in_blocks(keyed, "key", "rep", sizes, bucket)
-    met = met.join(classes.select("rep", "small"), "rep").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    met = _in_blocks(keyed, "key", ["rep"], _sizes(keyed, "key").where("members > 1"), bucket)
+    met = _meet(met.join(classes.select("rep", "small"), "rep"), "key", "i", "j")
     loose = components(met.mapInPandas(_bucket_forest, "a long, b long").distinct())
-    loose = loose.select(F.col("comp").alias("grp"), F.col("id").alias("rep"))
-    members = _in_blocks(loose, "grp", "rep", loose.groupBy("grp").agg(F.count(F.lit(1)).alias("members")), group)
-    # Members grow with the documents, so they are never broadcast, also where their files happen to be small.
-    texts = t.join(cut_lineage(members).withColumnRenamed("rep", "doc_id").hint("merge"), "doc_id").withColumnRenamed("doc_id", "rep")
-    texts = texts.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j")
-    links = components(texts.mapInPandas(partial(_confirmed, words=words), "a long, b long"))
+    links = components(_exact_links(t, loose.select(F.col("comp").alias("grp"), F.col("id").alias("rep")), group, sketches, words))
     reps = classes.select("set_hash", "rep").join(links.withColumnRenamed("id", "rep"), "rep", "left").select(
         "set_hash", F.col("rep").alias("class_id"), F.coalesce("comp", "rep").alias("comp"))
     out = signed.select("doc_id", "n_shingles", "set_hash").join(reps, "set_hash", "left")

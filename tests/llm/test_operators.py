@@ -8,6 +8,7 @@ import textwrap
 import time
 import zlib
 
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -304,11 +305,39 @@ def near_by_brute_force(docs, n=5):
 @pytest.mark.parametrize("block,words", [(None, 2), (3, 2), (None, 5)])
 def test_near_duplicates_match_brute_force(spark, block, words):
     rows = corpus(21, 120) + [(200, "one", "a"), (201, "One", "a"), (202, "", "a"), (203, "one two three", "a"), (204, "One two  three", "a")]
-    sizes = {"words": words} if block is None else {"bucket": block, "group": block, "words": words}
+    sizes = {"words": words} if block is None else {"bucket": block, "group": block, "sketches": 4, "words": words}
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash_hamming.near_duplicates(table(spark, rows), **sizes).collect()}
     assert got == near_by_brute_force([(i, t) for i, t, _ in rows], words)
 
 
+def test_large_loose_groups_match_brute_force(spark):
+    """A hot group of near copies, a chain whose ends are not linked, and texts that share a frame but no link; some longer than a sketch."""
+    rnd = random.Random(77)
+    base, frame = [f"b{k}" for k in range(900)], [f"f{k}" for k in range(150)]
+    texts = []
+    for k in range(40):  # near copies, not all linked with the smallest
+        w = list(base)
+        for at in rnd.sample(range(900), rnd.choice((3, 20, 45))):
+            w[at] = f"x{k}_{at}"
+        texts.append(w)
+    texts += [[f"c{k}" for k in range(at, at + 120)] for at in range(0, 400, 10)]  # neighbours at 110 of 130
+    texts += [[*frame, *(f"u{n}_{k}" for k in range(55))] for n in range(40)]
+    rnd.shuffle(texts)
+    rows = [(i, " ".join(w), "a") for i, w in enumerate(texts)]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash_hamming.near_duplicates(
+        table(spark, rows), group=6, sketches=16, words=2).collect()}
+    assert got == near_by_brute_force([r[:2] for r in rows], 2)
+
+
+def test_a_shared_frame_without_links_meets_no_texts():
+    sets = [minhash_hamming.shingles(" ".join([*(f"f{k}" for k in range(1500)), *(f"u{n}_{k}" for k in range(550))]), 2) for n in range(60)]
+    same = minhash_hamming.shingles(" ".join([*(f"f{k}" for k in range(1500)), *(f"u0_{k}" for k in range(500))]), 2)
+    g = pd.DataFrame({"grp": 0, "i": 0, "j": 0, "rep": range(61), "n": [len(s) for s in [*sets, same]],
+                      "sketch": [minhash_hamming.sketch(s).tobytes() for s in [*sets, same]]})
+    out = pd.concat(minhash_hamming._sketch_forest([g]))
+    assert out.to_numpy().tolist() == [[0, 60]]
+
+
 def test_an_id_with_two_texts(spark):
     a, b = " ".join(f"a{k}" for k in range(40)), " ".join(f"b{k}" for k in range(40))
     per = lambda rows: sorted((r["doc_id"], r["component_id"]) for r in minhash_hamming.near_duplicates(table(spark, rows)).collect())
