@@ -339,35 +339,40 @@ def _texts(t: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def _exact_links(t: DataFrame, loose: DataFrame, group: int, sketches: int, words: int) -> DataFrame:
-    """Links (a, b) that hold together the components of the exact links inside loose groups (grp, its smallest rep; rep)."""
+    """Links (a, b) that hold together the components of the exact links inside loose groups (grp, its smallest rep; rep).
+
+    All texts are shuffled once, to find those of the members; what follows moves texts of members only, and a second
+    time only those of large groups."""
     pairs = "a long, b long"
     confirm = partial(_confirmed, words=words)
 
-    def tested(members: DataFrame) -> DataFrame:
-        return _meet(_texts(t, members), "grp", "i", "j").mapInPandas(confirm, pairs)
+    def tested(rows: DataFrame) -> DataFrame:
+        return _meet(rows, "grp", "i", "j").mapInPandas(confirm, pairs)
 
     loose = cut_lineage(loose)
     sizes = _sizes(loose)
-    once = loose.join(sizes.where(F.col("members") <= group).select("grp"), "grp")
-    large = sizes.where(F.col("members") > group)
+    held = cut_lineage(_texts(t, loose.join(sizes, "grp")))
     alone = {"i": F.lit(0), "j": F.lit(0)}
+    once = held.where(F.col("members") <= group).select("grp", "rep", "text").withColumns(alone)
+    large = sizes.where(F.col("members") > group)
     if large.isEmpty():
-        return tested(once.withColumns(alone))
-    # Large groups are divided by sketches; the texts are read once for them.
-    divided = loose.join(large.select("grp"), "grp")
-    made = cut_lineage(_texts(t, divided).mapInPandas(partial(_sketched, words=words), "grp long, rep long, n long, sketch binary"))
-    met = _in_blocks(divided, "grp", ["rep"], large, sketches)
+        return tested(once)
+    # Large groups are divided by sketches.
+    held = held.where(F.col("members") > group)
+    made = cut_lineage(held.mapInPandas(partial(_sketched, words=words), "grp long, rep long, n long, sketch binary"))
+    held = held.select(F.col("rep").alias("doc_id"), "text")
+    met = _in_blocks(loose.join(large.select("grp"), "grp"), "grp", ["rep"], large, sketches)
     met = _meet(met.join(made.drop("grp").hint("merge"), "rep"), "grp", "i", "j")
     near = components(met.mapInPandas(_sketch_forest, pairs)).select(F.col("comp").alias("grp"), F.col("id").alias("rep"))
     sizes = cut_lineage(_sizes(near))
-    once = once.unionByName(near.join(sizes.where(F.col("members") <= group).select("grp"), "grp"))
+    divided = near.join(sizes.where(F.col("members") <= group).select("grp"), "grp").withColumns(alone)
     large = sizes.where(F.col("members") > group)
     # Every block of a group that is still large beside the group's smallest member.
     many = cut_lineage(balanced_row_number(near.join(large, "grp"), ["grp"], ["rep"], "rn"))
     block = F.floor((F.col("rn") - 1) / group).cast("int")
     hubs = many.where("rep = grp").withColumn("i", F.explode(F.sequence(F.lit(1), F.ceil(F.col("members") / group).cast("int") - 1)))
     blocks = many.withColumn("i", block).unionByName(hubs).select("grp", "rep", "i", F.col("i").alias("j"))
-    links = cut_lineage(tested(once.withColumns(alone).unionByName(blocks)))
+    links = cut_lineage(tested(once.unionByName(_texts(held, divided.unionByName(blocks)))))
     found = components(links.join(many.select(F.col("rep").alias("a")), "a", "left_semi").select("a", "b"))
     parts = cut_lineage(many.select("grp", "rep").join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
         "grp", "rep", F.coalesce("comp", "rep").alias("part")))
@@ -376,7 +381,7 @@ def _exact_links(t: DataFrame, loose: DataFrame, group: int, sketches: int, word
     best = cut_lineage(best.select("grp", "members", F.col("best.n").alias("settled"), F.col("best.part").alias("main")).where("members > settled"))
     open_ = parts.join(best.select("grp", "main"), "grp").select("grp", "rep", (F.col("part") != F.col("main")).alias("late"))
     left = _in_blocks(open_, "grp", ["late", "rep"], best.select("grp", "members", "settled"), group).drop("late")
-    return links.unionByName(tested(left))
+    return links.unionByName(tested(_texts(held, left)))
 
 
 def _ids(docs: DataFrame) -> DataFrame:
