@@ -242,3 +242,36 @@ def test_cluster_choice_on_long_and_bushy_trees(spark):
             above = want.get(p) if p is not None else None
             want[i] = above if above is not None else i if i in sel else None
         assert {r["c"]: r["chosen"] for r in linkage.chosen_clusters(tree).collect()} == want
+
+
+def test_close_pairs_lose_none_and_name_few_others():
+    rng = np.random.default_rng(10)
+    for scale, off, dim in ((1, 0, 5), (1e-3, 1e6, 64), (1e200, 0, 3), (1, 0, 1)):
+        x, y = rng.normal(0, scale, (300, dim)) + off, rng.normal(0, scale, (2500, dim)) + off
+        x[7], y[9] = np.nan, np.inf
+        with np.errstate(all="ignore"):
+            d = vector_blocks.distances(x, y)
+        mx, my = np.quantile(rng.permutation(d[np.isfinite(d)]), 0.01) if scale < 1e9 else 1e200, -1.0
+        got, many = np.zeros(d.shape, bool), 0
+        for i, j in vector_blocks.close_pairs(x, y, np.full(300, mx), np.full(2500, my)):
+            with np.errstate(all="ignore"):
+                assert np.array_equal(vector_blocks.measured(x, y, i, j), d[i, j])
+            got[i, j] = True
+            many += len(i)
+        want = np.isfinite(d) & (d <= mx)
+        assert not (want & ~got).any() and many == got.sum()
+        if scale < 1e9:
+            assert many <= 1.1 * want.sum() + 10
+
+
+def test_spanning_keeps_a_lightest_forest():
+    rng = np.random.default_rng(11)
+    for n, m in ((1, 0), (40, 25), (300, 4000)):
+        i, j = rng.integers(0, n, m), rng.integers(0, n, m)
+        kept, comp = vector_blocks.spanning(n, i, j)
+        of, want = list(range(n)), []
+        for e, (a, b) in enumerate(zip(i.tolist(), j.tolist())):  # links stand in order of weight
+            if of[a] != of[b]:
+                want.append(e)
+                of = [of[a] if z == of[b] else z for z in of]
+        assert kept.tolist() == want and len(set(comp.tolist())) == len(set(of)) == len(set(zip(comp.tolist(), of)))
