@@ -275,3 +275,18 @@ def test_spanning_keeps_a_lightest_forest():
                 want.append(e)
                 of = [of[a] if z == of[b] else z for z in of]
         assert kept.tolist() == want and len(set(comp.tolist())) == len(set(of)) == len(set(zip(comp.tolist(), of)))
+
+
+def test_links_of_the_query_are_found_with_cores_that_are_made_once(spark, monkeypatch):
+    from notesmith.plans import catalog
+
+    seen, quantile = [], density.exact_quantile
+    monkeypatch.setattr(catalog, "_vectors", lambda spark, sf: frame(spark, blobs(14, 60)))
+    monkeypatch.setattr(density, "exact_quantile", lambda df, *a: seen.append(df.inputFiles()) or quantile(df, *a))
+    found = catalog.QUERIES["reach_edges"](spark, "")
+    assert seen and all("/cut-" in f for f in seen[0]) and len(seen[0])
+    d = matrix(blobs(14, 60))
+    c = cores(d, 2)
+    w = np.maximum(d, np.maximum(c[:, None], c[None]))
+    i, j = np.nonzero(np.triu(w <= np.sort(c)[29], 1))
+    assert {(r["a"], r["b"]): r["weight"] for r in found.collect()} == {(int(a), int(b)): pytest.approx(w[a, b], abs=1e-6) for a, b in zip(i, j)}
