@@ -1,9 +1,11 @@
 """Hierarchical density clustering (O-C3), exact at any number of distances.
 
-1. Spanning tree. Every block and every pair of blocks that may matter gives the minimum spanning tree of its own rows under
-   mutual reachability (``vector_blocks``); the tree of all rows is among those edges. A pair is skipped for a row when the
-   row's bound reaches the largest weight on a path of block trees between the two. Borůvka rounds then thin the edges: each component
-   takes its lightest edge, components are merged, inner and parallel edges leave.
+1. Spanning tree. Trees of short slices of the blocks, links between slices and the nearest rows under mutual reachability give a
+   first tree of all rows. Where a row meets the half of the rows that the tree joins first is the row's limit: no path of the first
+   tree between two rows has a weight above the larger limit of the two, so only pairs below it can be in the minimum spanning tree.
+   Every pair of blocks (``vector_blocks``) gives a minimum spanning forest of those pairs, and the tree of all rows is among these
+   edges and the first tree's. Borůvka rounds then thin the edges: each component takes its lightest edge, components are merged,
+   inner and parallel edges leave.
 2. Merge tree. The rounds also order the tree's edges: an edge chosen in round t climbs from the component it
    was merged into until that component's lightest edge is heavier than itself. Edges that stop at the same place form a chain, in weight order,
    below that heavier edge. So each edge knows its parent (the next merge above) after as many joins as there were rounds, and
@@ -23,9 +25,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from notesmith.operators.density import _reach, rep_cores
+from notesmith.operators.density import near_and_cores
 from notesmith.operators.ranking import balanced_row_number
-from notesmith.operators.vector_blocks import Blocks, blocked, per_pair, routed, stacked, summaries
+from notesmith.operators.vector_blocks import Blocks, blocked, close_pairs, measured, per_pair, routed, spanning, stacked, summaries
 from notesmith.session import cut_lineage, drop_cut, scratch_cuts
 
 #: Decimals of a weight: distances that agree to them are equal, whatever engine added them up.
@@ -34,6 +36,8 @@ DIGITS = 9
 LEAST = 1e-12
 #: Consecutive rows that one task adds up in a prefix sum.
 SLICE = 1 << 16
+#: Rows of one of the first tree's slices, rows up to which one limit serves all, and pairs that a forest is made of at once.
+TREE_ROWS, FEW_ROWS, FOREST_PAIRS = 1024, 8192, 1 << 21
 
 
 # ---- spanning tree -------------------------------------------------------------------
@@ -60,55 +64,108 @@ def _edges(ids: np.ndarray, a: np.ndarray, b: np.ndarray, w: np.ndarray) -> pd.D
     return pd.DataFrame({"w": w, "a": np.minimum(ids[a], ids[b]), "b": np.maximum(ids[a], ids[b])})
 
 
-def _block_trees(rows: DataFrame) -> DataFrame:
-    """w, a, b, blk, link: each block's tree, and (link) the lightest edge to the next block. Written."""
+def _link(x: np.ndarray, y: np.ndarray, cx: np.ndarray, cy: np.ndarray) -> tuple[int, int, float]:
+    """A light link between two slices: the lightest as far as a matrix product tells, and its weight."""
+    centre = x.mean(axis=0)
+    p, q = x - centre, y - centre
+    d = np.sqrt(np.maximum((p * p).sum(axis=1)[:, None] + (q * q).sum(axis=1)[None, :] - 2 * (p @ q.T), 0))
+    i, j = np.unravel_index(int(np.maximum(d, np.maximum(cx[:, None], cy[None, :])).argmin()), d.shape)
+    d = measured(x, y, np.array([i]), np.array([j]))[0]
+    return int(i), int(j), round(float(max(d, cx[i], cy[j])), DIGITS)
+
+
+def _slice_trees(rows: DataFrame) -> DataFrame:
+    """w, a, b: the trees of each block's slices, and a light link from every slice to the next and every block to the next."""
+    size = TREE_ROWS
     sent = rows.withColumn("at", F.explode(F.array_compact(F.array(F.col("blk"), F.when(F.col("blk") > 0, F.col("blk") - 1)))))
 
     def own(pdf: pd.DataFrame) -> pd.DataFrame:
-        at = int(pdf["at"].iat[0])
-        pdf = pdf.sort_values("rep")
-        mine, after = pdf[pdf["blk"] == at], pdf[pdf["blk"] == at + 1]
-        ids = mine["rep"].to_numpy()
-        out = [_edges(ids, *tree_of(stacked(mine["vec"]), mine["core"].to_numpy())).assign(link=False)]
-        if len(after):
-            w = np.round(_reach(mine, after), DIGITS)
-            i, j = np.unravel_index(int(w.argmin()), w.shape)
-            out.append(_edges(np.array([ids[i], after["rep"].iat[j]]), np.array([0]), np.array([1]), w[i:i + 1, j]).assign(link=True))
-        return pd.concat(out).assign(blk=at)
-
-    return cut_lineage(sent.groupBy("at").applyInPandas(own, "w double, a long, b long, link boolean, blk long"))
-
-
-def _heaviest_between(inner: np.ndarray, link: np.ndarray, at: int) -> np.ndarray:
-    """Largest weight on the path of block trees and links from block ``at`` to every block."""
-    up = np.maximum.accumulate(np.maximum(inner[at:], np.concatenate([[-np.inf], link[at:-1]])))
-    down = np.maximum.accumulate(np.maximum(inner[:at + 1], np.concatenate([link[:at], [-np.inf]]))[::-1])[::-1]
-    return np.concatenate([down[:-1], up])
-
-
-def candidate_edges(b: Blocks, core: DataFrame) -> DataFrame:
-    """w, a, b: edges among which the minimum spanning tree of the vectors is; at most (rows - 1) for each pair of blocks."""
-    rows = cut_lineage(b.rows.join(core, "rep").withColumn("reach", F.lit(0.0)))
-    trees = _block_trees(rows)
-    inner, link = np.full(b.count, -np.inf), np.full(b.count, -np.inf)
-    for r in trees.groupBy("blk", "link").agg(F.max("w").alias("w")).collect():  # two numbers per block
-        (link if r["link"] else inner)[r["blk"]] = r["w"]
-    shared = b.rows.sparkSession.sparkContext.broadcast((inner, link))
+        at, gaps = int(pdf["at"].iat[0]), stacked(pdf["gaps"])
+        ring = gaps.argmin(axis=1)
+        order = np.lexsort((pdf["rep"].to_numpy(), gaps[np.arange(len(gaps)), ring], ring, pdf["blk"].to_numpy()))
+        inside = int((pdf["blk"] == at).sum())
+        pdf = pdf.iloc[order[:inside + size]]
+        ids, x, core = pdf["rep"].to_numpy(), stacked(pdf["vec"]), pdf["core"].to_numpy()
+        cuts = [*range(0, inside, size), *([inside] if len(pdf) > inside else []), len(pdf)]
+        out = [pd.DataFrame({"w": [], "a": [], "b": []})]
+        for s, e, after in zip(cuts, cuts[1:], [*cuts[2:], None]):
+            if s < inside:
+                out.append(_edges(ids[s:e], *tree_of(x[s:e], core[s:e])))
+                if after is not None:
+                    i, j, w = _link(x[s:e], x[e:after], core[s:e], core[e:after])
+                    out.append(_edges(ids, np.array([s + i]), np.array([e + j]), np.array([w])))
+        return pd.concat(out[1:] or out)
+
+    return sent.groupBy("at").applyInPandas(own, "w double, a long, b long")
+
+
+def _limits(first: DataFrame, reps: DataFrame, count: int) -> DataFrame:
+    """rep, limit: the weight at which each row meets the part of the first tree that holds most rows (none: infinite).
+
+    Merges of more than half the rows lie on one path to the top; two rows meet at the higher of those that they reach, or below."""
+    lightest, merged = contracted(first)
+    merges, leaves = merge_tree(reps.select(F.col("rep").alias("v"), F.lit(1).cast("long").alias("weight")), lightest, merged)
+    large = F.col("size") * 2 > count
+    top = follow(merges.select(F.col("e").alias("node"), F.when(large, F.col("e")).otherwise(F.coalesce("up", "e")).alias("to")))
+    reached = merges.where(large).select(F.col("e").alias("to"), F.col("w").alias("limit"))
+    return leaves.join(top.withColumnRenamed("node", "e"), "e").join(reached, "to").select(F.col("v").alias("rep"), "limit")
+
+
+def candidate_edges(b: Blocks, core: DataFrame, near: DataFrame | None = None) -> DataFrame:
+    """w, a, b: edges among which the minimum spanning tree of the vectors is; at most (rows - 1) for each pair of blocks, and the
+    first tree's. ``near`` (rep, dist, who), if known, makes the first tree lighter."""
+    rows = b.rows.join(core, "rep")
+    first = _slice_trees(rows)
+    if near is not None:
+        other = core.select(F.col("rep").alias("who"), F.col("core").alias("c2"))
+        links = near.where("rep <> who").join(core, "rep").join(other, "who")
+        first = first.unionByName(links.select(F.round(F.greatest("dist", "core", "c2"), DIGITS).alias("w"), F.col("rep").alias("a"), F.col("who").alias("b")))
+    first = cut_lineage(first)
+    count = b.reps.count()
+    if first.isEmpty() or (b.count == 1 and count <= TREE_ROWS):
+        return first
+    if count <= FEW_ROWS:
+        limits = core.select("rep").distinct().crossJoin(first.agg(F.max("w").alias("limit")))
+    else:
+        limits = _limits(first, b.reps, count)
+    rows = cut_lineage(rows.join(limits, "rep", "left").withColumn("reach", F.coalesce("limit", F.lit(float("inf")))).drop("limit"))
 
     def wanted(bounds, have, s):
-        own, back = np.unique(have["blk"], return_inverse=True)
-        limit = np.stack([_heaviest_between(*shared.value, int(k))[s.first:s.first + len(s.lo)] for k in own])
         least = np.maximum(bounds, np.maximum(have["core"][:, None], s.core[None, :]))
-        return least - 10.0 ** -DIGITS < limit[back]
-
-    def across(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        both = pd.concat([left, right])
-        i, j, w = tree_of(stacked(both["vec"]), both["core"].to_numpy())
-        cross = (i < len(left)) != (j < len(left))
-        return _edges(both["rep"].to_numpy(), i[cross], j[cross], w[cross])
-
-    sent = routed(rows, summaries(rows, b.count, b.pivots), wanted, own_pair=False)
-    return trees.select("w", "a", "b").unionByName(per_pair(sent, across, "w double, a long, b long"))
+        return least - 10.0 ** -DIGITS < np.maximum(have["reach"][:, None], s.reach[None, :])
+
+    gathered = FOREST_PAIRS
+
+    def forest(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        x, y, ia, ib = stacked(left["vec"]), stacked(right["vec"]), left["rep"].to_numpy(), right["rep"].to_numpy()
+        ca, cb, la, lb = (p[c].to_numpy() for c in ("core", "reach") for p in (left, right))
+        same = left["blk"].iat[0] == right["blk"].iat[0]
+        after = 0 if same else len(left)
+        parts, size = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))], 0
+
+        def thinned():
+            i, j, w = (np.concatenate(c) for c in zip(*parts))
+            order = np.argsort(w, kind="stable")
+            kept = order[spanning(after + len(right), i[order], j[order] + after)[0]]
+            return i[kept], j[kept], w[kept]
+
+        for i, j in close_pairs(x, y, la + 10.0 ** -DIGITS, lb + 10.0 ** -DIGITS):
+            c, most = np.maximum(ca[i], cb[j]), np.maximum(la[i], lb[j])
+            ok = c - 10.0 ** -DIGITS < most
+            if same:
+                ok &= i < j
+            i, j, c, most = i[ok], j[ok], c[ok], most[ok]
+            w = np.round(np.maximum(measured(x, y, i, j), c), DIGITS)
+            ok = w < most
+            parts.append((i[ok], j[ok], w[ok]))
+            size += len(parts[-1][0])
+            if size > gathered:
+                parts, size = [thinned()], 0
+        i, j, w = thinned()
+        return pd.DataFrame({"w": w, "a": np.minimum(ia[i], ib[j]), "b": np.maximum(ia[i], ib[j])})
+
+    sent = routed(rows, summaries(rows, b.count, b.pivots), wanted, own_pair=True)
+    return first.unionByName(per_pair(sent, forest, "w double, a long, b long"))
 
 
 def follow(links: DataFrame) -> DataFrame:
@@ -303,12 +360,12 @@ def hierarchy_labels(points: DataFrame, min_samples: int = 2, min_cluster_size:
         all_noise = b.ids.select(F.col("id").alias(id_col), F.lit(-1).cast("long").alias("label"))
         if b.ids.limit(max(min_cluster_size, min_samples + 1, 2)).count() < max(min_cluster_size, min_samples + 1, 2):
             return keep(all_noise)
-        core = rep_cores(b, min_samples)
+        near, core = near_and_cores(b, min_samples)
         # the second id of a vector stands for all its copies: they meet at the core distance
         second = cut_lineage(b.ids.where("id <> rep").groupBy("rep").agg(F.min("id").alias("b"), F.count(F.lit(1)).alias("weight")))
         copies = second.join(core, "rep").select(F.round("core", DIGITS).alias("w"), F.col("rep").alias("a"), "b")
         weights = b.reps.select(F.col("rep").alias("v"), F.lit(1).cast("long").alias("weight")).unionByName(second.select(F.col("b").alias("v"), "weight"))
-        lightest, merged = contracted(candidate_edges(b, core).unionByName(copies))
+        lightest, merged = contracted(candidate_edges(b, core, near).unionByName(copies))
         merges, leaves = joined_merges(*merge_tree(weights, lightest, merged))
         tree, where = cluster_tree(merges, leaves, min_cluster_size)
         chosen = chosen_clusters(tree)

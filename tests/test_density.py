@@ -290,3 +290,12 @@ def test_links_of_the_query_are_found_with_cores_that_are_made_once(spark, monke
     w = np.maximum(d, np.maximum(c[:, None], c[None]))
     i, j = np.nonzero(np.triu(w <= np.sort(c)[29], 1))
     assert {(r["a"], r["b"]): r["weight"] for r in found.collect()} == {(int(a), int(b)): pytest.approx(w[a, b], abs=1e-6) for a, b in zip(i, j)}
+
+
+@pytest.mark.parametrize("rows", [blobs(12, 150, 5), lattice(13, 90)])
+def test_limits_of_rows_leave_the_hierarchy_as_it_is(spark, rows, monkeypatch):
+    monkeypatch.setattr(linkage, "FEW_ROWS", 0)
+    monkeypatch.setattr(linkage, "TREE_ROWS", 8)
+    monkeypatch.setattr(linkage, "FOREST_PAIRS", 50)
+    got = {r["vec_id"]: r["label"] for r in density.hierarchy_labels(frame(spark, rows), 2, 3, block_size=30).collect()}
+    assert got == hierarchy(rows, 2, 3)
